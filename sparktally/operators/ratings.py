@@ -130,33 +130,36 @@ def rate_by_segment(
     label: str = "title",
     default: str = UNKNOWN_TITLE,
     prefix: str = "avg_",
+    names: Sequence[str] | None = None,
     ordered: bool = True,
 ) -> DataFrame:
     """Average rating per entity for each user segment, side by side.
 
     ``segments`` maps each user to one segment value (one row per user;
     NULL or a value outside ``labels`` = in no segment). -> (key, label,
-    prefix + l for l in labels); a column is NULL where the segment has no
+    prefix + l for l in labels, or ``names``); a column is NULL where the segment has no
     usable rating; entities with no usable rating in any segment give no row.
 
     Users outside every segment are dropped before the join (inner join), so
     their ratings never reach the shuffle. The segment averages are
     conditional aggregates in a single pass, with partial aggregation.
     """
+    avg_cols = list(names) if names is not None else [prefix + lab for lab in labels]
+    if len(avg_cols) != len(labels):
+        raise ValueError("one column name per label")
     seg = segments.select(F.col(user_key), F.col(segment)).where(F.col(segment).isin(list(labels)))
     joined = ratings.select(user_key, key, value).join(seg, on=user_key, how="inner")
     aggs = []
     counts = []
-    for i, lab in enumerate(labels):
+    for i, (lab, name) in enumerate(zip(labels, avg_cols)):
         hit = F.col(segment) == F.lit(lab)
-        aggs.append(F.avg(F.when(hit, F.col(value))).alias(prefix + lab))
+        aggs.append(F.avg(F.when(hit, F.col(value))).alias(name))
         aggs.append(F.count(F.when(hit, F.col(value))).alias(f"_n{i}"))
         counts.append(F.col(f"_n{i}") > 0)
     any_rated = counts[0]
     for c in counts[1:]:
         any_rated = any_rated | c
     agg = joined.groupBy(key).agg(*aggs).where(any_rated)
-    avg_cols = [prefix + lab for lab in labels]
     if movies is None:
         out = agg.select(key, F.lit(default).alias(label), *avg_cols)
     else:

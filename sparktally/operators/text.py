@@ -69,14 +69,18 @@ def remove_stopwords(
     stopwords: DataFrame,
     word: str = "word",
     stopword: str = "stopword",
+    stop_rows: int | None = STOPWORD_BROADCAST_ROWS,
 ) -> DataFrame:
     """Tokens whose word is not in the stop-word list (whole-token equality).
 
     An entry with a space can never equal a token and repeated entries
     change nothing. The list is de-duplicated and broadcast when it has at
-    most ``STOPWORD_BROADCAST_ROWS`` entries.
+    most ``stop_rows`` entries (counted first); above that it is joined with
+    a shuffle. ``stop_rows=None`` means the caller vouches for a small,
+    fixed list: it is broadcast without counting.
     """
-    stop = broadcast_if_small(stopwords.select(stopword).distinct(), STOPWORD_BROADCAST_ROWS)
+    stop = stopwords.select(stopword).distinct()
+    stop = F.broadcast(stop) if stop_rows is None else broadcast_if_small(stop, stop_rows)
     return anti_join(tokens, stop, word, stopword)
 
 
@@ -86,9 +90,10 @@ def clean_tokens(
     text: str = "review",
     word: str = "word",
     lower_cols: Sequence[str] = ("category", "aspect", "sentiment"),
+    stop_rows: int | None = STOPWORD_BROADCAST_ROWS,
 ) -> DataFrame:
     """The token table: valid reviews, cleaned, one row per word, stop words
     removed. Columns are those of ``reviews`` with ``word`` in place of the
-    text."""
+    text. ``stop_rows`` as in ``remove_stopwords``."""
     tokens = tokenize(clean_reviews(spread(reviews), text, lower_cols), text, word)
-    return tokens if stopwords is None else remove_stopwords(tokens, stopwords, word)
+    return tokens if stopwords is None else remove_stopwords(tokens, stopwords, word, "stopword", stop_rows)

@@ -205,9 +205,8 @@ SELECT movie_id, avg(rating) AS avg_rating, count(rating) AS n FROM (
 ) GROUP BY movie_id
 """,
     "filter_valid": f"""
-SELECT id, length(review) AS clean_chars FROM (
-  SELECT doc_id AS id, {_clean('text')} AS review FROM documents
-) WHERE review IS NOT NULL AND review <> ''
+SELECT doc_id AS id, length({_clean('text')}) AS clean_chars
+FROM documents WHERE text IS NOT NULL AND text <> ''
 """,
     "left_join_default": f"""
 WITH {_MOVIES.strip()}

@@ -81,7 +81,7 @@ def q_rate_by_band(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def _tokens(spark: SparkSession, sf_dir: str, stop: bool = True, with_sentiment: bool = True) -> DataFrame:
     reviews = roles.reviews(spark, sf_dir, with_sentiment)
-    return clean_tokens(reviews, roles.stopwords(spark) if stop else None)
+    return clean_tokens(reviews, roles.stopwords(spark) if stop else None, stop_rows=None)
 
 
 def q_clean_tokens(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -181,10 +181,15 @@ def q_union_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def q_filter_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Reviews whose cleaned text is non-empty, with the cleaned length."""
-    docs = roles.reviews(spark, sf_dir, with_sentiment=False)
-    cleaned = docs.select("id", clean_text(F.col("review")).alias("review"))
-    return valid_reviews(cleaned).select("id", F.length("review").alias("clean_chars"))
+    """Reviews with a non-NULL, non-empty text, with the length of the
+    cleaned text (0 when nothing survives cleaning).
+
+    The validity test is on the raw text, as in the reference jobs; it is
+    cheap, so it may run in the scan, while the cleaning runs after
+    ``spread`` on all cores.
+    """
+    docs = valid_reviews(roles.reviews(spark, sf_dir, with_sentiment=False))
+    return spread(docs).select("id", F.length(clean_text(F.col("review"))).alias("clean_chars"))
 
 
 def q_left_join_default(spark: SparkSession, sf_dir: str) -> DataFrame:
