@@ -26,14 +26,16 @@ def valid_reviews(df: DataFrame, text: str = "review") -> DataFrame:
 
 
 def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work enough tasks.
+    """Give CPU-heavy per-row work (text cleaning) enough tasks.
 
-    A scan with fewer partitions than the cluster has cores (one small
-    file, one row group) is redistributed round-robin; a large input, already
-    split into many partitions, is left alone so no shuffle is added.
+    An input made of fewer files than the cluster has cores (one small file
+    with one row group is read by one task) is redistributed round-robin
+    first. An input of many files is already split into many tasks and is
+    left alone, so no shuffle is added at scale. The check reads only the
+    file list of the plan; it runs no job.
     """
     parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() < parallelism:
+    if len(df.inputFiles()) < parallelism:
         return df.repartition(parallelism)
     return df
 
@@ -94,6 +96,9 @@ def clean_tokens(
 ) -> DataFrame:
     """The token table: valid reviews, cleaned, one row per word, stop words
     removed. Columns are those of ``reviews`` with ``word`` in place of the
-    text. ``stop_rows`` as in ``remove_stopwords``."""
-    tokens = tokenize(clean_reviews(spread(reviews), text, lower_cols), text, word)
+    text. ``stop_rows`` as in ``remove_stopwords``.
+
+    Apply ``spread`` to the review scan first when it comes from few files.
+    """
+    tokens = tokenize(clean_reviews(reviews, text, lower_cols), text, word)
     return tokens if stopwords is None else remove_stopwords(tokens, stopwords, word, "stopword", stop_rows)

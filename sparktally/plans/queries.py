@@ -30,7 +30,7 @@ from sparktally.operators import (
     union_all,
     valid_reviews,
 )
-from sparktally.operators.text import clean_reviews, spread
+from sparktally.operators.text import clean_reviews
 from sparktally.plans import roles
 from sparktally.sources.tables import load_table
 
@@ -110,7 +110,7 @@ def q_ordered_limit(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _count_reviews(spark: SparkSession, sf_dir: str, col: str) -> DataFrame:
-    docs = valid_reviews(roles.reviews(spark, sf_dir, with_sentiment=False))
+    docs = valid_reviews(roles.reviews(spark, sf_dir, with_sentiment=False, for_cleaning=False))
     counts = count_by(docs, [F.lower(col).alias(col)], "id", name="total_comments")
     return counts.orderBy(F.desc("total_comments"), F.asc(col))
 
@@ -126,7 +126,7 @@ def q_count_by_aspect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 def _top_aspect(spark: SparkSession, sf_dir: str, sentiment: str) -> DataFrame:
-    docs = valid_reviews(roles.reviews(spark, sf_dir)).select(
+    docs = valid_reviews(roles.reviews(spark, sf_dir, for_cleaning=False)).select(
         F.lower("aspect").alias("aspect"), F.lower("sentiment").alias("sentiment")
     )
     counts = count_by(docs, ["aspect"], "aspect", where=F.col("sentiment") == sentiment, name="total")
@@ -184,12 +184,12 @@ def q_filter_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Reviews with a non-NULL, non-empty text, with the length of the
     cleaned text (0 when nothing survives cleaning).
 
-    The validity test is on the raw text, as in the reference jobs; it is
-    cheap, so it may run in the scan, while the cleaning runs after
-    ``spread`` on all cores.
+    The validity test is on the raw text, as the jobs do it; it is cheap, so
+    it may run in the scan, while the cleaning runs after the scan has been
+    spread over the cores.
     """
     docs = valid_reviews(roles.reviews(spark, sf_dir, with_sentiment=False))
-    return spread(docs).select("id", F.length(clean_text(F.col("review"))).alias("clean_chars"))
+    return docs.select("id", F.length(clean_text(F.col("review"))).alias("clean_chars"))
 
 
 def q_left_join_default(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -253,7 +253,7 @@ def q_group_collect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words per review after cleaning (tokeniser without the explode)."""
-    docs = spread(roles.reviews(spark, sf_dir, with_sentiment=False))
+    docs = roles.reviews(spark, sf_dir, with_sentiment=False)
     cleaned = clean_reviews(docs, "review", ())
     return cleaned.select("id", F.size(word_array(F.col("review"))).alias("n_words"))
 

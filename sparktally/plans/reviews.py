@@ -21,7 +21,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktally.operators.counts import count_by, frequent, top_k
-from sparktally.operators.text import clean_reviews, clean_tokens, valid_reviews
+from sparktally.operators.text import clean_reviews, clean_tokens, spread, valid_reviews
 from sparktally.session import scratch_path
 from sparktally.sinks import write_csv, write_parquet
 from sparktally.sources.delimited import REVIEW_SCHEMA, read_delimited, read_stopwords
@@ -93,7 +93,7 @@ def run_review_reports(
 ) -> dict[str, str]:
     """Compute Q6-Q13 from the files and write each result as headerless
     CSV under ``out_dir`` (replacing it). Returns name -> output path."""
-    reviews = read_delimited(spark, reviews_path, REVIEW_SCHEMA, sep=sep)
+    reviews = spread(read_delimited(spark, reviews_path, REVIEW_SCHEMA, sep=sep))
     stop = read_stopwords(spark, stopwords_path)
     tokens = materialize(spark, review_tokens(reviews, stop), "tokens")
     results = {

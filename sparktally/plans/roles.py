@@ -23,6 +23,7 @@ from pyspark.sql import functions as F
 
 from sparktally.functions.values import bucketize, in_synonyms
 from sparktally.operators.joins import one_per_key
+from sparktally.operators.text import spread
 from sparktally.sources.tables import load_table
 
 # Fixed values of the test roles (shared with the SQL oracles).
@@ -101,15 +102,22 @@ def sentiments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True) -> DataFrame:
+def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True, for_cleaning: bool = True) -> DataFrame:
     """(id, review, category, aspect[, sentiment]); sentiment NULL for
-    unlabelled documents."""
+    unlabelled documents.
+
+    When the text is to be cleaned (the CPU-heavy step), the document scan
+    is spread over the cores if it comes from few files, before the label
+    join; queries that only count documents skip that.
+    """
     docs = load_table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("review"),
         F.col("lang").alias("category"),
         F.col("source").alias("aspect"),
     )
+    if for_cleaning:
+        docs = spread(docs)
     if not with_sentiment:
         return docs
     return docs.join(sentiments(spark, sf_dir), on="id", how="left")
