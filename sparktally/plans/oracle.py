@@ -146,6 +146,20 @@ HAVING count(id) > {roles.FREQUENT_MIN_EXCLUSIVE}
 ORDER BY freq DESC, word
 """
 
+def _two_decimals(expr: str) -> str:
+    """Half-up rounding of the shortest decimal form, then two decimals."""
+    return f"printf('%.2f', round(CAST(CAST({expr} AS VARCHAR) AS DECIMAL(38, 10)), 2))"
+
+
+def _band_cells() -> str:
+    cells = ", ".join(
+        f"CASE WHEN avg_{lab} IS NULL THEN 'NA' ELSE {_two_decimals(f'avg_{lab}')} END"
+        for lab in roles.BALANCE_LABELS
+    )
+    fmt = " ".join(f"{lab}: %-4s" for lab in roles.BALANCE_LABELS)
+    return f"printf('{fmt}', {cells})"
+
+
 ORACLE_SQL: dict[str, str] = {
     "rate_entities": f"""
 WITH {_RATED.strip()}, {_MOVIES.strip()}
@@ -253,5 +267,16 @@ FROM top GROUP BY category
 SELECT id, CAST(len(list_filter(string_split(review, ' '), lambda w: w <> '')) AS INTEGER) AS n_words FROM (
   SELECT doc_id AS id, {_clean('text')} AS review FROM documents WHERE text IS NOT NULL AND text <> ''
 )
+""",
+    "movie_report": f"""
+WITH {_RATED.strip()}, {_MOVIES.strip()}
+SELECT coalesce(mv.title, 'Unknown Movie') AS title,
+       printf('AverageRating: %s (TotalRatings: %d)', {_two_decimals('r.avg_rating')}, r.n) AS line,
+       r.movie_id
+FROM rated r LEFT JOIN mv ON r.movie_id = mv.movie_id
+""",
+    "band_report": f"""
+WITH b AS ({_segment_sql(_band_expr("c.c_acctbal"), roles.BALANCE_LABELS, "c_acctbal")})
+SELECT printf('%-30s', title) AS title, {_band_cells()} AS line, movie_id FROM b
 """,
 }

@@ -32,6 +32,7 @@ from sparktally.operators import (
 )
 from sparktally.operators.text import clean_reviews
 from sparktally.plans import roles
+from sparktally.sinks.reports import band_report, movie_report
 from sparktally.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -258,6 +259,21 @@ def q_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     return cleaned.select("id", F.size(word_array(F.col("review"))).alias("n_words"))
 
 
+def q_movie_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q1 rendered as report lines: title, then
+    ``AverageRating: x.xx (TotalRatings: n)`` (two decimals, half up)."""
+    lines = movie_report(q_rate_entities(spark, sf_dir), keep=["movie_id"])
+    return lines.select(F.col("key").alias("title"), F.col("value").alias("line"), "movie_id")
+
+
+def q_band_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q5 rendered: padded title and one padded cell per band (``NA`` when
+    the band has no rating)."""
+    cols = [f"avg_{lab}" for lab in roles.BALANCE_LABELS]
+    lines = band_report(q_rate_by_band(spark, sf_dir), cols, labels=roles.BALANCE_LABELS, keep=["movie_id"])
+    return lines.select(F.col("key").alias("title"), F.col("value").alias("line"), "movie_id")
+
+
 QUERIES: dict[str, Query] = {
     "rate_entities": q_rate_entities,
     "top_rated": q_top_rated,
@@ -285,4 +301,6 @@ QUERIES: dict[str, Query] = {
     "group_collect": q_group_collect,
     "ordered_limit": q_ordered_limit,
     "word_counts": q_word_counts,
+    "movie_report": q_movie_report,
+    "band_report": q_band_report,
 }

@@ -28,11 +28,13 @@ BAND_MISSING = "NA"
 BAND_CELL_WIDTH = 4
 
 
-def movie_report(rated: DataFrame, label: str = "title") -> DataFrame:
-    """Q1 lines: ``title`` / ``AverageRating: 4.25 (TotalRatings: 2)``."""
+def movie_report(rated: DataFrame, label: str = "title", keep: Sequence[str] = ()) -> DataFrame:
+    """Q1 lines: ``title`` / ``AverageRating: 4.25 (TotalRatings: 2)``;
+    ``keep`` columns are carried along."""
     return rated.select(
         F.col(label).alias("key"),
         F.format_string(MOVIE_VALUE, two_decimals("avg_rating"), F.col("n")).alias("value"),
+        *keep,
     )
 
 
@@ -58,9 +60,17 @@ def gender_report(df: DataFrame, male: str = "avg_male", female: str = "avg_fema
     return df.select(pad_right(label, GENDER_TITLE_WIDTH).alias("key"), value.alias("value"))
 
 
-def band_report(df: DataFrame, cols: Sequence[str], labels: Sequence[str] = BAND_LABELS, label: str = "title") -> DataFrame:
+def band_report(
+    df: DataFrame,
+    cols: Sequence[str],
+    labels: Sequence[str] = BAND_LABELS,
+    label: str = "title",
+    keep: Sequence[str] = (),
+) -> DataFrame:
     """Q5 lines: title padded to 30 / ``0-18: NA   18-35: 4.00 ...``, each
-    cell padded to 4."""
+    cell padded to 4; ``keep`` columns are carried along."""
     fmt = " ".join(f"{lab}: %-{BAND_CELL_WIDTH}s" for lab in labels)
     cells = [two_decimals_or(c, BAND_MISSING) for c in cols]
-    return df.select(pad_right(label, BAND_TITLE_WIDTH).alias("key"), F.format_string(fmt, *cells).alias("value"))
+    return df.select(
+        pad_right(label, BAND_TITLE_WIDTH).alias("key"), F.format_string(fmt, *cells).alias("value"), *keep
+    )
