@@ -13,7 +13,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktally.functions.text import clean_text, word_array
+from sparktally.functions.text import clean_text, text_words, word_array
 from sparktally.operators.joins import anti_join, broadcast_if_small
 
 # Stop-word lists beyond this many entries are joined with a shuffle.
@@ -75,13 +75,14 @@ def remove_stopwords(
 ) -> DataFrame:
     """Tokens whose word is not in the stop-word list (whole-token equality).
 
-    An entry with a space can never equal a token and repeated entries
-    change nothing. The list is de-duplicated and broadcast when it has at
-    most ``stop_rows`` entries (counted first); above that it is joined with
-    a shuffle. ``stop_rows=None`` means the caller vouches for a small,
-    fixed list: it is broadcast without counting.
+    An entry with a space can never equal a token, and repeated entries
+    change nothing (an anti-join only asks whether a match exists), so the
+    list needs no de-duplication. It is broadcast when it has at most
+    ``stop_rows`` entries (counted first); above that it is joined with a
+    shuffle. ``stop_rows=None`` means the caller vouches for a small, fixed
+    list: it is broadcast without counting.
     """
-    stop = stopwords.select(stopword).distinct()
+    stop = stopwords.select(stopword)
     stop = F.broadcast(stop) if stop_rows is None else broadcast_if_small(stop, stop_rows)
     return anti_join(tokens, stop, word, stopword)
 
@@ -99,6 +100,17 @@ def clean_tokens(
     text. ``stop_rows`` as in ``remove_stopwords``.
 
     Apply ``spread`` to the review scan first when it comes from few files.
+    The text is cleaned and split in one expression (``text_words``), which
+    gives the words of ``clean_text`` without materialising the cleaned text.
     """
-    tokens = tokenize(clean_reviews(reviews, text, lower_cols), text, word)
+    lowered = set(lower_cols)
+    cols = []
+    for name in reviews.columns:
+        if name == text:
+            cols.append(F.explode(text_words(F.col(name))).alias(word))
+        elif name in lowered:
+            cols.append(F.lower(F.col(name)).alias(name))
+        else:
+            cols.append(F.col(name))
+    tokens = valid_reviews(reviews, text).select(*cols)
     return tokens if stopwords is None else remove_stopwords(tokens, stopwords, word, "stopword", stop_rows)

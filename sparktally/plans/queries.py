@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktally.functions.text import clean_text, word_array
+from sparktally.functions.text import clean_text, text_words
 from sparktally.functions.values import bucketize, safe_int
 from sparktally.operators import (
     anti_join,
@@ -30,7 +30,6 @@ from sparktally.operators import (
     union_all,
     valid_reviews,
 )
-from sparktally.operators.text import clean_reviews
 from sparktally.plans import roles
 from sparktally.sinks.reports import band_report, movie_report
 from sparktally.sources.tables import load_table
@@ -254,9 +253,8 @@ def q_group_collect(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_word_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Words per review after cleaning (tokeniser without the explode)."""
-    docs = roles.reviews(spark, sf_dir, with_sentiment=False)
-    cleaned = clean_reviews(docs, "review", ())
-    return cleaned.select("id", F.size(word_array(F.col("review"))).alias("n_words"))
+    docs = valid_reviews(roles.reviews(spark, sf_dir, with_sentiment=False))
+    return docs.select("id", F.size(text_words(F.col("review"))).alias("n_words"))
 
 
 def q_movie_report(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -22,6 +22,7 @@ from sparktally.functions import (
     two_decimals_or,
     word_array,
 )
+from sparktally.functions.text import text_words
 from sparktally.operators.ratings import tag_array
 
 ASCII_PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
@@ -73,6 +74,13 @@ def test_clean_text_examples(spark):
     assert got == ["tốtđẹp", "phòng đẹp quá", "“ok” lần", "", "a b"]
 
 
+def test_text_words_equals_cleaned_split(spark):
+    corpus = _corpus(seed=11)
+    fast = _apply(spark, corpus, text_words)
+    assert fast == _apply(spark, corpus, lambda c: word_array(clean_text(c)))
+    assert fast == [[w for w in model_clean(s).split(" ") if w] for s in corpus]
+
+
 def test_word_array_never_empty_words(spark):
     got = _apply(spark, ["", "a b", "a  b ", " a"], word_array)
     assert got == [[], ["a", "b"], ["a", "b"], ["a"]]
