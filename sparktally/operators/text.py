@@ -34,12 +34,20 @@ def spread(df: DataFrame) -> DataFrame:
     left alone, so no shuffle is added at scale. The check reads only the
     file list of the plan; it runs no job.
     """
-    parallelism = df.sparkSession.sparkContext.defaultParallelism
-    if len(df.inputFiles()) < parallelism:
+    parallelism = _parallelism(df)
+    if parallelism > 1 and len(df.inputFiles()) < parallelism:
         return df.repartition(parallelism)
     return df
 
 
+def _parallelism(df: DataFrame) -> int:
+    try:
+        return df.sparkSession.sparkContext.defaultParallelism
+    except Exception:  # no SparkContext on this client (Spark Connect)
+        value = df.sparkSession.conf.get("spark.default.parallelism", None)
+        return int(value) if value else 0
+
+
 def clean_reviews(
     df: DataFrame,
     text: str = "review",
