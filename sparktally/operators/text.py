@@ -16,8 +16,9 @@ from pyspark.sql import functions as F
 from sparktally.functions.text import clean_text, text_words, word_array
 from sparktally.operators.joins import anti_join, broadcast_if_small
 
-# Stop-word lists beyond this many entries are joined with a shuffle.
-STOPWORD_BROADCAST_ROWS = 1_000_000
+# Stop-word lists beyond this many entries are joined with a shuffle. Stop
+# words are short; 100 000 of them make a hash table of a few megabytes.
+STOPWORD_BROADCAST_ROWS = 100_000
 
 
 def valid_reviews(df: DataFrame, text: str = "review") -> DataFrame:

@@ -56,3 +56,22 @@ def test_no_python_udf(spark):
     for name in QUERIES:
         plan = _plan(spark, name)
         assert "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan, name
+
+
+def test_stopword_broadcast_only_within_bound(spark):
+    from sparktally.operators import remove_stopwords
+
+    keys = ("spark.sql.autoBroadcastJoinThreshold", "spark.sql.adaptive.autoBroadcastJoinThreshold")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        for k in keys:
+            spark.conf.set(k, "-1")  # only our own hint can broadcast
+        tokens = spark.createDataFrame([("1", "cat"), ("2", "the")], "id string, word string")
+        stop = spark.createDataFrame([("the",), ("a",)], "stopword string")
+        for bound, joined in ((None, "BroadcastHashJoin"), (2, "BroadcastHashJoin"), (1, "SortMergeJoin")):
+            df = remove_stopwords(tokens, stop, stop_rows=bound)
+            assert joined in df._jdf.queryExecution().executedPlan().toString()
+            assert [r.word for r in df.collect()] == ["cat"]
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
