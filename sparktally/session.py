@@ -64,6 +64,11 @@ def checkpoint_dir(spark: SparkSession) -> str:
     sc = spark.sparkContext
     current = sc.getCheckpointDir()
     if current is None:
+        if not sc.master.startswith("local"):
+            raise RuntimeError(
+                "spark.checkpoint.dir is not set: name a folder on shared storage "
+                "(a machine-local temporary folder would not survive the loss of an executor)"
+            )
         sc.setCheckpointDir(tempfile.mkdtemp(prefix="sparktally-ckpt-"))
         current = sc.getCheckpointDir()
     return current
