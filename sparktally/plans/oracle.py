@@ -278,5 +278,31 @@ FROM rated r LEFT JOIN mv ON r.movie_id = mv.movie_id
     "band_report": f"""
 WITH b AS ({_segment_sql(_band_expr("c.c_acctbal"), roles.BALANCE_LABELS, "c_acctbal")})
 SELECT printf('%-30s', title) AS title, {_band_cells()} AS line, movie_id FROM b
+""",
+    "best_report": f"""
+WITH {_RATED.strip()}, {_MOVIES.strip()},
+best AS (
+  SELECT coalesce(mv.title, 'Unknown Movie') AS title, r.avg_rating
+  FROM rated r LEFT JOIN mv ON r.movie_id = mv.movie_id
+  WHERE r.n >= {roles.TOP_RATED_MIN_SUPPORT} AND NOT isnan(r.avg_rating)
+  ORDER BY r.avg_rating DESC, r.movie_id LIMIT 1
+)
+SELECT printf('%s is the highest rated movie with an average rating of %s among movies with at least %d ratings.',
+              title, {_two_decimals('avg_rating')}, {roles.TOP_RATED_MIN_SUPPORT}) AS line
+FROM best
 """,
 }
+
+ORACLE_SQL["genre_report"] = f"""
+WITH t AS ({ORACLE_SQL["rate_tags"]})
+SELECT genre, printf('Avg: %s, Count: %d', {_two_decimals('avg_rating')}, n) AS line FROM t
+"""
+ORACLE_SQL["gender_report"] = f"""
+WITH g AS ({ORACLE_SQL["rate_by_segment_two"]})
+SELECT printf('%-35s', title) AS title,
+       printf('Male: %s, Female: %s',
+              CASE WHEN avg_male IS NULL THEN 'N/A ' ELSE {_two_decimals('avg_male')} END,
+              CASE WHEN avg_female IS NULL THEN 'N/A ' ELSE {_two_decimals('avg_female')} END) AS line,
+       movie_id
+FROM g
+"""

@@ -31,7 +31,7 @@ from sparktally.operators import (
     valid_reviews,
 )
 from sparktally.plans import roles
-from sparktally.sinks.reports import band_report, movie_report
+from sparktally.sinks.reports import band_report, best_movie_report, gender_report, genre_report, movie_report
 from sparktally.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
@@ -272,6 +272,25 @@ def q_band_report(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lines.select(F.col("key").alias("title"), F.col("value").alias("line"), "movie_id")
 
 
+def q_best_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q2 rendered: the one-sentence line naming the best movie."""
+    best = best_movie_report(q_top_rated(spark, sf_dir), roles.TOP_RATED_MIN_SUPPORT)
+    return best.select(F.col("key").alias("line"))
+
+
+def q_genre_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q3 rendered: tag, then ``Avg: x.xx, Count: n``."""
+    lines = genre_report(q_rate_tags(spark, sf_dir))
+    return lines.select(F.col("key").alias("genre"), F.col("value").alias("line"))
+
+
+def q_gender_report(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Q4 rendered: title padded to 35, then ``Male: x.xx, Female: N/A ``."""
+    rated = q_rate_by_segment_two(spark, sf_dir)
+    lines = gender_report(rated, keep=["movie_id"])
+    return lines.select(F.col("key").alias("title"), F.col("value").alias("line"), "movie_id")
+
+
 QUERIES: dict[str, Query] = {
     "rate_entities": q_rate_entities,
     "top_rated": q_top_rated,
@@ -301,4 +320,7 @@ QUERIES: dict[str, Query] = {
     "word_counts": q_word_counts,
     "movie_report": q_movie_report,
     "band_report": q_band_report,
+    "best_report": q_best_report,
+    "genre_report": q_genre_report,
+    "gender_report": q_gender_report,
 }

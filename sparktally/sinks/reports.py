@@ -52,12 +52,19 @@ def genre_report(tags: DataFrame, tag: str = "genre") -> DataFrame:
     )
 
 
-def gender_report(df: DataFrame, male: str = "avg_male", female: str = "avg_female", label: str = "title") -> DataFrame:
-    """Q4 lines: title padded to 35 / ``Male: 4.50, Female: N/A ``."""
+def gender_report(
+    df: DataFrame,
+    male: str = "avg_male",
+    female: str = "avg_female",
+    label: str = "title",
+    keep: Sequence[str] = (),
+) -> DataFrame:
+    """Q4 lines: title padded to 35 / ``Male: 4.50, Female: N/A ``;
+    ``keep`` columns are carried along."""
     value = F.format_string(
         GENDER_VALUE, two_decimals_or(male, GENDER_MISSING), two_decimals_or(female, GENDER_MISSING)
     )
-    return df.select(pad_right(label, GENDER_TITLE_WIDTH).alias("key"), value.alias("value"))
+    return df.select(pad_right(label, GENDER_TITLE_WIDTH).alias("key"), value.alias("value"), *keep)
 
 
 def band_report(
