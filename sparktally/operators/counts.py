@@ -41,6 +41,7 @@ def top_k(
     k: int,
     order: Sequence[Column],
     per: Sequence[str] | None = None,
+    ordered: bool = True,
 ) -> DataFrame:
     """The first ``k`` rows by ``order``, overall or within each group of
     ``per``. ``order`` must end in a unique key for a deterministic result.
@@ -49,13 +50,16 @@ def top_k(
     (each task keeps its best k, no full sort). Per group: ``row_number()
     <= k``, planned with ``WindowGroupLimit`` on both sides of the exchange,
     so at most k rows per group and task cross the shuffle however large
-    (or skewed) a group is. The result is sorted by group, then ``order``.
+    (or skewed) a group is. With ``ordered`` the result is sorted by group,
+    then ``order`` (a report order; it costs a sort of k rows per group).
     """
     if not per:
         return df.orderBy(*order).limit(k)
     w = Window.partitionBy(*per).orderBy(*order)
     ranked = df.withColumn("_rank", F.row_number().over(w)).where(F.col("_rank") <= k)
-    return ranked.orderBy(*[F.col(p) for p in per], F.col("_rank")).drop("_rank")
+    if ordered:
+        ranked = ranked.orderBy(*[F.col(p) for p in per], F.col("_rank"))
+    return ranked.drop("_rank")
 
 
 def group_collect(

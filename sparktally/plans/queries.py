@@ -143,11 +143,13 @@ def q_top_source_negative(spark: SparkSession, sf_dir: str) -> DataFrame:
     return _top_aspect(spark, sf_dir, "negative")
 
 
-def _top_words(spark: SparkSession, sf_dir: str, sentiment: str | None, name: str) -> DataFrame:
+def _top_words(
+    spark: SparkSession, sf_dir: str, sentiment: str | None, name: str, ordered: bool = True
+) -> DataFrame:
     tokens = _tokens(spark, sf_dir, with_sentiment=sentiment is not None)
     where = None if sentiment is None else F.col("sentiment") == sentiment
     counts = count_by(tokens, ["category", "word"], "id", where=where, name=name)
-    return top_k(counts, roles.TOP_WORDS_K, [F.desc(name), F.asc("word")], per=["category"])
+    return top_k(counts, roles.TOP_WORDS_K, [F.desc(name), F.asc("word")], per=["category"], ordered=ordered)
 
 
 def q_top5_words_positive(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -244,7 +246,7 @@ def q_conditional_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_group_collect(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q13's top words kept together per category as one ordered list,
     rendered ``word:count`` joined by commas."""
-    top = _top_words(spark, sf_dir, None, "total_freq")
+    top = _top_words(spark, sf_dir, None, "total_freq", ordered=False)
     ranked = top.select("category", "word", "total_freq", (-F.col("total_freq")).alias("neg"))
     bags = group_collect(ranked, ["category"], ["neg", "word", "total_freq"], name="items")
     text = F.transform("items", lambda s: F.concat_ws(":", s["word"], s["total_freq"].cast("string")))
