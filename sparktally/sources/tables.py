@@ -2,6 +2,12 @@
 
 Only a path join: projection and filters written later by the queries reach
 the parquet scan (``ReadSchema`` / ``PushedFilters`` in the plan).
+
+The schema of a table is read from its footers once per process and then
+given explicitly (``spark.read.schema(...)``), as for any source with a
+known schema: building a query does not re-read footers on the driver each
+time a table is named. The tables are read-only inputs, so the schema
+cannot go stale.
 """
 
 from __future__ import annotations
@@ -9,12 +15,15 @@ from __future__ import annotations
 import os
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql.types import StructType
 
 TABLES = (
     "region nation customer supplier part orders lineitem events documents "
     "embeddings pages benchmark labels conversations"
 ).split()
 
+_SCHEMAS: dict[str, StructType] = {}
+
 
 def table_path(sf_dir: str, name: str) -> str:
     return os.path.join(sf_dir, f"{name}.parquet")
@@ -23,4 +32,10 @@ def table_path(sf_dir: str, name: str) -> str:
 def load_table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     if name not in TABLES:
         raise KeyError(f"unknown table {name!r}")
-    return spark.read.parquet(table_path(sf_dir, name))
+    path = table_path(sf_dir, name)
+    schema = _SCHEMAS.get(path)
+    if schema is None:
+        df = spark.read.parquet(path)
+        _SCHEMAS[path] = df.schema
+        return df
+    return spark.read.schema(schema).parquet(path)
