@@ -34,6 +34,11 @@ def spread(df: DataFrame) -> DataFrame:
     first. An input of many files is already split into many tasks and is
     left alone, so no shuffle is added at scale. The check reads only the
     file list of the plan; it runs no job.
+
+    Round-robin rather than hashing on a key: a key held by a third of the
+    rows (copies of one document) would otherwise put a third of the work
+    in one task, and a user-requested repartition is not split by adaptive
+    skew handling.
     """
     parallelism = _parallelism(df)
     if parallelism > 1 and len(df.inputFiles()) < parallelism:
