@@ -2,15 +2,15 @@
 
 Writers always replace the target (``mode('overwrite')``), so a re-run does
 not fail on an existing directory. Writes are done by the executors, one
-file per partition; nothing passes through the driver except ``dump``,
-which is bounded by its row limit.
+file per partition; nothing passes through the driver except ``dump`` and
+``head``, which are bounded by their row limit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row
+from pyspark.sql import DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from sparktally.sinks.reports import (
@@ -55,12 +55,29 @@ def dump(df: DataFrame, n: int = 10) -> list[Row]:
     return df.limit(n).collect()
 
 
+def head(spark: SparkSession, path: str, n: int = 15) -> list[str]:
+    """The first ``n`` lines of a written text output, in part-file order.
+
+    Reading the folder back as one relation does not keep that order (file
+    splits are packed by size), so the part files are taken one by one, by
+    name, until ``n`` lines are collected; at most ``n`` lines reach the
+    client.
+    """
+    lines: list[str] = []
+    for f in sorted(spark.read.text(path).inputFiles()):
+        if len(lines) >= n:
+            break
+        lines += [r.value for r in spark.read.text(f).limit(n - len(lines)).collect()]
+    return lines
+
+
 __all__ = [
     "band_report",
     "best_movie_report",
     "dump",
     "gender_report",
     "genre_report",
+    "head",
     "movie_report",
     "preview",
     "write_csv",

@@ -7,7 +7,7 @@ import os
 from pyspark.sql import functions as F
 
 from sparktally.plans import reviews as rq
-from sparktally.sinks import dump, preview, write_csv, write_key_value, write_lines
+from sparktally.sinks import dump, head, preview, write_csv, write_key_value, write_lines
 from sparktally.sources import REVIEW_SCHEMA, read_delimited
 from sparktally.streaming import start_review_counts
 from tests.conftest import write_lines as write_file
@@ -28,6 +28,15 @@ def test_key_value_and_csv_round_trip(spark, tmp_path):
     assert sorted(r.value for r in spark.read.text(lines).collect()) == ["a|1", "b|2"]
 
 
+def test_head_follows_part_file_order(spark, tmp_path):
+    df = spark.range(0, 1000, numPartitions=1).select(F.format_string("%04d", "id").alias("value"))
+    # Range partitions of very different sizes: split packing would reorder them.
+    skewed = df.repartitionByRange(5, F.when(F.col("value") < "0003", F.col("value")).otherwise(F.lit("zzzz")))
+    out = str(tmp_path / "sorted")
+    write_lines(skewed.sortWithinPartitions("value"), out)
+    assert head(spark, out, 15) == [f"{i:04d}" for i in range(15)]
+
+
 def test_preview_and_dump_are_bounded(spark):
     df = spark.range(100)
     assert preview(df, 15).count() == 15
@@ -54,3 +63,23 @@ def test_streaming_counts_match_batch(spark, tmp_path):
     batch = rq.category_counts(read_delimited(spark, str(src), REVIEW_SCHEMA)).collect()
     assert got == {r.category: r.total_comments for r in batch} == {"room": 2, "food": 1, "service": 1}
     assert os.path.isdir(ckpt)
+
+
+def test_command_line(tmp_path):
+    import subprocess
+    import sys
+
+    movies = write_file(tmp_path / "movies.txt", ["1, A (2000), X|Y", "2, B (2001), Y"])
+    ratings = write_file(tmp_path / "r.txt", ["u1, 1, 4.0, 1", "u2, 1, 3.0, 1", "u1, 2, 5.0, 1"])
+    out = tmp_path / "out"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    res = subprocess.run(
+        [sys.executable, "-m", "sparktally", "--master", "local[2]", "ratings", "movies",
+         "--movies", movies, "--ratings", ratings, "--out", str(out)],
+        cwd=root, capture_output=True, text=True, timeout=300,
+    )
+    assert res.returncode == 0, res.stderr[-2000:]
+    assert res.stdout.splitlines()[:2] == [
+        "A (2000)\tAverageRating: 3.50 (TotalRatings: 2)",
+        "B (2001)\tAverageRating: 5.00 (TotalRatings: 1)",
+    ]
