@@ -187,7 +187,7 @@ t AS (
   FROM rated r JOIN g ON r.movie_id = g.movie_id
   WHERE g.genres <> '' AND g.genres <> '(no genres listed)'
 )
-SELECT trim(genre) AS genre, sum(s) / sum(n) AS avg_rating, sum(n) AS n
+SELECT trim(genre) AS genre, sum(s) / sum(n) AS avg_rating, CAST(sum(n) AS BIGINT) AS n
 FROM t GROUP BY trim(genre) ORDER BY genre
 """,
     "rate_by_segment_two": _segment_sql(_gender_expr(), roles.GENDER_LABELS, "c_mktsegment"),
@@ -219,7 +219,7 @@ SELECT movie_id, avg(rating) AS avg_rating, count(rating) AS n FROM (
 ) GROUP BY movie_id
 """,
     "filter_valid": f"""
-SELECT doc_id AS id, length({_clean('text')}) AS clean_chars
+SELECT doc_id AS id, CAST(length({_clean('text')}) AS INTEGER) AS clean_chars
 FROM documents WHERE text IS NOT NULL AND text <> ''
 """,
     "left_join_default": f"""

@@ -54,3 +54,14 @@ def test_query_matches_oracle(spark, con, name):
     cols = [d[0] for d in res.description]
     assert sorted(df.columns) == sorted(cols)
     assert got == _rows(res.fetchall(), cols)
+
+
+_TYPES = {"bigint": "BIGINT", "int": "INTEGER", "double": "DOUBLE", "string": "VARCHAR"}
+
+
+def test_oracle_types_match(spark, con):
+    for name, fn in contract.queries().items():
+        spark_types = {f.name: _TYPES.get(f.dataType.simpleString(), f.dataType.simpleString())
+                       for f in fn(spark, SF_SMOKE).schema.fields}
+        rel = con.sql(contract.oracle_sql()[name])
+        assert spark_types == {n: str(t) for n, t in zip(rel.columns, rel.types)}, name
