@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from sparktally.functions.text import clean_text, text_words
 from sparktally.functions.values import bucketize, safe_int
 from sparktally.operators import (
+    UNKNOWN_TITLE,
     anti_join,
     clean_tokens,
     count_by,
@@ -200,7 +201,7 @@ def q_left_join_default(spark: SparkSession, sf_dir: str) -> DataFrame:
         "l_orderkey", "l_linenumber", F.col("l_partkey").alias("movie_id")
     )
     dim = one_per_key(roles.movies(spark, sf_dir).select("movie_id", "title"), "movie_id", ["title"])
-    return left_join_default(items, dim, "movie_id", {"title": "Unknown Movie"})
+    return left_join_default(items, dim, "movie_id", {"title": UNKNOWN_TITLE})
 
 
 def q_anti_join(spark: SparkSession, sf_dir: str) -> DataFrame:
