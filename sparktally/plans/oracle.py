@@ -212,10 +212,10 @@ SELECT id, word, category, aspect, sentiment FROM tokens
     "union_inputs": """
 SELECT movie_id, avg(rating) AS avg_rating, count(rating) AS n FROM (
   SELECT l_partkey AS movie_id, l_quantity AS rating FROM lineitem
-  WHERE l_shipdate < TIMESTAMP '1995-01-01'
+  WHERE l_shipdate < TIMESTAMP '1998-01-01'
   UNION ALL
   SELECT l_partkey AS movie_id, l_quantity AS rating FROM lineitem
-  WHERE NOT (l_shipdate < TIMESTAMP '1995-01-01') OR l_shipdate IS NULL
+  WHERE NOT (l_shipdate < TIMESTAMP '1998-01-01') OR l_shipdate IS NULL
 ) GROUP BY movie_id
 """,
     "filter_valid": f"""

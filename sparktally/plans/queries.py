@@ -37,6 +37,10 @@ from sparktally.sources.tables import load_table
 
 Query = Callable[[SparkSession, str], DataFrame]
 
+# Ship date that splits lineitem into the two rating inputs of union_inputs
+# (both halves non-empty at every scale factor; timestamps without zone).
+UNION_SPLIT_DATE = "1998-01-01"
+
 
 # -- ratings -----------------------------------------------------------------
 
@@ -175,7 +179,7 @@ def q_union_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Bag union of two rating inputs (lineitem split by ship date), rated
     per movie: the union keeps every row of both."""
     items = load_table(spark, sf_dir, "lineitem")
-    early = F.col("l_shipdate") < F.lit("1995-01-01").cast("timestamp")
+    early = F.col("l_shipdate") < F.lit(UNION_SPLIT_DATE).cast("timestamp_ntz")
     part_a = items.where(early)
     part_b = items.where(~early | F.col("l_shipdate").isNull())
     cols = [F.col("l_partkey").alias("movie_id"), F.col("l_quantity").alias("rating")]
