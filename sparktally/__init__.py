@@ -14,6 +14,6 @@ Sub-packages:
 - ``streaming``  the count operators over an unbounded file source
 """
 
-from sparktally.session import checkpoint_dir, get_session
+from sparktally.session import checkpoint_dir, get_session, scale_conf
 
-__all__ = ["checkpoint_dir", "get_session"]
+__all__ = ["checkpoint_dir", "get_session", "scale_conf"]

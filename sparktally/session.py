@@ -18,6 +18,30 @@ _DEFAULT_CONF = {
 }
 
 
+def scale_conf(
+    input_bytes: int,
+    target_partition_bytes: int = 256 * 1024 * 1024,
+    min_partitions: int = 200,
+) -> dict[str, str]:
+    """Shuffle and scan settings sized from the volume a job reads.
+
+    The largest shuffle of these queries carries at most the projected fact
+    columns (a fraction of the input); sizing the initial partition count
+    so that the whole input would fit in ``target_partition_bytes`` per
+    partition keeps every shuffle partition well inside executor memory, and
+    AQE then coalesces small shuffles down to the advisory size. Scans are
+    split at the same size.
+    """
+    partitions = max(min_partitions, -(-input_bytes // target_partition_bytes))
+    size = str(target_partition_bytes)
+    return {
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
+        "spark.sql.files.maxPartitionBytes": size,
+    }
+
+
 def get_session(
     master: str | None = None,
     app_name: str = "sparktally",

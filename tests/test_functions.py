@@ -129,3 +129,13 @@ def test_two_decimals_half_up_and_nulls(spark):
     assert got[:3] == ["4.13", "4.25", "3.00"]
     got = _apply(spark, [None, "2.5"], lambda c: two_decimals_or(c.cast("double"), "NA"))
     assert got == ["NA", "2.50"]
+
+
+def test_scale_conf_sizes_partitions():
+    from sparktally.session import scale_conf
+
+    small = scale_conf(10 * 1024**2)
+    assert small["spark.sql.shuffle.partitions"] == "200"
+    big = scale_conf(100 * 1024**4)
+    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)
+    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024**2)
