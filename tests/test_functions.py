@@ -136,6 +136,8 @@ def test_scale_conf_sizes_partitions():
 
     small = scale_conf(10 * 1024**2)
     assert small["spark.sql.shuffle.partitions"] == "200"
+    mid = scale_conf(1024**4)  # 1 TB: a quarter of it in 256 MB partitions
+    assert mid["spark.sql.shuffle.partitions"] == "1024"
     big = scale_conf(100 * 1024**4)
-    assert int(big["spark.sql.shuffle.partitions"]) == 100 * 1024**4 // (256 * 1024**2)
+    assert big["spark.sql.shuffle.partitions"] == "100000"  # capped
     assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024**2)
