@@ -14,6 +14,7 @@ from sparktally.operators.ratings import (
     rate_by_segment,
     rate_entities,
     rate_tags,
+    rating_stats,
     tag_array,
     top_rated,
 )
@@ -43,6 +44,7 @@ __all__ = [
     "rate_by_segment",
     "rate_entities",
     "rate_tags",
+    "rating_stats",
     "remove_stopwords",
     "spread",
     "tag_array",

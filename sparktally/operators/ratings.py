@@ -26,6 +26,17 @@ UNKNOWN_TITLE = "Unknown Movie"
 NO_GENRES = "(no genres listed)"
 
 
+def rating_stats(ratings: DataFrame, key: str = "movie_id", value: str = "rating") -> DataFrame:
+    """(key, avg_rating, n): average and count of usable ratings per key;
+    NULL ratings count nowhere and a key without a usable rating gives no
+    row. Partial aggregation runs before the shuffle."""
+    return (
+        ratings.groupBy(key)
+        .agg(F.avg(value).alias("avg_rating"), F.count(value).alias("n"))
+        .where(F.col("n") > 0)
+    )
+
+
 def rate_entities(
     ratings: DataFrame,
     movies: DataFrame | None = None,
@@ -41,11 +52,7 @@ def rate_entities(
     an entity without a usable rating gives no row. Rated entities missing
     from ``movies`` get ``default`` as label. Sorted by key when ``ordered``.
     """
-    agg = (
-        ratings.groupBy(key)
-        .agg(F.avg(value).alias("avg_rating"), F.count(value).alias("n"))
-        .where(F.col("n") > 0)
-    )
+    agg = rating_stats(ratings, key, value)
     if movies is None:
         out = agg.select(key, F.lit(default).alias(label), "avg_rating", "n")
     else:
@@ -60,18 +67,31 @@ def top_rated(
     key: str = "movie_id",
     avg_col: str = "avg_rating",
     n_col: str = "n",
+    movies: DataFrame | None = None,
+    label: str = "title",
+    default: str = UNKNOWN_TITLE,
 ) -> DataFrame:
     """The entity with the highest average among those with at least
     ``min_support`` ratings: zero or one row.
 
     A tie goes to the smallest key. NaN averages never win. Planned as
     ``TakeOrderedAndProject``: each task keeps its best row, no full sort.
+
+    With ``movies``, ``rated`` holds statistics only (``rating_stats``) and
+    the label is looked up for the winner alone: its key (one row, a proven
+    bound) is broadcast into a semi-join with the movie scan, so the movie
+    table is neither shuffled nor joined with every entity.
     """
-    return (
+    best = (
         rated.where((F.col(n_col) >= min_support) & ~F.isnan(F.col(avg_col)))
         .orderBy(F.desc(avg_col), F.asc(key))
         .limit(1)
     )
+    if movies is None:
+        return best
+    winner = F.broadcast(best.select(key))
+    dim = one_per_key(movies.select(key, label).join(winner, on=key, how="left_semi"), key, [label])
+    return left_join_default(best, dim, key, {label: default}).select(key, label, avg_col, n_col)
 
 
 def tag_array(tags: Column, sep: str = "|") -> Column:

@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 
 from sparktally.functions.values import bucketize, in_synonyms
 from sparktally.operators.joins import last_per_key
-from sparktally.operators.ratings import rate_by_segment, rate_entities, rate_tags, top_rated
+from sparktally.operators.ratings import rate_by_segment, rate_entities, rate_tags, rating_stats, top_rated
 from sparktally.sinks import write_key_value
 from sparktally.sinks.reports import (
     BAND_LABELS,
@@ -44,7 +44,7 @@ def movie_ratings(ratings: DataFrame, movies: DataFrame) -> DataFrame:
 
 def best_movie(ratings: DataFrame, movies: DataFrame, min_support: int = BEST_MIN_SUPPORT) -> DataFrame:
     """Q2: zero or one row, the best average among well-rated movies."""
-    return top_rated(rate_entities(ratings, movies, ordered=False), min_support)
+    return top_rated(rating_stats(ratings), min_support, movies=movies)
 
 
 def genre_ratings(ratings: DataFrame, movies: DataFrame) -> DataFrame:

@@ -25,6 +25,7 @@ from sparktally.operators import (
     rate_by_segment,
     rate_entities,
     rate_tags,
+    rating_stats,
     tag_array,
     top_k,
     top_rated,
@@ -52,8 +53,8 @@ def q_rate_entities(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def q_top_rated(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Q2: best-rated movie among those with enough ratings."""
-    rated = rate_entities(roles.ratings(spark, sf_dir), roles.movies(spark, sf_dir), ordered=False)
-    return top_rated(rated, roles.TOP_RATED_MIN_SUPPORT)
+    stats = rating_stats(roles.ratings(spark, sf_dir))
+    return top_rated(stats, roles.TOP_RATED_MIN_SUPPORT, movies=roles.movies(spark, sf_dir))
 
 
 def q_rate_tags(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -75,3 +75,9 @@ def test_stopword_broadcast_only_within_bound(spark):
     finally:
         for k, v in old.items():
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+
+
+def test_best_movie_looks_up_only_the_winner(spark):
+    plan = _plan(spark, "top_rated")
+    assert "LeftSemi" in plan  # the movie scan is filtered by the broadcast winning key
+    assert plan.count("TakeOrderedAndProject") == 2
