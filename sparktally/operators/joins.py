@@ -45,7 +45,10 @@ def one_per_key(dim: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
 
 def last_per_key(dim: DataFrame, key: str, cols: Sequence[str], order_col: str = "line_no") -> DataFrame:
     """One row per key: the values of the row with the largest ``order_col``
-    ("the last line wins")."""
+    ("the last line wins"; any orderable column, e.g. the (file, position)
+    struct of ``read_lines``). ``max_by`` aggregates partially before the
+    shuffle, so a key repeated on a third of the rows costs one row per
+    task."""
     picked = F.max_by(F.struct(*[F.col(c) for c in cols]), F.col(order_col))
     return dim.groupBy(key).agg(picked.alias("_last")).select(key, *[F.col(f"_last.{c}").alias(c) for c in cols])
 

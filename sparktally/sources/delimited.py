@@ -42,13 +42,16 @@ def _paths(paths: str | Sequence[str]) -> list[str]:
 def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     """All lines of all files as one relation (bag union, duplicates kept).
 
-    ``line_no`` grows with the position of the line in the input (file order,
-    then offset), which is what "the last line wins" refers to. It is derived
-    from the split and the row position, so a re-run task gives the same
-    numbers.
+    ``line_no`` orders the lines of the input: by file path, then by
+    position in the file, which is what "the last line wins" refers to. The
+    position comes from the split and the row within it (the splits of one
+    file are read in offset order), so a re-run task gives the same values.
     """
     return spark.read.text(_paths(paths)).select(
-        F.col("value"), F.monotonically_increasing_id().alias("line_no")
+        F.col("value"),
+        F.struct(
+            F.col("_metadata.file_path").alias("file"), F.monotonically_increasing_id().alias("pos")
+        ).alias("line_no"),
     )
 
 

@@ -247,3 +247,12 @@ def test_segments_keep_null_averages(spark):
     segs = spark.createDataFrame([("u1", "x")], "user_id string, segment string")
     r = rate_by_segment(ratings, segs, ("x", "y")).first()
     assert (r.avg_x, r.avg_y) == (2.0, None)
+
+
+def test_last_line_wins_across_files(spark, tmp_path):
+    from sparktally.sources import read_users
+
+    a = write_lines(tmp_path / "a_users.txt", ["u1, M, 20"])
+    b = write_lines(tmp_path / "b_users.txt", ["u2, F, 30"] * 50 + ["u1, F, 40"])  # larger file, later name
+    seg = {r.user_id: r.segment for r in mq.gender_segments(read_users(spark, [b, a])).collect()}
+    assert seg["u1"] == "female"  # the line of the later file wins, whatever the read order
