@@ -76,6 +76,31 @@ def top_words(tokens: DataFrame, sentiment: str | None = None, k: int = TOP_K, n
     return top_k(counts, k, [F.desc(name), F.asc("word")], per=["category"])
 
 
+def sliced_word_counts(tokens: DataFrame) -> DataFrame:
+    """(category, sentiment, word, n): token counts for every slice at once.
+
+    Q7, Q12 and Q13 are sums of these counts over some of the keys, so one
+    aggregation of the token table serves all of them (summing per-slice
+    ``count(id)`` gives the ``count(id)`` of the union, zero groups included).
+    """
+    return count_by(tokens, ["category", "sentiment", "word"], "id", name="n")
+
+
+def word_frequencies_from(counts: DataFrame, min_exclusive: int = FREQUENT_MIN_EXCLUSIVE) -> DataFrame:
+    """Q7 from ``sliced_word_counts``."""
+    per_word = counts.groupBy("word").agg(F.sum("n").alias("freq"))
+    return frequent(per_word, "freq", min_exclusive, "word")
+
+
+def top_words_from(
+    counts: DataFrame, sentiment: str | None = None, k: int = TOP_K, name: str = "total"
+) -> DataFrame:
+    """Q12 / Q13 from ``sliced_word_counts``."""
+    src = counts if sentiment is None else counts.where(F.col("sentiment") == sentiment)
+    per_word = src.groupBy("category", "word").agg(F.sum("n").alias(name))
+    return top_k(per_word, k, [F.desc(name), F.asc("word")], per=["category"])
+
+
 def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
     """Write ``df`` as parquet under the shared checkpoint folder and return
     a reader of it (lineage cut; survives the loss of executors)."""
@@ -92,20 +117,26 @@ def run_review_reports(
     sep: str = ";",
 ) -> dict[str, str]:
     """Compute Q6-Q13 from the files and write each result as headerless
-    CSV under ``out_dir`` (replacing it). Returns name -> output path."""
+    CSV under ``out_dir`` (replacing it). Returns name -> output path.
+
+    The token table is written once to the shared folder; one aggregation
+    of it by (category, sentiment, word), also stored, then answers Q7, Q12
+    and Q13, instead of one pass over the tokens per question.
+    """
     reviews = spread(read_delimited(spark, reviews_path, REVIEW_SCHEMA, sep=sep))
     stop = read_stopwords(spark, stopwords_path)
     tokens = materialize(spark, review_tokens(reviews, stop), "tokens")
+    counts = materialize(spark, sliced_word_counts(tokens), "word-counts")
     results = {
         "tokens": tokens,
-        "word_freq": word_frequencies(tokens),
+        "word_freq": word_frequencies_from(counts),
         "category_count": category_counts(reviews),
         "aspect_count": aspect_counts(reviews),
         "top_aspect_positive": top_aspect(reviews, POSITIVE),
         "top_aspect_negative": top_aspect(reviews, NEGATIVE),
-        "top5_positive": top_words(tokens, POSITIVE, name="total"),
-        "top5_negative": top_words(tokens, NEGATIVE, name="total"),
-        "top5_all": top_words(tokens, None, name="total_freq"),
+        "top5_positive": top_words_from(counts, POSITIVE, name="total"),
+        "top5_negative": top_words_from(counts, NEGATIVE, name="total"),
+        "top5_all": top_words_from(counts, None, name="total_freq"),
     }
     paths = {}
     for name, df in results.items():
@@ -122,7 +153,10 @@ __all__ = [
     "materialize",
     "review_tokens",
     "run_review_reports",
+    "sliced_word_counts",
     "top_aspect",
     "top_words",
+    "top_words_from",
     "word_frequencies",
+    "word_frequencies_from",
 ]

@@ -176,3 +176,15 @@ def test_run_review_reports(spark, data):
     cats = spark.read.csv(paths["category_count"], schema="category string, n long").collect()
     assert len(cats) == len({r.category for r in cats})
     assert re.search(r"sparktally-ckpt-|checkpoint", spark.conf.get("spark.checkpoint.dir"))
+
+
+@pytest.mark.parametrize("sentiment", ["positive", "negative", None])
+def test_one_pass_counts_equal_per_question(data, sentiment):
+    counts = rq.sliced_word_counts(data["tokens"])
+    name = "total_freq" if sentiment is None else "total"
+    direct = [tuple(r) for r in rq.top_words(data["tokens"], sentiment, name=name).collect()]
+    assert [tuple(r) for r in rq.top_words_from(counts, sentiment, name=name).collect()] == direct
+    if sentiment is None:
+        for threshold in (0, 500):
+            a = [tuple(r) for r in rq.word_frequencies(data["tokens"], threshold).collect()]
+            assert [tuple(r) for r in rq.word_frequencies_from(counts, threshold).collect()] == a
