@@ -75,7 +75,7 @@ def model_tables():
 @pytest.fixture(scope="module")
 def data(spark, tmp_path_factory):
     d = tmp_path_factory.mktemp("reviews")
-    review_path = write_lines(d / "hotel-review.csv", ROWS)
+    review_path = write_lines(d / "reviews.csv", ROWS)
     stop_path = write_lines(d / "stopwords.txt", STOPWORDS, newline="\n", final_newline=True)
     reviews = read_delimited(spark, review_path, REVIEW_SCHEMA)
     stop = read_stopwords(spark, stop_path)
