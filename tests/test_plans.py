@@ -81,3 +81,20 @@ def test_best_movie_looks_up_only_the_winner(spark):
     plan = _plan(spark, "top_rated")
     assert "LeftSemi" in plan  # the movie scan is filtered by the broadcast winning key
     assert plan.count("TakeOrderedAndProject") == 2
+
+
+def test_spread_only_for_few_input_files(spark, tmp_path):
+    from sparktally.operators import spread
+
+    parallelism = spark.sparkContext.defaultParallelism
+    one = tmp_path / "one"
+    spark.range(100).coalesce(1).write.parquet(str(one))
+    many = tmp_path / "many"
+    spark.range(100).repartition(parallelism + 1).write.parquet(str(many))
+
+    def has_round_robin(path):
+        df = spread(spark.read.parquet(path))
+        return "RoundRobinPartitioning" in df._jdf.queryExecution().executedPlan().toString()
+
+    assert has_round_robin(str(one))
+    assert not has_round_robin(str(many))
