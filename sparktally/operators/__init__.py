@@ -16,6 +16,7 @@ from sparktally.operators.ratings import (
     rate_tags,
     rating_stats,
     tag_array,
+    tag_parts,
     top_rated,
 )
 from sparktally.operators.setops import union_all
@@ -48,6 +49,7 @@ __all__ = [
     "remove_stopwords",
     "spread",
     "tag_array",
+    "tag_parts",
     "tokenize",
     "top_k",
     "top_rated",

@@ -94,13 +94,21 @@ def top_rated(
     return left_join_default(best, dim, key, {label: default}).select(key, label, avg_col, n_col)
 
 
-def tag_array(tags: Column, sep: str = "|") -> Column:
-    """Split a list field into trimmed tags like Java ``split``: trailing
-    empty elements dropped (a field of separators only gives none), inner
-    empty elements kept."""
+def tag_parts(tags: Column, sep: str = "|") -> Column:
+    """Split a list field like Java ``split``: trailing empty elements
+    dropped (a field of separators only gives none), inner empty elements
+    kept; elements are not trimmed. Explode the result and trim each tag
+    afterwards (``java_trim``): both stay in whole-stage code generation."""
     stripped = strip_trailing(tags, sep)
     parts = F.split(stripped, "[" + ("\\" + sep if sep in "\\^-[]" else sep) + "]")
-    return F.transform(F.when(stripped == "", F.array().cast("array<string>")).otherwise(parts), java_trim)
+    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(parts)
+
+
+def tag_array(tags: Column, sep: str = "|") -> Column:
+    """``tag_parts`` with every element trimmed, as an array value. Where the
+    tags are exploded anyway, explode ``tag_parts`` and trim after: the
+    lambda here runs outside code generation."""
+    return F.transform(tag_parts(tags, sep), java_trim)
 
 
 def rate_tags(
@@ -130,9 +138,9 @@ def rate_tags(
     dim = one_per_key(movies.select(key, tags).where(F.col(tags).isNotNull()), key, [tags])
     dim = dim.where((F.col(tags) != "") & ~F.col(tags).isin(list(exclude)))
     exploded = per_movie.join(dim, on=key, how="inner").select(
-        F.explode(tag_array(F.col(tags), sep)).alias(tag_name), "_sum", "_n"
+        F.explode(tag_parts(F.col(tags), sep)).alias("_tag"), "_sum", "_n"
     )
-    out = exploded.groupBy(tag_name).agg(
+    out = exploded.groupBy(java_trim("_tag").alias(tag_name)).agg(
         (F.sum("_sum") / F.sum("_n")).alias("avg_rating"), F.sum("_n").alias("n")
     )
     return out.orderBy(tag_name) if ordered else out

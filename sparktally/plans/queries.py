@@ -11,7 +11,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktally.functions.text import clean_text, text_words
+from sparktally.functions.text import clean_text, java_trim, text_words
 from sparktally.functions.values import bucketize, safe_int
 from sparktally.operators import (
     UNKNOWN_TITLE,
@@ -26,7 +26,7 @@ from sparktally.operators import (
     rate_entities,
     rate_tags,
     rating_stats,
-    tag_array,
+    tag_parts,
     top_k,
     top_rated,
     union_all,
@@ -229,7 +229,8 @@ def q_safe_cast(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_explode_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """One row per word of the part name (a space-separated list)."""
     part = load_table(spark, sf_dir, "part")
-    return part.select("p_partkey", F.explode(tag_array(F.col("p_name"), " ")).alias("tag"))
+    tags = part.select("p_partkey", F.explode(tag_parts(F.col("p_name"), " ")).alias("tag"))
+    return tags.select("p_partkey", java_trim("tag").alias("tag"))
 
 
 def q_bucketize(spark: SparkSession, sf_dir: str) -> DataFrame:

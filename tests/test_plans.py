@@ -98,3 +98,8 @@ def test_spread_only_for_few_input_files(spark, tmp_path):
 
     assert has_round_robin(str(one))
     assert not has_round_robin(str(many))
+
+
+def test_tag_explode_has_no_lambda(spark):
+    for name in ("rate_tags", "explode_list"):
+        assert "transform(" not in _plan(spark, name), name  # lambdas run outside code generation
