@@ -65,3 +65,19 @@ def test_oracle_types_match(spark, con):
                        for f in fn(spark, SF_SMOKE).schema.fields}
         rel = con.sql(contract.oracle_sql()[name])
         assert spark_types == {n: str(t) for n, t in zip(rel.columns, rel.types)}, name
+
+
+@pytest.mark.parametrize("name", ["union_inputs", "rate_tags", "top5_words_positive"])
+def test_results_do_not_depend_on_session_zone_or_ansi(spark, con, name):
+    keys = ("spark.sql.session.timeZone", "spark.sql.ansi.enabled")
+    old = {k: spark.conf.get(k, None) for k in keys}
+    try:
+        spark.conf.set("spark.sql.session.timeZone", "Asia/Kolkata")
+        spark.conf.set("spark.sql.ansi.enabled", "false")
+        df = contract.queries()[name](spark, SF_SMOKE)
+        got = _rows(df.collect(), df.columns)
+    finally:
+        for k, v in old.items():
+            spark.conf.unset(k) if v is None else spark.conf.set(k, v)
+    res = con.execute(contract.oracle_sql()[name])
+    assert got == _rows(res.fetchall(), [d[0] for d in res.description])
