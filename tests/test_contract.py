@@ -81,3 +81,27 @@ def test_results_do_not_depend_on_session_zone_or_ansi(spark, con, name):
             spark.conf.unset(k) if v is None else spark.conf.set(k, v)
     res = con.execute(contract.oracle_sql()[name])
     assert got == _rows(res.fetchall(), [d[0] for d in res.description])
+
+
+def test_text_invariants_on_test_tables(spark):
+    from sparktally.plans.roles import STOPWORDS
+
+    q = contract.queries()
+
+    def rows(name):
+        return q[name](spark, SF_SMOKE).collect()
+
+    cat = {r.category: r.total_comments for r in rows("count_by_category")}
+    asp = {r.aspect: r.total_comments for r in rows("count_by_aspect")}
+    assert sum(cat.values()) == sum(asp.values())
+    for sentiment in ("positive", "negative"):
+        top = rows(f"top_source_{sentiment}")[0]
+        assert top.total <= asp[top.aspect]
+    pos = {(r.category, r.word): r.total for r in rows("top5_words_positive")}
+    neg = {(r.category, r.word): r.total for r in rows("top5_words_negative")}
+    allw = {(r.category, r.word): r.total_freq for r in rows("top5_words")}
+    for key in set(pos) & set(neg) & set(allw):
+        assert pos[key] + neg[key] <= allw[key]
+    freq = {r.word: r.freq for r in rows("frequent_words")}
+    assert not set(freq) & set(STOPWORDS)
+    assert [r.word for r in rows("ordered_limit")] == [w for w, _ in sorted(freq.items(), key=lambda x: (-x[1], x[0]))][:10]
