@@ -1,13 +1,13 @@
-"""The count questions over an unbounded source.
+"""The count questions over a growing folder of review files.
 
-The jobs being rebuilt are batch jobs; nothing in them is a stream. The
+The jobs being rebuilt are batch jobs; nothing in them is a stream. Their
 counting questions (reviews per category or aspect) are nevertheless also
-meaningful over a folder that keeps receiving review files, and the same
-``count_by`` operator runs unchanged as a Structured Streaming aggregate:
-its state is one count per key, and every micro-batch rewrites the complete
-result. No new operator is involved.
+meaningful over a folder that keeps receiving review files: a Structured
+Streaming query ingests the valid rows of new files incrementally and
+exactly once, and the same ``count_by`` operator counts what has been
+ingested. No new operator is involved.
 """
 
-from sparktally.streaming.counts import review_counts_stream, start_review_counts
+from sparktally.streaming.counts import ingested_counts, review_stream, start_review_ingest
 
-__all__ = ["review_counts_stream", "start_review_counts"]
+__all__ = ["ingested_counts", "review_stream", "start_review_ingest"]

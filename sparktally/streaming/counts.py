@@ -1,4 +1,12 @@
-"""Streaming review counts: file source -> ``count_by`` -> complete result."""
+"""Incremental review ingest: file source -> valid rows -> parquet (append).
+
+The stream keeps only what the count questions need (id and the label
+columns) of every valid review that lands in the source folder, and appends
+it to a parquet folder with Spark's file sink: exactly once, progress in a
+checkpoint, no state and nothing held on the driver. The counts are then the
+usual ``count_by`` over that folder, which Spark reads through the sink's
+commit log (files of unfinished batches are never read).
+"""
 
 from __future__ import annotations
 
@@ -9,19 +17,20 @@ from pyspark.sql.streaming import StreamingQuery
 from sparktally.operators.counts import count_by
 from sparktally.operators.text import valid_reviews
 from sparktally.session import scratch_path
-from sparktally.sinks import write_csv
 from sparktally.sources.delimited import REVIEW_SCHEMA
 
+KEPT_COLUMNS = ("id", "category", "aspect", "sentiment")
+
 
-def review_counts_stream(
+def review_stream(
     spark: SparkSession,
     source_dir: str,
-    key: str = "category",
     sep: str = ";",
     max_files_per_trigger: int | None = None,
 ) -> DataFrame:
-    """Streaming (key, total_comments) over every review file that lands in
-    ``source_dir`` (same load rules as the batch reader)."""
+    """Streaming (id, category, aspect, sentiment) of the valid reviews of
+    every file that lands in ``source_dir`` (same load rules as the batch
+    reader; the review text itself is not kept)."""
     reader = (
         spark.readStream.schema(REVIEW_SCHEMA)
         .option("sep", sep)
@@ -31,37 +40,37 @@ def review_counts_stream(
     )
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", str(max_files_per_trigger))
-    reviews = reader.csv(source_dir)
-    return count_by(valid_reviews(reviews), [F.lower(key).alias(key)], "id", name="total_comments")
+    return valid_reviews(reader.csv(source_dir)).select(*KEPT_COLUMNS)
 
 
-def start_review_counts(
+def start_review_ingest(
     spark: SparkSession,
     source_dir: str,
-    out_path: str,
-    key: str = "category",
+    table_path: str,
     checkpoint: str | None = None,
     available_now: bool = True,
 ) -> StreamingQuery:
-    """Start the count stream; each micro-batch replaces ``out_path`` (CSV)
-    with the complete counts.
+    """Start appending the valid reviews of new files to ``table_path``.
 
-    Progress and state live in ``checkpoint`` (default: a folder under the
-    shared ``spark.checkpoint.dir``), so a restarted query resumes with the
-    files it has not seen yet. ``available_now`` processes what is there and
-    stops; otherwise the query keeps running.
+    Progress lives in ``checkpoint`` (default: a folder under the shared
+    ``spark.checkpoint.dir``), so a restarted query reads only the files it
+    has not seen. ``available_now`` processes what is there and stops;
+    otherwise the query keeps running.
     """
-    counts = review_counts_stream(spark, source_dir, key)
-    location = checkpoint or scratch_path(spark, f"review-counts-{key}")
-
-    def write_batch(batch: DataFrame, _batch_id: int) -> None:
-        write_csv(batch, out_path)
-
+    location = checkpoint or scratch_path(spark, "review-ingest")
     writer = (
-        counts.writeStream.outputMode("complete")
+        review_stream(spark, source_dir)
+        .writeStream.format("parquet")
+        .outputMode("append")
+        .option("path", table_path)
         .option("checkpointLocation", location)
-        .foreachBatch(write_batch)
     )
     if available_now:
         writer = writer.trigger(availableNow=True)
     return writer.start()
+
+
+def ingested_counts(spark: SparkSession, table_path: str, key: str = "category") -> DataFrame:
+    """(key, total_comments) over everything ingested so far."""
+    rows = spark.read.parquet(table_path)
+    return count_by(rows, [F.lower(key).alias(key)], "id", name="total_comments")

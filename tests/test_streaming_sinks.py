@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from sparktally.plans import reviews as rq
 from sparktally.sinks import dump, head, preview, write_csv, write_key_value, write_lines
 from sparktally.sources import REVIEW_SCHEMA, read_delimited
-from sparktally.streaming import start_review_counts
+from sparktally.streaming import ingested_counts, start_review_ingest
 from tests.conftest import write_lines as write_file
 
 
@@ -44,25 +44,27 @@ def test_preview_and_dump_are_bounded(spark):
     assert [r.id for r in dump(df.orderBy(F.desc("id")), 3)] == [99, 98, 97]
 
 
-def test_streaming_counts_match_batch(spark, tmp_path):
+def test_streaming_ingest_counts_match_batch(spark, tmp_path):
     src = tmp_path / "incoming"
     src.mkdir()
     first = ["1;Tốt;Room;View;positive", "2;Tệ;Food;Price;negative", "3;;Room;View;positive"]
     second = ["4;Ổn;ROOM;Staff;neutral", ";Không id;Room;View;positive", "6;Được;Service;Staff;positive"]
     write_file(src / "part1.csv", first)
-    out = str(tmp_path / "counts")
+    table = str(tmp_path / "ingested")
     ckpt = str(tmp_path / "ckpt")
-    q = start_review_counts(spark, str(src), out, checkpoint=ckpt)
+    q = start_review_ingest(spark, str(src), table, checkpoint=ckpt)
     q.awaitTermination(120)
-    got = {r.category: r.n for r in spark.read.csv(out, schema="category string, n long").collect()}
+    got = {r.category: r.total_comments for r in ingested_counts(spark, table).collect()}
     assert got == {"room": 1, "food": 1}
     write_file(src / "part2.csv", second)
-    q = start_review_counts(spark, str(src), out, checkpoint=ckpt)  # resumes: only part2 is new
+    q = start_review_ingest(spark, str(src), table, checkpoint=ckpt)  # resumes: only part2 is new
     q.awaitTermination(120)
-    got = {r.category: r.n for r in spark.read.csv(out, schema="category string, n long").collect()}
+    got = {r.category: r.total_comments for r in ingested_counts(spark, table).collect()}
     batch = rq.category_counts(read_delimited(spark, str(src), REVIEW_SCHEMA)).collect()
     assert got == {r.category: r.total_comments for r in batch} == {"room": 2, "food": 1, "service": 1}
-    assert os.path.isdir(ckpt)
+    assert spark.read.parquet(table).count() == 5  # every valid row once, none twice
+    aspects = {r.aspect: r.total_comments for r in ingested_counts(spark, table, "aspect").collect()}
+    assert aspects == {"view": 1, "price": 1, "staff": 2}
 
 
 def test_command_line(tmp_path):
