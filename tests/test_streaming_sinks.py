@@ -85,3 +85,23 @@ def test_command_line(tmp_path):
         "A (2000)\tAverageRating: 3.50 (TotalRatings: 2)",
         "B (2001)\tAverageRating: 5.00 (TotalRatings: 1)",
     ]
+
+
+def test_command_line_reviews(tmp_path):
+    import subprocess
+    import sys
+
+    reviews = write_file(tmp_path / "r.csv", ["1;Phòng đẹp, rất đẹp;Room;View;positive", "2;Đồ ăn dở;Food;Price;negative"])
+    stop = write_file(tmp_path / "s.txt", ["rất"], newline="\n", final_newline=True)
+    out = tmp_path / "out"
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    res = subprocess.run(
+        [sys.executable, "-m", "sparktally", "--master", "local[2]", "reviews",
+         "--reviews", reviews, "--stopwords", stop, "--out", str(out)],
+        cwd=root, capture_output=True, text=True, timeout=300,
+    )
+    assert res.returncode == 0, res.stderr[-2000:]
+    names = [line.split("\t")[0] for line in res.stdout.splitlines()]
+    assert "tokens" in names and "top5_all" in names
+    top = sorted(open(f).read() for f in (out / "top5_all").glob("part-*"))
+    assert "room,đẹp,2\n" in "".join(top)
