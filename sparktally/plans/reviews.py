@@ -23,7 +23,7 @@ from pyspark.sql import functions as F
 from sparktally.operators.counts import count_by, frequent, top_k
 from sparktally.operators.text import clean_reviews, clean_tokens, spread, valid_reviews
 from sparktally.session import scratch_path
-from sparktally.sinks import write_csv, write_parquet
+from sparktally.sinks import write_delimited, write_parquet
 from sparktally.sources.delimited import REVIEW_SCHEMA, read_delimited, read_stopwords
 
 # The frequency threshold (strict), the size of the per-group
@@ -116,8 +116,10 @@ def run_review_reports(
     out_dir: str,
     sep: str = ";",
 ) -> dict[str, str]:
-    """Compute Q6-Q13 from the files and write each result as headerless
-    CSV under ``out_dir`` (replacing it). Returns name -> output path.
+    """Compute Q6-Q13 from the files and write each result as headerless,
+    comma-separated text with raw fields under ``out_dir`` (replacing it).
+    Returns name -> output path; the token table reads back with
+    ``read_delimited(spark, path, TOKENS_SCHEMA, sep=",")``.
 
     The token table is written once to the shared folder; one aggregation
     of it by (category, sentiment, word), also stored, then answers Q7, Q12
@@ -141,7 +143,7 @@ def run_review_reports(
     paths = {}
     for name, df in results.items():
         path = os.path.join(out_dir, name)
-        write_csv(df, path)
+        write_delimited(df, path, ",")
         paths[name] = path
     return paths
 

@@ -34,10 +34,19 @@ def write_lines(df: DataFrame, path: str, col: str = "value") -> None:
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
-    """Headerless delimited output; NULL is written as an empty field."""
+    """Headerless CSV; NULL is written as an empty field, and a field that
+    holds the separator is quoted."""
     df.write.mode("overwrite").option("header", "false").option("sep", sep).csv(path)
 
 
+def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
+    """Headerless delimited text with raw fields: no quoting, NULL as an
+    empty field. ``read_delimited`` with the same separator reads it back
+    (as long as no field holds the separator)."""
+    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    df.select(F.concat_ws(sep, *fields).alias("value")).write.mode("overwrite").text(path)
+
+
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
     writer = df.write.mode("overwrite")
     if partition_by:
@@ -81,6 +90,7 @@ __all__ = [
     "movie_report",
     "preview",
     "write_csv",
+    "write_delimited",
     "write_key_value",
     "write_lines",
     "write_parquet",

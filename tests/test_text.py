@@ -11,7 +11,7 @@ from collections import Counter, defaultdict
 import pytest
 
 from sparktally.plans import reviews as rq
-from sparktally.sources import REVIEW_SCHEMA, read_delimited, read_stopwords
+from sparktally.sources import REVIEW_SCHEMA, TOKENS_SCHEMA, read_delimited, read_stopwords
 from tests.conftest import write_lines
 from tests.test_functions import model_clean
 
@@ -188,3 +188,14 @@ def test_one_pass_counts_equal_per_question(data, sentiment):
         for threshold in (0, 500):
             a = [tuple(r) for r in rq.word_frequencies(data["tokens"], threshold).collect()]
             assert [tuple(r) for r in rq.word_frequencies_from(counts, threshold).collect()] == a
+
+
+def test_stored_token_table_reads_back(spark, data):
+    review_path, stop_path = data["paths"]
+    out = os.path.join(data["dir"], "out_roundtrip")
+    paths = rq.run_review_reports(spark, review_path, stop_path, out)
+    back = read_delimited(spark, paths["tokens"], TOKENS_SCHEMA, sep=",")
+    got = sorted((tuple(r) for r in back.collect()), key=str)
+    assert got == sorted((tuple(r) for r in data["tokens"].collect()), key=str)
+    # the later questions give the same answers from the stored table
+    assert [tuple(r) for r in rq.word_frequencies(back).collect()] == [("beta", 501)]
