@@ -7,11 +7,13 @@ intermediate result and lineage is cut at every written table.
 
 from __future__ import annotations
 
+import pickle
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
 
 import numpy as np
 import pyarrow as pa
+from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -40,6 +42,17 @@ def drop_scratch(*frames: DataFrame) -> None:
             hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
 
 
+def ship(spark: SparkSession, value) -> Broadcast:
+    """Broadcast ``value``, objects of this package's classes included, to
+    tasks that need not have the package. Only for values of a fixed bound."""
+    return spark.sparkContext.broadcast(cloudpickle.dumps(value))
+
+
+def shipped(sent: Broadcast):
+    """The value of ``ship``, inside a task."""
+    return pickle.loads(sent.value)
+
+
 def crc_mod(col: str, modulus: int) -> Column:
     """crc32 of a column's text, modulo ``modulus`` (NULL: of the empty text)."""
     text = F.coalesce(F.col(col).cast("string"), F.lit(""))

@@ -5,7 +5,7 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparktally.llm import bpe, neardup, packing
+from sparktally.llm import bpe, chat, fingerprint, lm, neardup, packing, substring, topk, toxicity, warc
 from sparktally.sources.tables import load_table
 
 TOKENIZER = "byte_bpe_50k.json"
@@ -17,14 +17,41 @@ def tokenizer_json(path: str | None = None) -> str:
         return fh.read()
 
 
+def op1_tool_calls(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return chat.link_conversations(load_table(spark, sf_dir, "conversations"))
+
+
+def op2_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load_table(spark, sf_dir, "documents").select("doc_id", "text")
+    return toxicity.score_documents(docs, load_table(spark, sf_dir, "labels").select("doc_id", "toxic"))
+
+
+def op3_top_k(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return topk.search_embeddings(load_table(spark, sf_dir, "embeddings"))
+
+
 def op4_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load_table(spark, sf_dir, "documents")
-    return bpe.encode_digests(docs, tokenizer_json())
+    return bpe.encode_digests(load_table(spark, sf_dir, "documents"), tokenizer_json())
+
+
+def op5_substring_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return substring.repeated_passages(load_table(spark, sf_dir, "documents"))
 
 
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
-    docs = load_table(spark, sf_dir, "documents")
-    return packing.pack_documents(docs, tokenizer_json())
+    return packing.pack_documents(load_table(spark, sf_dir, "documents"), tokenizer_json())
+
+
+def op7_lm_scoring(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lm.score_documents(load_table(spark, sf_dir, "documents"))
+
+
+def op8_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return warc.archive_pages(load_table(spark, sf_dir, "pages"))
+
+
+def op9_fingerprints(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return fingerprint.compare_edited(load_table(spark, sf_dir, "documents"))
 
 
 def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -32,9 +59,21 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES = {
+    "op1_tool_calls": op1_tool_calls,
+    "op2_toxicity": op2_toxicity,
+    "op3_top_k": op3_top_k,
     "op4_bpe": op4_bpe,
+    "op5_substring_dedup": op5_substring_dedup,
     "op6_packing": op6_packing,
+    "op7_lm_scoring": op7_lm_scoring,
+    "op8_warc": op8_warc,
+    "op9_fingerprints": op9_fingerprints,
     "op10_near_dedup": op10_near_dedup,
 }
 
-ORACLE_SQL: dict[str, str] = {}
+# The others are tested against brute force, an exact round trip or held-out
+# accuracy in tests/llm.
+ORACLE_SQL = {
+    "op3_top_k": topk.TOP_K_SQL,
+    "op8_warc": warc.ARCHIVE_SQL,
+}
