@@ -11,9 +11,9 @@ Sub-packages:
 - ``sinks``      text / CSV writers and previews
 - ``operators``  joins, rating aggregates, text tokenising, counts and top-k
 - ``plans``      the named queries over the test tables and their SQL oracles
-- ``streaming``  the count operators over an unbounded file source
+- ``streaming``  the count operators over a growing folder
 """
 
-from sparktally.session import checkpoint_dir, get_session, scale_conf
+from sparktally.session import checkpoint_dir, get_session
 
-__all__ = ["checkpoint_dir", "get_session", "scale_conf"]
+__all__ = ["checkpoint_dir", "get_session"]

@@ -16,10 +16,10 @@ from __future__ import annotations
 import argparse
 import sys
 
-from sparktally.plans.movies import run_rating_report
+from sparktally.plans.movies import rating_report, run_rating_report
 from sparktally.plans.reviews import run_review_reports
 from sparktally.session import get_session
-from sparktally.sinks import head
+from sparktally.sinks import dump
 
 
 def _parser() -> argparse.ArgumentParser:
@@ -49,8 +49,10 @@ def main(argv: list[str] | None = None) -> int:
             print("--users is required for this question", file=sys.stderr)
             return 2
         run_rating_report(spark, args.question, args.movies, args.ratings, args.out, args.users)
-        for line in head(spark, args.out, args.preview):
-            print(line)
+        # The report frame is sorted: its first rows, not those of some file.
+        lines = rating_report(spark, args.question, args.movies, args.ratings, args.users)
+        for row in dump(lines, args.preview):
+            print(f"{row.key}\t{row.value}")
     else:
         paths = run_review_reports(spark, args.reviews, args.stopwords, args.out, args.sep)
         for name, path in paths.items():

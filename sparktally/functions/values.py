@@ -8,6 +8,10 @@ from pyspark.sql import Column
 from pyspark.sql import functions as F
 
 
+# The only words Java's parser takes for a double.
+SPECIAL_NUMBERS = r"^[\x00-\x20]*[+-]?(NaN|Infinity)[\x00-\x20]*$"
+
+
 def as_col(col: Column | str) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
@@ -16,9 +20,16 @@ def safe_double(col: Column | str) -> Column:
     """Parse a number; anything unparsable becomes NULL instead of failing.
 
     NULL is skipped by every aggregate, so a bad value counts in neither a
-    sum nor a count. ``try_cast`` accepts ``NaN`` and ``4.0d`` as Java does.
+    sum nor a count. ``try_cast`` accepts ``4.0d`` and ``0x1p3`` as Java does,
+    but also reads ``nan``, ``inf`` and ``infinity`` in any case; of these
+    words only Java's own spellings count.
     """
-    return as_col(col).try_cast("double")
+    c = as_col(col)
+    value = c.try_cast("double")
+    word = F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
+    # A number too large for a double is infinite without being a word.
+    spelt = c.rlike(SPECIAL_NUMBERS) | ~c.rlike("(?i)n[af]")
+    return F.when(~word | spelt, value)
 
 
 def safe_int(col: Column | str) -> Column:

@@ -3,10 +3,10 @@
 from sparktally.operators.counts import count_by, frequent, group_collect, top_k
 from sparktally.operators.joins import (
     anti_join,
-    broadcast_if_small,
     last_per_key,
     left_join_default,
     one_per_key,
+    splittable_join,
 )
 from sparktally.operators.ratings import (
     NO_GENRES,
@@ -15,16 +15,13 @@ from sparktally.operators.ratings import (
     rate_entities,
     rate_tags,
     rating_stats,
-    tag_array,
     tag_parts,
     top_rated,
 )
 from sparktally.operators.setops import union_all
 from sparktally.operators.text import (
-    clean_reviews,
     clean_tokens,
     remove_stopwords,
-    spread,
     tokenize,
     valid_reviews,
 )
@@ -33,8 +30,6 @@ __all__ = [
     "NO_GENRES",
     "UNKNOWN_TITLE",
     "anti_join",
-    "broadcast_if_small",
-    "clean_reviews",
     "clean_tokens",
     "count_by",
     "frequent",
@@ -47,8 +42,7 @@ __all__ = [
     "rate_tags",
     "rating_stats",
     "remove_stopwords",
-    "spread",
-    "tag_array",
+    "splittable_join",
     "tag_parts",
     "tokenize",
     "top_k",

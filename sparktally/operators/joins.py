@@ -1,12 +1,9 @@
-"""Join building blocks: dimension de-duplication, outer join with defaults,
-anti-join, and a broadcast that is only used behind a size check.
-
-Dimensions that grow with the data (movies, users, customers) are never
-forced into a broadcast: Catalyst broadcasts them when the estimated size is
-below ``spark.sql.autoBroadcastJoinThreshold``, and AQE re-plans to a
-broadcast at run time when the measured shuffle output is small. Otherwise
-the join is a sort-merge join on the key. Only inputs whose size has been
-checked get an explicit hint (``broadcast_if_small``).
+"""Join building blocks: dimension de-duplication, joins that can be split at
+a hot key, outer join with defaults, anti-join.
+
+No side is forced into a broadcast: Catalyst broadcasts a side whose
+estimated size is below ``spark.sql.autoBroadcastJoinThreshold``, AQE one
+whose measured size is, and otherwise the join is a sort-merge join.
 """
 
 from __future__ import annotations
@@ -16,21 +13,6 @@ from collections.abc import Mapping, Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-# Row bound under which a side is hinted for broadcast by broadcast_if_small.
-DEFAULT_BROADCAST_ROWS = 100_000
-
-
-def broadcast_if_small(df: DataFrame, max_rows: int = DEFAULT_BROADCAST_ROWS) -> DataFrame:
-    """Hint ``df`` for broadcast only if it has at most ``max_rows`` rows.
-
-    The check runs ``limit(max_rows + 1).count()``, which stops reading as
-    soon as the bound is passed, so it is cheap whatever the size. Above the
-    bound the frame is returned unchanged and the planner chooses (normally a
-    shuffle join).
-    """
-    n = df.limit(max_rows + 1).count()
-    return F.broadcast(df) if n <= max_rows else df
-
 
 def one_per_key(dim: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     """One row per key, each attribute its largest value.
@@ -38,7 +20,8 @@ def one_per_key(dim: DataFrame, key: str, cols: Sequence[str]) -> DataFrame:
     A dimension with a repeated key would otherwise multiply the fact rows
     in a join. The pick is deterministic. The aggregate leaves ``dim``
     hash-partitioned on ``key``, which a following sort-merge join on the
-    same key reuses (no extra exchange).
+    same key reuses; that suits a fact side aggregated by the same key. For
+    raw fact rows use ``splittable_join``.
     """
     return dim.groupBy(key).agg(*[F.max(c).alias(c) for c in cols])
 
@@ -53,19 +36,35 @@ def last_per_key(dim: DataFrame, key: str, cols: Sequence[str], order_col: str =
     return dim.groupBy(key).agg(picked.alias("_last")).select(key, *[F.col(f"_last.{c}").alias(c) for c in cols])
 
 
+def splittable_join(fact: DataFrame, dim: DataFrame, key: str, how: str = "inner") -> DataFrame:
+    """``fact`` JOIN ``dim`` USING ``key``, so that AQE can split a hot key.
+
+    AQE splits a skewed partition only if both sides come straight from an
+    exchange made for the join. A side that is already partitioned on the key
+    (by an aggregate such as ``one_per_key``) gets none. The join therefore
+    asks for the key and a hash of it, which both sides have to be shuffled
+    by; equal keys have equal hashes, so the result is that of the plain join
+    (NULL keys never match).
+    """
+    hashed = lambda df: df.withColumn("_key_hash", F.xxhash64(F.col(key).cast("string")))
+    return hashed(fact).join(hashed(dim), on=[key, "_key_hash"], how=how).drop("_key_hash")
+
+
 def left_join_default(
     fact: DataFrame,
     dim: DataFrame,
     key: str,
     defaults: Mapping[str, object],
+    hot_keys: bool = False,
 ) -> DataFrame:
     """``fact`` LEFT OUTER JOIN ``dim`` USING ``key``; NULL attributes of
     unmatched rows replaced by ``defaults`` (column -> value).
 
     NULL keys never match. Columns of ``dim`` not in ``defaults`` stay NULL
-    for unmatched rows.
+    for unmatched rows. ``hot_keys``: ``fact`` holds raw rows, of which one
+    key may have a large share (``splittable_join``).
     """
-    joined = fact.join(dim, on=key, how="left")
+    joined = splittable_join(fact, dim, key, "left") if hot_keys else fact.join(dim, on=key, how="left")
     for col, value in defaults.items():
         joined = joined.withColumn(col, F.coalesce(F.col(col), F.lit(value)))
     return joined

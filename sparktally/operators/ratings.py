@@ -17,8 +17,8 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktally.functions.text import java_trim
-from sparktally.functions.values import strip_trailing
-from sparktally.operators.joins import left_join_default, one_per_key
+from sparktally.functions.values import split_fields, strip_trailing
+from sparktally.operators.joins import left_join_default, one_per_key, splittable_join
 
 # The title given to a rated movie missing from the movie
 # table, and the placeholder that marks a movie without genres.
@@ -99,16 +99,8 @@ def tag_parts(tags: Column, sep: str = "|") -> Column:
     dropped (a field of separators only gives none), inner empty elements
     kept; elements are not trimmed. Explode the result and trim each tag
     afterwards (``java_trim``): both stay in whole-stage code generation."""
-    stripped = strip_trailing(tags, sep)
-    parts = F.split(stripped, "[" + ("\\" + sep if sep in "\\^-[]" else sep) + "]")
-    return F.when(stripped == "", F.array().cast("array<string>")).otherwise(parts)
-
-
-def tag_array(tags: Column, sep: str = "|") -> Column:
-    """``tag_parts`` with every element trimmed, as an array value. Where the
-    tags are exploded anyway, explode ``tag_parts`` and trim after: the
-    lambda here runs outside code generation."""
-    return F.transform(tag_parts(tags, sep), java_trim)
+    empty = strip_trailing(tags, sep) == ""
+    return F.when(empty, F.array().cast("array<string>")).otherwise(split_fields(tags, sep))
 
 
 def rate_tags(
@@ -169,14 +161,15 @@ def rate_by_segment(
     usable rating; entities with no usable rating in any segment give no row.
 
     Users outside every segment are dropped before the join (inner join), so
-    their ratings never reach the shuffle. The segment averages are
-    conditional aggregates in a single pass, with partial aggregation.
+    their ratings never reach the shuffle of the aggregate. A user with a large
+    share of the ratings is split (``splittable_join``). The segment averages
+    are conditional aggregates in a single pass, with partial aggregation.
     """
     avg_cols = list(names) if names is not None else [prefix + lab for lab in labels]
     if len(avg_cols) != len(labels):
         raise ValueError("one column name per label")
     seg = segments.select(F.col(user_key), F.col(segment)).where(F.col(segment).isin(list(labels)))
-    joined = ratings.select(user_key, key, value).join(seg, on=user_key, how="inner")
+    joined = splittable_join(ratings.select(user_key, key, value), seg, user_key)
     aggs = []
     counts = []
     for i, (lab, name) in enumerate(zip(labels, avg_cols)):

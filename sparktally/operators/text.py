@@ -2,8 +2,7 @@
 
 Tokens are produced by ``explode`` over a built-in split, so the whole chain
 is one narrow, code-generated stage per partition; the only shuffle is the
-one a later count needs. Stop words are removed with an anti-join against a
-broadcast list whose size is checked first.
+one a later count needs. Stop words are removed with an anti-join.
 """
 
 from __future__ import annotations
@@ -13,12 +12,8 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktally.functions.text import clean_text, text_words, word_array
-from sparktally.operators.joins import anti_join, broadcast_if_small
-
-# Stop-word lists beyond this many entries are joined with a shuffle. Stop
-# words are short; 100 000 of them make a hash table of a few megabytes.
-STOPWORD_BROADCAST_ROWS = 100_000
+from sparktally.functions.text import text_words, word_array
+from sparktally.operators.joins import anti_join
 
 
 def valid_reviews(df: DataFrame, text: str = "review") -> DataFrame:
@@ -26,57 +21,12 @@ def valid_reviews(df: DataFrame, text: str = "review") -> DataFrame:
     return df.where(F.col(text).isNotNull() & (F.col(text) != ""))
 
 
-def spread(df: DataFrame) -> DataFrame:
-    """Give CPU-heavy per-row work (text cleaning) enough tasks.
-
-    An input made of fewer files than the cluster has cores (one small file
-    with one row group is read by one task) is redistributed round-robin
-    first. An input of many files is already split into many tasks and is
-    left alone, so no shuffle is added at scale. The check reads only the
-    file list of the plan; it runs no job.
-
-    Round-robin rather than hashing on a key: a key held by a third of the
-    rows (copies of one document) would otherwise put a third of the work
-    in one task, and a user-requested repartition is not split by adaptive
-    skew handling.
-    """
-    parallelism = _parallelism(df)
-    if parallelism > 1 and len(df.inputFiles()) < parallelism:
-        return df.repartition(parallelism)
-    return df
-
-
-def _parallelism(df: DataFrame) -> int:
-    try:
-        return df.sparkSession.sparkContext.defaultParallelism
-    except Exception:  # no SparkContext on this client (Spark Connect)
-        value = df.sparkSession.conf.get("spark.default.parallelism", None)
-        return int(value) if value else 0
-
-
-def clean_reviews(
-    df: DataFrame,
-    text: str = "review",
-    lower_cols: Sequence[str] = ("category", "aspect", "sentiment"),
-) -> DataFrame:
-    """Valid rows with cleaned text and lower-cased label columns; all other
-    columns pass through unchanged."""
-    lowered = set(lower_cols)
-    cols = []
-    for name in df.columns:
-        if name == text:
-            cols.append(clean_text(F.col(name)).alias(name))
-        elif name in lowered:
-            cols.append(F.lower(F.col(name)).alias(name))
-        else:
-            cols.append(F.col(name))
-    return valid_reviews(df, text).select(*cols)
-
-
-def tokenize(df: DataFrame, text: str = "review", word: str = "word") -> DataFrame:
-    """One row per word of the (already cleaned) text, in place of the text
-    column; a text with no word gives no row."""
-    cols = [F.explode(word_array(F.col(c))).alias(word) if c == text else F.col(c) for c in df.columns]
+def tokenize(df: DataFrame, text: str = "review", word: str = "word", cleaned: bool = True) -> DataFrame:
+    """One row per word of the text, in place of the text column; a text with
+    no word gives no row. ``cleaned=False``: the text is raw, and is cleaned
+    and split in one expression (``text_words``)."""
+    words = word_array if cleaned else text_words
+    cols = [F.explode(words(F.col(c))).alias(word) if c == text else F.col(c) for c in df.columns]
     return df.select(*cols)
 
 
@@ -85,20 +35,14 @@ def remove_stopwords(
     stopwords: DataFrame,
     word: str = "word",
     stopword: str = "stopword",
-    stop_rows: int | None = STOPWORD_BROADCAST_ROWS,
 ) -> DataFrame:
     """Tokens whose word is not in the stop-word list (whole-token equality).
 
     An entry with a space can never equal a token, and repeated entries
     change nothing (an anti-join only asks whether a match exists), so the
-    list needs no de-duplication. It is broadcast when it has at most
-    ``stop_rows`` entries (counted first); above that it is joined with a
-    shuffle. ``stop_rows=None`` means the caller vouches for a small, fixed
-    list: it is broadcast without counting.
+    list needs no de-duplication.
     """
-    stop = stopwords.select(stopword)
-    stop = F.broadcast(stop) if stop_rows is None else broadcast_if_small(stop, stop_rows)
-    return anti_join(tokens, stop, word, stopword)
+    return anti_join(tokens, stopwords.select(stopword), word, stopword)
 
 
 def clean_tokens(
@@ -107,24 +51,11 @@ def clean_tokens(
     text: str = "review",
     word: str = "word",
     lower_cols: Sequence[str] = ("category", "aspect", "sentiment"),
-    stop_rows: int | None = STOPWORD_BROADCAST_ROWS,
 ) -> DataFrame:
     """The token table: valid reviews, cleaned, one row per word, stop words
     removed. Columns are those of ``reviews`` with ``word`` in place of the
-    text. ``stop_rows`` as in ``remove_stopwords``.
-
-    Apply ``spread`` to the review scan first when it comes from few files.
-    The text is cleaned and split in one expression (``text_words``), which
-    gives the words of ``clean_text`` without materialising the cleaned text.
-    """
+    text."""
     lowered = set(lower_cols)
-    cols = []
-    for name in reviews.columns:
-        if name == text:
-            cols.append(F.explode(text_words(F.col(name))).alias(word))
-        elif name in lowered:
-            cols.append(F.lower(F.col(name)).alias(name))
-        else:
-            cols.append(F.col(name))
-    tokens = valid_reviews(reviews, text).select(*cols)
-    return tokens if stopwords is None else remove_stopwords(tokens, stopwords, word, "stopword", stop_rows)
+    cols = [F.lower(F.col(c)).alias(c) if c in lowered else F.col(c) for c in reviews.columns]
+    tokens = tokenize(valid_reviews(reviews, text).select(*cols), text, word, cleaned=False)
+    return tokens if stopwords is None else remove_stopwords(tokens, stopwords, word)

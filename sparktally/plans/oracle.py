@@ -14,6 +14,7 @@ def _in_list(values) -> str:
     return ", ".join("'" + v.replace("'", "''") + "'" for v in values)
 
 
+# The five cleaning steps and the trim, spelt as they are.
 def _clean(col: str) -> str:
     c = f"lower({col})"
     c = f"regexp_replace({c}, '[-^]', ' ', 'g')"
@@ -32,7 +33,10 @@ rated AS (
   FROM lineitem GROUP BY l_partkey HAVING count(l_quantity) > 0
 )"""
 
-_MOVIES = f"""
+_MOVIES = """
+mv AS (SELECT p_partkey AS movie_id, max(p_name) AS title FROM part GROUP BY p_partkey)"""
+
+_KNOWN = f"""
 mv AS (
   SELECT p_partkey AS movie_id, max(p_name) AS title
   FROM part WHERE p_size <= {roles.MOVIE_MAX_SIZE} GROUP BY p_partkey
@@ -162,7 +166,7 @@ def _band_cells() -> str:
 
 ORACLE_SQL: dict[str, str] = {
     "rate_entities": f"""
-WITH {_RATED.strip()}, {_MOVIES.strip()}
+WITH {_RATED.strip()}, {_KNOWN.strip()}
 SELECT r.movie_id, coalesce(mv.title, 'Unknown Movie') AS title, r.avg_rating, r.n
 FROM rated r LEFT JOIN mv ON r.movie_id = mv.movie_id
 ORDER BY r.movie_id
@@ -178,7 +182,7 @@ ORDER BY r.avg_rating DESC, r.movie_id LIMIT 1
 WITH {_RATED.strip()},
 g AS (
   SELECT p_partkey AS movie_id, max(p_name) AS genres
-  FROM part WHERE p_size <= {roles.MOVIE_MAX_SIZE} AND p_name IS NOT NULL GROUP BY p_partkey
+  FROM part WHERE p_name IS NOT NULL GROUP BY p_partkey
 ),
 t AS (
   SELECT unnest(CASE WHEN rtrim(g.genres, ' ') = '' THEN []::VARCHAR[]
@@ -223,7 +227,7 @@ SELECT doc_id AS id, CAST(length({_clean('text')}) AS INTEGER) AS clean_chars
 FROM documents WHERE text IS NOT NULL AND text <> ''
 """,
     "left_join_default": f"""
-WITH {_MOVIES.strip()}
+WITH {_KNOWN.strip()}
 SELECT l.l_orderkey, l.l_linenumber, l.l_partkey AS movie_id,
        coalesce(mv.title, 'Unknown Movie') AS title
 FROM lineitem l LEFT JOIN mv ON l.l_partkey = mv.movie_id
@@ -269,7 +273,7 @@ SELECT id, CAST(len(list_filter(string_split(review, ' '), lambda w: w <> '')) A
 )
 """,
     "movie_report": f"""
-WITH {_RATED.strip()}, {_MOVIES.strip()}
+WITH {_RATED.strip()}, {_KNOWN.strip()}
 SELECT coalesce(mv.title, 'Unknown Movie') AS title,
        printf('AverageRating: %s (TotalRatings: %d)', {_two_decimals('r.avg_rating')}, r.n) AS line,
        r.movie_id

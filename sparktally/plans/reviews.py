@@ -6,10 +6,9 @@ follows the rule "count rows whose first field is not NULL" (``id`` for
 most questions, ``aspect`` for Q10/Q11), and a group whose count is 0 is
 still emitted.
 
-``run_review_reports`` computes the token table once, writes it to the
-shared checkpoint folder (``spark.checkpoint.dir``) and reads it back, so
-the later questions start from a stored table instead of re-cleaning the
-text, and a lost executor costs a re-read, not a re-run of the cleaning.
+``run_review_reports`` computes the token table once, writes it and reads it
+back, so the later questions start from a stored table instead of re-cleaning
+the text, and a lost executor costs a re-read, not a re-run of the cleaning.
 """
 
 from __future__ import annotations
@@ -21,9 +20,9 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktally.operators.counts import count_by, frequent, top_k
-from sparktally.operators.text import clean_reviews, clean_tokens, spread, valid_reviews
+from sparktally.operators.text import clean_tokens, valid_reviews
 from sparktally.session import scratch_path
-from sparktally.sinks import write_delimited, write_parquet
+from sparktally.sinks import write_csv, write_parquet
 from sparktally.sources.delimited import REVIEW_SCHEMA, read_delimited, read_stopwords
 
 # The frequency threshold (strict), the size of the per-group
@@ -101,12 +100,26 @@ def top_words_from(
     return top_k(per_word, k, [F.desc(name), F.asc("word")], per=["category"])
 
 
-def materialize(spark: SparkSession, df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as parquet under the shared checkpoint folder and return
-    a reader of it (lineage cut; survives the loss of executors)."""
-    path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    write_parquet(df, path)
-    return spark.read.parquet(path)
+def sliced_review_counts(reviews: DataFrame) -> DataFrame:
+    """(category, aspect, sentiment, total_comments, total): valid reviews of
+    every slice at once, by ``count(id)`` and by ``count(aspect)``. Q8-Q11 are
+    sums of these over some of the keys, groups that count 0 included."""
+    keys = [F.lower(c).alias(c) for c in ("category", "aspect", "sentiment")]
+    return valid_reviews(reviews).groupBy(*keys).agg(
+        F.count("id").alias("total_comments"), F.count(F.col("aspect")).alias("total")
+    )
+
+
+def review_counts_from(counts: DataFrame, col: str) -> DataFrame:
+    """Q8 / Q9 from ``sliced_review_counts``."""
+    summed = counts.groupBy(col).agg(F.sum("total_comments").alias("total_comments"))
+    return summed.orderBy(F.desc("total_comments"), F.asc(col))
+
+
+def top_aspect_from(counts: DataFrame, sentiment: str) -> DataFrame:
+    """Q10 / Q11 from ``sliced_review_counts``."""
+    summed = counts.where(F.col("sentiment") == sentiment).groupBy("aspect").agg(F.sum("total").alias("total"))
+    return top_k(summed, 1, [F.desc("total"), F.asc("aspect")])
 
 
 def run_review_reports(
@@ -116,47 +129,68 @@ def run_review_reports(
     out_dir: str,
     sep: str = ";",
 ) -> dict[str, str]:
-    """Compute Q6-Q13 from the files and write each result as headerless,
-    comma-separated text with raw fields under ``out_dir`` (replacing it).
-    Returns name -> output path; the token table reads back with
-    ``read_delimited(spark, path, TOKENS_SCHEMA, sep=",")``.
-
-    The token table is written once to the shared folder; one aggregation
-    of it by (category, sentiment, word), also stored, then answers Q7, Q12
-    and Q13, instead of one pass over the tokens per question.
+    """Compute Q6-Q13 from the files and write each result under ``out_dir``
+    (replacing it): the token table as parquet, the others as headerless CSV.
+    Returns name -> output path.
+
+    The review file is read twice: for the token table, and for one
+    aggregation that answers Q8-Q11. One aggregation of the token table
+    answers Q7, Q12 and Q13. Everything is written beside ``out_dir`` first
+    and moved there at the end, so ``out_dir`` is complete or not there; the
+    two count tables are removed.
     """
-    reviews = spread(read_delimited(spark, reviews_path, REVIEW_SCHEMA, sep=sep))
+    reviews = read_delimited(spark, reviews_path, REVIEW_SCHEMA, sep=sep)
     stop = read_stopwords(spark, stopwords_path)
-    tokens = materialize(spark, review_tokens(reviews, stop), "tokens")
-    counts = materialize(spark, sliced_word_counts(tokens), "word-counts")
-    results = {
-        "tokens": tokens,
-        "word_freq": word_frequencies_from(counts),
-        "category_count": category_counts(reviews),
-        "aspect_count": aspect_counts(reviews),
-        "top_aspect_positive": top_aspect(reviews, POSITIVE),
-        "top_aspect_negative": top_aspect(reviews, NEGATIVE),
-        "top5_positive": top_words_from(counts, POSITIVE, name="total"),
-        "top5_negative": top_words_from(counts, NEGATIVE, name="total"),
-        "top5_all": top_words_from(counts, None, name="total_freq"),
-    }
-    paths = {}
-    for name, df in results.items():
-        path = os.path.join(out_dir, name)
-        write_delimited(df, path, ",")
-        paths[name] = path
-    return paths
+    run = uuid.uuid4().hex
+    staging = f"{out_dir.rstrip('/')}.{run}"
+    scratch = [scratch_path(spark, f"{name}-{run}") for name in ("review-counts", "word-counts")]
+
+    def stored(df: DataFrame, path: str) -> DataFrame:
+        write_parquet(df, path)
+        return spark.read.parquet(path)
+
+    fs = spark._jvm.org.apache.hadoop.fs
+
+    def remove(path: str) -> None:
+        hpath = fs.Path(path)
+        hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+
+    try:
+        tokens = stored(review_tokens(reviews, stop), os.path.join(staging, "tokens"))
+        slices = stored(sliced_review_counts(reviews), scratch[0])
+        words = stored(sliced_word_counts(tokens), scratch[1])
+        results = {
+            "word_freq": word_frequencies_from(words),
+            "category_count": review_counts_from(slices, "category"),
+            "aspect_count": review_counts_from(slices, "aspect"),
+            "top_aspect_positive": top_aspect_from(slices, POSITIVE),
+            "top_aspect_negative": top_aspect_from(slices, NEGATIVE),
+            "top5_positive": top_words_from(words, POSITIVE, name="total"),
+            "top5_negative": top_words_from(words, NEGATIVE, name="total"),
+            "top5_all": top_words_from(words, None, name="total_freq"),
+        }
+        for name, df in results.items():
+            write_csv(df, os.path.join(staging, name))
+        remove(out_dir)
+        source, target = fs.Path(staging), fs.Path(out_dir)
+        if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, target):
+            raise OSError(f"could not move {staging} to {out_dir}")
+    finally:
+        for path in (staging, *scratch):
+            remove(path)
+    return {name: os.path.join(out_dir, name) for name in ("tokens", *results)}
 
 
 __all__ = [
     "aspect_counts",
     "category_counts",
-    "clean_reviews",
-    "materialize",
+    "review_counts_from",
     "review_tokens",
     "run_review_reports",
+    "sliced_review_counts",
     "sliced_word_counts",
     "top_aspect",
+    "top_aspect_from",
     "top_words",
     "top_words_from",
     "word_frequencies",

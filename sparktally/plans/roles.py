@@ -4,8 +4,9 @@ The test tables hold no movies or reviews, so tables play those roles:
 
 - ratings: ``lineitem`` (user = l_orderkey, movie = l_partkey,
   rating = l_quantity)
-- movies: ``part`` with ``p_size <= 40`` (title = p_name, tags = the words
-  of p_name); the size limit leaves some rated parts without a movie row
+- movies: ``part`` (title = p_name, tags = the words of p_name)
+- known movies: ``part`` with ``p_size <= 40``, for the queries about rated
+  movies that the movie table does not have
 - users: ``orders`` -> ``customer`` (user = o_orderkey; gender-like segment
   from c_mktsegment, age-like number c_acctbal)
 - reviews: ``documents`` (id = doc_id, review = text, category = lang,
@@ -22,8 +23,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from sparktally.functions.values import bucketize, in_synonyms
-from sparktally.operators.joins import one_per_key
-from sparktally.operators.text import spread
+from sparktally.operators.joins import one_per_key, splittable_join
 from sparktally.sources.tables import load_table
 
 # Fixed values of the test roles (shared with the SQL oracles).
@@ -55,15 +55,12 @@ def ratings(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def movies(spark: SparkSession, sf_dir: str) -> DataFrame:
-    return (
-        load_table(spark, sf_dir, "part")
-        .where(F.col("p_size") <= MOVIE_MAX_SIZE)
-        .select(
-            F.col("p_partkey").alias("movie_id"),
-            F.col("p_name").alias("title"),
-            F.col("p_name").alias("genres"),
-        )
+def movies(spark: SparkSession, sf_dir: str, known_only: bool = False) -> DataFrame:
+    part = load_table(spark, sf_dir, "part")
+    if known_only:
+        part = part.where(F.col("p_size") <= MOVIE_MAX_SIZE)
+    return part.select(
+        F.col("p_partkey").alias("movie_id"), F.col("p_name").alias("title"), F.col("p_name").alias("genres")
     )
 
 
@@ -102,26 +99,22 @@ def sentiments(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
-def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True, for_cleaning: bool = True) -> DataFrame:
+def reviews(spark: SparkSession, sf_dir: str, with_sentiment: bool = True) -> DataFrame:
     """(id, review, category, aspect[, sentiment]); sentiment NULL for
-    unlabelled documents.
-
-    When the text is to be cleaned (the CPU-heavy step), the document scan
-    is spread over the cores if it comes from few files, before the label
-    join; queries that only count documents skip that.
-    """
+    unlabelled documents. The label join is at document level, before any
+    words are exploded."""
     docs = load_table(spark, sf_dir, "documents").select(
         F.col("doc_id").alias("id"),
         F.col("text").alias("review"),
         F.col("lang").alias("category"),
         F.col("source").alias("aspect"),
     )
-    if for_cleaning:
-        docs = spread(docs)
     if not with_sentiment:
         return docs
-    return docs.join(sentiments(spark, sf_dir), on="id", how="left")
+    return splittable_join(docs, sentiments(spark, sf_dir), "id", "left")
 
 
 def stopwords(spark: SparkSession) -> DataFrame:
-    return spark.createDataFrame([(w,) for w in STOPWORDS], "stopword string")
+    """The fixed list as a literal relation, whose size the planner knows."""
+    rows = ", ".join("('" + w.replace("'", "\\'") + "')" for w in STOPWORDS)
+    return spark.sql(f"SELECT * FROM VALUES {rows} AS t(stopword)")

@@ -18,34 +18,6 @@ _DEFAULT_CONF = {
 }
 
 
-def scale_conf(
-    input_bytes: int,
-    shuffle_fraction: float = 0.25,
-    target_partition_bytes: int = 256 * 1024 * 1024,
-    min_partitions: int = 200,
-    max_partitions: int = 100_000,
-) -> dict[str, str]:
-    """Shuffle and scan settings sized from the volume a job reads.
-
-    Only projected columns and partial aggregates are shuffled, so the
-    largest shuffle is taken as ``shuffle_fraction`` of the input; the
-    initial partition count puts about ``target_partition_bytes`` of it in
-    each partition (well inside executor memory), bounded below and above
-    (the number of shuffle blocks grows with map tasks x partitions). AQE
-    starts from that count and coalesces small shuffles to the same advisory
-    size. Scans are split at the same size.
-    """
-    wanted = -(-int(input_bytes * shuffle_fraction) // target_partition_bytes)
-    partitions = min(max_partitions, max(min_partitions, wanted))
-    size = str(target_partition_bytes)
-    return {
-        "spark.sql.shuffle.partitions": str(partitions),
-        "spark.sql.adaptive.coalescePartitions.initialPartitionNum": str(partitions),
-        "spark.sql.adaptive.advisoryPartitionSizeInBytes": size,
-        "spark.sql.files.maxPartitionBytes": size,
-    }
-
-
 def get_session(
     master: str | None = None,
     app_name: str = "sparktally",

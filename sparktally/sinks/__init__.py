@@ -2,15 +2,15 @@
 
 Writers always replace the target (``mode('overwrite')``), so a re-run does
 not fail on an existing directory. Writes are done by the executors, one
-file per partition; nothing passes through the driver except ``dump`` and
-``head``, which are bounded by their row limit.
+file per partition; nothing passes through the driver except ``dump``, which
+is bounded by its row limit.
 """
 
 from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame, Row, SparkSession
+from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
 from sparktally.sinks.reports import (
@@ -19,6 +19,7 @@ from sparktally.sinks.reports import (
     gender_report,
     genre_report,
     movie_report,
+    render_report,
 )
 
 
@@ -28,11 +29,6 @@ def write_key_value(df: DataFrame, path: str, key: str, value: str, sep: str = "
     df.select(line.alias("value")).write.mode("overwrite").text(path)
 
 
-def write_lines(df: DataFrame, path: str, col: str = "value") -> None:
-    """One text line per row from a single string column."""
-    df.select(F.col(col).alias("value")).write.mode("overwrite").text(path)
-
-
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     """Headerless CSV; NULL is written as an empty field, and a field that
     holds the separator is quoted."""
@@ -41,9 +37,14 @@ def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
     """Headerless delimited text with raw fields: no quoting, NULL as an
-    empty field. ``read_delimited`` with the same separator reads it back
-    (as long as no field holds the separator)."""
-    fields = [F.coalesce(F.col(c).cast("string"), F.lit("")) for c in df.columns]
+    empty field. ``read_delimited`` with the same separator reads it back. A
+    field that holds the separator would shift the fields after it, so it
+    fails the write."""
+    held = F.raise_error(F.lit(f"a field holds the separator {sep!r}; store the table as parquet"))
+    fields = []
+    for c in df.columns:
+        text = F.coalesce(F.col(c).cast("string"), F.lit(""))
+        fields.append(F.when(F.instr(text, sep) > 0, held).otherwise(text))
     df.select(F.concat_ws(sep, *fields).alias("value")).write.mode("overwrite").text(path)
 
 
@@ -64,34 +65,17 @@ def dump(df: DataFrame, n: int = 10) -> list[Row]:
     return df.limit(n).collect()
 
 
-def head(spark: SparkSession, path: str, n: int = 15) -> list[str]:
-    """The first ``n`` lines of a written text output, in part-file order.
-
-    Reading the folder back as one relation does not keep that order (file
-    splits are packed by size), so the part files are taken one by one, by
-    name, until ``n`` lines are collected; at most ``n`` lines reach the
-    client.
-    """
-    lines: list[str] = []
-    for f in sorted(spark.read.text(path).inputFiles()):
-        if len(lines) >= n:
-            break
-        lines += [r.value for r in spark.read.text(f).limit(n - len(lines)).collect()]
-    return lines
-
-
 __all__ = [
     "band_report",
     "best_movie_report",
     "dump",
     "gender_report",
     "genre_report",
-    "head",
     "movie_report",
     "preview",
+    "render_report",
     "write_csv",
     "write_delimited",
     "write_key_value",
-    "write_lines",
     "write_parquet",
 ]

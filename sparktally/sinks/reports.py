@@ -10,10 +10,11 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from sparktally.functions.render import pad_right, two_decimals, two_decimals_or
+from sparktally.functions.values import as_col
 
 # Report templates and labels.
 MOVIE_VALUE = "AverageRating: %s (TotalRatings: %d)"
@@ -28,28 +29,27 @@ BAND_MISSING = "NA"
 BAND_CELL_WIDTH = 4
 
 
+def render_report(df: DataFrame, key: Column | str, template: str, *cells: Column | str, keep: Sequence[str] = ()) -> DataFrame:
+    """(key, value) lines: the key column and ``template`` filled with the
+    cells (Java format); ``keep`` columns are carried along."""
+    return df.select(as_col(key).alias("key"), F.format_string(template, *map(as_col, cells)).alias("value"), *keep)
+
+
 def movie_report(rated: DataFrame, label: str = "title", keep: Sequence[str] = ()) -> DataFrame:
     """Q1 lines: ``title`` / ``AverageRating: 4.25 (TotalRatings: 2)``;
     ``keep`` columns are carried along."""
-    return rated.select(
-        F.col(label).alias("key"),
-        F.format_string(MOVIE_VALUE, two_decimals("avg_rating"), F.col("n")).alias("value"),
-        *keep,
-    )
+    return render_report(rated, label, MOVIE_VALUE, two_decimals("avg_rating"), "n", keep=keep)
 
 
 def best_movie_report(best: DataFrame, min_support: int, label: str = "title") -> DataFrame:
     """Q2 line (zero or one): the sentence as key, empty value."""
     sentence = F.format_string(BEST_MOVIE_LINE, F.col(label), two_decimals("avg_rating"), F.lit(min_support))
-    return best.select(sentence.alias("key"), F.lit("").alias("value"))
+    return render_report(best, sentence, "")
 
 
 def genre_report(tags: DataFrame, tag: str = "genre") -> DataFrame:
     """Q3 lines: ``genre`` / ``Avg: 3.73, Count: 20``."""
-    return tags.select(
-        F.col(tag).alias("key"),
-        F.format_string(GENRE_VALUE, two_decimals("avg_rating"), F.col("n")).alias("value"),
-    )
+    return render_report(tags, tag, GENRE_VALUE, two_decimals("avg_rating"), "n")
 
 
 def gender_report(
@@ -61,10 +61,8 @@ def gender_report(
 ) -> DataFrame:
     """Q4 lines: title padded to 35 / ``Male: 4.50, Female: N/A ``;
     ``keep`` columns are carried along."""
-    value = F.format_string(
-        GENDER_VALUE, two_decimals_or(male, GENDER_MISSING), two_decimals_or(female, GENDER_MISSING)
-    )
-    return df.select(pad_right(label, GENDER_TITLE_WIDTH).alias("key"), value.alias("value"), *keep)
+    cells = [two_decimals_or(c, GENDER_MISSING) for c in (male, female)]
+    return render_report(df, pad_right(label, GENDER_TITLE_WIDTH), GENDER_VALUE, *cells, keep=keep)
 
 
 def band_report(
@@ -78,6 +76,4 @@ def band_report(
     cell padded to 4; ``keep`` columns are carried along."""
     fmt = " ".join(f"{lab}: %-{BAND_CELL_WIDTH}s" for lab in labels)
     cells = [two_decimals_or(c, BAND_MISSING) for c in cols]
-    return df.select(
-        pad_right(label, BAND_TITLE_WIDTH).alias("key"), F.format_string(fmt, *cells).alias("value"), *keep
-    )
+    return render_report(df, pad_right(label, BAND_TITLE_WIDTH), fmt, *cells, keep=keep)

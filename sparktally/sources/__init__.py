@@ -15,6 +15,7 @@ from sparktally.sources.delimited import (
     read_ratings,
     read_stopwords,
     read_users,
+    split_lines,
 )
 from sparktally.sources.tables import TABLES, load_table, table_path
 
@@ -35,5 +36,6 @@ __all__ = [
     "read_ratings",
     "read_stopwords",
     "read_users",
+    "split_lines",
     "table_path",
 ]

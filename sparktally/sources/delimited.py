@@ -55,8 +55,15 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
-def _field(fields: Column, i: int) -> Column:
-    return java_trim(F.get(fields, i))
+def split_lines(lines: DataFrame, min_fields: int, sep: str = ",") -> DataFrame:
+    """``lines`` with a ``fields`` array (trailing empty fields dropped);
+    lines with fewer than ``min_fields`` fields are dropped."""
+    split = lines.withColumn("fields", split_fields(F.col("value"), sep))
+    return split.where(F.size("fields") >= min_fields)
+
+
+def _field(i: int) -> Column:
+    return java_trim(F.get("fields", i))
 
 
 def parse_movies(lines: DataFrame) -> DataFrame:
@@ -67,19 +74,17 @@ def parse_movies(lines: DataFrame) -> DataFrame:
     two fields the title is the second one and ``genres`` is NULL. Trailing
     commas are ignored when fields are counted.
     """
-    v = F.col("value")
-    stripped = strip_trailing(v, ",")
-    fields = split_fields(v, ",")
-    n = F.size(fields)
-    between = F.regexp_extract(stripped, r"^[^,]*,(.*),[^,]*\z", 1)
+    n = F.size("fields")
+    between = F.regexp_extract(strip_trailing(F.col("value"), ","), r"^[^,]*,(.*),[^,]*\z", 1)
     title = (
         F.when(n >= 3, java_trim(between))
-        .when(n == 2, _field(fields, 1))
+        .when(n == 2, _field(1))
         .otherwise(F.lit(""))
     )
-    genres = F.when(n >= 3, java_trim(F.element_at(fields, -1)))
-    return lines.where(F.instr(v, ",") > 0).select(
-        _field(fields, 0).alias("movie_id"), title.alias("title"), genres.alias("genres")
+    genres = F.when(n >= 3, java_trim(F.element_at("fields", -1)))
+    # The comma decides, also one that only ends the line.
+    return split_lines(lines.where(F.instr("value", ",") > 0), 0).select(
+        _field(0).alias("movie_id"), title.alias("title"), genres.alias("genres")
     )
 
 
@@ -88,12 +93,11 @@ def parse_ratings(lines: DataFrame) -> DataFrame:
 
     An unparsable rating is kept as NULL so that it counts nowhere.
     """
-    fields = split_fields(F.col("value"), ",")
-    return lines.where(F.size(fields) >= 3).select(
-        _field(fields, 0).alias("user_id"),
-        _field(fields, 1).alias("movie_id"),
-        safe_double(_field(fields, 2)).alias("rating"),
-        _field(fields, 3).try_cast("long").alias("ts"),
+    return split_lines(lines, 3).select(
+        _field(0).alias("user_id"),
+        _field(1).alias("movie_id"),
+        safe_double(_field(2)).alias("rating"),
+        _field(3).try_cast("long").alias("ts"),
     )
 
 
@@ -103,13 +107,12 @@ def parse_users(lines: DataFrame) -> DataFrame:
     ``age`` is NULL when missing or not an integer; ``line_no`` is kept for
     last-line-wins de-duplication.
     """
-    fields = split_fields(F.col("value"), ",")
-    return lines.where(F.size(fields) >= 2).select(
-        _field(fields, 0).alias("user_id"),
-        _field(fields, 1).alias("gender"),
-        safe_int(_field(fields, 2)).alias("age"),
-        _field(fields, 3).alias("occupation"),
-        _field(fields, 4).alias("zip"),
+    return split_lines(lines, 2).select(
+        _field(0).alias("user_id"),
+        _field(1).alias("gender"),
+        safe_int(_field(2)).alias("age"),
+        _field(3).alias("occupation"),
+        _field(4).alias("zip"),
         F.col("line_no"),
     )
 
@@ -132,12 +135,21 @@ def read_delimited(
     paths: str | Sequence[str],
     schema: T.StructType | str,
     sep: str = ";",
+    min_fields: int = 0,
 ) -> DataFrame:
     """Headerless delimited load with a declared schema and no quoting.
 
     Empty field -> NULL, short row -> padded with NULL, extra fields -> cut,
-    a stray double quote stays part of the text.
+    a stray double quote stays part of the text. Rows with fewer than
+    ``min_fields`` fields (trailing empty ones not counted) are dropped.
     """
+    if min_fields:
+        kept = split_lines(spark.read.text(_paths(paths)), min_fields, sep)
+        wanted = T.StructType.fromDDL(schema) if isinstance(schema, str) else schema
+        field = lambda i: F.get("fields", i)
+        return kept.select(
+            *[F.when(field(i) != "", field(i)).try_cast(f.dataType).alias(f.name) for i, f in enumerate(wanted.fields)]
+        )
     return (
         spark.read.schema(schema)
         .option("sep", sep)

@@ -16,7 +16,6 @@ from pyspark.sql.streaming import StreamingQuery
 
 from sparktally.operators.counts import count_by
 from sparktally.operators.text import valid_reviews
-from sparktally.session import scratch_path
 from sparktally.sources.delimited import REVIEW_SCHEMA
 
 KEPT_COLUMNS = ("id", "category", "aspect", "sentiment")
@@ -47,23 +46,22 @@ def start_review_ingest(
     spark: SparkSession,
     source_dir: str,
     table_path: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     available_now: bool = True,
 ) -> StreamingQuery:
     """Start appending the valid reviews of new files to ``table_path``.
 
-    Progress lives in ``checkpoint`` (default: a folder under the shared
-    ``spark.checkpoint.dir``), so a restarted query reads only the files it
-    has not seen. ``available_now`` processes what is there and stops;
-    otherwise the query keeps running.
+    Progress lives in ``checkpoint``, a shared folder of its own for each
+    source and table, so a restarted query reads only the files it has not
+    seen. ``available_now`` processes what is there and stops; otherwise the
+    query keeps running.
     """
-    location = checkpoint or scratch_path(spark, "review-ingest")
     writer = (
         review_stream(spark, source_dir)
         .writeStream.format("parquet")
         .outputMode("append")
         .option("path", table_path)
-        .option("checkpointLocation", location)
+        .option("checkpointLocation", checkpoint)
     )
     if available_now:
         writer = writer.trigger(availableNow=True)

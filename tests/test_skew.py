@@ -9,7 +9,8 @@ from collections import Counter, defaultdict
 import pytest
 from pyspark.sql import functions as F
 
-from sparktally.operators import count_by, rate_by_segment, top_k
+from sparktally.operators import count_by, left_join_default, one_per_key, rate_by_segment, top_k
+from sparktally.plans import movies as mq
 
 SKEW_CONF = {
     # Force shuffle joins and make AQE treat a few KB as skewed.
@@ -65,6 +66,35 @@ def test_hot_user_in_segment_join(spark, skew_conf):
     assert "SortMergeJoin(skew=true)" in plan  # the hot user's partition was split
 
 
+@pytest.mark.parametrize("segments", [mq.gender_segments, mq.age_segments])
+def test_hot_user_behind_the_last_line_rule(spark, skew_conf, segments):
+    rows = _ratings()
+    users = [("hot", "M", 30, 1), ("hot", "F", 40, 2)] + [(f"u{i}", "F" if i % 2 else "M", 10 + i % 60, 3) for i in range(1, 301)]
+    ratings = spark.createDataFrame(rows, "user_id string, movie_id string, rating double")
+    segs = segments(spark.createDataFrame(users, "user_id string, gender string, age int, line_no int"))
+    of = {r.user_id: r.segment for r in segs.collect()}
+    labels = sorted(set(of.values()))
+    df = rate_by_segment(ratings, segs, labels, ordered=False)
+    acc = defaultdict(list)
+    for u, m, r in rows:
+        acc[m, of[u]].append(r)
+    for r in df.collect():
+        for lab in labels:
+            got, want = r[f"avg_{lab}"], acc.get((r.movie_id, lab))
+            assert got is None if want is None else abs(got - sum(want) / len(want)) < 1e-9
+    assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+
+
+def test_hot_movie_behind_one_per_key(spark, skew_conf):
+    rows = [(i, "hot" if i % 3 == 0 else f"m{i % 400}") for i in range(30000)]
+    fact = spark.createDataFrame(rows, "id long, movie_id string")
+    dim = spark.createDataFrame([("hot", "A"), ("hot", "B")] + [(f"m{i}", f"T{i}") for i in range(0, 400, 2)], "movie_id string, title string")
+    df = left_join_default(fact, one_per_key(dim, "movie_id", ["title"]), "movie_id", {"title": "?"}, hot_keys=True)
+    titles = {"hot": "B", **{f"m{i}": f"T{i}" for i in range(0, 400, 2)}}
+    assert sorted((r.id, r.title) for r in df.collect()) == [(i, titles.get(m, "?")) for i, m in rows]
+    assert "SortMergeJoin(skew=true)" in df._jdf.queryExecution().executedPlan().toString()
+
+
 def test_hot_category_top_k_and_counts(spark):
     rnd = random.Random(3)
     rows = [("hot" if i % 3 == 0 else f"c{rnd.randint(1, 20)}", f"w{rnd.randint(1, 400)}") for i in range(30000)]

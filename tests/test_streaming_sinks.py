@@ -4,10 +4,11 @@ from __future__ import annotations
 
 import os
 
+import pytest
 from pyspark.sql import functions as F
 
 from sparktally.plans import reviews as rq
-from sparktally.sinks import dump, head, preview, write_csv, write_key_value, write_lines
+from sparktally.sinks import dump, preview, write_csv, write_delimited, write_key_value
 from sparktally.sources import REVIEW_SCHEMA, read_delimited
 from sparktally.streaming import ingested_counts, start_review_ingest
 from tests.conftest import write_lines as write_file
@@ -23,18 +24,19 @@ def test_key_value_and_csv_round_trip(spark, tmp_path):
     write_csv(df, csv)
     back = spark.read.csv(csv, schema="k string, v string, n long").orderBy("k").collect()
     assert [tuple(r) for r in back] == [("a", "x, y", 1), ("b", None, 2)]
-    lines = str(tmp_path / "lines")
-    write_lines(df.select(F.concat_ws("|", "k", "n").alias("value")), lines)
-    assert sorted(r.value for r in spark.read.text(lines).collect()) == ["a|1", "b|2"]
 
 
-def test_head_follows_part_file_order(spark, tmp_path):
-    df = spark.range(0, 1000, numPartitions=1).select(F.format_string("%04d", "id").alias("value"))
-    # Range partitions of very different sizes: split packing would reorder them.
-    skewed = df.repartitionByRange(5, F.when(F.col("value") < "0003", F.col("value")).otherwise(F.lit("zzzz")))
-    out = str(tmp_path / "sorted")
-    write_lines(skewed.sortWithinPartitions("value"), out)
-    assert head(spark, out, 15) == [f"{i:04d}" for i in range(15)]
+def test_delimited_refuses_a_field_with_the_separator(spark, tmp_path):
+    df = spark.createDataFrame([("a", None, 1)], "k string, v string, n long")
+    write_delimited(df, str(tmp_path / "ok"), ",")
+    assert [r.value for r in spark.read.text(str(tmp_path / "ok")).collect()] == ["a,,1"]
+    with pytest.raises(Exception, match="holds the separator"):
+        write_delimited(df.withColumn("k", F.lit("room, view")), str(tmp_path / "no"), ",")
+
+
+def test_preview_of_a_sorted_frame_is_its_first_rows(spark):
+    df = spark.range(0, 1000, numPartitions=7).select(F.format_string("%04d", "id").alias("value"))
+    assert [r.value for r in dump(df.orderBy("value"), 15)] == [f"{i:04d}" for i in range(15)]
 
 
 def test_preview_and_dump_are_bounded(spark):
@@ -67,6 +69,15 @@ def test_streaming_ingest_counts_match_batch(spark, tmp_path):
     assert aspects == {"view": 1, "price": 1, "staff": 2}
 
 
+def test_two_targets_of_one_source_are_both_complete(spark, tmp_path):
+    src = tmp_path / "incoming"
+    src.mkdir()
+    write_file(src / "part1.csv", ["1;Tốt;Room;View;positive", "2;Tệ;Food;Price;negative"])
+    for name in ("a", "b"):
+        start_review_ingest(spark, str(src), str(tmp_path / name), str(tmp_path / f"ckpt-{name}")).awaitTermination(120)
+        assert spark.read.parquet(str(tmp_path / name)).count() == 2
+
+
 def test_command_line(tmp_path):
     import subprocess
     import sys

@@ -175,7 +175,38 @@ def test_run_review_reports(spark, data):
     assert [(r.word, r.freq) for r in freq] == [("beta", 501)]
     cats = spark.read.csv(paths["category_count"], schema="category string, n long").collect()
     assert len(cats) == len({r.category for r in cats})
-    assert re.search(r"sparktally-ckpt-|checkpoint", spark.conf.get("spark.checkpoint.dir"))
+    left = re.sub("^file:", "", spark.conf.get("spark.checkpoint.dir"))
+    assert not [d for d in os.listdir(left) if d.startswith(("review-counts", "word-counts"))]
+    assert not [d for d in os.listdir(data["dir"]) if d.startswith("out.")]
+    rq.run_review_reports(spark, review_path, stop_path, out)  # a re-run replaces the folder
+
+
+def test_failed_run_leaves_the_old_output(spark, data, monkeypatch):
+    review_path, stop_path = data["paths"]
+    out = os.path.join(data["dir"], "out_failed")
+    paths = rq.run_review_reports(spark, review_path, stop_path, out)
+    monkeypatch.setattr(rq, "top_aspect_from", lambda *a: 1 / 0)
+    with pytest.raises(ZeroDivisionError):
+        rq.run_review_reports(spark, review_path, stop_path, out)
+    assert all(os.path.isdir(p) for p in paths.values())
+    assert not [d for d in os.listdir(data["dir"]) if d.startswith("out_failed.")]
+
+
+def test_category_with_a_comma_survives(spark, tmp_path):
+    reviews = write_lines(tmp_path / "r.csv", ["1;tốt lắm;Room, View;A;positive", "2;tệ;Food;B, C;negative"])
+    stop = write_lines(tmp_path / "s.txt", ["x"])
+    paths = rq.run_review_reports(spark, reviews, stop, str(tmp_path / "out"))
+    got = spark.read.csv(paths["category_count"], schema="category string, n long").collect()
+    assert sorted(tuple(r) for r in got) == [("food", 1), ("room, view", 1)]
+    assert {r.category for r in spark.read.parquet(paths["tokens"]).collect()} == {"food", "room, view"}
+
+
+def test_one_pass_review_counts_equal_per_question(data):
+    slices = rq.sliced_review_counts(data["reviews"])
+    for col, fn in (("category", rq.category_counts), ("aspect", rq.aspect_counts)):
+        assert [tuple(r) for r in rq.review_counts_from(slices, col).collect()] == [tuple(r) for r in fn(data["reviews"]).collect()]
+    for s in ("positive", "negative"):
+        assert [tuple(r) for r in rq.top_aspect_from(slices, s).collect()] == [tuple(r) for r in rq.top_aspect(data["reviews"], s).collect()]
 
 
 @pytest.mark.parametrize("sentiment", ["positive", "negative", None])
@@ -194,7 +225,8 @@ def test_stored_token_table_reads_back(spark, data):
     review_path, stop_path = data["paths"]
     out = os.path.join(data["dir"], "out_roundtrip")
     paths = rq.run_review_reports(spark, review_path, stop_path, out)
-    back = read_delimited(spark, paths["tokens"], TOKENS_SCHEMA, sep=",")
+    back = spark.read.parquet(paths["tokens"])
+    assert back.columns == [f.name for f in TOKENS_SCHEMA.fields]
     got = sorted((tuple(r) for r in back.collect()), key=str)
     assert got == sorted((tuple(r) for r in data["tokens"].collect()), key=str)
     # the later questions give the same answers from the stored table
