@@ -27,14 +27,13 @@ def summarise(plan: str) -> dict[str, str]:
         "joins": ", ".join(f"{j} {t}" for j, t in joins) or "-",
         "partial agg": "yes" if "partial_" in plan else "-",
         "top-k": ", ".join(x for x in ("WindowGroupLimit", "TakeOrderedAndProject") if x in plan) or "-",
-        "spread": "yes" if "RoundRobinPartitioning" in plan else "-",
     }
 
 
 def main() -> None:
     sf_dir = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.1"
     spark = get_session("local[8]", shuffle_partitions=16, extra_conf={"spark.ui.showConsoleProgress": "false"})
-    cols = ["exchanges", "joins", "partial agg", "top-k", "spread"]
+    cols = ["exchanges", "joins", "partial agg", "top-k"]
     print("| query | " + " | ".join(cols) + " |")
     print("| --- " * (len(cols) + 1) + "|")
     for name, fn in QUERIES.items():

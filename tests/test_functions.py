@@ -23,7 +23,7 @@ from sparktally.functions import (
     word_array,
 )
 from sparktally.functions.text import text_words
-from sparktally.operators.ratings import tag_array
+from sparktally.operators.ratings import tag_parts
 
 ASCII_PUNCT = "!\"#$%&'()*+,-./:;<=>?@[\\]^_`{|}~"
 LOW = "".join(chr(i) for i in range(0x21))
@@ -95,15 +95,19 @@ def test_split_fields_drops_trailing_empty(spark):
     assert got == [["a", "b"], ["a", "", "b"], ["", "a"], [""], ["a", " "]]
 
 
-def test_tag_array_like_java_split(spark):
-    got = _apply(spark, ["Drama||", "a||b", "|||", " x | y ", "Drama| |"], lambda c: tag_array(c, "|"))
-    assert got == [["Drama"], ["a", "", "b"], [], ["x", "y"], ["Drama", ""]]
+def test_tag_parts_like_java_split(spark):
+    got = _apply(spark, ["Drama||", "a||b", "|||", " x | y ", "Drama| |"], lambda c: tag_parts(F.col(c) if isinstance(c, str) else c, "|"))
+    assert got == [["Drama"], ["a", "", "b"], [], [" x ", " y "], ["Drama", " "]]
 
 
 def test_safe_casts(spark):
     assert _apply(spark, ["4.5", "abc", "NaN", "4.0d", ""], safe_double)[:2] == [4.5, None]
     nan, d = _apply(spark, ["NaN", "4.0d"], safe_double)
     assert nan != nan and d == 4.0
+    words = ["nan", "NAN", "inf", "INF", "INFINITY", "-inf", "+infinity", "infinity"]
+    assert _apply(spark, words, safe_double) == [None] * len(words)
+    inf = float("inf")
+    assert _apply(spark, ["Infinity", "+Infinity", "-Infinity", "1e999", "0x1p3"], safe_double) == [inf, inf, -inf, inf, 8.0]
     assert _apply(spark, ["25", "25.7", "abc", "+7"], safe_int) == [25, None, None, 7]
 
 
@@ -129,15 +133,3 @@ def test_two_decimals_half_up_and_nulls(spark):
     assert got[:3] == ["4.13", "4.25", "3.00"]
     got = _apply(spark, [None, "2.5"], lambda c: two_decimals_or(c.cast("double"), "NA"))
     assert got == ["NA", "2.50"]
-
-
-def test_scale_conf_sizes_partitions():
-    from sparktally.session import scale_conf
-
-    small = scale_conf(10 * 1024**2)
-    assert small["spark.sql.shuffle.partitions"] == "200"
-    mid = scale_conf(1024**4)  # 1 TB: a quarter of it in 256 MB partitions
-    assert mid["spark.sql.shuffle.partitions"] == "1024"
-    big = scale_conf(100 * 1024**4)
-    assert big["spark.sql.shuffle.partitions"] == "100000"  # capped
-    assert big["spark.sql.files.maxPartitionBytes"] == str(256 * 1024**2)
