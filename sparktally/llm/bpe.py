@@ -245,7 +245,7 @@ class TextEncoder:
                     continue
                 parts = segment.split(" ")
                 first, rest = parts[0], parts[1:]
-                fresh = set(rest).difference(pieces)
+                fresh = set(rest).difference(pieces, new_pieces)
                 if _clean(first) and all(map(_clean, fresh)):
                     plan.append((units, [first]))
                     plan.append((pieces, rest))
@@ -256,9 +256,9 @@ class TextEncoder:
                     plan.append((units, joined))
                     new_units.update(joined)
             plans.append(plan)
-        for p in old.keys() & new_pieces:
-            pieces[p] = old[p]
-            new_pieces.discard(p)
+        moved = old.keys() & new_pieces
+        pieces.update(zip(moved, map(old.__getitem__, moved)))
+        new_pieces -= moved
         new_units.difference_update(units)
         keys = [*new_pieces, *new_units]
         if keys:
