@@ -12,11 +12,11 @@ first letters, in a table of features that labelled toxic documents have and
 clean ones do not; the evidence found goes through a logistic function fitted
 on the labelled rows with each row's own contribution taken out.
 
-Corpus statistics (character counts, document frequencies) cover all rows in
-Spark aggregates. What is shipped to the tasks has a fixed size: a character
-table of 2^18 cells and at most ``MAX_FEATURES`` features. Only the logistic
-function is fitted on a bounded sample (``FIT_ROWS`` labelled rows, chosen by
-a hash of the text).
+The character model counts every character of every text, in Spark. The
+classifier is fitted on a bounded sample: ``FIT_ROWS`` labelled rows, chosen
+by a hash of the doc_id. What is shipped to the tasks has a fixed size: the
+ids of the sample, a character table of 2^18 cells, ``MAX_FEATURES`` features
+at most. Scoring is one pass over the scan without a shuffle.
 """
 
 from __future__ import annotations
@@ -38,9 +38,9 @@ CELLS = 1 << 18  # of the character model
 PREFIXES = (4, 5, 6)  # letters of the prefix features
 MIN_TOXIC = 3  # toxic documents that must have a feature
 MAX_FEATURES = 200_000
-FIT_ROWS = 50_000
+FIT_ROWS = 20_000
 THRESHOLD = 0.7
-CACHE_WORDS = 150_000
+CACHE_WORDS = 250_000
 
 # What a character may imitate.
 LEET = {
@@ -54,20 +54,45 @@ COST_IMITATE, COST_SEPARATOR, COST_REPEAT, COST_KEEP_ODD = 1.0, 1.0, 0.5, 6.0
 _EDGE = ".,;:?%&*#\"'()[]{}…«»“”„-_/\\=~`^"
 _ODD = "0-9@$!|+(<€£"
 _SEP = r".\-_*~`'^,:;/\\#%&=·•"
-# Leetspeak or a separator between letters, or one letter three times running.
+# One letter three times running; leetspeak or a separator between letters.
+_TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _SUSPECT = re.compile(rf"[^\W\d_][{_ODD}{_SEP}]+[^\W\d_]|^[{_ODD}]+[^\W\d_]|[^\W\d_][0-9@$!|+]+$|([^\W\d_])\1\1")
-_SPACED = re.compile(rf"(?<!\S)(?:[^\W_]|[@$!|+])(?:\ (?:[^\W_]|[@$!|+])){{3,}}(?!\S)")
+_SPACED = re.compile(r" ((?:[^\W_]|[@$!|+])(?: (?:[^\W_]|[@$!|+])){3,})(?!\S)")
+
+# Character codes: letters of the basic plane as they are, all else a boundary.
+BOUNDARY = 32
+_CODES = np.array([c if chr(c).isalpha() else BOUNDARY for c in range(1 << 16)], dtype=np.uint64)
+_STEP, _MASK = 0x9E3779B97F4A7C15, (1 << 64) - 1
+
+
+def char_cells(text: str) -> list[np.ndarray]:
+    """Cells of the 1-, 2- and 3-grams of the characters of a text between
+    two boundaries before and one after it; runs of boundaries count too."""
+    points = np.frombuffer(f"  {text} ".encode("utf-32-le"), dtype=np.uint32)
+    codes = _CODES[np.minimum(points, (1 << 16) - 1)]
+    out = []
+    for size in (1, 2, 3):
+        n = len(codes) - 2
+        key = np.full(n, np.uint64(size))
+        for j in range(3 - size, 3):
+            key = (key ^ codes[j : j + n]) * np.uint64(_STEP)
+        out.append((key >> np.uint64(64 - 18)).astype(np.int64))
+    return out
 
 
 def _cell(gram: str) -> int:
-    return xxhash.xxh32_intdigest(gram) % CELLS
+    key = len(gram)
+    for ch in gram:
+        key = (key ^ int(_CODES[min(ord(ch), (1 << 16) - 1)])) * _STEP & _MASK
+    return key >> (64 - 18)
 
 
 class CharModel:
-    """Interpolated character trigrams from hashed counts of a fixed size."""
+    """Interpolated character trigrams from hashed counts of a fixed size; a
+    boundary is a space."""
 
     def __init__(self, counts: np.ndarray):
-        self.counts = counts
+        self.counts, self.total = counts, float(counts.sum()) / 3
         self.cache: dict[str, float] = {}
 
     def cost(self, gram: str) -> float:
@@ -77,28 +102,18 @@ class CharModel:
             if len(self.cache) > 200_000:
                 self.cache.clear()
             n = self.counts
-            p = (n[_cell("1" + gram[2])] + 0.1) / (n[_cell("0")] + 30.0)
-            p = (n[_cell("2" + gram[1:])] + 5 * p) / (n[_cell("1" + gram[1])] + 5)
-            p = (n[_cell("3" + gram)] + 5 * p) / (n[_cell("2" + gram[:2])] + 5)
-            c = self.cache[gram] = -float(np.log(max(p, 1e-12)))
+            p = (n[_cell(gram[2])] + 0.1) / (self.total + 30.0)
+            p = (n[_cell(gram[1:])] + 5 * p) / (n[_cell(gram[1])] + 5)
+            p = (n[_cell(gram)] + 5 * p) / (n[_cell(gram[:2])] + 5)
+            c = self.cache[gram] = -float(np.log(min(1.0, max(p, 1e-12))))
         return c
 
 
-def char_grams(word: str) -> list[str]:
-    """Cells' names of a word's character counts: total, 1-, 2- and 3-grams
-    over the word between two starts and one end mark."""
-    s = "^^" + word + "$"
-    out = ["1^", "2^^"]
-    for i in range(2, len(s)):
-        out += ["0", "1" + s[i], "2" + s[i - 1 : i + 1], "3" + s[i - 2 : i + 1]]
-    return out
-
-
 def restore(token: str, model: CharModel) -> str:
     """The cheapest reading of a lower-case token (Viterbi over the lattice,
     state: the last two characters written)."""
     trace: list[tuple[int, str]] = []  # (previous entry, written character)
-    states: dict[str, tuple[float, int]] = {"^^": (0.0, -1)}  # (cost, entry)
+    states: dict[str, tuple[float, int]] = {"  ": (0.0, -1)}  # (cost, entry)
     for k, ch in enumerate(token):
         arcs: list[tuple[str, float]] = []
         if ch.isalpha():
@@ -127,7 +142,7 @@ def restore(token: str, model: CharModel) -> str:
                     if state not in new or total < new[state][0]:
                         new[state] = (total, at)
         states = new
-    end = min(states, key=lambda s: (states[s][0] + model.cost(s + "$"), s))
+    end = min(states, key=lambda s: (states[s][0] + model.cost(s + " "), s))
     at, out = states[end][1], []
     while at >= 0:
         at, written = trace[at]
@@ -136,92 +151,78 @@ def restore(token: str, model: CharModel) -> str:
 
 
 class Reader:
-    """Restored words of a text, with a bounded cache per word."""
+    """What ``value_of`` gives for the restored words of a text, through a
+    bounded cache per token."""
+
+    def __init__(self, model: CharModel, value_of):
+        self.model, self.value_of = model, value_of
+        self.cache: dict[str, object] = {}
 
-    def __init__(self, model: CharModel | None):
-        self.model = model
-        self.cache: dict[str, str] = {}
+    def word(self, token: str) -> str:
+        word = token.strip(_EDGE)
+        suspect = _TRIPLE if word.isalpha() else _SUSPECT
+        if word and (" " in word or suspect.search(word)):
+            word = restore(word, self.model)
+        return word.rstrip("!")
 
-    def words(self, text: str) -> set[str]:
+    def read(self, text: str) -> set:
         low = text.lower()
         tokens = set(low.split())
-        if self.model is not None:
-            tokens.update(m.group() for m in _SPACED.finditer(low))
+        tokens.update(_SPACED.findall(" " + low.replace("\n", "  ")))
         if len(self.cache) > CACHE_WORDS:
             self.cache.clear()
         cache = self.cache
-        new = tokens.difference(cache)
-        for token in new:
-            word = token.strip(_EDGE)
-            if word and self.model is not None and (" " in word or _SUSPECT.search(word)):
-                word = restore(word, self.model)
-            cache[token] = word.rstrip("!")
-        out = set(map(cache.__getitem__, tokens))
-        out.discard("")
-        return out
-
-
-def features(words: set[str]) -> set[str]:
-    """Whole words (``=word``) and word beginnings (``word``)."""
-    out = {"=" + w for w in words}
-    for n in PREFIXES:
-        out.update(w[:n] for w in words if len(w) >= n)
-    return out
+        for token in tokens.difference(cache):
+            cache[token] = self.value_of(self.word(token))
+        return set(map(cache.__getitem__, tokens))
+
+
+def features(word: str) -> tuple[int, ...]:
+    """Signed 64-bit hashes of a word: whole, and its beginnings."""
+    if not word:
+        return ()
+    names = ["=" + word, *(word[:n] for n in PREFIXES if len(word) >= n)]
+    return tuple(h - (1 << 64) if h >> 63 else h for h in map(xxhash.xxh64_intdigest, names))
 
 
 def character_counts(docs: DataFrame, text: str) -> np.ndarray:
-    """Hashed character n-gram counts of every word of every text: a vector of
-    ``CELLS`` numbers, summed in Spark."""
+    """Hashed character n-gram counts of every text: a vector of ``CELLS``
+    numbers, summed in Spark."""
     slim = docs.select(F.coalesce(F.col(text), F.lit("")).alias("_text"))
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         total = np.zeros(CELLS, dtype=np.int64)
-        cells: dict[str, int] = {}
-        for batch in small_batches(batches, "_text"):
-            words: Counter = Counter()
-            for t in batch.column("_text").to_pylist():
-                words.update(t.lower().split())
-            grams: Counter = Counter()
-            for word, n in words.items():
-                word = word.strip(_EDGE)
-                if word.isalpha():
-                    for g in char_grams(word):
-                        grams[g] += n
-            if len(cells) > 300_000:
-                cells.clear()
-            for g, n in grams.items():
-                c = cells.get(g)
-                if c is None:
-                    c = cells[g] = _cell(g)
-                total[c] += n
+        for batch in small_batches(batches, "_text", 1 << 20):
+            joined = " ".join(batch.column("_text").to_pylist()).lower()
+            for a in range(0, len(joined), 1 << 20):  # a very long text in parts
+                for cells in char_cells(joined[a : a + (1 << 20)]):
+                    total += np.bincount(cells, minlength=CELLS)
         at = np.flatnonzero(total)
         yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["cell", "n"])
 
-    counts = np.zeros(CELLS)
     # At most CELLS rows reach the driver.
-    for r in slim.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toLocalIterator():
-        counts[r["cell"]] = r["n"]
+    found = slim.mapInArrow(run, "cell long, n long").groupBy("cell").agg(F.sum("n").alias("n")).toArrow()
+    counts = np.zeros(CELLS)
+    counts[found.column("cell").to_numpy()] = found.column("n").to_numpy()
     return counts
 
 
 def _feature_rows(labelled: DataFrame, counts) -> DataFrame:
-    """(toxic, feature) once per labelled document and feature."""
+    """(feature, a, b): toxic and clean documents that have it, per batch."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader = Reader(CharModel(counts.value))
-        for batch in small_batches(batches, "_text", 1 << 20):
-            seen: dict[tuple[int, str], int] = Counter()
+        reader = Reader(CharModel(counts.value), features)
+        for batch in small_batches(batches, "_text"):
+            seen = Counter(), Counter()
             for t, y in zip(batch.column("_text").to_pylist(), batch.column("toxic").to_pylist()):
-                for f in features(reader.words(t)):
-                    seen[y, f] += 1
-            if seen:
-                ys, fs = zip(*seen)
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(ys, pa.int32()), pa.array(fs, pa.string()), pa.array(list(seen.values()), pa.int64())],
-                    names=["toxic", "feature", "n"],
-                )
+                seen[y].update(set().union(*reader.read(t)))
+            names = np.array(list(seen[0].keys() | seen[1].keys()), dtype=np.int64)
+            for a in range(0, len(names), 1 << 17):
+                some = names[a : a + (1 << 17)]
+                both = [pa.array([seen[y][f] for f in some.tolist()], pa.int64()) for y in (1, 0)]
+                yield pa.RecordBatch.from_arrays([pa.array(some), *both], names=["feature", "a", "b"])
 
-    return labelled.mapInArrow(run, "toxic int, feature string, n long")
+    return labelled.mapInArrow(run, "feature long, a long, b long")
 
 
 def _log_odds(a: np.ndarray, b: np.ndarray, n1: float, n0: float) -> np.ndarray:
@@ -259,28 +260,38 @@ class ToxicityModel:
     """What scoring needs: character counts, feature weights, the logistic
     function. Bounded by CELLS and MAX_FEATURES."""
 
-    def __init__(self, counts: np.ndarray, weights: dict[str, float], logistic: np.ndarray):
+    def __init__(self, counts: np.ndarray, weights: dict[int, float], logistic: np.ndarray):
         self.counts, self.weights, self.logistic = counts, weights, logistic
 
-    def score(self, words: set[str]) -> float:
-        found = [self.weights[f] for f in features(words) if f in self.weights]
-        x = np.append(evidence(np.array(found)), 1.0)
+    def reader(self) -> Reader:
+        known = self.weights
+        return Reader(CharModel(self.counts), lambda word: tuple(f for f in features(word) if f in known))
+
+    def score(self, found: set) -> float:
+        """Score of what the reader found in a text."""
+        weights = np.array([self.weights[f] for f in set().union(*found)])
+        x = np.append(evidence(weights), 1.0)
         return float(1 / (1 + np.exp(-np.clip(x @ self.logistic, -30, 30))))
 
 
 def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str = "text", toxic: str = "toxic") -> ToxicityModel:
-    """Fit on the given labelled rows (rows of ``labels`` that may be learnt
-    from); character counts cover all of ``docs``. Repeated labels of one
-    doc_id count as toxic if any is; NULL labels and texts are left out.
-    Without a toxic or without a clean row every score is the share of toxic
-    rows (0 without any)."""
+    """Fit on ``FIT_ROWS`` of the given labelled rows (rows of ``labels`` that
+    may be learnt from); character counts cover all of ``docs``. Repeated
+    labels of one doc_id count as toxic if any is; NULL labels, ids and texts
+    are left out. Without a toxic or without a clean row every score is the
+    share of toxic rows (0 without any)."""
     spark = docs.sparkSession
     counts = spark.sparkContext.broadcast(character_counts(docs, text))
-    known = labels.where(F.col(toxic).isNotNull()).groupBy(F.col(doc_id).alias("_id")).agg(F.max(toxic).cast("int").alias("toxic"))
+    known = (
+        labels.where(F.col(toxic).isNotNull() & F.col(doc_id).isNotNull())
+        .groupBy(F.col(doc_id).alias("_id")).agg(F.max(toxic).cast("int").alias("toxic"))
+        .join(docs.select(F.col(doc_id).alias("_id")), "_id", "left_semi")
+    )
+    # At most FIT_ROWS ids, so the texts are not shuffled.
+    sample = F.broadcast(known.orderBy(F.xxhash64("_id"), "_id").limit(FIT_ROWS))
     labelled = materialize(
         docs.select(F.col(doc_id).alias("_id"), F.col(text).alias("_text")).where("_text IS NOT NULL")
-        .join(known, "_id")
-        .select("toxic", "_text"),
+        .join(sample, "_id").select("toxic", "_text"),
         "tox-labelled",
     )
     sizes = {r["toxic"]: r["n"] for r in labelled.groupBy("toxic").agg(F.count("*").alias("n")).collect()}
@@ -289,34 +300,32 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         share = np.clip(n1 / max(1, n1 + n0), 1e-9, 1 - 1e-9)
         drop_scratch(labelled)
         return ToxicityModel(counts.value, {}, np.array([0.0, 0.0, 0.0, np.log(share / (1 - share))]))
-    per = _feature_rows(labelled, counts).groupBy("feature").agg(
-        F.sum(F.when(F.col("toxic") == 1, F.col("n")).otherwise(0)).alias("a"),
-        F.sum(F.when(F.col("toxic") == 0, F.col("n")).otherwise(0)).alias("b"),
-    )
+    per = _feature_rows(labelled, counts).groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     strong = per.where((F.col("a") >= MIN_TOXIC) & (F.col("a") * n0 > F.lit(4) * F.col("b") * n1))
-    rows = strong.orderBy((F.col("a") / (F.col("b") + 1)).desc(), "feature").limit(MAX_FEATURES).collect()
-    table = {r["feature"]: (r["a"], r["b"]) for r in rows}
+    best = strong.orderBy((F.col("a") / (F.col("b") + 1)).desc(), "feature").limit(MAX_FEATURES).toArrow()
+    names = best.column("feature").to_pylist()
+    ab = np.column_stack([best.column(c).to_numpy().astype(float) for c in ("a", "b")])
+    table = dict(zip(names, map(tuple, ab.tolist())))
     strong_features = spark.sparkContext.broadcast(table)
 
     def collect_evidence(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        reader, known_features = Reader(CharModel(counts.value)), strong_features.value
-        for batch in small_batches(batches, "_text", 1 << 20):
+        known_features = strong_features.value
+        reader = Reader(CharModel(counts.value), lambda word: tuple(f for f in features(word) if f in known_features))
+        for batch in small_batches(batches, "_text"):
             out: list[list] = [[], [], [], []]
             for t, y in zip(batch.column("_text").to_pylist(), batch.column("toxic").to_pylist()):
-                ab = [known_features[f] for f in features(reader.words(t)) if f in known_features]
-                a = np.array([p[0] for p in ab], dtype=float) - (y == 1)
-                b = np.array([p[1] for p in ab], dtype=float) - (y == 0)
+                own = [known_features[f] for f in set().union(*reader.read(t))]
+                a = np.array([p[0] for p in own], dtype=float) - (y == 1)
+                b = np.array([p[1] for p in own], dtype=float) - (y == 0)
                 ok = a >= MIN_TOXIC - 1
                 x = evidence(_log_odds(a[ok], b[ok], n1 - (y == 1), n0 - (y == 0)))
                 for k, v in enumerate((*x, y)):
                     out[k].append(float(v))
             yield pa.RecordBatch.from_arrays([pa.array(c, pa.float64()) for c in out], names=["x0", "x1", "x2", "y"])
 
-    sample = labelled.orderBy(F.xxhash64("_text")).limit(FIT_ROWS) if n1 + n0 > FIT_ROWS else labelled
-    points = np.array([tuple(r) for r in sample.mapInArrow(collect_evidence, "x0 double, x1 double, x2 double, y double").collect()])
-    logistic = _fit_logistic(points[:, :3], points[:, 3])
-    names = list(table)
-    ab = np.array([table[f] for f in names], dtype=float).reshape(-1, 2)
+    points = labelled.mapInArrow(collect_evidence, "x0 double, x1 double, x2 double, y double").toArrow()
+    x = np.column_stack([points.column(c).to_numpy() for c in ("x0", "x1", "x2")])
+    logistic = _fit_logistic(x, points.column("y").to_numpy())
     w = _log_odds(ab[:, 0], ab[:, 1], n1, n0)
     drop_scratch(labelled)
     return ToxicityModel(counts.value, {f: float(v) for f, v in zip(names, w) if v > 0}, logistic)
@@ -333,9 +342,9 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFram
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         gc.disable()
         fitted = shipped(sent)
-        reader = Reader(CharModel(fitted.counts))
+        reader = fitted.reader()
         for batch in small_batches(batches, text):
-            scores = [fitted.score(reader.words(t or "")) for t in batch.column(text).to_pylist()]
+            scores = [fitted.score(reader.read(t or "")) for t in batch.column(text).to_pylist()]
             yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(scores, pa.float64())], names=[*rest, "score"])
 
     return docs.select(*rest).mapInArrow(run, f"{schema}, score double")

@@ -75,16 +75,22 @@ def test_toxicity_without_labels_or_rows(spark, frames):
 
 def test_restoring_spellings():
     counts = np.zeros(toxicity.CELLS)
-    for w in BAD * 50 + ["kalo", "mine", "and"] * 50:
-        for g in toxicity.char_grams(w):
-            counts[toxicity._cell(g)] += 1
-    reader = toxicity.Reader(toxicity.CharModel(counts))
-    assert "idiot" in reader.words("You 1d10t!!")
-    assert "moron" in reader.words("m-o-r-o-n")
-    assert "scum" in reader.words("s c u m")
-    assert "trash" in reader.words("trrraaash")
-    assert "kalo" in reader.words("(kalo),")
-    assert reader.words("   ") == set()
+    for cells in toxicity.char_cells(" ".join(BAD * 50 + ["kalo", "mine", "and"] * 50)):
+        counts += np.bincount(cells, minlength=toxicity.CELLS)
+    reader = toxicity.Reader(toxicity.CharModel(counts), str)
+    assert "idiot" in reader.read("You 1d10t!!")
+    assert "moron" in reader.read("m-o-r-o-n")
+    assert "scum" in reader.read("s c u m") and "scum" in reader.read("a\ns c u m\n")
+    assert "trash" in reader.read("trrraaash")
+    assert "kalo" in reader.read("(kalo),")
+    assert reader.read("   ") == set()
+
+
+def test_character_cells_agree_one_by_one():
+    text = "Ab é漢😀 9z"
+    codes = "  " + text + " "
+    for size, cells in zip((1, 2, 3), toxicity.char_cells(text)):
+        assert cells.tolist() == [toxicity._cell(codes[i - size + 1 : i + 1]) for i in range(2, len(codes))]
 
 
 def test_lm_matches_direct_unigrams_and_beats_base(spark):
