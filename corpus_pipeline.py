@@ -34,15 +34,16 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     verdict = neardup.near_duplicates(docs)
     # A doc_id is gone when all its rows are.
     kept = materialize(
-        verdict.where("doc_id IS NOT NULL").groupBy("doc_id").agg(F.max("kept").alias("kept"), F.count("*").alias("rows"))
-        .where("kept").select("doc_id", "rows"),
+        verdict.where("doc_id IS NOT NULL")
+        .groupBy(F.col("doc_id").alias("_kept_id"))
+        .agg(F.max("kept").alias("_kept"), F.count("*").alias("_rows"))
+        .where("_kept"),
         "pipeline-kept",
     )
-    stay = docs.join(kept, "doc_id").select(*docs.columns, "rows")
-    single = stay.where("rows = 1").select(*docs.columns)
-    out = single.unionByName(docs.where("doc_id IS NULL"))
-    if not kept.where("rows > 1").isEmpty():
-        out = out.unionByName(stay.where("rows > 1").select(*docs.columns).dropDuplicates(["doc_id"]))
+    stay = docs.join(kept, F.col("doc_id") == F.col("_kept_id"))
+    out = stay.where("_rows = 1").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
+    if not kept.where("_rows > 1").isEmpty():
+        out = out.unionByName(stay.where("_rows > 1").select(*docs.columns).dropDuplicates(["doc_id"]))
     return out
 
 
