@@ -35,6 +35,19 @@ def _corpus(n=400, seed=3):
     return docs, labels
 
 
+def _chains(n=500, seed=8):
+    """Texts in which a word has four possible followers."""
+    rng = random.Random(seed)
+    docs = []
+    for i in range(n):
+        at, words = rng.randrange(200), []
+        for _ in range(rng.randint(20, 120)):
+            at = (at * 7 + rng.randrange(4)) % 200
+            words.append(f"w{at}")
+        docs.append((i, " ".join(words)))
+    return docs
+
+
 @pytest.fixture(scope="module")
 def frames(spark):
     docs, labels = _corpus()
@@ -94,8 +107,7 @@ def test_character_cells_agree_one_by_one():
 
 
 def test_lm_matches_direct_unigrams_and_beats_base(spark):
-    docs, _ = _corpus(500, 8)
-    docs = [(i, t.title() if i % 7 == 0 else t) for i, t in docs]
+    docs = [(i, t.title() if i % 7 == 0 else t) for i, t in _chains()]
     docs += [(2000, None), (2001, ""), (2002, "never seen words"), (2003, "twice same"), (2003, "twice same"), (None, "no id")]
     rows = [(i, t, 3) for i, t in docs]
     got = lm.score_documents(spark.createDataFrame(rows, "doc_id long, text string, block int")).collect()
