@@ -1,41 +1,43 @@
 """Language-model scoring with a weighted backoff automaton.
 
 Smoothed n-grams become states with failure arcs: a state is a context that
-has kept continuations, an arc carries the probability of a kept n-gram, and
-a missing arc is answered by the failure arc to the shorter context at the
-price of its backoff weight. One left-to-right traversal per text carries the
-state and adds up log-probabilities.
+has kept continuations, an arc carries the discounted share of a kept n-gram,
+and the failure arc leads to the shorter context with the share that is left.
+The states of a text follow from its words, so the arcs and failure arcs of
+all texts of a block are taken together, shortest contexts first.
 
 - Unigrams cover the whole vocabulary. Texts are dealt into blocks by a hash
   of the doc_id; every block sends each of its distinct words with its count
   once, a window over the word (one row per block and word) adds them up, and
   the words whose total differs from the block's own count are sent back. The
   vocabulary is never on the driver or in one task.
-- A bigram or trigram is kept if its share of all tokens is at least
-  ``1 / SHARE`` (and it occurs twice), at every size of the corpus. At most
-  ``SHARE`` n-grams of an order can have that share, so the automaton is
-  bounded and is broadcast. A first pass adds up, for every n-gram, the
-  blocks of texts in which it has the share and occurs twice; those whose sum
-  has the share overall are counted exactly, over all training texts, in a
-  second pass.
-- Smoothing: absolute discounting, with exact backoff weights; the discount
-  taken from the unigrams goes to one unknown word.
+- Every bigram and trigram of the training texts is counted exactly. A block
+  sends each of its distinct ones once, with its count, to the part that the
+  hash of the first two words names; the part adds them up, and answers every
+  block in the order in which that block sent them. A bigram or trigram is
+  kept if it occurs ``LEAST`` times, at every size of the corpus. Blocks and
+  parts grow in number with the corpus, not in size, and a block gets only the
+  arcs its own texts can take: there is no automaton of the whole corpus.
+- Smoothing: absolute discounting, interpolated. An arc carries the discounted
+  share of its n-gram, a failure arc the share its context has left, and the
+  probability of a token is the sum over its arcs along the failure path; what
+  is taken from the unigrams goes to one unknown word.
 """
 
 from __future__ import annotations
 
-import gc
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparktally.llm.common import crc_mod, drop_scratch, grouped, materialize, ship, shipped, small_batches
+from sparktally.llm.common import crc_mod, free_shuffles, grouped, materialize, mix64, ship, shipped
 from sparktally.llm.shingles import hash_words, words_of
 
-SHARE = 1 << 18
+LEAST = 2  # occurrences of a kept bigram or trigram
 ORDER = 3
 DISCOUNT = 0.5
 BLOCK_BYTES = 12 << 20
@@ -52,15 +54,14 @@ def _sequence(text: str) -> np.ndarray:
     return out
 
 
-def _gram_keys(seq: np.ndarray, order: int) -> np.ndarray:
-    """One 64-bit key per run of ``order`` tokens."""
-    x = seq.view(np.uint64)
-    n = len(x) - order + 1
-    key = np.full(max(n, 0), np.uint64(order))
-    for j in range(order if n > 0 else 0):
-        key = (key ^ x[j : j + n]) * np.uint64(0x9E3779B97F4A7C15)
-        key ^= key >> np.uint64(29)
-    return key
+def _extended(key: np.ndarray, tokens: np.ndarray) -> np.ndarray:
+    """64-bit keys of runs of tokens, from the keys without their last ones."""
+    key = (key ^ tokens.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
+    return key ^ (key >> np.uint64(29))
+
+
+def _pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
+    return mix64(_extended(_extended(np.full(len(first), np.uint64(ORDER)), first), second))
 
 
 def _slim(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
@@ -71,167 +72,235 @@ def _slim(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     )
 
 
-def candidate_grams(training: DataFrame, share: int = SHARE) -> DataFrame:
-    """(size, h0, h1, h2, n): n-grams of two and three tokens that reach the
-    share in some block of texts; n adds up those blocks."""
+class Grams:
+    """Distinct bigrams and trigrams of texts laid end to end, each text as
+    START, words, END: bigrams by key, trigrams by bigram and key. The order
+    depends on the n-grams only, not on that of the texts."""
+
+    def __init__(self, joined: np.ndarray):
+        starts = np.flatnonzero(joined == START)
+        two = np.ones(len(joined), dtype=bool)  # a bigram ends here
+        two[starts] = False
+        self.at2 = np.flatnonzero(two).astype(np.int32)
+        two[starts + 1] = False
+        self.at3 = np.flatnonzero(two).astype(np.int32)
+        self.key, at, place = np.unique(
+            _pair_keys(joined[self.at2 - 1], joined[self.at2]), return_index=True, return_inverse=True
+        )
+        self.first = joined[self.at2 - 1][at]
+        self.place2 = place.astype(np.int32)
+        # The bigram before each token that ends a trigram.
+        place = np.empty(len(joined), dtype=np.int32)
+        place[self.at2] = self.place2
+        parent = place[self.at3 - 1]
+        _, at, place = np.unique(_extended(self.key[parent], _third(joined[self.at3])), return_index=True, return_inverse=True)
+        order = np.argsort(parent[at], kind="stable")
+        rank = np.empty(len(order), dtype=np.int32)
+        rank[order] = np.arange(len(order), dtype=np.int32)
+        self.place3 = rank[place]
+        self.parent, self.third = parent[at][order], _third(joined[self.at3[at][order]])
+
+
+def _third(tokens: np.ndarray) -> np.ndarray:
+    """The 48 bits that tell apart the words after one bigram."""
+    return np.where(tokens == END, END, (tokens.view(np.uint64) >> np.uint64(16)).view(np.int64))
+
+
+def _part_of(key: np.ndarray, parts: int) -> np.ndarray:
+    """Parts are equal ranges of keys."""
+    return ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
+def _packed(column: np.ndarray) -> bytes:
+    """Numbers in as many bytes each as the largest needs (the first byte)."""
+    column = np.ascontiguousarray(column, dtype=np.int64).view(np.uint64)
+    width = max(1, (int(column.max(initial=0)).bit_length() + 7) // 8)
+    return bytes([width]) + column.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+
+
+def _numbers(raw: bytes) -> np.ndarray:
+    out = np.zeros(((len(raw) - 1) // raw[0], 8), dtype=np.uint8)
+    out[:, : raw[0]] = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, raw[0])
+    return out.view("<i8").ravel()
+
+
+def _unpacked(table: pa.Table, name: str) -> list[np.ndarray]:
+    """The numbers of every row of a packed column."""
+    return [_numbers(x.as_py()) for chunk in table.column(name).chunks for x in chunk] or [np.zeros(0, np.int64)]
+
+
+_SENT = ["steps", "first", "own2", "n3", "third", "own3"]  # steps: of the sorted keys
+_ANSWER = ["total2", "kept2", "arcs2", "total3"]
+_ANSWERED = "block int, part int, word binary, kept binary, arcs binary, " + ", ".join(f"{c} binary" for c in _ANSWER)
+
+
+def _block_grams(blocks: DataFrame, parts: int) -> DataFrame:
+    """(part, block, packed n-grams): the distinct bigrams and trigrams of a
+    block, held-out texts included, with their counts in its training texts."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in small_batches(batches, "_text", 8 << 20):
-            seqs = [_sequence(t) for t in batch.column("_text").to_pylist()]
-            tokens = sum(map(len, seqs)) - len(seqs)
-            least = max(2, -(-tokens // share))
-            joined = np.concatenate(seqs)
-            for size in range(2, ORDER + 1):
-                keys = _gram_keys(joined, size)
-                # Runs that cross from one text into the next are no n-grams:
-                # START may stand first only.
-                inside = np.ones(len(keys), dtype=bool)
-                for j in range(1, size):
-                    inside &= joined[j : j + len(keys)] != START
-                places = np.flatnonzero(inside)
-                _, first, n = np.unique(keys[places], return_index=True, return_counts=True)
-                often = n >= least
-                at = places[first[often]]
-                cols = [pa.array(joined[at + j] if j < size else np.zeros(len(at), np.int64)) for j in range(ORDER)]
+        for block, table in grouped(batches, "block"):
+            seqs = [_sequence(t) for t in table.column("_text").to_pylist()]
+            held = np.repeat(table.column("held_out").to_numpy(), [len(s) for s in seqs])
+            grams = Grams(np.concatenate(seqs))
+            own2 = np.bincount(grams.place2[~held[grams.at2]], minlength=len(grams.key))
+            own3 = np.bincount(grams.place3[~held[grams.at3]], minlength=len(grams.third))
+            n3 = np.bincount(grams.parent, minlength=len(grams.key))
+            part = _part_of(grams.key, parts)
+            cut2 = np.searchsorted(part, np.arange(parts + 1))
+            cut3 = np.searchsorted(grams.parent, cut2)
+            for p in np.unique(part).tolist():
+                two, three = slice(cut2[p], cut2[p + 1]), slice(cut3[p], cut3[p + 1])
+                steps = np.diff(grams.key[two], prepend=np.uint64(0))
+                row = map(_packed, (steps.view(np.int64), grams.first[two], own2[two], n3[two], grams.third[three], own3[three]))
                 yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), size), pa.int32()), *cols, pa.array(n[often], pa.int64())],
-                    names=["size", "h0", "h1", "h2", "n"],
+                    [pa.array([p], pa.int32()), pa.array([block], pa.int32()), *(pa.array([c], pa.binary()) for c in row)],
+                    names=["part", "block", *_SENT],
                 )
 
+    dealt = blocks.select("block", "held_out", "_text").repartition("block").sortWithinPartitions("block")
+    return dealt.mapInArrow(run, "part int, block int, " + ", ".join(f"{c} binary" for c in _SENT))
+
+
+def _add_up(table: pa.Table, least: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
+    """The n-grams of a part: per bigram sent its total and, of the kept
+    trigrams after it, occurrences and number; per trigram sent its total; the
+    numbers of both in each row; then per first word of kept bigrams the same
+    sums as (word, occurrences, number)."""
+    steps, first, own2, n3, third, own3 = (_unpacked(table, c) for c in _SENT)
+    rows2, rows3 = ([len(x) for x in c] for c in (first, third))
+    first, own2, n3, third, own3 = map(np.concatenate, (first, own2, n3, third, own3))
+    keys = np.concatenate([np.cumsum(x.view(np.uint64)) for x in steps])
+    key, at, place = np.unique(keys, return_index=True, return_inverse=True)
+    del steps, keys
+
+    def sums(places, values, size):
+        out = np.zeros(size, dtype=np.int64)
+        np.add.at(out, places, values)
+        return out
+
+    total2 = sums(place, own2, len(key))
+    parent = np.repeat(place, n3)
+    key3, at3, place3 = np.unique(_extended(key[parent], third), return_index=True, return_inverse=True)
+    total3 = sums(place3, own3, len(key3))
+    kept = total3 >= least
+    kept2 = sums(parent[at3][kept], total3[kept], len(key))
+    arcs2 = np.bincount(parent[at3][kept], minlength=len(key))
+    often = total2 >= least
+    word, which = np.unique(first[at][often], return_inverse=True)
+    of_words = [word, sums(which, total2[often], len(word)), np.bincount(which, minlength=len(word))]
+    return [total2[place], kept2[place], arcs2[place], total3[place3]], of_words, np.array(rows2), np.array(rows3)
+
+
+def gram_totals(blocks: DataFrame, parts: int, least: int = LEAST) -> DataFrame:
+    """Answers to the blocks, in the order of their n-grams, and (block NULL)
+    the sums of the kept bigrams per first word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        schema = pa.schema(
+            [("block", pa.int32()), ("part", pa.int32())] + [(c, pa.binary()) for c in ["word", "kept", "arcs", *_ANSWER]]
+        )
+        for part, table in grouped(batches, "part"):
+            answers, words, rows2, rows3 = _add_up(table, least)
+            yield pa.RecordBatch.from_arrays(
+                [pa.array([v], f.type) for v, f in zip([None, part, *map(_packed, words), *[None] * len(_ANSWER)], schema)], schema=schema
+            )
+            ends2, ends3 = np.cumsum(rows2), np.cumsum(rows3)
+            for i, block in enumerate(table.column("block").to_pylist()):
+                two, three = slice(ends2[i] - rows2[i], ends2[i]), slice(ends3[i] - rows3[i], ends3[i])
+                values = [block, part, None, None, None, *(_packed(a[two]) for a in answers[:3]), _packed(answers[3][three])]
+                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
+
+    sent = _block_grams(blocks, parts).repartition("part").sortWithinPartitions("part")
+    return sent.mapInArrow(run, _ANSWERED)
+
+
+def _word_sums(answers: DataFrame) -> DataFrame:
+    """(word, kept, arcs): occurrences and number of the kept bigrams that
+    begin with a word."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for i in range(batch.num_rows):
+                cols = [_numbers(batch.column(c)[i].as_py()) for c in range(3)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["word", "kept", "arcs"])
+
+    rows = answers.where("block IS NULL").select("word", "kept", "arcs")
     return (
-        training.select("_text").mapInArrow(run, "size int, h0 long, h1 long, h2 long, n long")
-        .groupBy("size", "h0", "h1", "h2").agg(F.sum("n").alias("n"))
+        rows.mapInArrow(run, "word long, kept long, arcs long")
+        .groupBy("word").agg(F.sum("kept").alias("kept"), F.sum("arcs").alias("arcs"))
     )
 
 
-def exact_counts(training: DataFrame, keys: np.ndarray) -> np.ndarray:
-    """Occurrences of each of the given (sorted, bounded) n-gram keys of one to
-    ``ORDER`` tokens over all texts."""
-    sent = training.sparkSession.sparkContext.broadcast(keys)
+def _left(total: np.ndarray, kept: np.ndarray, arcs: np.ndarray) -> np.ndarray:
+    """Weight of the failure arcs of contexts that occur ``total`` times and
+    whose arcs are ``arcs`` kept n-grams of ``kept`` occurrences."""
+    whole = np.maximum(total, 1)
+    return np.where(arcs > 0, (whole - kept + DISCOUNT * arcs) / whole, 1.0)
+
+
+def _arc(count: np.ndarray, context: np.ndarray, least: int) -> np.ndarray:
+    """Weight of the arcs of n-grams in their contexts, 0: no arc."""
+    return np.where(count >= least, (count - DISCOUNT) / np.maximum(context, 1), 0.0)
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        known = sent.value
-        total = np.zeros(len(known), dtype=np.int64)
-        # Most keys are unknown; a bitmap of their upper bits says so at once.
-        shift = np.uint64(64 - 22)
-        maybe = np.zeros(1 << 22, dtype=bool)
-        maybe[known >> shift] = True
-        for batch in small_batches(batches, "_text"):
-            # n-grams across texts hold END before START and are never known.
-            seq = np.concatenate([_sequence(t) for t in batch.column("_text").to_pylist()])
-            for size in range(1, ORDER + 1):
-                key = _gram_keys(seq, size)
-                key = key[maybe[key >> shift]]
-                at = np.minimum(np.searchsorted(known, key), len(known) - 1)
-                total += np.bincount(at[known[at] == key], minlength=len(known))
-        at = np.flatnonzero(total)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(total[at])], names=["at", "n"])
-
-    out = np.zeros(len(keys), dtype=np.int64)
-    if len(keys):
-        table = training.select("_text").mapInArrow(run, "at long, n long").groupBy("at").agg(F.sum("n").alias("n")).toArrow()
-        out[table.column("at").to_numpy()] = table.column("n").to_numpy()
-    return out
+
+def step(lower: np.ndarray, arc: np.ndarray, failure: np.ndarray) -> np.ndarray:
+    """Probabilities of tokens in their contexts, from those in the contexts
+    without their first word, where the failure arcs lead."""
+    return arc + failure * lower
 
 
 class BackoffAutomaton:
-    """States, arcs and failure arcs of the kept n-grams.
+    """States, arcs and failure arcs of given n-grams.
 
-    ``words`` (sorted hashes) are the tokens that occur in kept n-grams; a
+    ``words`` (sorted hashes) are the tokens that occur in the n-grams; a
     token outside them has no arc but the root's unigram.
     """
 
     def __init__(self, grams: list[tuple[int, ...]], counts: dict[tuple[int, ...], int], unigram):
-        """``counts``: exact counts of the kept n-grams and of all their
-        tokens (START: the number of texts); ``unigram``: hash -> P."""
+        """``counts``: exact counts of the n-grams, of their contexts and of
+        their tokens (START: the number of texts); ``unigram``: hash -> P."""
         self.words = np.array(sorted({h for g in grams for h in g}), dtype=np.int64)
         ident = {h: i for i, h in enumerate(self.words.tolist())}
-        by_context: dict[tuple[int, ...], list[int]] = {}
+        self.begin = ident.get(START, -1)
+        self.arcs: dict[tuple[int, ...], float] = {}
+        sums: dict[tuple[int, ...], list[int]] = {}
         for g in grams:
-            by_context.setdefault(g[:-1], []).append(g[-1])
-        order = sorted(by_context, key=lambda c: (len(c), c))
-        state = {(): 0} | {c: i for i, c in enumerate(order, 1)}
-        n = len(state)
-        self.fail, self.backoff = [0] * n, [0.0] * n
-        self.arcs: dict[int, tuple[float, int]] = {}
-
-        def lower(context: tuple[int, ...]) -> tuple[int, ...]:
-            while context not in state:
-                context = context[1:]
-            return context
-
-        prob: dict[tuple[int, ...], float] = {}
-
-        def p(context: tuple[int, ...], word: int) -> float:
-            if not context:
-                return unigram(word)
-            found = prob.get((*context, word))
-            if found is not None:
-                return found
-            weight = bow.get(context, 1.0)
-            return weight * p(context[1:], word)
-
-        bow: dict[tuple[int, ...], float] = {}
-        for context in order:
-            whole = counts[context]
-            kept, below = 0.0, 0.0
-            for word in by_context[context]:
-                below += p(context[1:], word)
-                prob[(*context, word)] = (counts[(*context, word)] - DISCOUNT) / whole
-                kept += prob[(*context, word)]
-            bow[context] = max(1.0 - kept, 1e-12) / max(1.0 - below, 1e-12)
-            s = state[context]
-            self.fail[s] = state[lower(context[1:])]
-            # The failure arc may skip contexts without continuations, whose
-            # own backoff weight is one.
-            self.backoff[s] = float(np.log10(bow[context]))
-            for word in by_context[context]:
-                nxt = state[lower((*context, word)[-(ORDER - 1) :])]
-                self.arcs[s << 24 | ident[word]] = (float(np.log10(prob[(*context, word)])), nxt)
-        self.alone = [state.get((h,), 0) for h in self.words.tolist()]
-        self.begin = state.get((START,), 0)
-        self.to_root = [0.0] * n
-        for s in range(1, n):
-            self.to_root[s] = self.backoff[s] + self.to_root[self.fail[s]]
+            self.arcs[tuple(ident[h] for h in g)] = float(_arc(np.array(counts[g]), np.array(counts[g[:-1]]), 1))
+            kept = sums.setdefault(g[:-1], [0, 0])
+            kept[0] += counts[g]
+            kept[1] += 1
+        self.failures = {
+            tuple(ident[h] for h in c): float(_left(np.array(counts[c]), np.array(kept), np.array(n))) for c, (kept, n) in sums.items()
+        }
 
     def traverse(self, ids: list[int], unigrams: list[float]) -> float:
-        """log10 probability of one text; ids are places in ``words`` or -1."""
-        arcs, fail, backoff, to_root, alone = self.arcs.get, self.fail, self.backoff, self.to_root, self.alone
-        s, total = self.begin, 0.0
-        for word, unigram in zip(ids, unigrams):
-            if word < 0:
-                total += to_root[s] + unigram
-                s = 0
-                continue
-            while s:
-                arc = arcs(s << 24 | word)
-                if arc is not None:
-                    total += arc[0]
-                    s = arc[1]
-                    break
-                total += backoff[s]
-                s = fail[s]
-            else:
-                total += unigram
-                s = alone[word]
-        return total
-
-
-def _blocks(slim: DataFrame) -> DataFrame:
+        """log10 probability of one text; ids are places in ``words`` or -1,
+        ``unigrams`` the tokens' log10 probabilities."""
+        seq = [self.begin, *ids]
+        p = 10.0 ** np.array(unigrams)
+        for size in range(1, ORDER):
+            contexts = [tuple(seq[i - size : i]) if i >= size else () for i in range(1, len(seq))]
+            arcs = [self.arcs.get((*c, w), 0.0) if c else 0.0 for c, w in zip(contexts, ids)]
+            p = step(p, np.array(arcs), np.array([self.failures.get(c, 1.0) for c in contexts]))
+        return float(np.log10(p).sum())
+
+
+def _blocks(slim: DataFrame) -> tuple[DataFrame, int]:
     size = slim.agg(F.sum(F.octet_length("_text").cast("double")).alias("n")).first()["n"] or 0
     n = max(1, int(-(-size // BLOCK_BYTES)))
-    return slim.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int"))
+    return slim.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")), n
 
 
 def _word_counts(blocks: DataFrame) -> DataFrame:
     """(block, word, own): every distinct token of a block with its count in
-    the block's training texts."""
+    the block's training texts (START, a context only, included)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for block, table in grouped(batches, "block"):
             train, held = [], []
             for text, out in zip(table.column("_text").to_pylist(), table.column("held_out").to_pylist()):
-                (held if out else train).append(_sequence(text)[1:])
+                (held if out else train).append(_sequence(text))
             every = np.concatenate(train + held)
             words, place = np.unique(every, return_inverse=True)
             own = np.bincount(place[: sum(map(len, train))], minlength=len(words))
@@ -263,74 +332,50 @@ class UnigramModel:
         return np.log10((count + 0.1) / (self.tokens + 0.1 * (self.types + 1)))
 
 
-def _score_block(docs: pa.Table, totals: pa.Table, unigrams: UnigramModel, automaton: BackoffAutomaton) -> pa.Table:
-    seqs = [_sequence(t)[1:] for t in docs.column("_text").to_pylist()]
+def _score_block(docs: pa.Table, replies: pa.Table, unigrams: UnigramModel, least: int) -> pa.Table:
+    seqs = [_sequence(t) for t in docs.column("_text").to_pylist()]
     held = docs.column("held_out").to_numpy()
     lengths = np.array([len(s) for s in seqs], dtype=np.int64)
-    train = np.repeat(~held, lengths)
-    words, place = np.unique(np.concatenate(seqs), return_inverse=True)
-    count = np.bincount(place[train], minlength=len(words)).astype(np.int64)
-    sent = totals.column("word").to_numpy()
-    count[np.searchsorted(words, sent)] = totals.column("total").to_numpy()
-    uni = np.log10(unigrams.probability(count))
-    base = unigrams.base(count)
-    ident = np.full(len(words), -1)
-    if len(automaton.words):
-        at = np.searchsorted(automaton.words, words)
-        at[at == len(automaton.words)] = 0
-        ident = np.where(automaton.words[at] == words, at, -1)
-    known = count > 0
-    rows: list[list] = [[], [], []]
-    a = 0
-    for n in lengths.tolist():
-        at = place[a : a + n]
-        a += n
-        rows[0].append(int(known[at].sum()))
-        rows[1].append(float(base[at].sum()))
-        rows[2].append(automaton.traverse(ident[at].tolist(), uni[at].tolist()))
+    joined = np.concatenate(seqs)
+    words, place = np.unique(joined, return_inverse=True)
+    count = np.bincount(place[np.repeat(~held, lengths)], minlength=len(words)).astype(np.int64)
+    sums = np.zeros((2, len(words)), dtype=np.int64)
+    of_words = replies.filter(pc.is_valid(replies.column("word")))
+    at = np.searchsorted(words, of_words.column("word").to_numpy())
+    for target, name in ((count, "total"), (sums[0], "kept"), (sums[1], "arcs")):
+        target[at] = of_words.column(name).to_numpy()
+
+    grams = Grams(joined)
+    answers = replies.filter(pc.is_valid(replies.column("part"))).sort_by("part")
+    total2, kept2, arcs2, total3 = (np.concatenate(_unpacked(answers, c)) for c in _ANSWER)
+    if len(total2) != len(grams.key) or len(total3) != len(grams.third):
+        raise ValueError("the texts of a block changed between two reads of the documents")
+    p = unigrams.probability(count)[place]
+    context = place[grams.at2 - 1]
+    arc = _arc(total2[grams.place2], count[context], least)
+    p[grams.at2] = step(p[grams.at2], arc, _left(count, *sums)[context])
+    arc = _arc(total3, total2[grams.parent], least)[grams.place3]
+    p[grams.at3] = step(p[grams.at3], arc, _left(total2, kept2, arcs2)[grams.parent][grams.place3])
+    p = np.log10(p)
+
+    # START is no token of the texts.
+    token = joined != START
+    text = np.repeat(np.arange(len(seqs)), lengths)[token]
+    of_text = lambda values: np.bincount(text, weights=values[token], minlength=len(seqs))
     return pa.table(
         {
             "doc_id": docs.column("doc_id"),
             "held_out": docs.column("held_out"),
-            "n_tokens": pa.array(lengths),
-            "n_known": pa.array(rows[0], pa.int64()),
+            "n_tokens": pa.array(lengths - 1),
+            "n_known": pa.array(of_text((count > 0)[place]).astype(np.int64)),
             "train_tokens": pa.array(np.full(len(seqs), unigrams.tokens), pa.int64()),
-            "base_score": pa.array(rows[1], pa.float64()),
-            "score": pa.array(rows[2], pa.float64()),
+            "base_score": pa.array(of_text(unigrams.base(count)[place])),
+            "score": pa.array(of_text(p)),
         }
     )
 
 
-def kept_grams(training: DataFrame, tokens: int, share: int = SHARE) -> tuple[list[tuple[int, ...]], dict[tuple[int, ...], int]]:
-    """The n-grams of the automaton and the exact counts of them, of their
-    contexts and of their tokens: at most ``share`` n-grams per order."""
-    least = max(2, -(-tokens // share))
-    found = candidate_grams(training, share).where(F.col("n") >= least).toArrow()
-    columns = [found.column(c).to_pylist() for c in ("size", "h0", "h1", "h2")]
-    grams = {tuple(h[:size]) for size, *h in zip(*columns)}
-    # A trigram's state needs its context, a kept bigram.
-    grams |= {g[:2] for g in grams if len(g) == 3}
-    every = sorted(grams | {(h,) for g in grams for h in g})
-    if not every:
-        return [], {}
-    by_size: dict[int, list[tuple[int, ...]]] = {}
-    for g in every:
-        by_size.setdefault(len(g), []).append(g)
-    keys = np.empty(len(every), dtype=np.uint64)
-    at = 0
-    names: list[tuple[int, ...]] = []
-    for size, group in sorted(by_size.items()):
-        matrix = np.array(group, dtype=np.int64)
-        keys[at : at + len(group)] = [_gram_keys(row, size)[0] for row in matrix]
-        names += group
-        at += len(group)
-    order = np.argsort(keys)
-    n = exact_counts(training, keys[order])
-    counts = {names[i]: int(c) for i, c in zip(order.tolist(), n.tolist())}
-    return [g for g in names if len(g) > 1 and counts[g] >= 1], counts
-
-
-def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", share: int = SHARE) -> DataFrame:
+def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", least: int = LEAST) -> DataFrame:
     """doc_id, held_out, n_tokens, n_known, train_tokens, base_score, score
     for every row.
 
@@ -342,7 +387,7 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     """
     spark = docs.sparkSession
     slim = _slim(docs, doc_id, text)
-    blocks = _blocks(slim)
+    blocks, n_blocks = _blocks(slim)
     per_word = Window.partitionBy("word")
     counted = materialize(
         _word_counts(blocks)
@@ -350,24 +395,31 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .withColumn("first", F.row_number().over(per_word.orderBy("block")) == 1),
         "lm-words",
     )
-    one = counted.where(F.col("first") & (F.col("total") > 0)).agg(
+    one = counted.where(F.col("first") & (F.col("total") > 0) & (F.col("word") != START)).agg(
         F.coalesce(F.sum("total"), F.lit(0)).alias("tokens"),
         F.count("*").alias("types"),
         F.count(F.when(F.col("total") == 1, 1)).alias("once"),
         F.count(F.when(F.col("total") == 2, 1)).alias("twice"),
     ).first()
     unigrams = UnigramModel(one["tokens"], one["types"], one["once"], one["twice"])
-    grams, counts = kept_grams(slim.where("NOT held_out"), unigrams.tokens, share)
-    share_of = lambda h: float(unigrams.probability(np.array([counts.get((h,), 0)]))[0])
-    model = ship(spark, (unigrams, BackoffAutomaton(grams, counts, share_of)))
+    free_shuffles(spark)
+    answers = materialize(gram_totals(blocks, n_blocks, least), "lm-grams")
+    free_shuffles(spark)
+    model = ship(spark, (unigrams, least))
 
     def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        gc.disable()
         return _score_block(left, right, *shipped(model))
 
     kind = slim.schema["doc_id"].dataType.simpleString()
     schema = (
         f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
     )
-    replies = counted.where("total != own").select("block", "word", "total")
+    of_words = (
+        counted.join(_word_sums(answers), "word", "left")
+        .where("total != own OR arcs IS NOT NULL")
+        .select("block", "word", "total", F.coalesce("kept", F.lit(0)).alias("kept"), F.coalesce("arcs", F.lit(0)).alias("arcs"))
+    )
+    replies = of_words.unionByName(
+        answers.where("block IS NOT NULL").select("block", "part", *_ANSWER), allowMissingColumns=True
+    )
     return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)

@@ -138,6 +138,42 @@ def test_lm_blocks_do_not_matter(spark, monkeypatch):
     assert np.allclose([r[5:] for r in one], [r[5:] for r in many])
 
 
+def test_lm_counts_every_gram_exactly(spark, monkeypatch):
+    """Scores against direct computation, with n-grams whose two occurrences
+    lie in different blocks and partitions."""
+    monkeypatch.setattr(lm, "BLOCK_BYTES", 500)
+    rng = random.Random(11)
+    docs = _chains(60, 4) + [(500 + i, f"alone{i} rare pair here {rng.random()}") for i in range(4)]
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
+    counts, texts = Counter(), 0
+    for i, t in docs:
+        if _crc(i) % 10:
+            texts += 1
+            seq = ["<s>", *t.split(), "</s>"]
+            counts.update(tuple(seq[k : k + n]) for n in (1, 2, 3) for k in range(len(seq) - n + 1))
+    words = {g: c for g, c in counts.items() if len(g) == 1 and g != ("<s>",)}
+    twice = {g for g, c in counts.items() if c >= 2 and len(g) > 1}
+    after: dict = {}
+    for g in twice:
+        after.setdefault(g[:-1], []).append(counts[g])
+    uni = lm.UnigramModel(sum(words.values()), len(words), sum(c == 1 for c in words.values()), sum(c == 2 for c in words.values()))
+
+    def p(context, word):
+        if not context:
+            return float(uni.probability(np.array([counts[(word,)]]))[0])
+        kept, whole = after.get(context, []), counts[context]
+        left = (whole - sum(kept) + lm.DISCOUNT * len(kept)) / whole if kept else 1.0
+        own = (counts[(*context, word)] - lm.DISCOUNT) / whole if (*context, word) in twice else 0.0
+        return own + left * p(context[1:], word)
+
+    want = {}
+    for i, t in docs:
+        seq = ["<s>", *t.split(), "</s>"]
+        want[i] = sum(math.log10(p(tuple(seq[max(0, k - 2) : k]), seq[k])) for k in range(1, len(seq)))
+    got = {r.doc_id: r.score for r in lm.score_documents(df).collect()}
+    assert got == {i: pytest.approx(v, abs=1e-8) for i, v in want.items()}
+
+
 def test_lm_empty_table_and_no_training(spark):
     assert lm.score_documents(spark.createDataFrame([], "doc_id long, text string")).collect() == []
     held = [(i, "some words") for i in range(200) if _crc(i) % 10 == 0]
