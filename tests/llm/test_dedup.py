@@ -166,6 +166,34 @@ def test_near_equal_passages_and_own_repeats(spark):
     assert sum(r.end_word - r.start_word for r in spans) >= 60
 
 
+def test_whole_passages_go(spark):
+    """Nothing of a planted word range stays outside the kept copy."""
+    rng = random.Random(21)
+    docs, first, own = [], [], []
+    for n in (49, 51, 55, 60, 90, 150):
+        passage = _text(rng, n)
+        for k in range(4):
+            a, b = ([f"{side}{len(docs)}_{i}" for i in range(rng.randint(0, 60))] for side in "ab")
+            first.append(k == 0)
+            own.append(a + b)
+            docs.append(" ".join([*a, passage, *b]))
+    df = spark.createDataFrame(list(enumerate(docs)), "doc_id long, text string")
+    out = {r.doc_id: r.text.split() for r in substring.remove_passages(df).collect()}
+    for i, words in out.items():
+        assert words == docs[i].split() if first[i] else set(words) <= set(own[i])
+        # A near-equal paragraph may reach three words past the passage.
+        assert first[i] or len(words) >= len(own[i]) - 6
+
+
+def test_agreement_of_changed_paragraphs():
+    size = substring.PARAGRAPH + 2 * substring.AROUND
+    own = np.arange(1, size + 1, dtype=np.uint32)
+    kept = np.insert(own, substring.AROUND + 12, 999)[:size].astype(np.uint32)  # a word more in the middle
+    kept[: substring.AROUND - 7] = 5000
+    before, after = substring.agreement(own[None], kept[None], np.array([False]))
+    assert (before[0], after[0]) == (7, substring.AROUND - 1)
+
+
 def test_spans_and_cutting():
     spans = substring.removal_spans(np.array([0, 10, 60]), np.array([70]))
     assert spans == [(0, 35), (60, 70)]
