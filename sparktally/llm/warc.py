@@ -7,9 +7,9 @@ digest, which the reader computes anew from the stored bytes.
 
 Everything is built-in functions. The join deals a payload with many records
 out to several tasks: headers carry a salt below the number of shares their
-payload has, and the payload is repeated once per share. Sizes and digests of
-payloads are computed before the join, so a query that does not ask for the
-record bytes does not move any payload.
+payload has, and the payload is repeated once per share. Sizes and digests
+are those of the payload of the record as put together, so every query puts
+all records together.
 """
 
 from __future__ import annotations
@@ -106,22 +106,13 @@ def _header_value(name: str) -> Column:
 
 def read_archive(spark: SparkSession, path: str) -> DataFrame:
     """Every record of an archive: page_id, record_type, refers_to (record id
-    or NULL), payload_bytes, payload_digest (of the stored bytes), payload
-    (full, also for revisits) and record (the record's exact bytes). A stored
-    payload that does not have its digest fails the read."""
-    stored = spark.read.parquet(f"{path}/payloads").select(
-        "digest",
-        "shares",
-        "payload",
-        F.sha2("payload", 256).alias("payload_digest"),
-        F.octet_length("payload").cast("long").alias("payload_bytes"),
-    )
-    checked = stored.withColumn(
-        "payload_digest",
-        F.when(F.col("payload_digest") == F.col("digest"), F.col("payload_digest")).otherwise(
-            F.raise_error(F.concat(F.lit("payload does not have its digest: "), F.col("digest")))
-        ),
-    ).withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1)))
+    or NULL), payload_bytes, payload_digest (of the payload in the record's
+    bytes, a revisit's: of the payload it refers to), payload (full, also for
+    revisits) and record (the record's exact bytes). A record whose payload is
+    missing or does not have the digest that its header names fails the
+    read."""
+    stored = spark.read.parquet(f"{path}/payloads").select("digest", "shares", "payload")
+    shared = stored.withColumn("share", F.explode(F.sequence(F.lit(0), F.col("shares") - 1))).drop("shares")
     headers = spark.read.parquet(f"{path}/headers").withColumn("head", F.col("header").cast("string"))
     parsed = headers.select(
         "digest", "share", "page_id", "header",
@@ -129,14 +120,24 @@ def read_archive(spark: SparkSession, path: str) -> DataFrame:
         _header_value("WARC-Refers-To").alias("refers_to"),
         F.regexp_extract("head", r"(?m)^WARC-Payload-Digest: sha256:([0-9a-f]*)", 1).alias("named"),
     )
-    body = F.when(F.col("record_type") == "response", F.col("payload")).otherwise(F.lit(b""))
-    return (
-        parsed.join(checked.drop("shares"), ["digest", "share"])
-        .where(F.col("named") == F.col("payload_digest"))
-        .select(
-            "page_id", "record_type", "refers_to", "payload_bytes", "payload_digest", "payload",
-            F.concat(F.col("header"), body, F.lit(b"\r\n\r\n")).alias("record"),
-        )
+    response = F.col("record_type") == "response"
+    end = F.lit(b"\r\n\r\n")
+    records = parsed.join(shared, ["digest", "share"], "left").withColumn(
+        "record", F.concat(F.col("header"), F.when(response, F.col("payload")).otherwise(F.lit(b"")), end)
+    )
+    length = F.octet_length("record") - F.octet_length("header") - F.octet_length(end)
+    body = F.when(response, F.substring("record", F.octet_length("header") + 1, length)).otherwise(F.col("payload"))
+    named = F.coalesce(F.col("named"), F.lit(""))
+    return records.withColumn("body", body).withColumn("found", F.sha2("body", 256)).select(
+        "page_id",
+        "record_type",
+        "refers_to",
+        F.octet_length("body").cast("long").alias("payload_bytes"),
+        F.when(F.col("found") == named, F.col("found"))
+        .otherwise(F.raise_error(F.concat(F.lit("payload is missing or does not have its digest: "), named)))
+        .alias("payload_digest"),
+        F.col("body").alias("payload"),
+        "record",
     )
 
 

@@ -110,6 +110,21 @@ def test_damaged_payload_fails_and_empty_archive(spark, pages):
     assert warc.archive_pages(pages.limit(0)).collect() == []
 
 
+def test_missing_payload_or_other_digest_fails_the_read(spark, pages):
+    path = scratch_path(spark, "warc-missing-" + str(random.random()))
+    warc.write_archive(pages, path)
+    payloads, headers = (spark.read.parquet(f"{path}/{t}") for t in ("payloads", "headers"))
+    lost = payloads.agg({"digest": "min"}).first()[0]
+    payloads.where(f"digest != '{lost}'").write.parquet(f"{path}-2/payloads")
+    headers.write.parquet(f"{path}-2/headers")
+    payloads.write.parquet(f"{path}-3/payloads")
+    other = "cast(replace(cast(header AS string), 'sha256:', 'sha256:0') AS binary) AS header"
+    headers.selectExpr("digest", "share", "page_id", other).write.parquet(f"{path}-3/headers")
+    for damaged in (f"{path}-2", f"{path}-3"):
+        with pytest.raises(Exception, match="missing or does not have its digest"):
+            warc.read_archive(spark, damaged).select("page_id", "payload_digest").collect()
+
+
 def _edited(docs):
     out = []
     for k, (i, t) in enumerate(docs):
