@@ -5,10 +5,14 @@ from __future__ import annotations
 import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 
-from sparktally.llm import bpe, chat, fingerprint, lm, neardup, packing, substring, topk, toxicity, warc
+from sparktally.llm import (
+    align, bpe, chat, fingerprint, lm, neardup, negatives, packing, substring, topk, toxicity, treebpe, warc,
+)
 from sparktally.sources.tables import load_table
 
 TOKENIZER = "byte_bpe_50k.json"
+PIECES = "piece_bpe_32k.model"
+RANKS = "byte_bpe_multi_50k.tiktoken"
 
 
 def tokenizer_json(path: str | None = None) -> str:
@@ -58,6 +62,21 @@ def op10_near_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return neardup.near_duplicates(load_table(spark, sf_dir, "documents"))
 
 
+def op11_hard_negatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return negatives.mine_embeddings(load_table(spark, sf_dir, "embeddings"))
+
+
+def op12_alignment(spark: SparkSession, sf_dir: str) -> DataFrame:
+    with open(public_tokenizers.path(PIECES), "rb") as fh:
+        pieces = fh.read()
+    return align.align(load_table(spark, sf_dir, "documents"), tokenizer_json(), pieces, digests=True)
+
+
+def op13_tree_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
+    ranks = tokenizer_json(public_tokenizers.path(RANKS))
+    return treebpe.encode_digests(load_table(spark, sf_dir, "documents"), ranks, public_tokenizers.PATTERN)
+
+
 QUERIES = {
     "op1_tool_calls": op1_tool_calls,
     "op2_toxicity": op2_toxicity,
@@ -69,6 +88,9 @@ QUERIES = {
     "op8_warc": op8_warc,
     "op9_fingerprints": op9_fingerprints,
     "op10_near_dedup": op10_near_dedup,
+    "op11_hard_negatives": op11_hard_negatives,
+    "op12_alignment": op12_alignment,
+    "op13_tree_bpe": op13_tree_bpe,
 }
 
 # The others are tested against brute force, an exact round trip or held-out
@@ -76,4 +98,5 @@ QUERIES = {
 ORACLE_SQL = {
     "op3_top_k": topk.TOP_K_SQL,
     "op8_warc": warc.ARCHIVE_SQL,
+    "op11_hard_negatives": negatives.NEGATIVES_SQL,
 }
