@@ -63,7 +63,10 @@ class TreeCoder:
             raise ValueError(f"the vocabulary has no token for {len(missing)} of the 256 bytes")
         self.ranks = ranks
         self.bytes_of = {i: t for t, i in ranks.items()}
-        self.neighbours: dict[tuple[int, int], bool] = {}
+        # Two tokens -> None if they are the encoding of their joint bytes,
+        # else that encoding; leaf bytes -> ids.
+        self.pairs: dict[tuple[int, int], list[int] | None] = {}
+        self.leaves: dict[bytes, list[int]] = {}
 
     def merged(self, piece: bytes) -> list[int]:
         """Greedy merging of a whole byte string, no tree."""
@@ -111,27 +114,33 @@ class TreeCoder:
             a = end[a]
         return out
 
-    def settled(self, left: int, right: int) -> bool:
-        """Whether two tokens are the encoding of their joint bytes."""
-        known = self.neighbours.get((left, right))
-        if known is None:
-            if len(self.neighbours) >= WORDS:
-                self.neighbours.clear()
+    def seam(self, left: int, right: int) -> list[int] | None:
+        """None if two tokens are the encoding of their joint bytes, else
+        that encoding."""
+        try:
+            return self.pairs[left, right]
+        except KeyError:
+            if len(self.pairs) >= WORDS:
+                self.pairs.clear()
             of = self.bytes_of
-            known = self.neighbours[left, right] = self.merged(of[left] + of[right]) == [left, right]
-        return known
+            found = self.merged(of[left] + of[right])
+            self.pairs[left, right] = found = None if found == [left, right] else found
+            return found
 
     def join(self, left: list[int], right: list[int]) -> list[int]:
         """The encoding of x + y, from those of x and y."""
-        if not left or not right or self.settled(left[-1], right[0]):
+        if not left or not right:
+            return left + right
+        seam = self.seam(left[-1], right[0])
+        if seam is None:
             return left + right
         reach = 1
         while True:
-            a, b = max(0, len(left) - reach), min(len(right), reach)
-            seam = self.merged(self.decode(left[a:] + right[:b]))
-            if (a == 0 or self.settled(left[a - 1], seam[0])) and (b == len(right) or self.settled(seam[-1], right[b])):
-                return left[:a] + seam + right[b:]
+            a, b = len(left) - reach, reach
+            if (a <= 0 or self.seam(left[a - 1], seam[0]) is None) and (b >= len(right) or self.seam(seam[-1], right[b]) is None):
+                return left[: max(0, a)] + seam + right[b:]
             reach *= 2
+            seam = self.merged(self.decode(left[-reach:] + right[:reach]))
 
     def encode(self, match: bytes) -> list[int]:
         """ids of one match: its own token if it has one, else the tree."""
@@ -140,7 +149,12 @@ class TreeCoder:
 
     def reduced(self, piece: bytes) -> list[int]:
         if len(piece) <= LEAF:
-            return self.merged(piece)
+            found = self.leaves.get(piece)
+            if found is None:
+                if len(self.leaves) >= WORDS:
+                    self.leaves.clear()
+                found = self.leaves[piece] = self.merged(piece)
+            return found
         half = -(-len(piece) // (2 * LEAF)) * LEAF  # leaves begin at multiples of LEAF
         return self.join(self.reduced(piece[:half]), self.reduced(piece[half:]))
 
