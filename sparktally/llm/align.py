@@ -15,7 +15,7 @@ character (``segmentable`` verifies it for B's pieces; A's pattern allows a
 space only in front), and neither looks further than the next character, so
 the segments of a text encode as they do inside it, and the end of a segment
 is always a cut. Distinct segments are encoded once for each filling of a
-cache of bounded size.
+cache of bounded size, many of them in a row as one text.
 
 Counts of linked pairs cover the whole corpus. A first pass encodes and writes
 each text's links to a table in the shared scratch folder, in blocks of
@@ -43,7 +43,8 @@ from sparktally.llm.bpe import byte_alphabet
 from sparktally.llm.common import list_array, materialize, small_batches
 
 SEGMENT = re.compile(r" +[^ ]+(?: +\Z)?| +\Z")
-SEGMENTS = 300_000  # entries of the cache before it is emptied
+SEGMENTS = 400_000  # entries of the cache before it is emptied
+CHUNK = 1 << 15  # characters of segments encoded together
 BLOCK_BYTES = 8 << 20
 SPACE = "▁"  # the stand-in of a space in sentencepiece models
 SHIFT = 1 << 32  # a pair of ids as one number: a * SHIFT + b
@@ -66,10 +67,11 @@ class ByteLevel:
             # A special token's own entry may not be byte-level; no text has it.
             self.bytes_of[i] = bytes(table[c] for c in token) if all(c in table for c in token) else b""
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[tuple[int, int]]]]:
-        """(ids, spans in characters) of every text."""
-        for e in self.tokenizer.encode_batch(texts, add_special_tokens=False):
-            yield e.ids, e.offsets
+    def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """ids, and begins and ends of their spans in characters."""
+        found = self.tokenizer.encode(text, add_special_tokens=False)
+        spans = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)
+        return found.ids, spans[:, 0], spans[:, 1]
 
 
 class Pieces:
@@ -81,37 +83,34 @@ class Pieces:
 
         self.model = sentencepiece.SentencePieceProcessor(model_proto=model)
         n = self.model.get_piece_size()
-        names = [self.model.id_to_piece(i) for i in range(n)]
-        self.fallback = {i for i in range(n) if self.model.is_byte(i)}
+        self.names = [self.model.id_to_piece(i) for i in range(n)]
+        self.fallback = np.array([self.model.is_byte(i) for i in range(n)])
         self.bytes_of = [
-            bytes([int(p[3:-1], 16)]) if i in self.fallback else p.replace(SPACE, " ").encode("utf-8") for i, p in enumerate(names)
+            bytes([int(p[3:-1], 16)]) if byte else p.replace(SPACE, " ").encode("utf-8") for p, byte in zip(self.names, self.fallback)
         ]
-        self.names = names
 
     def segmentable(self) -> bool:
         """No piece holds a space after another character."""
         return not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.names)
 
-    def encode(self, texts: list[str]) -> Iterator[tuple[list[int], list[tuple[int, int]]]]:
-        """(ids, spans in bytes) of every text."""
-        for proto in self.model.encode([t[1:] for t in texts], return_type="proto", num_threads=1):
-            pieces = proto.pieces
-            # The spans leave out the space that the model adds.
-            yield [p.id for p in pieces], [(p.begin + 1 if k else 0, p.end + 1) for k, p in enumerate(pieces)]
+    def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
+        """ids, and begins and ends of their spans in bytes."""
+        pieces = self.model.encode(text[1:], return_type="proto").pieces
+        # The spans leave out the space that the model adds.
+        begins = np.array([p.begin for p in pieces], dtype=np.int64) + 1
+        begins[:1] = 0
+        return [p.id for p in pieces], begins, np.array([p.end for p in pieces], dtype=np.int64) + 1
 
 
-def byte_ends(ids: list[int], spans: list[tuple[int, int]], bytes_of: list[bytes], fallback=frozenset()) -> list[int]:
+def byte_ends(begins: np.ndarray, ends: np.ndarray, sizes: np.ndarray, fallback: np.ndarray) -> np.ndarray:
     """The byte offset at which every token ends: its span's end where the
-    next span begins, else that of the decoded bytes up to it."""
-    begins = [*[begin for begin, _ in spans[1:]], spans[-1][1]]
-    ends = [end for _, end in spans]
-    if ends == begins and fallback.isdisjoint(ids):
-        return ends
-    decoded = accumulate(len(bytes_of[i]) for i in ids)
-    return [
-        refined if i in fallback or begin >= end or end != after else end
-        for i, (begin, end), after, refined in zip(ids, spans, begins, decoded)
-    ]
+    next span begins there, else that of the decoded bytes up to it.
+
+    ``begins`` and ``ends`` are spans in bytes, ``sizes`` the numbers of
+    decoded bytes, ``fallback`` marks byte-fallback tokens."""
+    whole = (begins < ends) & ~fallback
+    whole[:-1] &= ends[:-1] == begins[1:]
+    return ends if whole.all() else np.where(whole, ends, np.cumsum(sizes))
 
 
 class Aligner:
@@ -121,31 +120,79 @@ class Aligner:
         if not b.segmentable():
             raise ValueError("a piece with a space after another character: texts cannot be encoded in segments")
         self.a, self.b = a, b
+        self.sizes = [np.array(list(map(len, t.bytes_of)), dtype=np.int64) for t in (a, b)]
+        # An id as text, in front of another one of its side and at the end.
+        self.inner, self.last_a, self.last_b = (
+            [f"{i}{mark}" for i in range(max(map(len, (a.bytes_of, b.bytes_of))))] for mark in ",|;"
+        )
         # Segment -> (ids and groups) or None where the tokens are not its bytes.
         self.cache: dict[str, tuple | None] = {}
 
-    def _aligned(self, text: str, a: tuple, b: tuple) -> tuple | None:
+    def aligned(self, segments: list[str]) -> list[tuple | None]:
+        """(tokens of A, of B, groups as text, linked pairs, cuts, bytes) of
+        segments that are encoded as one text, as which they are cut again."""
+        text = "".join(segments)
         raw = text.encode("utf-8")
+        (ids_a, begins_a, ends_a), (ids_b, begins_b, ends_b) = self.a.encode(text), self.b.encode(text)
         of_a, of_b = self.a.bytes_of, self.b.bytes_of
-        if b"".join([of_a[i] for i in a[0]]) != raw or b"".join([of_b[i] for i in b[0]]) != raw:
-            return None
-        ids, spans = a
+        if b"".join([of_a[i] for i in ids_a]) != raw or b"".join([of_b[i] for i in ids_b]) != raw:
+            if len(segments) == 1:
+                return [None]
+            half = len(segments) // 2
+            return self.aligned(segments[:half]) + self.aligned(segments[half:])
+        sizes = [len(s) for s in segments]
         if len(raw) != len(text):
-            at = [0, *accumulate(len(c.encode("utf-8")) for c in text)]
-            spans = [(at[begin], at[end]) for begin, end in spans]
-        ends_a = byte_ends(ids, spans, of_a)
-        ends_b = byte_ends(*b, of_b, self.b.fallback)
-        common = set(ends_a).intersection(ends_b)
-        groups, pairs, cuts = [], [], []
-        i = j = 0
-        for k, end in enumerate(ends_a):
-            if end in common:
-                m = ends_b.index(end, j)
-                groups.append(f"{','.join(map(str, a[0][i : k + 1]))}|{','.join(map(str, b[0][j : m + 1]))}")
-                pairs.append(a[0][k] * SHIFT + b[0][m])
-                cuts.append(end)
-                i, j = k + 1, m + 1
-        return len(a[0]), len(b[0]), ";".join(groups), pairs, cuts, len(raw)
+            # Byte offset of every character: the bytes that begin one.
+            at = np.append(np.flatnonzero(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80), len(raw))
+            begins_a, ends_a = at[begins_a], at[ends_a]
+            sizes = [len(s.encode("utf-8")) for s in segments]
+        a, b = np.array(ids_a, dtype=np.int64), np.array(ids_b, dtype=np.int64)
+        ends_a = byte_ends(begins_a, ends_a, self.sizes[0][a], np.zeros(len(a), dtype=bool))
+        ends_b = byte_ends(begins_b, ends_b, self.sizes[1][b], self.b.fallback[b])
+
+        cuts, last_a, last_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
+        pairs = (a[last_a] * SHIFT + b[last_b]).tolist()
+        marks = []  # the text of every token, with the mark behind it
+        for ids, last, closing in ((ids_a, last_a, self.last_a), (ids_b, last_b, self.last_b)):
+            shown = [self.inner[i] for i in ids]
+            for k in last.tolist():
+                shown[k] = closing[ids[k]]
+            marks += shown
+        # Tokens of A and then of B, group by group.
+        group = np.concatenate([np.searchsorted(cuts, ends_a), np.searchsorted(cuts, ends_b)])
+        shown = [marks[k] for k in np.argsort(group, kind="stable").tolist()]
+
+        # Where each segment ends, in tokens and in groups.
+        stops = np.cumsum(sizes)
+        to = np.searchsorted(cuts, stops, side="right")
+        if (cuts[to - 1] != stops).any():
+            raise ValueError("a segment does not end with tokens of both sides")
+        to_a, to_b = last_a[to - 1] + 1, last_b[to - 1] + 1
+        within = (cuts - np.repeat(stops - sizes, np.diff(to, prepend=0))).tolist()
+        out = []
+        g = i = j = 0
+        for g2, i2, j2, size in zip(to.tolist(), to_a.tolist(), to_b.tolist(), sizes):
+            out.append((i2 - i, j2 - j, "".join(shown[i + j : i2 + j2])[:-1], pairs[g:g2], within[g:g2], size))
+            g, i, j = g2, i2, j2
+        return out
+
+    def _learn(self, fresh: set[str]) -> None:
+        """Encode distinct segments: plain ones many at a time, those with
+        more spaces than the first one by themselves."""
+        rows: list[list[str]] = [[]]
+        size = 0
+        for s in fresh:
+            if s.count(" ") > 1:
+                rows.insert(0, [s])
+                continue
+            if size > CHUNK:
+                rows.append([])
+                size = 0
+            rows[-1].append(s)
+            size += len(s)
+        for row in rows:
+            if row:
+                self.cache.update(zip(row, self.aligned(row)))
 
     def texts(self, texts: list[str]) -> Iterator[list[tuple]]:
         """The aligned segments of each text; none if the text is empty or the
@@ -155,10 +202,7 @@ class Aligner:
         if fresh and len(self.cache) + len(fresh) > SEGMENTS:
             self.cache.clear()
             fresh = set().union(*cut)
-        if fresh:
-            new = list(fresh)
-            for text, a, b in zip(new, self.a.encode(new), self.b.encode(new)):
-                self.cache[text] = self._aligned(text, a, b)
+        self._learn(fresh)
         for segments in cut:
             found = list(map(self.cache.__getitem__, segments))
             yield [] if None in found else found

@@ -1,0 +1,198 @@
+"""Alignment and tree-reduction BPE against whole-text encodings."""
+
+import base64
+import hashlib
+import random
+from collections import Counter, defaultdict
+from itertools import accumulate
+
+import numpy as np
+import public_tokenizers as P
+import pytest
+import tiktoken
+
+from sparktally.llm import align, treebpe
+from sparktally.llm.queries import PIECES, RANKS, tokenizer_json
+
+TEXTS = [
+    "", None, "a", " ", " a", "a ", "a  b", "don't we'll", "line\nbreaks\r\n\n and\ttabs \x0b\x1c\x85", "<s> </s><unk>", "<0x41> <0xE6>",
+    "<|endoftext|> a<|endoftext|>", "123 4567 ½ ² １２", "漢字 ñandú école \U0001f600\U0001f468‍\U0001f469 x", "a▁b", "▁",
+    "same words same words", "same words same words", "nul\x00 \x01 byte", "x" * 3000, "word " * 400 + "end", "ab　cd ef", "a  b",
+]
+SCHEMA = "doc_id long, text string, block int, pairs string, n_a string"
+
+
+def _frame(spark, texts):
+    return spark.createDataFrame([(i, t, 1, "clash", "clash") for i, t in enumerate(texts)], SCHEMA)
+
+
+def _random_texts(seed, n, longest=40):
+    rng = random.Random(seed)
+    pieces = list("ab the .,é漢१²$😀") + ["ing", "tion", "aaaa", "don't ", " x", "1234567", "\n", "\t", "<s>", "<|endoftext|>", "  "]
+    return ["".join(rng.choices(pieces, k=rng.randint(0, longest))) for _ in range(n)]
+
+
+@pytest.fixture(scope="module")
+def pieces():
+    with open(P.path(PIECES), "rb") as fh:
+        return fh.read()
+
+
+@pytest.fixture(scope="module")
+def encoders(pieces):
+    return align.ByteLevel(tokenizer_json()), align.Pieces(pieces)
+
+
+def _whole(text, encoders):
+    """Groups and links of a text encoded in one go, from decoded bytes."""
+    a, b = encoders
+    if not text:
+        return None
+    raw = (" " + text).encode()
+    ids = a.tokenizer.encode(" " + text, add_special_tokens=False).ids, b.model.encode(text)
+    parts = [[enc.bytes_of[i] for i in found] for enc, found in zip(encoders, ids)]
+    if any(b"".join(p) != raw for p in parts):
+        return None
+    ends = [list(accumulate(map(len, p))) for p in parts]
+    groups = defaultdict(lambda: ([], []))
+    cuts = sorted(set(ends[0]) & set(ends[1]))
+    for side in (0, 1):
+        for i, e in zip(ids[side], ends[side]):
+            groups[min(c for c in cuts if c >= e)][side].append(i)
+    joined = ";".join("|".join(",".join(map(str, g)) for g in groups[c]) for c in cuts)
+    links = [(x, y) for x, p in zip(ids[0], ends[0]) for y, q in zip(ids[1], ends[1]) if p == q]
+    return len(ids[0]), len(ids[1]), joined, cuts, links
+
+
+def _expected(texts, encoders):
+    found = [_whole(t, encoders) for t in texts]
+    counts = Counter(link for f in found if f for link in f[4])
+    highest = defaultdict(int)
+    for (_, y), n in counts.items():
+        highest[y] = max(highest[y], n)
+    out = []
+    for i, f in enumerate(found):
+        n_a, n_b, joined, cuts, links = f or (0, 0, "", [], [])
+        best = sum(counts[link] == highest[link[1]] for link in links)
+        out.append((i, n_a, n_b, len(cuts), len(links), best, sum(counts[link] for link in links), joined, cuts))
+    return out
+
+
+def test_alignment_matches_whole_texts(spark, pieces, encoders, monkeypatch):
+    monkeypatch.setattr(align, "BLOCK_BYTES", 2000)  # several blocks
+    texts = TEXTS + _random_texts(2, 400)
+    got = align.align(_frame(spark, texts), tokenizer_json(), pieces)
+    columns = ["doc_id", "n_a", "n_b", "n_groups", "n_links", "n_best", "count_sum", "groups", "cuts"]
+    assert got.columns == columns
+    want = _expected(texts, encoders)
+    assert sorted(map(tuple, got.collect())) == want
+    digests = align.align(_frame(spark, texts), tokenizer_json(), pieces, digests=True).collect()
+    assert {r.doc_id: r.groups_sha256 for r in digests} == {w[0]: hashlib.sha256(w[7].encode()).hexdigest() if w[7] else "" for w in want}
+    assert sorted(tuple(r)[:7] for r in digests) == [w[:7] for w in want]
+
+
+def test_cache_size_does_not_matter(encoders, monkeypatch):
+    texts = [t or "" for t in TEXTS] + _random_texts(3, 300)
+    wide = align.Aligner(*encoders)
+    monkeypatch.setattr(align, "SEGMENTS", 5)
+    monkeypatch.setattr(align, "CHUNK", 20)
+    narrow = align.Aligner(*encoders)
+    for a in range(0, len(texts), 7):
+        assert list(wide.texts(texts[a : a + 7])) == list(narrow.texts(texts[a : a + 7]))
+
+
+def test_coarse_cuts_are_refined_inside_characters():
+    """Tokens that share a character, and byte fallbacks with empty spans."""
+    def ends(spans, sizes, fallback=()):
+        begins, stops = np.array(spans).T
+        marks = np.array([i in fallback for i in range(len(spans))])
+        return align.byte_ends(begins, stops, np.array(sizes), marks).tolist()
+
+    assert ends([(0, 1), (1, 4), (1, 4), (4, 5)], [1, 2, 1, 1]) == [1, 3, 4, 5]
+    assert ends([(0, 1), (1, 1), (1, 4), (4, 5)], [1, 2, 1, 1], {1, 2}) == [1, 3, 4, 5]
+    assert ends([(0, 1), (1, 2)], [1, 1]) == [1, 2]
+
+
+def test_alignment_of_an_empty_table(spark, pieces):
+    assert align.align(_frame(spark, TEXTS).limit(0), tokenizer_json(), pieces, digests=True).collect() == []
+
+
+@pytest.fixture(scope="module")
+def ranks():
+    return tokenizer_json(P.path(RANKS))
+
+
+@pytest.fixture(scope="module")
+def library(ranks):
+    table = {base64.b64decode(t): int(r) for t, r in map(str.split, ranks.splitlines())}
+    return tiktoken.Encoding("own", pat_str=P.PATTERN, mergeable_ranks=table, special_tokens={})
+
+
+def test_tree_ids_and_bytes_match_the_library(spark, ranks, library):
+    texts = TEXTS + _random_texts(4, 200, 80) + ["a" * 20_011, "ab" * 3000 + "b", "漢字" * 2000]
+    rows = treebpe.encode_decode(_frame(spark, texts), ranks, P.PATTERN).collect()
+    assert sorted(r.doc_id for r in rows) == list(range(len(texts)))
+    digests = {r.doc_id: r for r in treebpe.encode_digests(_frame(spark, texts), ranks, P.PATTERN).collect()}
+    for r in rows:
+        ids = library.encode_ordinary(texts[r.doc_id] or "")
+        assert r.ids == ids
+        assert bytes(r.decoded) == (texts[r.doc_id] or "").encode() == library.decode_bytes(ids)
+        d = digests[r.doc_id]
+        assert d.n_tokens == len(ids)
+        assert d.ids_sha256 == hashlib.sha256(",".join(map(str, ids)).encode()).hexdigest()
+        assert d.decoded_sha256 == hashlib.sha256(bytes(r.decoded)).hexdigest()
+    assert treebpe.encode_digests(_frame(spark, texts).limit(0), ranks, P.PATTERN).collect() == []
+
+
+def _small_vocabulary(rng):
+    """Bytes and random merges of three letters, ranks shuffled: many tokens
+    are out of order or never reached by merging."""
+    tokens = {bytes([b]) for b in range(256)}
+    grown = [b"a", b"b", b"c"]
+    for _ in range(40):
+        grown.append(rng.choice(grown) + rng.choice(grown))
+    more = [t for t in dict.fromkeys(grown) if t not in tokens and len(t) < 12]
+    rng.shuffle(more)
+    return {t: i for i, t in enumerate([*sorted(tokens), *more])}
+
+
+def _greedy(ranks, piece):
+    parts = [piece[i : i + 1] for i in range(len(piece))]
+    while True:
+        found = [(ranks[x + y], i) for i, (x, y) in enumerate(zip(parts, parts[1:])) if x + y in ranks]
+        if not found:
+            return [ranks[p] for p in parts]
+        at = min(found)[1]
+        parts[at : at + 2] = [parts[at] + parts[at + 1]]
+
+
+def test_reduction_is_greedy_merging_for_any_ranks(monkeypatch):
+    rng = random.Random(8)
+    for _ in range(60):
+        coder = treebpe.TreeCoder(_small_vocabulary(rng))
+        for _ in range(40):
+            piece = bytes(rng.choices(b"abc", k=rng.randint(1, 90)))
+            want = _greedy(coder.ranks, piece)
+            assert coder.reduced(piece) == want
+            assert coder.merged(piece) == want
+            assert coder._merged_long(piece) == want
+            assert coder.decode(want) == piece
+
+
+def test_joins_are_associative_with_an_identity():
+    rng = random.Random(9)
+    coder = treebpe.TreeCoder(_small_vocabulary(rng))
+    for _ in range(300):
+        x, y, z = (coder.merged(bytes(rng.choices(b"abc", k=rng.randint(0, 9)))) for _ in range(3))
+        assert coder.join(coder.join(x, y), z) == coder.join(x, coder.join(y, z))
+        assert coder.join([], x) == x == coder.join(x, [])
+
+
+def test_cache_and_missing_bytes(ranks, library, monkeypatch):
+    monkeypatch.setattr(treebpe, "WORDS", 3)
+    coder = treebpe.TextCoder(treebpe.TreeCoder(treebpe.read_ranks(ranks)), P.PATTERN, lambda ids, raw: ids)
+    texts = [t or "" for t in TEXTS]
+    for text, values in zip(texts, coder.values(texts)):
+        assert [i for v in values for i in v] == library.encode_ordinary(text)
+    with pytest.raises(ValueError, match="256 bytes"):
+        treebpe.TreeCoder({b"a": 0})
