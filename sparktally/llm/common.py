@@ -18,16 +18,28 @@ from pyspark import Broadcast, cloudpickle
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktally.session import scratch_path
+from sparktally.session import delete_at_exit, delete_path, scratch_path
 
 _U64 = np.uint64
 
 
+# Remove a query's shuffle files when it ends: what it wrote is read from the
+# written table from then on.
+_CLEANUP = "spark.sql.classic.shuffleDependency.fileCleanup.enabled"
+
+
 def materialize(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` as Parquet to the shared scratch folder and read it back."""
+    """Write ``df`` as Parquet to the shared scratch folder and read it back.
+    The table is deleted when the driver ends, if not before."""
     spark = df.sparkSession
     path = scratch_path(spark, f"{name}-{uuid.uuid4().hex}")
-    df.write.parquet(path)
+    before = spark.conf.get(_CLEANUP, None)
+    spark.conf.set(_CLEANUP, "true")
+    try:
+        df.write.parquet(path)
+    finally:
+        spark.conf.unset(_CLEANUP) if before is None else spark.conf.set(_CLEANUP, before)
+    delete_at_exit(spark, path)
     out = spark.read.schema(df.schema).parquet(path)
     out._scratch_path = path
     return out
@@ -38,9 +50,7 @@ def drop_scratch(*frames: DataFrame) -> None:
     for df in frames:
         path = getattr(df, "_scratch_path", None)
         if path:
-            spark = df.sparkSession
-            hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
-            hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
+            delete_path(df.sparkSession, path)
 
 
 def free_shuffles(spark: SparkSession) -> None:

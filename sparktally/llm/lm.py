@@ -1,27 +1,34 @@
 """Language-model scoring with a weighted backoff automaton.
 
-Smoothed n-grams become states with failure arcs: a state is a context that
-has kept continuations, an arc carries the discounted share of a kept n-gram,
-and the failure arc leads to the shorter context with the share that is left.
-The states of a text follow from its words, so the arcs and failure arcs of
-all texts of a block are taken together, shortest contexts first.
-
-- Unigrams cover the whole vocabulary. Texts are dealt into blocks by a hash
-  of the doc_id; every block sends each of its distinct words with its count
-  once, a window over the word (one row per block and word) adds them up, and
-  the words whose total differs from the block's own count are sent back. The
-  vocabulary is never on the driver or in one task.
-- Every bigram and trigram of the training texts is counted exactly. A block
-  sends each of its distinct ones once, with its count, to the part that the
-  hash of the first two words names; the part adds them up, and answers every
-  block in the order in which that block sent them. A bigram or trigram is
-  kept if it occurs ``LEAST`` times, at every size of the corpus. Blocks and
-  parts grow in number with the corpus, not in size, and a block gets only the
-  arcs its own texts can take: there is no automaton of the whole corpus.
-- Smoothing: absolute discounting, interpolated. An arc carries the discounted
-  share of its n-gram, a failure arc the share its context has left, and the
-  probability of a token is the sum over its arcs along the failure path; what
-  is taken from the unigrams goes to one unknown word.
+Smoothed n-grams (up to three words) become an automaton. A state is a context
+that is followed by kept n-grams, the root is the empty one. An arc of a state
+carries the probability of a word after that context and leads to the longest
+context that the words read so far end with; a failure arc carries the share
+that the context's arcs have left and leads to the context without its first
+word. Reading a word takes the state's arc for it, or follows failure arcs
+until a state has one (the root has one for every word). One traversal from
+left to right carries the state and adds up log-probabilities.
+
+- Smoothing: absolute discounting, interpolated. What is taken from the
+  unigrams goes to one unknown word. Every word, bigram and trigram of the
+  training texts is counted exactly; a bigram or trigram is kept from ``LEAST``
+  occurrences, at every size of the corpus.
+- Texts are tokenised once, into blocks of bounded size that follow the input
+  partitions (no shuffle), written to the shared scratch folder. A block gets
+  only the states and arcs that its own texts can reach: there is no automaton
+  of the whole corpus, on the driver or in any task.
+- Counts meet by key. A block sends its distinct keys (hashes of n-grams), in
+  order and packed, to the tasks that own their ranges; an owner adds up what
+  all blocks sent and answers each block in the order of its keys. This is
+  done three times: words and bigrams; trigrams whose two bigrams are both
+  kept (others cannot be), and per word what its kept bigrams sum up to; per
+  bigram what its kept trigrams sum up to. Such sums are taken by the block
+  that an owner names as the first holder of an n-gram, so they count every
+  n-gram once. A frequent word or context is one key, which a block sends
+  once: no key gathers more than one entry from each block.
+- A long text is walked in lanes of ``LANE`` words side by side. A state knows
+  no more than the last two words, so a lane that reads the two words before
+  it from the root is in the state of the traversal of the whole text.
 """
 
 from __future__ import annotations
@@ -31,288 +38,317 @@ from collections.abc import Iterator
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, Window
+from pyspark import TaskContext
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktally.llm.common import crc_mod, free_shuffles, grouped, materialize, mix64, ship, shipped
+from sparktally.llm.common import crc_mod, grouped, materialize, mix64, ship, shipped, small_batches
 from sparktally.llm.shingles import hash_words, words_of
 
 LEAST = 2  # occurrences of a kept bigram or trigram
-ORDER = 3
 DISCOUNT = 0.5
-BLOCK_BYTES = 12 << 20
+BLOCK_BYTES = 6 << 20  # text of a block
+PART_KEYS = 3 << 20  # tokens of the corpus for each owner of a range of keys
+LANE = 256  # words walked one after another
 START, END = 1, 2  # marks in the place of word hashes
 HOLD_OUT = 10
 
 
 def _sequence(text: str) -> np.ndarray:
-    """START, the words' signed hashes, END."""
+    """START, the words' hashes, END."""
     words = words_of(text)
-    out = np.empty(len(words) + 2, dtype=np.int64)
+    out = np.empty(len(words) + 2, dtype=np.uint64)
     out[0], out[-1] = START, END
-    out[1:-1] = hash_words(words).view(np.int64)
+    out[1:-1] = hash_words(words)
     return out
 
 
-def _extended(key: np.ndarray, tokens: np.ndarray) -> np.ndarray:
-    """64-bit keys of runs of tokens, from the keys without their last ones."""
-    key = (key ^ tokens.view(np.uint64)) * np.uint64(0x9E3779B97F4A7C15)
-    return key ^ (key >> np.uint64(29))
-
-
-def _pair_keys(first: np.ndarray, second: np.ndarray) -> np.ndarray:
-    return mix64(_extended(_extended(np.full(len(first), np.uint64(ORDER)), first), second))
-
-
-def _slim(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
-    return docs.select(
-        F.col(doc_id).alias("doc_id"),
-        (crc_mod(doc_id, HOLD_OUT) == 0).alias("held_out"),
-        F.coalesce(F.col(text), F.lit("")).alias("_text"),
-    )
-
-
-class Grams:
-    """Distinct bigrams and trigrams of texts laid end to end, each text as
-    START, words, END: bigrams by key, trigrams by bigram and key. The order
-    depends on the n-grams only, not on that of the texts."""
-
-    def __init__(self, joined: np.ndarray):
-        starts = np.flatnonzero(joined == START)
-        two = np.ones(len(joined), dtype=bool)  # a bigram ends here
-        two[starts] = False
-        self.at2 = np.flatnonzero(two).astype(np.int32)
-        two[starts + 1] = False
-        self.at3 = np.flatnonzero(two).astype(np.int32)
-        self.key, at, place = np.unique(
-            _pair_keys(joined[self.at2 - 1], joined[self.at2]), return_index=True, return_inverse=True
-        )
-        self.first = joined[self.at2 - 1][at]
-        self.place2 = place.astype(np.int32)
-        # The bigram before each token that ends a trigram.
-        place = np.empty(len(joined), dtype=np.int32)
-        place[self.at2] = self.place2
-        parent = place[self.at3 - 1]
-        _, at, place = np.unique(_extended(self.key[parent], _third(joined[self.at3])), return_index=True, return_inverse=True)
-        order = np.argsort(parent[at], kind="stable")
-        rank = np.empty(len(order), dtype=np.int32)
-        rank[order] = np.arange(len(order), dtype=np.int32)
-        self.place3 = rank[place]
-        self.parent, self.third = parent[at][order], _third(joined[self.at3[at][order]])
-
-
-def _third(tokens: np.ndarray) -> np.ndarray:
-    """The 48 bits that tell apart the words after one bigram."""
-    return np.where(tokens == END, END, (tokens.view(np.uint64) >> np.uint64(16)).view(np.int64))
-
-
-def _part_of(key: np.ndarray, parts: int) -> np.ndarray:
-    """Parts are equal ranges of keys."""
-    return ((key >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
-
-
 def _packed(column: np.ndarray) -> bytes:
-    """Numbers in as many bytes each as the largest needs (the first byte)."""
-    column = np.ascontiguousarray(column, dtype=np.int64).view(np.uint64)
+    """Whole numbers in as many bytes each as the largest needs (the first
+    byte says how many)."""
+    column = np.ascontiguousarray(column).astype("<u8", copy=False)
     width = max(1, (int(column.max(initial=0)).bit_length() + 7) // 8)
-    return bytes([width]) + column.astype("<u8").view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    return bytes([width]) + column.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
 
 
 def _numbers(raw: bytes) -> np.ndarray:
     out = np.zeros(((len(raw) - 1) // raw[0], 8), dtype=np.uint8)
     out[:, : raw[0]] = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, raw[0])
-    return out.view("<i8").ravel()
-
-
-def _unpacked(table: pa.Table, name: str) -> list[np.ndarray]:
-    """The numbers of every row of a packed column."""
-    return [_numbers(x.as_py()) for chunk in table.column(name).chunks for x in chunk] or [np.zeros(0, np.int64)]
-
+    return out.view("<u8").ravel()
 
-_SENT = ["steps", "first", "own2", "n3", "third", "own3"]  # steps: of the sorted keys
-_ANSWER = ["total2", "kept2", "arcs2", "total3"]
-_ANSWERED = "block int, part int, word binary, kept binary, arcs binary, " + ", ".join(f"{c} binary" for c in _ANSWER)
 
+def _packed_sorted(keys: np.ndarray) -> bytes:
+    return _packed(np.diff(keys, prepend=np.uint64(0)))
 
-def _block_grams(blocks: DataFrame, parts: int) -> DataFrame:
-    """(part, block, packed n-grams): the distinct bigrams and trigrams of a
-    block, held-out texts included, with their counts in its training texts."""
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, table in grouped(batches, "block"):
-            seqs = [_sequence(t) for t in table.column("_text").to_pylist()]
-            held = np.repeat(table.column("held_out").to_numpy(), [len(s) for s in seqs])
-            grams = Grams(np.concatenate(seqs))
-            own2 = np.bincount(grams.place2[~held[grams.at2]], minlength=len(grams.key))
-            own3 = np.bincount(grams.place3[~held[grams.at3]], minlength=len(grams.third))
-            n3 = np.bincount(grams.parent, minlength=len(grams.key))
-            part = _part_of(grams.key, parts)
-            cut2 = np.searchsorted(part, np.arange(parts + 1))
-            cut3 = np.searchsorted(grams.parent, cut2)
-            for p in np.unique(part).tolist():
-                two, three = slice(cut2[p], cut2[p + 1]), slice(cut3[p], cut3[p + 1])
-                steps = np.diff(grams.key[two], prepend=np.uint64(0))
-                row = map(_packed, (steps.view(np.int64), grams.first[two], own2[two], n3[two], grams.third[three], own3[three]))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array([p], pa.int32()), pa.array([block], pa.int32()), *(pa.array([c], pa.binary()) for c in row)],
-                    names=["part", "block", *_SENT],
-                )
-
-    dealt = blocks.select("block", "held_out", "_text").repartition("block").sortWithinPartitions("block")
-    return dealt.mapInArrow(run, "part int, block int, " + ", ".join(f"{c} binary" for c in _SENT))
-
-
-def _add_up(table: pa.Table, least: int) -> tuple[list[np.ndarray], list[np.ndarray], np.ndarray, np.ndarray]:
-    """The n-grams of a part: per bigram sent its total and, of the kept
-    trigrams after it, occurrences and number; per trigram sent its total; the
-    numbers of both in each row; then per first word of kept bigrams the same
-    sums as (word, occurrences, number)."""
-    steps, first, own2, n3, third, own3 = (_unpacked(table, c) for c in _SENT)
-    rows2, rows3 = ([len(x) for x in c] for c in (first, third))
-    first, own2, n3, third, own3 = map(np.concatenate, (first, own2, n3, third, own3))
-    keys = np.concatenate([np.cumsum(x.view(np.uint64)) for x in steps])
-    key, at, place = np.unique(keys, return_index=True, return_inverse=True)
-    del steps, keys
-
-    def sums(places, values, size):
-        out = np.zeros(size, dtype=np.int64)
-        np.add.at(out, places, values)
-        return out
-
-    total2 = sums(place, own2, len(key))
-    parent = np.repeat(place, n3)
-    key3, at3, place3 = np.unique(_extended(key[parent], third), return_index=True, return_inverse=True)
-    total3 = sums(place3, own3, len(key3))
-    kept = total3 >= least
-    kept2 = sums(parent[at3][kept], total3[kept], len(key))
-    arcs2 = np.bincount(parent[at3][kept], minlength=len(key))
-    often = total2 >= least
-    word, which = np.unique(first[at][often], return_inverse=True)
-    of_words = [word, sums(which, total2[often], len(word)), np.bincount(which, minlength=len(word))]
-    return [total2[place], kept2[place], arcs2[place], total3[place3]], of_words, np.array(rows2), np.array(rows3)
+# -- blocks of tokens ----------------------------------------------------------
 
 
-def gram_totals(blocks: DataFrame, parts: int, least: int = LEAST) -> DataFrame:
-    """Answers to the blocks, in the order of their n-grams, and (block NULL)
-    the sums of the kept bigrams per first word."""
+def token_blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
+    """One row per block: block, doc_ids, held_out, tokens (their number with
+    the marks), lengths, words (distinct hashes, most frequent first), places
+    (of every token in ``words``; planes of bytes, compressed)."""
+    slim = docs.select(
+        F.col(doc_id).alias("doc_id"),
+        (crc_mod(doc_id, HOLD_OUT) == 0).alias("held_out"),
+        F.coalesce(F.col(text), F.lit("")).alias("_text"),
+    )
+    kind = slim.schema["doc_id"].dataType.simpleString()
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        schema = pa.schema(
-            [("block", pa.int32()), ("part", pa.int32())] + [(c, pa.binary()) for c in ["word", "kept", "arcs", *_ANSWER]]
+    def row(block: int, ids: list, kind: pa.DataType, held: list, seqs: list[np.ndarray]) -> pa.RecordBatch:
+        joined = np.concatenate(seqs)
+        words, place, often = np.unique(joined, return_inverse=True, return_counts=True)
+        order = np.argsort(-often, kind="stable")
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        planes = np.frombuffer(_packed(rank[place])[1:], np.uint8).reshape(len(joined), -1).T
+        return pa.RecordBatch.from_arrays(
+            [
+                pa.array([block], pa.int64()), pa.array([ids], pa.list_(kind)), pa.array([held], pa.list_(pa.bool_())),
+                pa.array([len(joined)], pa.int64()), pa.array([_packed(np.array([len(s) for s in seqs]))], pa.binary()),
+                pa.array([words[order].tobytes()], pa.binary()),
+                pa.array([pa.Codec("zstd", 1).compress(planes.tobytes(), asbytes=True)], pa.binary()),
+            ],
+            names=["block", "doc_ids", "held_out", "tokens", "lengths", "words", "places"],
         )
-        for part, table in grouped(batches, "part"):
-            answers, words, rows2, rows3 = _add_up(table, least)
-            yield pa.RecordBatch.from_arrays(
-                [pa.array([v], f.type) for v, f in zip([None, part, *map(_packed, words), *[None] * len(_ANSWER)], schema)], schema=schema
-            )
-            ends2, ends3 = np.cumsum(rows2), np.cumsum(rows3)
-            for i, block in enumerate(table.column("block").to_pylist()):
-                two, three = slice(ends2[i] - rows2[i], ends2[i]), slice(ends3[i] - rows3[i], ends3[i])
-                values = [block, part, None, None, None, *(_packed(a[two]) for a in answers[:3]), _packed(answers[3][three])]
-                yield pa.RecordBatch.from_arrays([pa.array([v], f.type) for v, f in zip(values, schema)], schema=schema)
-
-    sent = _block_grams(blocks, parts).repartition("part").sortWithinPartitions("part")
-    return sent.mapInArrow(run, _ANSWERED)
-
-
-def _word_sums(answers: DataFrame) -> DataFrame:
-    """(word, kept, arcs): occurrences and number of the kept bigrams that
-    begin with a word."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            for i in range(batch.num_rows):
-                cols = [_numbers(batch.column(c)[i].as_py()) for c in range(3)]
-                yield pa.RecordBatch.from_arrays([pa.array(c) for c in cols], names=["word", "kept", "arcs"])
-
-    rows = answers.where("block IS NULL").select("word", "kept", "arcs")
-    return (
-        rows.mapInArrow(run, "word long, kept long, arcs long")
-        .groupBy("word").agg(F.sum("kept").alias("kept"), F.sum("arcs").alias("arcs"))
+        block = TaskContext.get().partitionId() << 32
+        ids, held, seqs, size, id_type = [], [], [], 0, None
+        for batch in small_batches(batches, "_text"):
+            id_type = batch.schema.field("doc_id").type
+            for i, out, content in zip(*(batch.column(c).to_pylist() for c in ("doc_id", "held_out", "_text"))):
+                ids.append(i)
+                held.append(out)
+                seqs.append(_sequence(content))
+                size += len(content) + 1
+                if size >= BLOCK_BYTES:
+                    yield row(block, ids, id_type, held, seqs)
+                    block += 1
+                    ids, held, seqs, size = [], [], [], 0
+        if seqs:
+            yield row(block, ids, id_type, held, seqs)
+
+    return slim.mapInArrow(
+        run, f"block long, doc_ids array<{kind}>, held_out array<boolean>, tokens long, lengths binary, words binary, places binary"
     )
 
 
-def _left(total: np.ndarray, kept: np.ndarray, arcs: np.ndarray) -> np.ndarray:
-    """Weight of the failure arcs of contexts that occur ``total`` times and
-    whose arcs are ``arcs`` kept n-grams of ``kept`` occurrences."""
-    whole = np.maximum(total, 1)
-    return np.where(arcs > 0, (whole - kept + DISCOUNT * arcs) / whole, 1.0)
-
-
-def _arc(count: np.ndarray, context: np.ndarray, least: int) -> np.ndarray:
-    """Weight of the arcs of n-grams in their contexts, 0: no arc."""
-    return np.where(count >= least, (count - DISCOUNT) / np.maximum(context, 1), 0.0)
-
-
-def step(lower: np.ndarray, arc: np.ndarray, failure: np.ndarray) -> np.ndarray:
-    """Probabilities of tokens in their contexts, from those in the contexts
-    without their first word, where the failure arcs lead."""
-    return arc + failure * lower
-
-
-class BackoffAutomaton:
-    """States, arcs and failure arcs of given n-grams.
-
-    ``words`` (sorted hashes) are the tokens that occur in the n-grams; a
-    token outside them has no arc but the root's unigram.
-    """
-
-    def __init__(self, grams: list[tuple[int, ...]], counts: dict[tuple[int, ...], int], unigram):
-        """``counts``: exact counts of the n-grams, of their contexts and of
-        their tokens (START: the number of texts); ``unigram``: hash -> P."""
-        self.words = np.array(sorted({h for g in grams for h in g}), dtype=np.int64)
-        ident = {h: i for i, h in enumerate(self.words.tolist())}
-        self.begin = ident.get(START, -1)
-        self.arcs: dict[tuple[int, ...], float] = {}
-        sums: dict[tuple[int, ...], list[int]] = {}
-        for g in grams:
-            self.arcs[tuple(ident[h] for h in g)] = float(_arc(np.array(counts[g]), np.array(counts[g[:-1]]), 1))
-            kept = sums.setdefault(g[:-1], [0, 0])
-            kept[0] += counts[g]
-            kept[1] += 1
-        self.failures = {
-            tuple(ident[h] for h in c): float(_left(np.array(counts[c]), np.array(kept), np.array(n))) for c, (kept, n) in sums.items()
-        }
-
-    def traverse(self, ids: list[int], unigrams: list[float]) -> float:
-        """log10 probability of one text; ids are places in ``words`` or -1,
-        ``unigrams`` the tokens' log10 probabilities."""
-        seq = [self.begin, *ids]
-        p = 10.0 ** np.array(unigrams)
-        for size in range(1, ORDER):
-            contexts = [tuple(seq[i - size : i]) if i >= size else () for i in range(1, len(seq))]
-            arcs = [self.arcs.get((*c, w), 0.0) if c else 0.0 for c, w in zip(contexts, ids)]
-            p = step(p, np.array(arcs), np.array([self.failures.get(c, 1.0) for c in contexts]))
-        return float(np.log10(p).sum())
-
+class Block:
+    """The texts of a block: words (hashes, ascending), the place of every
+    token in them, and the distinct bigrams in the order of their keys."""
+
+    def __init__(self, row: pa.Table):
+        value = lambda c: row.column(c)[0].as_py()
+        self.lengths = _numbers(value("lengths")).astype(np.int64)
+        self.held = np.array(value("held_out"), dtype=bool)
+        n = value("tokens")
+        words = np.frombuffer(value("words"), dtype=np.uint64)
+        order = np.argsort(words)
+        self.words = words[order]
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        width = max(1, ((len(words) - 1).bit_length() + 7) // 8)
+        planes = pa.Codec("zstd", 1).decompress(value("places"), decompressed_size=n * width, asbytes=True)
+        places = np.zeros((n, 8), dtype=np.uint8)
+        places[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
+        self.tokens = rank[places.view("<i8").ravel()]
+        self.train = np.repeat(~self.held, self.lengths)
+        self.starts = np.cumsum(self.lengths) - self.lengths
+
+        # Bigrams end at every token but the first of a text.
+        within = np.ones(n, dtype=bool)
+        within[self.starts] = False
+        self.at2 = np.flatnonzero(within)
+        within[self.starts + 1] = False
+        self.at3 = np.flatnonzero(within)
+        pair = self.tokens[self.at2 - 1] * len(self.words) + self.tokens[self.at2]
+        pair, place = np.unique(pair, return_inverse=True)
+        first, second = np.divmod(pair, len(self.words))
+        key = _joint(self.words[first], self.words[second])
+        order = np.argsort(key)
+        self.first, self.second, self.key2 = first[order], second[order], key[order]
+        rank = np.empty(len(order), dtype=np.int64)
+        rank[order] = np.arange(len(order))
+        self.bigram = np.full(n, -1, dtype=np.int64)  # that ends at each token
+        self.bigram[self.at2] = rank[place]
+
+    def count(self, of: np.ndarray, at: np.ndarray, size: int) -> np.ndarray:
+        """How often each value occurs at training positions."""
+        return np.bincount(of[self.train[at]], minlength=size)
+
+    def trigrams(self, kept2: np.ndarray) -> None:
+        """Distinct trigrams made of two kept bigrams, in the order of keys."""
+        parent, tail = self.bigram[self.at3 - 1], self.bigram[self.at3]
+        both = kept2[parent] & kept2[tail]
+        at = self.at3[both]
+        joint = parent[both] * len(self.words) + self.tokens[at]
+        joint, where, place = np.unique(joint, return_index=True, return_inverse=True)
+        parent, third = np.divmod(joint, max(1, len(self.words)))
+        key = _joint(self.key2[parent], self.words[third])
+        order = np.argsort(key)
+        self.parent, self.key3 = parent[order], key[order]
+        self.tail = tail[both][where][order]  # the bigram of the last two words
+        self.own3 = self.count(place, at, len(key))[order]
+
+
+def _joint(left: np.ndarray, right: np.ndarray) -> np.ndarray:
+    """64-bit keys of sequences, from those without the last word."""
+    key = mix64((left ^ np.uint64(0x2545F4914F6CDD1D)) * np.uint64(0x9E3779B97F4A7C15))
+    return mix64((key ^ right) * np.uint64(0xD6E8FEB86659FD93))
+
+
+# -- sums of keys over blocks --------------------------------------------------
+#
+# A round has one or two kinds of keys, each with a number of values. A message
+# (part, block, keys, values) holds, per kind, what one block sends to one
+# owner; there are at most as many messages as keys.
+
+_MESSAGE = "part int, block long, keys array<binary>, values array<binary>"
+_ANSWER = "block long, part int, totals array<binary>, firsts array<binary>, stats array<long>"
+_BINARIES = pa.list_(pa.binary())
+
+
+def _messages(block: int, kinds: list[tuple[np.ndarray, list[np.ndarray]]], parts: int) -> Iterator[pa.RecordBatch]:
+    """``kinds``: ascending keys and their values."""
+    edges = (np.arange(parts + 1, dtype=object) * (1 << 64)) // parts
+    edges = [int(e) for e in edges[1:-1]]
+    cuts = [np.concatenate([[0], np.searchsorted(keys, np.array(edges, dtype=np.uint64)), [len(keys)]]) for keys, _ in kinds]
+    for part in range(parts):
+        spans = [slice(c[part], c[part + 1]) for c in cuts]
+        if all(s.start == s.stop for s in spans):
+            continue
+        keys = [_packed_sorted(k[s]) for (k, _), s in zip(kinds, spans)]
+        values = [_packed(v[s]) for (_, vs), s in zip(kinds, spans) for v in vs]
+        yield pa.RecordBatch.from_arrays(
+            [pa.array([part], pa.int32()), pa.array([block], pa.int64()), pa.array([keys], _BINARIES), pa.array([values], _BINARIES)],
+            names=["part", "block", "keys", "values"],
+        )
 
-def _blocks(slim: DataFrame) -> tuple[DataFrame, int]:
-    size = slim.agg(F.sum(F.octet_length("_text").cast("double")).alias("n")).first()["n"] or 0
-    n = max(1, int(-(-size // BLOCK_BYTES)))
-    return slim.withColumn("block", F.pmod(F.xxhash64("doc_id"), F.lit(n)).cast("int")), n
 
+def _answered(messages: DataFrame, sizes: list[int], parts: int, name: str) -> DataFrame:
+    """The sums of all blocks, for every block in the order of its keys, and
+    whether the block is the first that sent the key. ``sizes``: the number of
+    values of each kind. Rows without a block hold numbers about the first
+    kind: the sum of its totals, how many there are, of one and of two, the
+    START mark left out."""
 
-def _word_counts(blocks: DataFrame) -> DataFrame:
-    """(block, word, own): every distinct token of a block with its count in
-    the block's training texts (START, a context only, included)."""
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for part, table in grouped(batches, "part"):
+            table = table.sort_by("block")
+            blocks = table.column("block").to_pylist()
+            keys, values = (table.column(c).to_pylist() for c in ("keys", "values"))
+            totals: list[list[bytes]] = [[] for _ in blocks]
+            firsts: list[list[bytes]] = [[] for _ in blocks]
+            slot = 0
+            for kind, width in enumerate(sizes):
+                sent = [np.cumsum(_numbers(k[kind]), dtype=np.uint64) for k in keys]
+                ends = np.cumsum([len(s) for s in sent])
+                distinct, at, place = np.unique(np.concatenate(sent), return_index=True, return_inverse=True)
+                first = np.zeros(len(place), dtype=bool)
+                first[at] = True
+                for i, (a, b) in enumerate(zip(ends - [len(s) for s in sent], ends)):
+                    firsts[i].append(np.packbits(first[a:b]).tobytes())
+                for v in range(slot, slot + width):
+                    given = np.concatenate([_numbers(x[v]) for x in values])
+                    total = np.zeros(len(distinct), dtype=np.int64)
+                    np.add.at(total, place, given.astype(np.int64))
+                    for i, (a, b) in enumerate(zip(ends - [len(s) for s in sent], ends)):
+                        totals[i].append(_packed(total[place[a:b]]))
+                    if v == 0:
+                        counted = total[(distinct != START) & (total > 0)]
+                        stats = [int(counted.sum()), len(counted), int((counted == 1).sum()), int((counted == 2).sum())]
+                slot += width
+            rows = [[None, *blocks], [part] * (len(blocks) + 1), [None, *totals], [None, *firsts], [stats, *[None] * len(blocks)]]
+            kinds = [pa.int64(), pa.int32(), _BINARIES, _BINARIES, pa.list_(pa.int64())]
+            yield pa.RecordBatch.from_arrays([pa.array(r, t) for r, t in zip(rows, kinds)], names=["block", "part", "totals", "firsts", "stats"])
+
+    owned = messages.repartition(parts, "part").sortWithinPartitions("part")
+    return materialize(owned.mapInArrow(run, _ANSWER), name)
+
+
+def _read(answers: pa.Table, sizes: list[int]) -> tuple[list[np.ndarray], list[np.ndarray]]:
+    """Totals of all values and the marks of first holders, of all kinds, in
+    the order in which the block sent its keys."""
+    answers = answers.sort_by("part")
+    given, marked = (answers.column(c).to_pylist() for c in ("totals", "firsts"))
+    totals = [np.concatenate([np.zeros(0, np.int64), *(_numbers(g[v]).astype(np.int64) for g in given)]) for v in range(sum(sizes))]
+    firsts = []
+    for kind, v in enumerate(np.cumsum(sizes) - sizes):
+        bits = [np.unpackbits(np.frombuffer(m[kind], np.uint8), count=(len(g[v]) - 1) // g[v][0]) for g, m in zip(given, marked)]
+        firsts.append(np.concatenate([np.zeros(0, np.uint8), *bits]).astype(bool))
+    return totals, firsts
+
+
+ROUNDS = {"words": [1, 1], "trigrams": [2, 1], "contexts": [2]}
+
+
+def _first_messages(blocks: DataFrame, parts: int) -> DataFrame:
+    """Words and bigrams with their training counts; those of held-out texts
+    alone with 0, to learn their totals."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for block, table in grouped(batches, "block"):
-            train, held = [], []
-            for text, out in zip(table.column("_text").to_pylist(), table.column("held_out").to_pylist()):
-                (held if out else train).append(_sequence(text))
-            every = np.concatenate(train + held)
-            words, place = np.unique(every, return_inverse=True)
-            own = np.bincount(place[: sum(map(len, train))], minlength=len(words))
-            for a in range(0, len(words), 1 << 16):
-                w = words[a : a + (1 << 16)]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(w), block), pa.int32()), pa.array(w), pa.array(own[a : a + (1 << 16)], pa.int64())],
-                    names=["block", "word", "own"],
-                )
-
-    dealt = blocks.select("block", "held_out", "_text").repartition("block").sortWithinPartitions("block")
-    return dealt.mapInArrow(run, "block int, word long, own long")
+        for batch in batches:
+            for i in range(batch.num_rows):
+                row = pa.Table.from_batches([batch.slice(i, 1)])
+                b = Block(row)
+                own = b.count(b.tokens, np.arange(len(b.tokens)), len(b.words))
+                own2 = b.count(b.bigram[b.at2], b.at2, len(b.key2))
+                yield from _messages(row.column("block")[0].as_py(), [(b.words, [own]), (b.key2, [own2])], parts)
+
+    return blocks.select("block", "held_out", "tokens", "lengths", "words", "places").mapInArrow(run, _MESSAGE)
+
+
+class Counted:
+    """A block with the totals that it knows so far."""
+
+    def __init__(self, row: pa.Table, replies: pa.Table, least: int, rounds: int):
+        """``replies``: answers of the first ``rounds`` rounds, with a column
+        ``round``; a block without keys in a round has none."""
+        self.block, self.least = Block(row), least
+        b = self.block
+        of = lambda name: replies.filter(pc.equal(replies.column("round"), name))
+        (self.total, self.total2), (_, first2) = _read(of("words"), ROUNDS["words"])
+        if len(self.total) != len(b.words) or len(self.total2) != len(b.key2):
+            raise ValueError("a block's words and bigrams are not all counted")
+        self.kept2 = self.total2 >= least
+        self.mine2 = self.kept2 & first2
+        b.trigrams(self.kept2)
+        # Only words that occur often enough can begin a kept bigram.
+        self.asked = np.flatnonzero(self.total >= least)
+        self.sum1, self.arcs1 = (np.zeros(len(b.words), dtype=np.int64) for _ in range(2))
+        if rounds < 2:
+            return
+        (sums, arcs, self.total3), (_, first3) = _read(of("trigrams"), ROUNDS["trigrams"])
+        if len(self.total3) != len(b.key3):
+            raise ValueError("a block's trigrams are not all counted")
+        self.sum1[self.asked], self.arcs1[self.asked] = sums, arcs
+        self.kept3 = self.total3 >= least
+        self.mine3 = self.kept3 & first3
+        self.contexts = np.flatnonzero(self.kept2 & (b.words[b.second] != END))
+        self.sum2, self.arcs2 = (np.zeros(len(b.key2), dtype=np.int64) for _ in range(2))
+        if rounds > 2:
+            (self.sum2[self.contexts], self.arcs2[self.contexts]), _ = _read(of("contexts"), ROUNDS["contexts"])
+
+    def trigram_kinds(self) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+        b = self.block
+        sums, arcs = _sums(b.first[self.mine2], self.total2[self.mine2], len(b.words))
+        return [(b.words[self.asked], [sums[self.asked], arcs[self.asked]]), (b.key3, [b.own3])]
+
+    def context_kinds(self) -> list[tuple[np.ndarray, list[np.ndarray]]]:
+        b = self.block
+        sums, arcs = _sums(b.parent[self.mine3], self.total3[self.mine3], len(b.key2))
+        return [(b.key2[self.contexts], [sums[self.contexts], arcs[self.contexts]])]
+
+
+def _sums(context: np.ndarray, total: np.ndarray, size: int) -> tuple[np.ndarray, np.ndarray]:
+    """Occurrences and number of the n-grams of each context."""
+    sums = np.zeros(size, dtype=np.int64)
+    np.add.at(sums, context, total)
+    return sums, np.bincount(context, minlength=size)
+
+
+# -- the automaton -------------------------------------------------------------
 
 
 class UnigramModel:
@@ -332,45 +368,129 @@ class UnigramModel:
         return np.log10((count + 0.1) / (self.tokens + 0.1 * (self.types + 1)))
 
 
-def _score_block(docs: pa.Table, replies: pa.Table, unigrams: UnigramModel, least: int) -> pa.Table:
-    seqs = [_sequence(t) for t in docs.column("_text").to_pylist()]
-    held = docs.column("held_out").to_numpy()
-    lengths = np.array([len(s) for s in seqs], dtype=np.int64)
-    joined = np.concatenate(seqs)
-    words, place = np.unique(joined, return_inverse=True)
-    count = np.bincount(place[np.repeat(~held, lengths)], minlength=len(words)).astype(np.int64)
-    sums = np.zeros((2, len(words)), dtype=np.int64)
-    of_words = replies.filter(pc.is_valid(replies.column("word")))
-    at = np.searchsorted(words, of_words.column("word").to_numpy())
-    for target, name in ((count, "total"), (sums[0], "kept"), (sums[1], "arcs")):
-        target[at] = of_words.column(name).to_numpy()
-
-    grams = Grams(joined)
-    answers = replies.filter(pc.is_valid(replies.column("part"))).sort_by("part")
-    total2, kept2, arcs2, total3 = (np.concatenate(_unpacked(answers, c)) for c in _ANSWER)
-    if len(total2) != len(grams.key) or len(total3) != len(grams.third):
-        raise ValueError("the texts of a block changed between two reads of the documents")
-    p = unigrams.probability(count)[place]
-    context = place[grams.at2 - 1]
-    arc = _arc(total2[grams.place2], count[context], least)
-    p[grams.at2] = step(p[grams.at2], arc, _left(count, *sums)[context])
-    arc = _arc(total3, total2[grams.parent], least)[grams.place3]
-    p[grams.at3] = step(p[grams.at3], arc, _left(total2, kept2, arcs2)[grams.parent][grams.place3])
-    p = np.log10(p)
+def _left(total: np.ndarray, kept: np.ndarray, arcs: np.ndarray) -> np.ndarray:
+    """Weight of the failure arcs of contexts that occur ``total`` times and
+    whose arcs are ``arcs`` kept n-grams of ``kept`` occurrences."""
+    whole = np.maximum(total, 1)
+    return np.where(arcs > 0, (whole - kept + DISCOUNT * arcs) / whole, 1.0)
+
+
+class Automaton:
+    """States are numbers, the root is 0; words are places in a vocabulary.
+
+    ``arcs``: (state, word, log10 probability, state it leads to), the root's
+    apart: ``root`` is (log10 probability, state it leads to) for every word.
+    ``failure``: (log10 weight, state it leads to) for every state.
+    """
+
+    def __init__(self, arcs: tuple[np.ndarray, ...], root: tuple[np.ndarray, np.ndarray], failure: tuple[np.ndarray, np.ndarray]):
+        state, word, weight, target = arcs
+        self.root_weight, self.root_target = root
+        self.failure_weight, self.failure_target = failure
+        self.width = len(self.root_weight)
+        key = state * self.width + word
+        order = np.argsort(key)
+        # The last key is none that is ever asked for.
+        self.keys = np.append(key[order], np.iinfo(np.int64).max)
+        self.weight, self.target = weight[order], target[order]
+
+    def step(self, state: np.ndarray, word: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """The states after each walk read its word, and the log-probabilities
+        collected on the way."""
+        state, gained, after = state.copy(), np.zeros(len(state)), np.empty_like(state)
+        walking = np.arange(len(state))
+        while True:
+            rooted = state[walking] == 0
+            at_root, walking = walking[rooted], walking[~rooted]
+            gained[at_root] += self.root_weight[word[at_root]]
+            after[at_root] = self.root_target[word[at_root]]
+            if not len(walking):
+                return after, gained
+            key = state[walking] * self.width + word[walking]
+            at = np.searchsorted(self.keys, key)
+            taken = self.keys[at] == key
+            done, at = walking[taken], at[taken]
+            gained[done] += self.weight[at]
+            after[done] = self.target[at]
+            walking = walking[~taken]
+            gained[walking] += self.failure_weight[state[walking]]
+            state[walking] = self.failure_target[state[walking]]
+
+    def walk(self, tokens: np.ndarray, starts: np.ndarray, lengths: np.ndarray) -> np.ndarray:
+        """log10 probability of every text. Texts lie end to end in ``tokens``;
+        the first token of each is read but not scored."""
+        # Lanes of at most LANE scored tokens.
+        lanes = -(-(lengths - 1) // LANE)
+        text = np.repeat(np.arange(len(lengths)), lanes)
+        number = np.arange(len(text)) - np.repeat(np.cumsum(lanes) - lanes, lanes)
+        begin = starts[text] + 1 + number * LANE
+        size = np.minimum(LANE, starts[text] + lengths[text] - begin)
+        order = np.argsort(-size, kind="stable")
+        text, number, begin, size = text[order], number[order], begin[order], size[order]
+        state = np.zeros(len(text), dtype=np.int64)
+        further = np.flatnonzero(number > 0)  # two tokens before them
+        state[further], _ = self.step(state[further], tokens[begin[further] - 2])
+        state, _ = self.step(state, tokens[begin - 1])
+        score = np.zeros(len(text))
+        for t in range(int(size.max(initial=0))):
+            n = int(np.searchsorted(-size, -t, side="left"))  # lanes longer than t
+            state, gained = self.step(state[:n], tokens[begin[:n] + t])
+            score[:n] += gained
+        return np.bincount(text, weights=score, minlength=len(lengths))
+
+
+def automaton(counted: Counted, unigrams: UnigramModel) -> Automaton:
+    """The states and arcs that a block's texts can reach."""
+    c, b = counted, counted.block
+    of_word = np.where(c.arcs1 > 0, np.cumsum(c.arcs1 > 0), 0)  # its state, or the root
+    n = int((c.arcs1 > 0).sum())
+    of_bigram = np.where(c.arcs2 > 0, n + np.cumsum(c.arcs2 > 0), 0)
+    # The longest context that a bigram ends with.
+    reached = np.where(of_bigram > 0, of_bigram, of_word[b.second])
+
+    p1 = unigrams.probability(c.total)
+    left1, left2 = _left(c.total, c.sum1, c.arcs1), _left(c.total2, c.sum2, c.arcs2)
+    two = np.flatnonzero(c.kept2)
+    p2 = np.zeros(len(b.key2))
+    p2[two] = (c.total2[two] - DISCOUNT) / c.total[b.first[two]] + left1[b.first[two]] * p1[b.second[two]]
+    three = np.flatnonzero(c.kept3)
+    parent, tail = b.parent[three], b.tail[three]
+    p3 = (c.total3[three] - DISCOUNT) / c.total2[parent] + left2[parent] * p2[tail]
+
+    words, bigrams = np.flatnonzero(of_word), np.flatnonzero(of_bigram)
+    return Automaton(
+        (
+            np.concatenate([of_word[b.first[two]], of_bigram[parent]]),
+            np.concatenate([b.second[two], b.second[tail]]),
+            np.log10(np.concatenate([p2[two], p3])),
+            np.concatenate([reached[two], reached[tail]]),
+        ),
+        (np.log10(p1), of_word),
+        (
+            np.log10(np.concatenate([[1.0], left1[words], left2[bigrams]])),
+            np.concatenate([[0], np.zeros(n, dtype=np.int64), of_word[b.second[bigrams]]]),
+        ),
+    )
 
+
+def _score_block(row: pa.Table, replies: pa.Table, unigrams: UnigramModel, least: int) -> pa.Table:
+    counted = Counted(row, replies, least, 3)
+    b = counted.block
+    score = automaton(counted, unigrams).walk(b.tokens, b.starts, b.lengths)
     # START is no token of the texts.
-    token = joined != START
-    text = np.repeat(np.arange(len(seqs)), lengths)[token]
-    of_text = lambda values: np.bincount(text, weights=values[token], minlength=len(seqs))
+    token = np.ones(len(b.tokens), dtype=bool)
+    token[b.starts] = False
+    text = np.repeat(np.arange(len(b.lengths)), b.lengths)[token]
+    of_text = lambda values: np.bincount(text, weights=values[b.tokens][token], minlength=len(b.lengths))
     return pa.table(
         {
-            "doc_id": docs.column("doc_id"),
-            "held_out": docs.column("held_out"),
-            "n_tokens": pa.array(lengths - 1),
-            "n_known": pa.array(of_text((count > 0)[place]).astype(np.int64)),
-            "train_tokens": pa.array(np.full(len(seqs), unigrams.tokens), pa.int64()),
-            "base_score": pa.array(of_text(unigrams.base(count)[place])),
-            "score": pa.array(of_text(p)),
+            "doc_id": row.column("doc_ids").combine_chunks().flatten(),
+            "held_out": pa.array(b.held),
+            "n_tokens": pa.array(b.lengths - 1),
+            "n_known": pa.array(of_text(counted.total > 0).astype(np.int64)),
+            "train_tokens": pa.array(np.full(len(b.lengths), unigrams.tokens), pa.int64()),
+            "base_score": pa.array(of_text(unigrams.base(counted.total))),
+            "score": pa.array(score),
         }
     )
 
@@ -386,40 +506,44 @@ def score_documents(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
     are ignored, whatever their names.
     """
     spark = docs.sparkSession
-    slim = _slim(docs, doc_id, text)
-    blocks, n_blocks = _blocks(slim)
-    per_word = Window.partitionBy("word")
-    counted = materialize(
-        _word_counts(blocks)
-        .withColumn("total", F.sum("own").over(per_word))
-        .withColumn("first", F.row_number().over(per_word.orderBy("block")) == 1),
-        "lm-words",
-    )
-    one = counted.where(F.col("first") & (F.col("total") > 0) & (F.col("word") != START)).agg(
-        F.coalesce(F.sum("total"), F.lit(0)).alias("tokens"),
-        F.count("*").alias("types"),
-        F.count(F.when(F.col("total") == 1, 1)).alias("once"),
-        F.count(F.when(F.col("total") == 2, 1)).alias("twice"),
-    ).first()
-    unigrams = UnigramModel(one["tokens"], one["types"], one["once"], one["twice"])
-    free_shuffles(spark)
-    answers = materialize(gram_totals(blocks, n_blocks, least), "lm-grams")
-    free_shuffles(spark)
+    blocks = materialize(token_blocks(docs, doc_id, text), "lm-blocks")
+    tokens = blocks.agg(F.sum("tokens")).first()[0] or 0
+    parts = max(1, -(-tokens // PART_KEYS))
+
+    def replies(*rounds: tuple[str, DataFrame]) -> DataFrame:
+        out = None
+        for name, answers in rounds:
+            rows = answers.where("block IS NOT NULL").select(
+                F.col("block").alias("to"), "part", "totals", "firsts", F.lit(name).alias("round")
+            )
+            out = rows if out is None else out.unionByName(rows)
+        return out
+
+    def meet(answers: DataFrame, run, schema: str) -> DataFrame:
+        return blocks.groupBy("block").cogroup(answers.groupBy("to")).applyInArrow(run, schema)
+
+    def next_messages(make, rounds: int):
+        def run(row: pa.Table, answers: pa.Table) -> pa.Table:
+            kinds = make(Counted(row, answers, least, rounds))
+            sent = list(_messages(row.column("block")[0].as_py(), kinds, parts))
+            empty = pa.schema([("part", pa.int32()), ("block", pa.int64()), ("keys", _BINARIES), ("values", _BINARIES)])
+            return pa.Table.from_batches(sent, schema=empty)
+
+        return run
+
+    first = _answered(_first_messages(blocks, parts), ROUNDS["words"], parts, "lm-words")
+    stats = first.where("block IS NULL").agg(*[F.coalesce(F.sum(F.col("stats")[i]), F.lit(0)) for i in range(4)]).first()
+    unigrams = UnigramModel(*stats)
+    sent = meet(replies(("words", first)), next_messages(Counted.trigram_kinds, 1), _MESSAGE)
+    second = _answered(sent, ROUNDS["trigrams"], parts, "lm-trigrams")
+    known = [("words", first), ("trigrams", second)]
+    sent = meet(replies(*known), next_messages(Counted.context_kinds, 2), _MESSAGE)
+    third = _answered(sent, ROUNDS["contexts"], parts, "lm-contexts")
     model = ship(spark, (unigrams, least))
 
-    def run(left: pa.Table, right: pa.Table) -> pa.Table:
-        return _score_block(left, right, *shipped(model))
+    def run(row: pa.Table, answers: pa.Table) -> pa.Table:
+        return _score_block(row, answers, *shipped(model))
 
-    kind = slim.schema["doc_id"].dataType.simpleString()
-    schema = (
-        f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
-    )
-    of_words = (
-        counted.join(_word_sums(answers), "word", "left")
-        .where("total != own OR arcs IS NOT NULL")
-        .select("block", "word", "total", F.coalesce("kept", F.lit(0)).alias("kept"), F.coalesce("arcs", F.lit(0)).alias("arcs"))
-    )
-    replies = of_words.unionByName(
-        answers.where("block IS NOT NULL").select("block", "part", *_ANSWER), allowMissingColumns=True
-    )
-    return blocks.groupBy("block").cogroup(replies.groupBy("block")).applyInArrow(run, schema)
+    kind = docs.select(F.col(doc_id)).schema[0].dataType.simpleString()
+    schema = f"doc_id {kind}, held_out boolean, n_tokens long, n_known long, train_tokens long, base_score double, score double"
+    return meet(replies(*known, ("contexts", third)), run, schema)

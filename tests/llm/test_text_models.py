@@ -8,6 +8,8 @@ from collections import Counter
 import numpy as np
 import pytest
 
+from pyspark.sql import functions as F
+
 from sparktally.llm import lm, toxicity
 from sparktally.llm.queries import QUERIES
 from tests.conftest import SF_SMOKE
@@ -181,31 +183,89 @@ def test_lm_empty_table_and_no_training(spark):
     assert {(r.train_tokens, r.n_known, r.score, r.base_score) for r in got} == {(0, 0, 0.0, 0.0)}
 
 
-def test_automaton_is_a_probability_distribution():
-    rng = random.Random(2)
-    words = list(range(10, 22))
-    seqs = [[lm.START] + rng.choices(words, weights=range(1, 13), k=rng.randint(1, 9)) + [lm.END] for _ in range(300)]
-    counts = Counter()
-    for s in seqs:
-        for size in (1, 2, 3):
-            counts.update(tuple(s[i : i + size]) for i in range(len(s) - size + 1))
+def _counted(seqs, least=2):
+    """A block of given texts (word numbers), counted by itself."""
+    counts = Counter(tuple(s[i : i + n]) for s in seqs for n in (1, 2, 3) for i in range(len(s) - n + 1))
+    b = object.__new__(lm.Block)
+    b.words = np.array(sorted({w for s in seqs for w in s}), dtype=np.uint64)
+    at = {w: i for i, w in enumerate(b.words.tolist())}
+    two, three = (sorted(g for g in counts if len(g) == n) for n in (2, 3))
+    place = {g: i for i, g in enumerate(two)}
+    b.first, b.second = (np.array([at[g[i]] for g in two]) for i in (0, 1))
+    b.key2 = np.zeros(len(two), dtype=np.uint64)
+    three = [g for g in three if counts[g[:2]] >= least and counts[g[1:]] >= least]
+    b.parent, b.tail = (np.array([place[g[i : i + 2]] for g in three]) for i in (0, 1))
+    c = object.__new__(lm.Counted)
+    c.block = b
+    c.total, c.total2, c.total3 = (np.array([counts[g] for g in gs]) for gs in ([(w,) for w in b.words.tolist()], two, three))
+    c.kept2, c.kept3 = c.total2 >= least, c.total3 >= least
+    c.sum1, c.arcs1 = lm._sums(b.first[c.kept2], c.total2[c.kept2], len(b.words))
+    c.sum2, c.arcs2 = lm._sums(b.parent[c.kept3], c.total3[c.kept3], len(two))
     tokens = sum(len(s) - 1 for s in seqs)
-    unigrams = lm.UnigramModel(tokens, len(words) + 1, 3, 2)
-    share = lambda h: float(unigrams.probability(np.array([counts[(h,)]]))[0])
-    grams = [g for g, n in counts.items() if len(g) == 3 and n >= 3]
-    grams = sorted({g[:2] for g in grams} | {g for g in counts if len(g) == 2 and counts[g] >= 5} | set(grams))
-    auto = lm.BackoffAutomaton(grams, counts, share)
-    ident = {h: i for i, h in enumerate(auto.words.tolist())}
-    unknown = float(np.log10(unigrams.probability(np.array([0]))[0]))
-    logp = {h: math.log10(share(h)) for h in words + [lm.END]}
-    for history in ([], [15], [21, 20], [10, 11, 19], [21, 21, 21]):
-        before = auto.traverse([ident.get(h, -1) for h in history], [logp[h] for h in history])
-        total = 0.0
-        for h in words + [lm.END]:
-            seq = history + [h]
-            total += 10 ** (auto.traverse([ident.get(x, -1) for x in seq], [logp[x] for x in seq]) - before)
-        total += 10 ** (auto.traverse([ident.get(x, -1) for x in history] + [-1], [logp[x] for x in history] + [unknown]) - before)
-        assert total == pytest.approx(1.0, abs=1e-9)
+    types = [n for g, n in counts.items() if len(g) == 1 and g != (lm.START,)]
+    return c, lm.UnigramModel(tokens, len(types), types.count(1), types.count(2)), at
+
+
+def _random_seqs(seed, n=300):
+    rng = random.Random(seed)
+    words = list(range(10, 40))
+    weights = [1 / (i + 1) for i in range(30)]
+    return [[lm.START] + rng.choices(words, weights=weights, k=rng.randint(1, 9)) + [lm.END] for _ in range(n)]
+
+
+def test_every_state_is_a_probability_distribution():
+    c, unigrams, at = _counted(_random_seqs(2))
+    auto = lm.automaton(c, unigrams)
+    states = len(auto.failure_weight)
+    assert states > 100  # word and bigram states
+    words = np.array([i for w, i in at.items() if w != lm.START])
+    for state in range(states):
+        if state and auto.failure_target[state] == 0 and c.block.words[words].size == 0:
+            continue
+        _, gained = auto.step(np.full(len(words), state), words)
+        # What is left of the unigrams is one unknown word, down all failure arcs.
+        unknown, s = math.log10(unigrams.probability(np.array([0]))[0]), state
+        while s:
+            unknown += auto.failure_weight[s]
+            s = auto.failure_target[s]
+        assert (10**gained).sum() + 10**unknown == pytest.approx(1.0, abs=1e-9)
+
+
+def test_lanes_read_what_one_traversal_reads(monkeypatch):
+    seqs = _random_seqs(3, 80) + [[lm.START, lm.END], [lm.START] + [10, 11] * 200 + [lm.END]]
+    c, unigrams, at = _counted(seqs)
+    auto = lm.automaton(c, unigrams)
+    tokens = np.array([at[w] for s in seqs for w in s])
+    lengths = np.array([len(s) for s in seqs])
+    starts = np.cumsum(lengths) - lengths
+    want = []
+    for a, n in zip(starts, lengths):
+        state, total = np.zeros(1, dtype=np.int64), 0.0
+        for k, word in enumerate(tokens[a : a + n]):
+            state, gained = auto.step(state, np.array([word]))
+            total += gained[0] if k else 0.0
+        want.append(total)
+    for lane in (1, 2, 3, 7, 1000):
+        monkeypatch.setattr(lm, "LANE", lane)
+        assert auto.walk(tokens, starts, lengths) == pytest.approx(want, abs=1e-9)
+
+
+def test_the_query_walks_the_automaton(spark, monkeypatch):
+    def halved(self, tokens, starts, lengths, walk=lm.Automaton.walk):
+        return walk(self, tokens, starts, lengths) / 2
+
+    df = spark.createDataFrame(_corpus(60, 6)[0], "doc_id long, text string")
+    whole = {r.doc_id: r.score for r in lm.score_documents(df).collect()}
+    monkeypatch.setattr(lm.Automaton, "walk", halved)
+    half = {r.doc_id: r.score for r in lm.score_documents(df).collect()}
+    assert half == {i: pytest.approx(v / 2) for i, v in whole.items()}
+
+
+def test_ids_of_any_kind_repeated_and_null(spark):
+    rows = [(None, "a b a b"), (None, "a b"), ("x", "a b"), ("x", "a b"), ("x", None), ("y", ""), ("z", "q " * 3000)]
+    df = spark.createDataFrame(rows * 3, "doc_id string, text string").withColumn("block", F.lit("clash")).withColumn("words", F.lit(1))
+    got = lm.score_documents(df).collect()
+    assert Counter((r.doc_id, r.n_tokens) for r in got) == Counter((i, len((t or "").split()) + 1) for i, t in rows * 3)
 
 
 def test_lm_query_on_held_out_documents(spark):
