@@ -31,7 +31,7 @@ import hashlib
 import os
 import re
 from collections.abc import Iterator
-from itertools import accumulate, chain
+from itertools import chain
 
 import numpy as np
 import pyarrow as pa
@@ -44,7 +44,7 @@ from sparktally.llm.common import list_array, materialize, small_batches
 
 SEGMENT = re.compile(r" +[^ ]+(?: +\Z)?| +\Z")
 SEGMENTS = 400_000  # entries of the cache before it is emptied
-CHUNK = 1 << 15  # characters of segments encoded together
+CHUNK = 1 << 15  # characters, about, of segments encoded together
 BLOCK_BYTES = 8 << 20
 SPACE = "▁"  # the stand-in of a space in sentencepiece models
 SHIFT = 1 << 32  # a pair of ids as one number: a * SHIFT + b
@@ -70,8 +70,9 @@ class ByteLevel:
     def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
         """ids, and begins and ends of their spans in characters."""
         found = self.tokenizer.encode(text, add_special_tokens=False)
-        spans = np.array(found.offsets, dtype=np.int64).reshape(-1, 2)
-        return found.ids, spans[:, 0], spans[:, 1]
+        ids = found.ids
+        spans = np.fromiter(chain.from_iterable(found.offsets), np.int64, 2 * len(ids))
+        return ids, spans[::2], spans[1::2]
 
 
 class Pieces:
@@ -96,10 +97,11 @@ class Pieces:
     def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
         """ids, and begins and ends of their spans in bytes."""
         pieces = self.model.encode(text[1:], return_type="proto").pieces
-        # The spans leave out the space that the model adds.
-        begins = np.array([p.begin for p in pieces], dtype=np.int64) + 1
-        begins[:1] = 0
-        return [p.id for p in pieces], begins, np.array([p.end for p in pieces], dtype=np.int64) + 1
+        ids = [p.id for p in pieces]
+        # The spans leave out the space that the model adds, and follow one
+        # another; only byte fallbacks have empty ones.
+        ends = np.array([p.end for p in pieces], dtype=np.int64) + 1
+        return ids, np.concatenate([[0], ends[:-1]]), ends
 
 
 def byte_ends(begins: np.ndarray, ends: np.ndarray, sizes: np.ndarray, fallback: np.ndarray) -> np.ndarray:
@@ -125,33 +127,44 @@ class Aligner:
         self.inner, self.last_a, self.last_b = (
             [f"{i}{mark}" for i in range(max(map(len, (a.bytes_of, b.bytes_of))))] for mark in ",|;"
         )
-        # Segment -> (ids and groups) or None where the tokens are not its bytes.
-        self.cache: dict[str, tuple | None] = {}
-
-    def aligned(self, segments: list[str]) -> list[tuple | None]:
-        """(tokens of A, of B, groups as text, linked pairs, cuts, bytes) of
-        segments that are encoded as one text, as which they are cut again."""
+        self._forget()
+
+    def _forget(self) -> None:
+        """Segments by number: their groups as text; tokens of A and of B,
+        groups, bytes; where their linked pairs and cuts begin. Number 0 is a
+        segment whose tokens are not its bytes."""
+        self.cache: dict[str, int] = {}
+        self.shown: list[str] = [""]
+        self.sizes_of = np.zeros((1, 4), dtype=np.int64)
+        self.begin = np.zeros(2, dtype=np.int64)
+        self.pairs, self.cuts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
+
+    def aligned(self, segments: list[str]) -> tuple[list[str], list[str], np.ndarray, np.ndarray, np.ndarray]:
+        """Segments encoded as one text and cut again: those whose tokens are
+        their bytes, their groups as text, their sizes (tokens of A and of B,
+        groups, bytes), and the linked pairs and the cuts of all groups."""
         text = "".join(segments)
         raw = text.encode("utf-8")
         (ids_a, begins_a, ends_a), (ids_b, begins_b, ends_b) = self.a.encode(text), self.b.encode(text)
         of_a, of_b = self.a.bytes_of, self.b.bytes_of
         if b"".join([of_a[i] for i in ids_a]) != raw or b"".join([of_b[i] for i in ids_b]) != raw:
-            if len(segments) == 1:
-                return [None]
             half = len(segments) // 2
-            return self.aligned(segments[:half]) + self.aligned(segments[half:])
-        sizes = [len(s) for s in segments]
+            none = np.zeros(0, dtype=np.int64)
+            if not half:
+                return [], [], none.reshape(0, 4), none, none
+            one, two = self.aligned(segments[:half]), self.aligned(segments[half:])
+            return one[0] + two[0], one[1] + two[1], *(np.concatenate(x) for x in zip(one[2:], two[2:]))
+        sizes = np.array([len(s) for s in segments])
         if len(raw) != len(text):
             # Byte offset of every character: the bytes that begin one.
             at = np.append(np.flatnonzero(np.frombuffer(raw, np.uint8) & 0xC0 != 0x80), len(raw))
             begins_a, ends_a = at[begins_a], at[ends_a]
-            sizes = [len(s.encode("utf-8")) for s in segments]
+            sizes = np.diff(at[np.cumsum(sizes)], prepend=0)
         a, b = np.array(ids_a, dtype=np.int64), np.array(ids_b, dtype=np.int64)
         ends_a = byte_ends(begins_a, ends_a, self.sizes[0][a], np.zeros(len(a), dtype=bool))
         ends_b = byte_ends(begins_b, ends_b, self.sizes[1][b], self.b.fallback[b])
 
         cuts, last_a, last_b = np.intersect1d(ends_a, ends_b, assume_unique=True, return_indices=True)
-        pairs = (a[last_a] * SHIFT + b[last_b]).tolist()
         marks = []  # the text of every token, with the mark behind it
         for ids, last, closing in ((ids_a, last_a, self.last_a), (ids_b, last_b, self.last_b)):
             shown = [self.inner[i] for i in ids]
@@ -168,44 +181,61 @@ class Aligner:
         if (cuts[to - 1] != stops).any():
             raise ValueError("a segment does not end with tokens of both sides")
         to_a, to_b = last_a[to - 1] + 1, last_b[to - 1] + 1
-        within = (cuts - np.repeat(stops - sizes, np.diff(to, prepend=0))).tolist()
-        out = []
-        g = i = j = 0
-        for g2, i2, j2, size in zip(to.tolist(), to_a.tolist(), to_b.tolist(), sizes):
-            out.append((i2 - i, j2 - j, "".join(shown[i + j : i2 + j2])[:-1], pairs[g:g2], within[g:g2], size))
-            g, i, j = g2, i2, j2
-        return out
+        counts = np.stack([np.diff(x, prepend=0) for x in (to_a, to_b, to)] + [sizes], axis=1)
+        ends = (to_a + to_b).tolist()
+        texts = ["".join(shown[i:j])[:-1] for i, j in zip([0, *ends], ends)]
+        return segments, texts, counts, a[last_a] * SHIFT + b[last_b], cuts - np.repeat(stops - sizes, counts[:, 2])
 
     def _learn(self, fresh: set[str]) -> None:
         """Encode distinct segments: plain ones many at a time, those with
         more spaces than the first one by themselves."""
-        rows: list[list[str]] = [[]]
-        size = 0
-        for s in fresh:
-            if s.count(" ") > 1:
-                rows.insert(0, [s])
-                continue
-            if size > CHUNK:
-                rows.append([])
-                size = 0
-            rows[-1].append(s)
-            size += len(s)
-        for row in rows:
-            if row:
-                self.cache.update(zip(row, self.aligned(row)))
-
-    def texts(self, texts: list[str]) -> Iterator[list[tuple]]:
-        """The aligned segments of each text; none if the text is empty or the
+        rows = [[s] for s in fresh if s.count(" ") > 1]
+        plain = [s for s in fresh if s.count(" ") == 1]
+        step = max(1, CHUNK // 10)
+        rows += [plain[i : i + step] for i in range(0, len(plain), step)]
+        self.cache.update(dict.fromkeys(fresh, 0))
+        learnt = [self.aligned(row) for row in rows]
+        for segments, texts, *_ in learnt:
+            self.cache.update(zip(segments, range(len(self.shown), len(self.shown) + len(texts))))
+            self.shown += texts
+        self.sizes_of, self.pairs, self.cuts = (
+            np.concatenate([old, *(x[k] for x in learnt)]) for k, old in ((2, self.sizes_of), (3, self.pairs), (4, self.cuts))
+        )
+        self.begin = np.cumsum(self.sizes_of[:, 2]) - self.sizes_of[:, 2]
+
+    def texts(self, texts: list[str]) -> "Aligned":
+        """The alignment of texts; a text has no tokens if it is empty or the
         tokens of either tokenizer are not the bytes of a space and the text."""
         cut = [SEGMENT.findall(" " + t) if t else [] for t in texts]
         fresh = set().union(*cut).difference(self.cache)
         if fresh and len(self.cache) + len(fresh) > SEGMENTS:
-            self.cache.clear()
+            self._forget()
             fresh = set().union(*cut)
-        self._learn(fresh)
-        for segments in cut:
-            found = list(map(self.cache.__getitem__, segments))
-            yield [] if None in found else found
+        if fresh:
+            self._learn(fresh)
+        found = [list(map(self.cache.__getitem__, segments)) for segments in cut]
+        return Aligned(self, [[] if 0 in numbers else numbers for numbers in found])
+
+
+class Aligned:
+    """Per text: groups (as text), sizes (tokens of A and of B, groups), and,
+    as slices ``spans`` of flat arrays, linked pairs and cuts."""
+
+    def __init__(self, known: Aligner, found: list[list[int]]):
+        self.groups = [";".join(map(known.shown.__getitem__, numbers)) for numbers in found]
+        lengths = np.array(list(map(len, found)), dtype=np.int64)
+        flat = np.fromiter(chain.from_iterable(found), np.int64, lengths.sum())
+        ends = np.cumsum(lengths)
+        sums = np.zeros((len(flat) + 1, 4), dtype=np.int64)
+        np.cumsum(known.sizes_of[flat], axis=0, out=sums[1:])
+        self.sizes = (sums[ends] - sums[ends - lengths])[:, :3]
+        self.spans = [slice(a, b) for a, b in zip(sums[ends - lengths, 2].tolist(), sums[ends, 2].tolist())]
+        groups = known.sizes_of[flat, 2]
+        at = np.repeat(known.begin[flat] - sums[:-1, 2], groups) + np.arange(sums[-1, 2])
+        self.pairs = known.pairs[at]
+        # Bytes of the text's segments before each one.
+        offset = sums[:-1, 3] - np.repeat(sums[ends - lengths, 3], lengths)
+        self.cuts = known.cuts[at] + np.repeat(offset, groups)
 
 
 _LINKED = "block long, pairs array<long>, times array<int>"
@@ -228,23 +258,17 @@ def _encoded(docs: DataFrame, a_source: str, b_model: bytes, text: str, keep: tu
             first = TaskContext.get().partitionId() << 32
             filled = 0
             for batch in small_batches(batches, "_text"):
-                n_a, n_b, groups, cuts, pairs = [], [], [], [], []
-                for segments in aligner.texts(batch.column("_text").to_pylist()):
-                    n_a.append(sum([s[0] for s in segments]))
-                    n_b.append(sum([s[1] for s in segments]))
-                    joined = ";".join([s[2] for s in segments])
-                    groups.append(hashlib.sha256(joined.encode("ascii")).hexdigest() if digests and joined else joined)
-                    pairs.append(np.array(list(chain.from_iterable([s[3] for s in segments])), dtype=np.int64))
-                    if not digests:
-                        starts = accumulate((s[5] for s in segments), initial=0)
-                        cuts.append([start + c for start, s in zip(starts, segments) for c in s[4]])
-                distinct = [np.unique(p, return_counts=True) for p in pairs]
+                found = aligner.texts(batch.column("_text").to_pylist())
+                distinct = [np.unique(found.pairs[span], return_counts=True) for span in found.spans]
                 sizes = [len(d[0]) for d in distinct]
                 links = [list_array(np.concatenate([d[k] for d in distinct]), sizes, kind) for k, kind in ((0, pa.int64()), (1, pa.int32()))]
                 block = pa.array(np.full(len(sizes), first + filled // BLOCK_BYTES), pa.int64())
                 filled += batch.column("_text").nbytes
-                numbers = [pa.array(c, pa.int64()) for c in (n_a, n_b, list(map(len, pairs)))]
-                shown = [pa.array(groups, pa.string())] + ([] if digests else [pa.array(cuts, pa.list_(pa.int64()))])
+                numbers = [pa.array(np.ascontiguousarray(c)) for c in found.sizes.T]
+                if digests:
+                    shown = [pa.array([hashlib.sha256(g.encode("ascii")).hexdigest() if g else g for g in found.groups], pa.string())]
+                else:
+                    shown = [pa.array(found.groups, pa.string()), list_array(found.cuts, found.sizes[:, 2])]
                 names = ["n_a", "n_b", "n_groups", "groups_sha256"] if digests else ["n_a", "n_b", "n_groups", "groups", "cuts"]
                 kept = [batch.column(f"k{i}") for i in range(len(keep))]
                 yield pa.RecordBatch.from_arrays(
