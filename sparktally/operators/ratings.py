@@ -5,6 +5,9 @@ aggregation before the shuffle, so a hot key costs one row per map task),
 then join the dimension, which is reduced to one row per key. Shuffles then
 carry one row per key, not one per rating.
 
+Averages are exact sums divided once (``functions/exact.py``): they do not
+depend on the order of the rows, so neither does a tie between two of them.
+
 Column roles (defaults follow the movie-rating data): ratings have
 ``user_id, movie_id, rating``; movies have ``movie_id, title, genres``.
 """
@@ -16,6 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from sparktally.functions.exact import add_limbs, exact_avg, limb_sums, limbs, limbs_total
 from sparktally.functions.text import java_trim
 from sparktally.functions.values import split_fields, strip_trailing
 from sparktally.operators.joins import left_join_default, one_per_key, splittable_join
@@ -32,7 +36,7 @@ def rating_stats(ratings: DataFrame, key: str = "movie_id", value: str = "rating
     row. Partial aggregation runs before the shuffle."""
     return (
         ratings.groupBy(key)
-        .agg(F.avg(value).alias("avg_rating"), F.count(value).alias("n"))
+        .agg(exact_avg(value).alias("avg_rating"), F.count(value).alias("n"))
         .where(F.col("n") > 0)
     )
 
@@ -124,7 +128,7 @@ def rate_tags(
     """
     per_movie = (
         ratings.groupBy(key)
-        .agg(F.sum(value).alias("_sum"), F.count(value).alias("_n"))
+        .agg(limb_sums(limbs(value)).alias("_sum"), F.count(value).alias("_n"))
         .where(F.col("_n") > 0)
     )
     dim = one_per_key(movies.select(key, tags).where(F.col(tags).isNotNull()), key, [tags])
@@ -133,7 +137,7 @@ def rate_tags(
         F.explode(tag_parts(F.col(tags), sep)).alias("_tag"), "_sum", "_n"
     )
     out = exploded.groupBy(java_trim("_tag").alias(tag_name)).agg(
-        (F.sum("_sum") / F.sum("_n")).alias("avg_rating"), F.sum("_n").alias("n")
+        (limbs_total(add_limbs("_sum")) / F.sum("_n")).alias("avg_rating"), F.sum("_n").alias("n")
     )
     return out.orderBy(tag_name) if ordered else out
 
@@ -174,7 +178,7 @@ def rate_by_segment(
     counts = []
     for i, (lab, name) in enumerate(zip(labels, avg_cols)):
         hit = F.col(segment) == F.lit(lab)
-        aggs.append(F.avg(F.when(hit, F.col(value))).alias(name))
+        aggs.append(exact_avg(F.when(hit, F.col(value))).alias(name))
         aggs.append(F.count(F.when(hit, F.col(value))).alias(f"_n{i}"))
         counts.append(F.col(f"_n{i}") > 0)
     any_rated = counts[0]

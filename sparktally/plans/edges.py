@@ -24,6 +24,8 @@ from sparktally.operators import (
     rate_by_segment,
     rate_entities,
     rate_tags,
+    rating_stats,
+    top_rated,
     valid_reviews,
 )
 from sparktally.plans import roles
@@ -204,6 +206,44 @@ def q_one_per_key_edges(spark: SparkSession, sf_dir: str) -> DataFrame:
     return left_join_default(items, dim, "movie_id", {"title": UNKNOWN_TITLE}, hot_keys=True)
 
 
+# Ratings of tenths, whose doubles are not exact and whose sums round.
+TENTHS = "(l_quantity % 10 + 1) / CAST(10 AS DOUBLE)"
+
+
+def _tenths(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every movie twice, the second time under the negative number: two
+    equal bags of ratings, read from different places of the input."""
+    items = load_table(spark, sf_dir, "lineitem").select(
+        F.col("l_orderkey").alias("user_id"), F.col("l_partkey").alias("movie_id"), F.expr(TENTHS).alias("rating")
+    )
+    return items.unionByName(items.withColumn("movie_id", -F.col("movie_id") - 1))
+
+
+def q_exact_averages(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Averages of fractional ratings, to the last bit, whatever the order in
+    which partial results arrive."""
+    return rate_entities(_tenths(spark, sf_dir), roles.movies(spark, sf_dir))
+
+
+def q_best_of_ties(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The best movie where every movie has a twin with the same ratings: the
+    tie goes to the smaller number."""
+    stats = rating_stats(_tenths(spark, sf_dir))
+    return top_rated(stats, roles.TOP_RATED_MIN_SUPPORT, movies=roles.movies(spark, sf_dir))
+
+
+def q_exact_tags(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Tag averages of fractional ratings: the exact parts of the movies' sums
+    are added up, not their rounded sums."""
+    return rate_tags(_tenths(spark, sf_dir), roles.movies(spark, sf_dir), sep=" ")
+
+
+def q_exact_segments(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Segment averages of fractional ratings."""
+    segments = roles.gender_segments(spark, sf_dir)
+    return rate_by_segment(_tenths(spark, sf_dir), segments, roles.GENDER_LABELS, roles.movies(spark, sf_dir))
+
+
 def _positioned(df: DataFrame) -> DataFrame:
     """``df`` with the place of each row in its own order. For the few rows of
     an aggregated report: the numbering is one task's work."""
@@ -242,6 +282,10 @@ EDGE_QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "one_per_key_edges": q_one_per_key_edges,
     "count_order": q_count_order,
     "tag_order": q_tag_order,
+    "exact_averages": q_exact_averages,
+    "best_of_ties": q_best_of_ties,
+    "exact_tags": q_exact_tags,
+    "exact_segments": q_exact_segments,
 }
 
 # -- the same in SQL ----------------------------------------------------------
@@ -294,6 +338,32 @@ SELECT {_trim('g')} AS genre, sum(s) / sum(n) AS avg_rating, CAST(sum(n) AS BIGI
 """
 
 
+_TENTHS_ROWS = f"""
+  SELECT l_orderkey AS user_id, l_partkey AS movie_id, {TENTHS} AS rating FROM lineitem
+  UNION ALL SELECT l_orderkey, -l_partkey - 1, {TENTHS} FROM lineitem"""
+
+
+def _steps(rating: str) -> str:
+    """The exact sum, in steps of 2^-72, of ratings that are not negative."""
+    return f"sum(CAST({rating} * pow(2, 72) AS HUGEINT))"
+
+
+def _from_steps(steps: str, n: str) -> str:
+    """A sum of such steps as a double, divided once."""
+    return (
+        f"(CAST({steps} // 281474976710656 AS DOUBLE) / pow(2, 24) + CAST({steps} % 281474976710656 AS DOUBLE) / pow(2, 72)) / {n}"
+    )
+
+
+_TENTHS_RATED = f"""
+r AS (SELECT movie_id, {_steps('rating')} AS s, count(rating) AS n FROM ({_TENTHS_ROWS}) GROUP BY movie_id),
+d AS (SELECT p_partkey AS movie_id, max(p_name) AS title FROM part GROUP BY p_partkey),
+a AS (
+  SELECT movie_id, coalesce(title, 'Unknown Movie') AS title, {_from_steps('s', 'n')} AS avg_rating, n
+  FROM r LEFT JOIN d USING (movie_id)
+)"""
+
+
 def _band(col: str, edges, labels) -> str:
     parts = " ".join(f"WHEN {col} <= {e} THEN '{lab}'" for e, lab in zip(edges, labels))
     return f"CASE WHEN {col} IS NULL THEN NULL {parts} ELSE '{labels[-1]}' END"
@@ -378,5 +448,32 @@ SELECT aspect, total, CAST(row_number() OVER (ORDER BY total DESC, aspect NULLS
     "tag_order": f"""
 WITH t AS ({_TAGS_SQL})
 SELECT genre, n, CAST(row_number() OVER (ORDER BY genre) AS INTEGER) AS position FROM t
+""",
+    "exact_averages": f"WITH {_TENTHS_RATED.strip()} SELECT movie_id, title, avg_rating, n FROM a",
+    "best_of_ties": f"""
+WITH {_TENTHS_RATED.strip()}
+SELECT movie_id, title, avg_rating, n FROM a WHERE n >= {roles.TOP_RATED_MIN_SUPPORT} ORDER BY avg_rating DESC, movie_id LIMIT 1
+""",
+    "exact_tags": f"""
+WITH {_TENTHS_RATED.strip()},
+t AS (
+  SELECT unnest(string_split(rtrim(title, ' '), ' ')) AS genre, s, n FROM r JOIN d USING (movie_id) WHERE title <> ''
+), u AS (SELECT trim(genre) AS genre, sum(s) AS s, CAST(sum(n) AS BIGINT) AS n FROM t GROUP BY 1)
+SELECT genre, {_from_steps('s', 'n')} AS avg_rating, n FROM u
+""",
+    "exact_segments": f"""
+WITH {_TENTHS_RATED.strip()},
+u AS (SELECT o_orderkey AS user_id, upper(c_mktsegment) AS g FROM orders JOIN customer ON o_custkey = c_custkey),
+j AS (
+  SELECT movie_id, g IN ({_words(roles.MALE_SEGMENTS)}) AS male, g IN ({_words(roles.FEMALE_SEGMENTS)}) AS female, rating
+  FROM ({_TENTHS_ROWS}) JOIN u USING (user_id)
+), g AS (
+  SELECT movie_id, {_steps('rating')} FILTER (male) AS sm, {_steps('rating')} FILTER (female) AS sf,
+         count(*) FILTER (male) AS nm, count(*) FILTER (female) AS nf
+  FROM j GROUP BY movie_id
+)
+SELECT movie_id, coalesce(title, 'Unknown Movie') AS title,
+       CASE WHEN nm > 0 THEN {_from_steps('sm', 'nm')} END AS avg_male, CASE WHEN nf > 0 THEN {_from_steps('sf', 'nf')} END AS avg_female
+FROM g LEFT JOIN d USING (movie_id) WHERE nm + nf > 0
 """,
 }

@@ -13,6 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from sparktally.functions.exact import exact_avg
 from sparktally.functions.text import clean_text, java_trim, text_words
 from sparktally.functions.values import bucketize, safe_int
 from sparktally.operators import (
@@ -187,7 +188,7 @@ def q_union_inputs(spark: SparkSession, sf_dir: str) -> DataFrame:
     part_b = items.where(~early | F.col("l_shipdate").isNull())
     cols = [F.col("l_partkey").alias("movie_id"), F.col("l_quantity").alias("rating")]
     both = union_all(part_a.select(*cols), part_b.select(*cols))
-    return both.groupBy("movie_id").agg(F.avg("rating").alias("avg_rating"), F.count("rating").alias("n"))
+    return both.groupBy("movie_id").agg(exact_avg("rating").alias("avg_rating"), F.count("rating").alias("n"))
 
 
 def q_filter_valid(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -245,7 +246,7 @@ def q_conditional_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     items = load_table(spark, sf_dir, "lineitem")
     flag, qty = F.col("l_returnflag"), F.col("l_quantity")
     return items.groupBy(F.col("l_partkey").alias("movie_id")).agg(
-        *[F.avg(F.when(flag == f, qty)).alias(f"avg_{f.lower()}") for f in ("A", "N", "R")]
+        *[exact_avg(F.when(flag == f, qty)).alias(f"avg_{f.lower()}") for f in ("A", "N", "R")]
     )
 
 
