@@ -21,8 +21,8 @@ from pyspark.sql import functions as F
 
 from sparktally.operators.counts import count_by, frequent, top_k
 from sparktally.operators.text import clean_tokens, valid_reviews
-from sparktally.session import scratch_path
-from sparktally.sinks import write_csv, write_parquet
+from sparktally.session import delete_path, scratch_path
+from sparktally.sinks import replacing, write_csv, write_parquet
 from sparktally.sources.delimited import REVIEW_SCHEMA, read_delimited, read_stopwords
 
 # The frequency threshold (strict), the size of the per-group
@@ -142,42 +142,32 @@ def run_review_reports(
     reviews = read_delimited(spark, reviews_path, REVIEW_SCHEMA, sep=sep)
     stop = read_stopwords(spark, stopwords_path)
     run = uuid.uuid4().hex
-    staging = f"{out_dir.rstrip('/')}.{run}"
     scratch = [scratch_path(spark, f"{name}-{run}") for name in ("review-counts", "word-counts")]
 
     def stored(df: DataFrame, path: str) -> DataFrame:
         write_parquet(df, path)
         return spark.read.parquet(path)
 
-    fs = spark._jvm.org.apache.hadoop.fs
-
-    def remove(path: str) -> None:
-        hpath = fs.Path(path)
-        hpath.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hpath, True)
-
     try:
-        tokens = stored(review_tokens(reviews, stop), os.path.join(staging, "tokens"))
-        slices = stored(sliced_review_counts(reviews), scratch[0])
-        words = stored(sliced_word_counts(tokens), scratch[1])
-        results = {
-            "word_freq": word_frequencies_from(words),
-            "category_count": review_counts_from(slices, "category"),
-            "aspect_count": review_counts_from(slices, "aspect"),
-            "top_aspect_positive": top_aspect_from(slices, POSITIVE),
-            "top_aspect_negative": top_aspect_from(slices, NEGATIVE),
-            "top5_positive": top_words_from(words, POSITIVE, name="total"),
-            "top5_negative": top_words_from(words, NEGATIVE, name="total"),
-            "top5_all": top_words_from(words, None, name="total_freq"),
-        }
-        for name, df in results.items():
-            write_csv(df, os.path.join(staging, name))
-        remove(out_dir)
-        source, target = fs.Path(staging), fs.Path(out_dir)
-        if not source.getFileSystem(spark._jsc.hadoopConfiguration()).rename(source, target):
-            raise OSError(f"could not move {staging} to {out_dir}")
+        with replacing(spark, out_dir) as staging:
+            tokens = stored(review_tokens(reviews, stop), os.path.join(staging, "tokens"))
+            slices = stored(sliced_review_counts(reviews), scratch[0])
+            words = stored(sliced_word_counts(tokens), scratch[1])
+            results = {
+                "word_freq": word_frequencies_from(words),
+                "category_count": review_counts_from(slices, "category"),
+                "aspect_count": review_counts_from(slices, "aspect"),
+                "top_aspect_positive": top_aspect_from(slices, POSITIVE),
+                "top_aspect_negative": top_aspect_from(slices, NEGATIVE),
+                "top5_positive": top_words_from(words, POSITIVE, name="total"),
+                "top5_negative": top_words_from(words, NEGATIVE, name="total"),
+                "top5_all": top_words_from(words, None, name="total_freq"),
+            }
+            for name, df in results.items():
+                write_csv(df, os.path.join(staging, name))
     finally:
-        for path in (staging, *scratch):
-            remove(path)
+        for path in scratch:
+            delete_path(spark, path)
     return {name: os.path.join(out_dir, name) for name in ("tokens", *results)}
 
 

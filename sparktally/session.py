@@ -77,3 +77,21 @@ def checkpoint_dir(spark: SparkSession) -> str:
 def scratch_path(spark: SparkSession, name: str) -> str:
     """A path under the shared checkpoint folder for a materialised table."""
     return os.path.join(checkpoint_dir(spark), name)
+
+
+def _file_system(spark: SparkSession, path: str):
+    hpath = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hpath.getFileSystem(spark._jsc.hadoopConfiguration()), hpath
+
+
+def delete_path(spark: SparkSession, path: str) -> None:
+    """Delete a file or folder, wherever it lies; nothing if it is absent."""
+    fs, hpath = _file_system(spark, path)
+    fs.delete(hpath, True)
+
+
+def delete_at_exit(spark: SparkSession, path: str) -> None:
+    """Delete a written table when the driver ends: for scratch tables that a
+    returned DataFrame still reads."""
+    fs, hpath = _file_system(spark, path)
+    fs.deleteOnExit(hpath)

@@ -1,7 +1,8 @@
 """Sinks: delimited text and CSV output, previews, report rendering.
 
-Writers always replace the target (``mode('overwrite')``), so a re-run does
-not fail on an existing directory. Writes are done by the executors, one
+Writers always replace the target, so a re-run does not fail on an existing
+directory, and do so only once the new files are complete: a write that fails
+leaves the old target (``replacing``). Writes are done by the executors, one
 file per partition; nothing passes through the driver except ``dump``, which
 is bounded by its row limit.
 """
@@ -13,6 +14,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, Row
 from pyspark.sql import functions as F
 
+from sparktally.sinks.replace import replacing
 from sparktally.sinks.reports import (
     band_report,
     best_movie_report,
@@ -26,13 +28,15 @@ from sparktally.sinks.reports import (
 def write_key_value(df: DataFrame, path: str, key: str, value: str, sep: str = "\t") -> None:
     """One text line per row: ``key<TAB>value``."""
     line = F.concat_ws(sep, F.coalesce(F.col(key), F.lit("")), F.coalesce(F.col(value), F.lit("")))
-    df.select(line.alias("value")).write.mode("overwrite").text(path)
+    with replacing(df.sparkSession, path) as new:
+        df.select(line.alias("value")).write.text(new)
 
 
 def write_csv(df: DataFrame, path: str, sep: str = ",") -> None:
     """Headerless CSV; NULL is written as an empty field, and a field that
     holds the separator is quoted."""
-    df.write.mode("overwrite").option("header", "false").option("sep", sep).csv(path)
+    with replacing(df.sparkSession, path) as new:
+        df.write.option("header", "false").option("sep", sep).csv(new)
 
 
 def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
@@ -45,14 +49,14 @@ def write_delimited(df: DataFrame, path: str, sep: str = ",") -> None:
     for c in df.columns:
         text = F.coalesce(F.col(c).cast("string"), F.lit(""))
         fields.append(F.when(F.instr(text, sep) > 0, held).otherwise(text))
-    df.select(F.concat_ws(sep, *fields).alias("value")).write.mode("overwrite").text(path)
+    with replacing(df.sparkSession, path) as new:
+        df.select(F.concat_ws(sep, *fields).alias("value")).write.text(new)
 
 
 def write_parquet(df: DataFrame, path: str, partition_by: Sequence[str] = ()) -> None:
-    writer = df.write.mode("overwrite")
-    if partition_by:
-        writer = writer.partitionBy(*partition_by)
-    writer.parquet(path)
+    writer = df.write.partitionBy(*partition_by) if partition_by else df.write
+    with replacing(df.sparkSession, path) as new:
+        writer.parquet(new)
 
 
 def preview(df: DataFrame, n: int = 15) -> DataFrame:
@@ -74,6 +78,7 @@ __all__ = [
     "movie_report",
     "preview",
     "render_report",
+    "replacing",
     "write_csv",
     "write_delimited",
     "write_key_value",
