@@ -20,13 +20,12 @@ from sparktally.functions.values import as_col
 # they merge into one ``translate``: hyphen, caret and whitespace become a
 # space, the other punctuation characters and the digits are deleted (a
 # character of the first string without a counterpart in the second is
-# removed). Runs of spaces are then collapsed, and the ends trimmed.
+# removed). The ends are trimmed, and the words between spaces joined by one.
 _ASCII_PUNCT = "".join(chr(i) for i in range(0x21, 0x7F) if not chr(i).isalnum())
 _TO_SPACE = "-^\t\n\x0b\f\r"
 _DELETED = "".join(ch for ch in _ASCII_PUNCT if ch not in "-^") + "0123456789"
 TRANSLATE_FROM = _TO_SPACE + _DELETED
 TRANSLATE_TO = " " * len(_TO_SPACE)
-SPACE_RUN = " {2,}"
 
 # Java's String.trim removes every character up to U+0020 at both ends;
 # Spark's trim removes spaces only.
@@ -46,7 +45,7 @@ def clean_text(col: Column | str) -> Column:
     to one space -> trim. The order matters: ``a-b`` becomes two words while
     ``a,b`` becomes one. Non-ASCII punctuation such as curly quotes survives.
     """
-    return java_trim(F.regexp_replace(_mapped(col), SPACE_RUN, " "))
+    return F.array_join(text_words(col), " ")
 
 
 def _mapped(col: Column | str) -> Column:
@@ -63,7 +62,7 @@ def word_array(cleaned: Column | str) -> Column:
 
 
 def text_words(col: Column | str) -> Column:
-    """The words of raw text: ``word_array(clean_text(col))`` in fewer steps.
+    """The words of raw text; joined by one space they are ``clean_text``.
 
     Runs of spaces need no collapsing when the text is split and empty
     words are dropped, so only the character map and the trim remain.

@@ -27,9 +27,10 @@ def safe_double(col: Column | str) -> Column:
     c = as_col(col)
     value = c.try_cast("double")
     word = F.isnan(value) | (F.abs(value) == F.lit(float("inf")))
-    # A number too large for a double is infinite without being a word.
+    # A number too large for a double is infinite without being a word. The
+    # patterns are tried only where the cast gave no ordinary number.
     spelt = c.rlike(SPECIAL_NUMBERS) | ~c.rlike("(?i)n[af]")
-    return F.when(~word | spelt, value)
+    return F.when(value.isNull(), F.lit(None).cast("double")).when(~word, value).when(spelt, value)
 
 
 def safe_int(col: Column | str) -> Column:
@@ -43,7 +44,7 @@ def strip_trailing(col: Column | str, sep: str) -> Column:
     Java's ``split`` drops trailing empty fields, Spark's keeps them; after
     this strip both give the same field list.
     """
-    return F.regexp_replace(as_col(col), "[" + _class_escape(sep) + r"]+\z", "")
+    return F.rtrim(as_col(col), F.lit(_one_character(sep)))
 
 
 def split_fields(col: Column | str, sep: str) -> Column:
@@ -52,7 +53,9 @@ def split_fields(col: Column | str, sep: str) -> Column:
     ``sep`` is a single literal character. An empty input gives ``['']``,
     which has one field, as in Java.
     """
-    return F.split(strip_trailing(col, sep), "[" + _class_escape(sep) + "]")
+    # A plain or escaped character is split without the regex engine.
+    literal = _one_character(sep) if sep.isalnum() or sep.isspace() or ord(sep) > 126 else "\\" + sep
+    return F.split(strip_trailing(col, sep), literal)
 
 
 def bucketize(col: Column | str, edges: Sequence[float], labels: Sequence[str]) -> Column:
@@ -82,7 +85,7 @@ def in_synonyms(col: Column | str, names: Sequence[str], exact: Sequence[str] =
     return test
 
 
-def _class_escape(sep: str) -> str:
+def _one_character(sep: str) -> str:
     if len(sep) != 1:
         raise ValueError("separator must be one character")
-    return "\\" + sep if sep in "\\^-[]" else sep
+    return sep

@@ -70,12 +70,22 @@ def left_join_default(
     return joined
 
 
-def anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str) -> DataFrame:
+def anti_join(left: DataFrame, right: DataFrame, left_key: str, right_key: str, hot_keys: bool = False) -> DataFrame:
     """Rows of ``left`` whose key has no equal in ``right`` (NOT EXISTS).
 
     Written as ``left_anti`` rather than outer join + IS NULL: the plan is a
     single anti-join that never materialises the joined rows. A NULL key on
     the right never matches; a NULL key on the left is kept.
+
+    ``hot_keys``: ``right`` may be too long for a broadcast while one key has
+    a large share of ``left``. As in ``splittable_join`` both sides are then
+    shuffled by the key and a hash of it, so that a following aggregate by the
+    key does not tie AQE to one task per key.
     """
     r = right.select(F.col(right_key).alias("_anti_key"))
-    return left.join(r, on=F.col(left_key) == F.col("_anti_key"), how="left_anti")
+    match = F.col(left_key) == F.col("_anti_key")
+    if hot_keys:
+        hashed = lambda c: F.xxhash64(F.col(c).cast("string"))
+        left, r = left.withColumn("_key_hash", hashed(left_key)), r.withColumn("_anti_hash", hashed("_anti_key"))
+        return left.join(r, on=match & (F.col("_key_hash") == F.col("_anti_hash")), how="left_anti").drop("_key_hash")
+    return left.join(r, on=match, how="left_anti")

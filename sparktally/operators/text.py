@@ -35,14 +35,16 @@ def remove_stopwords(
     stopwords: DataFrame,
     word: str = "word",
     stopword: str = "stopword",
+    long_list: bool = False,
 ) -> DataFrame:
     """Tokens whose word is not in the stop-word list (whole-token equality).
 
     An entry with a space can never equal a token, and repeated entries
     change nothing (an anti-join only asks whether a match exists), so the
-    list needs no de-duplication.
+    list needs no de-duplication. ``long_list``: the list grows with the
+    corpus; a frequent word is then split over several tasks.
     """
-    return anti_join(tokens, stopwords.select(stopword), word, stopword)
+    return anti_join(tokens, stopwords.select(stopword), word, stopword, hot_keys=long_list)
 
 
 def clean_tokens(
