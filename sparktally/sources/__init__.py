@@ -6,6 +6,7 @@ from sparktally.sources.delimited import (
     REVIEW_SCHEMA,
     TOKENS_SCHEMA,
     USERS_SCHEMA,
+    number_lines,
     parse_movies,
     parse_ratings,
     parse_users,
@@ -27,6 +28,7 @@ __all__ = [
     "TOKENS_SCHEMA",
     "USERS_SCHEMA",
     "load_table",
+    "number_lines",
     "parse_movies",
     "parse_ratings",
     "parse_users",

@@ -17,7 +17,7 @@ from __future__ import annotations
 
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Observation, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -55,6 +55,22 @@ def read_lines(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     )
 
 
+def number_lines(lines: DataFrame) -> DataFrame:
+    """``lines`` with ``position``: the place of each line (from 1) in the
+    order of ``line_no``, the files in name order. A file's lines are numbered
+    by themselves and moved on by the lines of the files before it, so only
+    one row per file is ever ordered as a whole."""
+    placed = lines.withColumn("_file", F.col("line_no.file"))
+    before = Window.orderBy("_file").rowsBetween(Window.unboundedPreceding, -1)
+    offsets = placed.groupBy("_file").agg(F.count(F.lit(1)).alias("_lines")).select(
+        "_file", F.coalesce(F.sum("_lines").over(before), F.lit(0)).alias("_offset")
+    )
+    within = F.row_number().over(Window.partitionBy("_file").orderBy("line_no.pos"))
+    return placed.withColumn("_within", within).join(offsets, "_file").select(
+        *lines.columns, (F.col("_within") + F.col("_offset")).alias("position")
+    )
+
+
 def split_lines(lines: DataFrame, min_fields: int, sep: str = ",") -> DataFrame:
     """``lines`` with a ``fields`` array (trailing empty fields dropped);
     lines with fewer than ``min_fields`` fields are dropped."""
@@ -88,17 +104,31 @@ def parse_movies(lines: DataFrame) -> DataFrame:
     )
 
 
-def parse_ratings(lines: DataFrame) -> DataFrame:
+def parse_ratings(lines: DataFrame, rejected: Observation | None = None) -> DataFrame:
     """``user, movie, rating, ts`` lines -> typed ratings; < 3 fields dropped.
 
-    An unparsable rating is kept as NULL so that it counts nowhere.
+    An unparsable rating is kept as NULL so that it counts nowhere. With
+    ``rejected``, the scan also counts, in the same pass, its ``lines``, the
+    ``short`` ones that are dropped and the kept ones with an ``unparsable``
+    rating; the counts are there once an action has run.
     """
-    return split_lines(lines, 3).select(
+    typed = [
         _field(0).alias("user_id"),
         _field(1).alias("movie_id"),
         safe_double(_field(2)).alias("rating"),
         _field(3).try_cast("long").alias("ts"),
+    ]
+    if rejected is None:
+        return split_lines(lines, 3).select(*typed)
+    enough = F.size("fields") >= 3
+    every = split_lines(lines, 0).select(*typed, enough.alias("_enough"))
+    counted = every.observe(
+        rejected,
+        F.count(F.lit(1)).alias("lines"),
+        F.count(F.when(~F.col("_enough"), 1)).alias("short"),
+        F.count(F.when(F.col("_enough") & F.col("rating").isNull(), 1)).alias("unparsable"),
     )
+    return counted.where("_enough").drop("_enough")
 
 
 def parse_users(lines: DataFrame) -> DataFrame:
@@ -121,9 +151,10 @@ def read_movies(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
     return parse_movies(read_lines(spark, paths))
 
 
-def read_ratings(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
-    """One or more rating files read as one relation (duplicates kept)."""
-    return parse_ratings(read_lines(spark, paths))
+def read_ratings(spark: SparkSession, paths: str | Sequence[str], rejected: Observation | None = None) -> DataFrame:
+    """One or more rating files read as one relation (duplicates kept);
+    ``rejected`` counts bad lines as ``parse_ratings`` says."""
+    return parse_ratings(read_lines(spark, paths), rejected)
 
 
 def read_users(spark: SparkSession, paths: str | Sequence[str]) -> DataFrame:
