@@ -47,7 +47,7 @@ from sparktally.llm.shingles import hash_words, words_of
 
 LEAST = 2  # occurrences of a kept bigram or trigram
 DISCOUNT = 0.5
-BLOCK_BYTES = 6 << 20  # text of a block
+BLOCK_BYTES = 5 << 20  # text of a block
 PART_KEYS = 3 << 20  # tokens of the corpus for each owner of a range of keys
 LANE = 256  # words walked one after another
 START, END = 1, 2  # marks in the place of word hashes
@@ -64,16 +64,24 @@ def _sequence(text: str) -> np.ndarray:
 
 
 def _packed(column: np.ndarray) -> bytes:
-    """Whole numbers in as many bytes each as the largest needs (the first
-    byte says how many)."""
+    """Whole numbers as compressed planes of bytes, as many as the largest
+    number needs; in front their number and how many numbers there are."""
     column = np.ascontiguousarray(column).astype("<u8", copy=False)
     width = max(1, (int(column.max(initial=0)).bit_length() + 7) // 8)
-    return bytes([width]) + column.view(np.uint8).reshape(-1, 8)[:, :width].tobytes()
+    planes = column.view(np.uint8).reshape(-1, 8)[:, :width].T.tobytes()
+    return bytes([width]) + len(column).to_bytes(8, "little") + pa.Codec("zstd", 1).compress(planes, asbytes=True)
+
+
+def _length(raw: bytes) -> int:
+    return int.from_bytes(raw[1:9], "little")
 
 
 def _numbers(raw: bytes) -> np.ndarray:
-    out = np.zeros(((len(raw) - 1) // raw[0], 8), dtype=np.uint8)
-    out[:, : raw[0]] = np.frombuffer(raw, np.uint8, offset=1).reshape(-1, raw[0])
+    n, width = _length(raw), raw[0]
+    out = np.zeros((n, 8), dtype=np.uint8)
+    if n:
+        planes = pa.Codec("zstd", 1).decompress(raw[9:], decompressed_size=n * width, asbytes=True)
+        out[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
     return out.view("<u8").ravel()
 
 
@@ -87,7 +95,7 @@ def _packed_sorted(keys: np.ndarray) -> bytes:
 def token_blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
     """One row per block: block, doc_ids, held_out, tokens (their number with
     the marks), lengths, words (distinct hashes, most frequent first), places
-    (of every token in ``words``; planes of bytes, compressed)."""
+    (of every token in ``words``)."""
     slim = docs.select(
         F.col(doc_id).alias("doc_id"),
         (crc_mod(doc_id, HOLD_OUT) == 0).alias("held_out"),
@@ -101,13 +109,12 @@ def token_blocks(docs: DataFrame, doc_id: str, text: str) -> DataFrame:
         order = np.argsort(-often, kind="stable")
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order))
-        planes = np.frombuffer(_packed(rank[place])[1:], np.uint8).reshape(len(joined), -1).T
         return pa.RecordBatch.from_arrays(
             [
                 pa.array([block], pa.int64()), pa.array([ids], pa.list_(kind)), pa.array([held], pa.list_(pa.bool_())),
                 pa.array([len(joined)], pa.int64()), pa.array([_packed(np.array([len(s) for s in seqs]))], pa.binary()),
                 pa.array([words[order].tobytes()], pa.binary()),
-                pa.array([pa.Codec("zstd", 1).compress(planes.tobytes(), asbytes=True)], pa.binary()),
+                pa.array([_packed(rank[place])], pa.binary()),
             ],
             names=["block", "doc_ids", "held_out", "tokens", "lengths", "words", "places"],
         )
@@ -148,11 +155,7 @@ class Block:
         self.words = words[order]
         rank = np.empty(len(order), dtype=np.int64)
         rank[order] = np.arange(len(order))
-        width = max(1, ((len(words) - 1).bit_length() + 7) // 8)
-        planes = pa.Codec("zstd", 1).decompress(value("places"), decompressed_size=n * width, asbytes=True)
-        places = np.zeros((n, 8), dtype=np.uint8)
-        places[:, :width] = np.frombuffer(planes, np.uint8).reshape(width, n).T
-        self.tokens = rank[places.view("<i8").ravel()]
+        self.tokens = rank[_numbers(value("places")).view(np.int64)]
         self.train = np.repeat(~self.held, self.lengths)
         self.starts = np.cumsum(self.lengths) - self.lengths
 
@@ -275,7 +278,7 @@ def _read(answers: pa.Table, sizes: list[int]) -> tuple[list[np.ndarray], list[n
     totals = [np.concatenate([np.zeros(0, np.int64), *(_numbers(g[v]).astype(np.int64) for g in given)]) for v in range(sum(sizes))]
     firsts = []
     for kind, v in enumerate(np.cumsum(sizes) - sizes):
-        bits = [np.unpackbits(np.frombuffer(m[kind], np.uint8), count=(len(g[v]) - 1) // g[v][0]) for g, m in zip(given, marked)]
+        bits = [np.unpackbits(np.frombuffer(m[kind], np.uint8), count=_length(g[v])) for g, m in zip(given, marked)]
         firsts.append(np.concatenate([np.zeros(0, np.uint8), *bits]).astype(bool))
     return totals, firsts
 
