@@ -26,7 +26,6 @@ block number. A pair that every text holds is one row per block.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 import os
 import re
@@ -40,7 +39,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from sparktally.llm.bpe import byte_alphabet
-from sparktally.llm.common import list_array, materialize, small_batches
+from sparktally.llm.common import list_array, materialize, no_collection, small_batches
 
 SEGMENT = re.compile(r" +[^ ]+(?: +\Z)?| +\Z")
 SEGMENTS = 400_000  # entries of the cache before it is emptied
@@ -251,9 +250,7 @@ def _encoded(docs: DataFrame, a_source: str, b_model: bytes, text: str, keep: tu
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # one core a task
-        collecting = gc.isenabled()
-        gc.disable()
-        try:
+        with no_collection():
             aligner = Aligner(ByteLevel(sent.value[0]), Pieces(sent.value[1]))
             first = TaskContext.get().partitionId() << 32
             filled = 0
@@ -275,9 +272,6 @@ def _encoded(docs: DataFrame, a_source: str, b_model: bytes, text: str, keep: tu
                     [*kept, *numbers, *shown, block, *links],
                     names=[*[f"k{i}" for i in range(len(keep))], *names, "block", "pairs", "times"],
                 )
-        finally:
-            if collecting:
-                gc.enable()
 
     return slim.mapInArrow(run, ", ".join(filter(None, [fields, made, _LINKED])))
 

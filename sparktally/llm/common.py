@@ -11,6 +11,7 @@ import gc
 import pickle
 import uuid
 from collections.abc import Iterable, Iterator, Sequence
+from contextlib import contextmanager
 
 import numpy as np
 import pyarrow as pa
@@ -72,6 +73,19 @@ def shipped(sent: Broadcast):
     return pickle.loads(sent.value)
 
 
+@contextmanager
+def no_collection() -> Iterator[None]:
+    """For tasks with large caches without cycles, which the collector need
+    not search. The worker goes on to other tasks, so it is turned on again."""
+    collecting = gc.isenabled()
+    gc.disable()
+    try:
+        yield
+    finally:
+        if collecting:
+            gc.enable()
+
+
 def crc_mod(col: str, modulus: int) -> Column:
     """crc32 of a column's text, modulo ``modulus`` (NULL: of the empty text)."""
     text = F.coalesce(F.col(col).cast("string"), F.lit(""))

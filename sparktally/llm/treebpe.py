@@ -30,7 +30,6 @@ depend on that.
 from __future__ import annotations
 
 import base64
-import gc
 import hashlib
 import heapq
 from collections.abc import Iterator
@@ -40,7 +39,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktally.llm.common import small_batches
+from sparktally.llm.common import no_collection, small_batches
 
 LEAF = 4  # bytes that are merged directly
 SHORT = 48  # bytes up to which scanning all pairs beats a heap
@@ -192,10 +191,7 @@ def _coded(docs: DataFrame, ranks: str, pattern: str, text: str, keep: tuple[str
     extra = "n_tokens long, ids_sha256 string, decoded_sha256 string" if digests else "ids array<int>, decoded binary"
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        # Millions of small cached values without cycles: no need to search them.
-        collecting = gc.isenabled()
-        gc.disable()
-        try:
+        with no_collection():
             pack = (lambda ids, raw: (len(ids), "".join([f",{i}" for i in ids]), raw)) if digests else (lambda ids, raw: (ids, raw))
             coder = TextCoder(TreeCoder(read_ranks(source.value)), pattern, pack)
             for batch in small_batches(batches, "_text"):
@@ -217,9 +213,6 @@ def _coded(docs: DataFrame, ranks: str, pattern: str, text: str, keep: tuple[str
                     made = [pa.array(cols[0], pa.list_(pa.int32())), pa.array(cols[1], pa.binary())]
                     names = ["ids", "decoded"]
                 yield pa.RecordBatch.from_arrays([*kept, *made], names=[*keep, *names])
-        finally:
-            if collecting:
-                gc.enable()
 
     return slim.mapInArrow(run, f"{fields}, {extra}")
 

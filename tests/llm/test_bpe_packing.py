@@ -141,3 +141,65 @@ def test_complement_index_finds_single_pair_triple():
     assert index.exact(24, Counter([600, 400])) == Counter([24])
     assert index.exact(300, Counter()) == Counter({100: 3})
     assert index.exact(300, Counter([100])) is None
+
+
+def _best_fit(counts, size=1024):
+    """Sequences of best fit decreasing."""
+    gaps = []
+    for n in sorted(Counter(counts).elements(), reverse=True):
+        fitting = [g for g in gaps if g >= n]
+        if fitting:
+            gaps.remove(min(fitting))
+            gaps.append(min(fitting) - n)
+        else:
+            gaps.append(size - n)
+    return len(gaps)
+
+
+def _fewest(lengths, size):
+    """The optimum by trying every place for every piece."""
+    best = [len(lengths)]
+
+    def place(i, gaps):
+        if len(gaps) >= best[0]:
+            return
+        if i == len(lengths):
+            best[0] = len(gaps)
+            return
+        for g in set(gaps):
+            if g >= lengths[i]:
+                rest = list(gaps)
+                rest.remove(g)
+                place(i + 1, [*rest, g - lengths[i]])
+        place(i + 1, [*gaps, size - lengths[i]])
+
+    place(0, [])
+    return best[0]
+
+
+def test_plan_is_near_the_optimum_of_small_inputs():
+    rng = random.Random(4)
+    more = 0
+    for _ in range(150):
+        lengths = sorted((rng.choice([rng.randint(1, 30), rng.randint(8, 20)]) for _ in range(rng.randint(1, 9))), reverse=True)
+        planned = sum(times for times, _ in packing.plan_patterns(Counter(lengths), 30))
+        fewest = _fewest(lengths, 30)
+        assert fewest <= planned <= fewest + 1
+        more += planned > fewest
+    assert more <= 5
+
+
+def test_plan_is_as_small_as_best_fit():
+    """Lengths of corpora: mostly short pieces, tails of cut documents, whole
+    sequences; and kinds of them alone. One sequence more at most, fewer in
+    the sum."""
+    kinds = [lambda: min(1024, int(rng.lognormvariate(5.2, 1.1)) + 1), lambda: rng.randint(1, 1024), lambda: 1024, lambda: rng.randint(200, 700)]
+    more = 0
+    for seed, weights in enumerate([[6, 2, 3, 0], [1, 0, 0, 0], [0, 0, 0, 1], [0, 1, 0, 0], [1, 1, 0, 1], [0, 3, 1, 0]]):
+        rng = random.Random(seed)
+        for n in (150, 1500):
+            counts = Counter(rng.choices(kinds, weights=weights)[0]() for _ in range(n))
+            planned = sum(times for times, _ in packing.plan_patterns(counts))
+            assert planned <= _best_fit(counts) + 1
+            more += planned - _best_fit(counts)
+    assert more < 0
