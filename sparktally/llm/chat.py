@@ -6,7 +6,9 @@ doubling (a call knows its 2^r-th ancestor after round r), so a chain of any
 length takes a logarithmic number of joins, every one of them on unique call
 identifiers. Arguments are checked against the schema of their tool and every
 linked call is serialised as canonical JSON: sorted keys, no white space,
-UTF-8 as is.
+UTF-8 as is, and numbers by value: a whole number as its digits whatever its
+spelling (1.0, 1e2 and -0.0 are 1, 100 and 0), any other as the shortest
+decimal that reads back as the same double.
 """
 
 from __future__ import annotations
@@ -55,7 +57,8 @@ def canonical(value) -> str:
 
 def parse(text: str | None):
     """(value, None) of JSON text, or (None, problem). Numbers that JSON does
-    not have (NaN, Infinity) are problems, as is a repeated key."""
+    not have (NaN, Infinity) or a double cannot hold (1e999) are problems, as
+    are a repeated key and text that is not Unicode (half a surrogate pair)."""
 
     def pairs(items):
         out = dict(items)
@@ -66,10 +69,19 @@ def parse(text: str | None):
     def constant(name):
         raise ValueError(f"{name} is not JSON")
 
+    def number(digits):
+        value = float(digits)
+        if math.isinf(value):
+            raise ValueError(f"{digits} is too large")
+        return int(value) if value.is_integer() else value
+
     if text is None:
         return None, "no arguments"
     try:
-        return json.loads(text, object_pairs_hook=pairs, parse_constant=constant), None
+        value = json.loads(text, object_pairs_hook=pairs, parse_constant=constant, parse_float=number)
+        # What can be written inside a record, and as UTF-8.
+        canonical({"": [value]}).encode("utf-8")
+        return value, None
     except (ValueError, RecursionError) as exc:
         return None, f"not JSON: {type(exc).__name__}"
 
@@ -167,13 +179,17 @@ def link_calls(events: DataFrame, schemas: dict[str, dict]) -> DataFrame:
     results = slim.where("kind = 'result' AND call_id IS NOT NULL").groupBy("call_id").agg(
         F.min(F.struct("conv_id", "turn", "body")).alias("r"), F.count("*").alias("n_results")
     )
-    known = materialize(calls.select("call_id", "c.*", "n_calls"), "calls")
-    levels = call_levels(known.select("call_id", "parent_id"))
-    linked = (
-        known.select("call_id", F.struct("conv_id", "turn", "body", "parent_id", "name").alias("c"), "n_calls")
-        .join(levels, "call_id")
+    calls, results = materialize(calls, "calls"), materialize(results, "call-results")
+    levels = call_levels(calls.select("call_id", "c.parent_id"))
+    # Only identifiers and numbers are hashed; bodies, however long, join later.
+    met = (
+        calls.select("call_id", "n_calls").join(levels, "call_id")
         .hint("shuffle_hash")
-        .join(results.hint("shuffle_hash"), "call_id", "full")
+        .join(results.select("call_id", "n_results").hint("shuffle_hash"), "call_id", "full")
+    )
+    linked = (
+        met.join(calls.select("call_id", "c"), "call_id", "left")
+        .join(results.select("call_id", "r"), "call_id", "left")
         .select(
             F.coalesce("c.conv_id", "r.conv_id").alias("conv_id"),
             F.coalesce("c.turn", "r.turn").alias("turn"),
