@@ -51,7 +51,8 @@ def text_identity(words: list[bytes]) -> int:
 
 
 def _signatures(docs: DataFrame) -> DataFrame:
-    """(doc_id, node, n_shingles, bands, sketch); node NULL without words."""
+    """(doc_id, text_id, node, n_shingles, bands, sketch); node NULL without
+    words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         hasher = MinHash(SAMPLES, ROWS, BITS)
@@ -75,15 +76,16 @@ def _signatures(docs: DataFrame) -> DataFrame:
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column("doc_id"),
+                    batch.column("text_id"),
                     pa.array(node, pa.int64()),
                     pa.array(size, pa.int64()),
                     list_array(to_i64(np.concatenate(bands)), lengths),
                     pa.array(sketch, pa.binary()),
                 ],
-                names=["doc_id", "node", "n_shingles", "bands", "sketch"],
+                names=["doc_id", "text_id", "node", "n_shingles", "bands", "sketch"],
             )
 
-    return docs.mapInArrow(run, "doc_id long, node long, n_shingles long, bands array<long>, sketch binary")
+    return docs.mapInArrow(run, "doc_id long, text_id long, node long, n_shingles long, bands array<long>, sketch binary")
 
 
 def _sets(texts: DataFrame) -> DataFrame:
@@ -110,7 +112,8 @@ def _sets(texts: DataFrame) -> DataFrame:
 
 
 def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept; one row per input row.
+    """doc_id, n_shingles, component_id, kept, text_id (xxhash64 of the text);
+    one row per input row.
 
     Two texts are linked when their sets of five-word shingles (a shorter
     text: its word sequence) have a Jaccard similarity of 0.75 or more.
@@ -120,7 +123,11 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     component_id NULL, kept. A repeated doc_id: each row follows its own
     text. Other columns are ignored, whatever their names.
     """
-    slim = docs.select(F.col(doc_id).cast("long").alias("doc_id"), F.coalesce(F.col(text), F.lit("")).alias("_text"))
+    slim = docs.select(
+        F.col(doc_id).cast("long").alias("doc_id"),
+        F.xxhash64(F.col(text)).alias("text_id"),
+        F.coalesce(F.col(text), F.lit("")).alias("_text"),
+    )
     signed = materialize(_signatures(slim), "near-signatures")
     linkable = signed.where("node IS NOT NULL AND doc_id IS NOT NULL")
 
@@ -158,8 +165,8 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     drop_scratch(coarse, firsts, picked, parts, linked, reach)
     component = F.when(F.col("doc_id").isNotNull(), F.coalesce("component_id", "doc_id"))
     return (
-        signed.select("doc_id", "node", "n_shingles")
+        signed.select("doc_id", "text_id", "node", "n_shingles")
         .join(nodes, "node", "left")
-        .select("doc_id", "n_shingles", component.alias("component_id"))
-        .withColumn("kept", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)))
+        .select("doc_id", "n_shingles", component.alias("component_id"), "text_id")
+        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "text_id")
     )

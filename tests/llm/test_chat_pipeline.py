@@ -48,6 +48,64 @@ def test_linking_status_counts_and_canonical_json(spark):
     assert json.loads(got["j", "unanswered"].call_json)["arguments"] == "not json"
 
 
+def test_texts_that_no_record_can_hold_are_problems(spark):
+    bodies = {
+        "inf": '{"a": 1e999}', "neg": '{"a": -1e999}', "half": '{"a": "\\ud800"}', "key": '{"\\udc00": 1}', "pair": '{"a": 1, "b": []}',
+        "deep": '{"a": ' + "[" * 100_000 + "]" * 100_000 + "}", "long": '{"a": ' + "9" * 6000 + "}", "nan": '{"a": NaN}', "empty": "",
+    }
+    rows = [(1, i, "call", k, None, "add", b) for i, (k, b) in enumerate(bodies.items())]
+    got = {r.call_id: r for r in chat.link_calls(_events(spark, rows), TOOLS).collect()}
+    assert {k for k, r in got.items() if r.valid} == {"pair"}
+    for k, r in got.items():
+        if k != "pair":
+            assert r.errors[0].startswith("not JSON")
+            assert json.loads(r.call_json)["arguments"] == bodies[k]
+
+
+def test_numbers_are_written_by_value():
+    for text, want in {
+        "1.0": "1", "1e2": "100", "-0.0": "0", "1E+2": "100", "0.10": "0.1", "1e-7": "1e-07", "12345678901234567890": "12345678901234567890",
+        "1.5e3": "1500", "[2.50, 2.5]": "[2.5,2.5]", "1e22": "1" + "0" * 22,
+    }.items():
+        value, problem = chat.parse(text)
+        assert problem is None and chat.canonical(value) == want
+    assert chat.violations(chat.parse("1.0")[0], {"type": "integer"}) == []
+    assert chat.violations(chat.parse("1.5")[0], {"type": "integer"}) != []
+
+
+@pytest.mark.parametrize("seed", [1, 2])
+def test_linking_against_a_direct_model(spark, seed):
+    rng = random.Random(seed)
+    ids = [None, *"abcdefghij"]
+    rows = [
+        (rng.choice([None, 1, 2]), rng.choice([None, 0, 1, 2]), rng.choice(["call", "call", "result", "note"]), rng.choice(ids),
+         rng.choice(ids), rng.choice([None, "add", "other"]), rng.choice([None, "", "{}", '{"a": 2.0}', '{"a": -1}', '{"a": 1e999}', "x"]))
+        for _ in range(80)
+    ]
+    first = lambda events: min(events, key=lambda e: [(v is not None, v if v is not None else 0) for v in (e[0], e[1])] + [(e[6] is not None, e[6] or "")])
+    want = {}
+    for call_id in {r[3] for r in rows} - {None}:
+        calls = [r for r in rows if r[2] == "call" and r[3] == call_id]
+        results = [r for r in rows if r[2] == "result" and r[3] == call_id]
+        if calls or results:
+            status = "linked" if calls and results else "unanswered" if calls else "orphan"
+            body = first(calls)[6] if calls else None
+            want[call_id] = (status, len(calls), len(results), body, first(results)[6] if results else None)
+    loose = sorted((r[2] == "call", str(r[6])) for r in rows if r[3] is None)
+    got = chat.link_calls(_events(spark, rows), TOOLS).collect()
+    seen = {}
+    for r in got:
+        if r.status != "unidentified":
+            result = json.loads(r.result_json)["content"] if r.result_json else None
+            arguments = json.loads(r.call_json)["arguments"] if r.call_json else None
+            seen[r.call_id] = (r.status, r.n_calls, r.n_results, result)
+            if r.n_calls:
+                value, problem = chat.parse(want[r.call_id][3])
+                assert arguments == (want[r.call_id][3] if problem else value)
+    assert seen == {k: (s, c, n, res) for k, (s, c, n, _, res) in want.items()}
+    assert len(loose) == sum(r.status == "unidentified" for r in got)
+
+
 def test_levels_of_chains_trees_and_cycles(spark):
     rng = random.Random(1)
     parent = {"r": None}
@@ -109,7 +167,7 @@ def test_query_matches_its_sql(spark, name):
 def test_all_queries_are_registered():
     names = contract.queries()
     assert set(QUERIES) | {"pipeline"} <= set(names)
-    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 11)}
+    assert {n.split("_")[0] for n in QUERIES} == {f"op{i}" for i in range(1, 14)}
     assert [n for n, _ in corpus_pipeline.STAGES] == ["toxicity", "near_dedup", "substring_dedup", "packing"]
 
 
@@ -154,6 +212,29 @@ def test_pipeline_stages_take_odd_tables(spark, tmp_path):
         assert ids == (["1", "3", "4", "None"] if table is docs else [])
 
 
+def test_pipeline_keeps_every_text_of_a_repeated_id_and_any_column(spark, tmp_path):
+    """Rows of one id with different texts, and columns named as the stages'
+    own joins name theirs."""
+    words = [f"w{i}" for i in range(300)]
+    rng = random.Random(3)
+    text = lambda: " ".join(rng.choices(words, k=80))
+    a, b, c = text(), text(), text()
+    near = a + " one more"
+    rows = [(1, a), (2, near), (2, b), (2, b), (3, c), (3, near)]
+    names = ["_spans", "_span_doc", "_span_text", "_cut", "_kept_id", "_kept", "_rows", "rows", "text_id", "kept", "c0", "node", "start"]
+    docs = spark.createDataFrame([(i, t, len(t), *range(len(names))) for i, t in rows], ["doc_id", "text", "n_chars", *names])
+    spark.createDataFrame([(1, 0), (9, 1)], "doc_id long, toxic int").write.parquet(str(tmp_path / "labels.parquet"))
+    once = corpus_pipeline.near_dedup_stage(spark, docs, str(tmp_path))
+    assert once.columns == docs.columns
+    assert sorted((r.doc_id, r.text) for r in once.collect()) == sorted([(1, a), (2, b), (3, c)])
+    cur = docs
+    for _, stage in corpus_pipeline.STAGES[:-1]:
+        cur = stage(spark, cur, str(tmp_path))
+        assert cur.columns == docs.columns
+    cut = corpus_pipeline.substring_stage(spark, docs, str(tmp_path))
+    assert all(r.n_chars == len(r.text) and r["_cut"] == names.index("_cut") for r in cut.collect())
+
+
 def test_pipeline_runs_whole(spark):
     out = corpus_pipeline.run(spark, SF_SMOKE)
     assert out.columns[:1] == ["doc_id"] and out.count() > 0
