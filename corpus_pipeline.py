@@ -29,22 +29,24 @@ def toxicity_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFra
 
 def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """One document, the one of the smallest doc_id, of each group of near
-    duplicates. Documents without words or doc_id stay; of repeated rows of
-    one doc_id one stays."""
+    duplicates. Documents without words or doc_id stay. Rows that share a
+    doc_id but not the text are judged each by its own text; of rows that
+    share both one stays."""
     verdict = neardup.near_duplicates(docs)
-    # A doc_id is gone when all its rows are.
     kept = materialize(
-        verdict.where("doc_id IS NOT NULL")
-        .groupBy(F.col("doc_id").alias("_kept_id"))
-        .agg(F.max("kept").alias("_kept"), F.count("*").alias("_rows"))
-        .where("_kept"),
+        verdict.where("doc_id IS NOT NULL AND kept").groupBy("doc_id", "text_id").agg(F.count("*").alias("rows")),
         "pipeline-kept",
     )
-    stay = docs.join(kept, F.col("doc_id") == F.col("_kept_id"))
-    out = stay.where("_rows = 1").select(*docs.columns).unionByName(docs.where("doc_id IS NULL"))
-    if not kept.where("_rows > 1").isEmpty():
-        out = out.unionByName(stay.where("_rows > 1").select(*docs.columns).dropDuplicates(["doc_id"]))
-    return out
+    # Positions for names, which cannot clash with those of the join.
+    place = {c: f"c{i}" for i, c in enumerate(docs.columns)}
+    own, content = F.col(place["doc_id"]), F.col(place["text"])
+    named = docs.select([F.col(c).alias(p) for c, p in place.items()])
+    stay = named.join(kept, (own == F.col("doc_id")) & (F.xxhash64(content) == F.col("text_id")))
+    out = stay.where("rows = 1").select(*place.values()).unionByName(named.where(own.isNull()))
+    if not kept.where("rows > 1").isEmpty():
+        again = stay.where("rows > 1").dropDuplicates(["doc_id", "text_id"])
+        out = out.unionByName(again.select(*place.values()))
+    return out.select([F.col(p).alias(c) for c, p in place.items()])
 
 
 def substring_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
