@@ -32,7 +32,7 @@ def near_dedup_stage(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
     duplicates. Documents without words or doc_id stay. Rows that share a
     doc_id but not the text are judged each by its own text; of rows that
     share both one stays."""
-    verdict = neardup.near_duplicates(docs)
+    verdict = neardup.near_duplicates(docs, text_ids=True)
     kept = materialize(
         verdict.where("doc_id IS NOT NULL AND kept").groupBy("doc_id", "text_id").agg(F.count("*").alias("rows")),
         "pipeline-kept",
