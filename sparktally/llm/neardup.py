@@ -111,9 +111,9 @@ def _sets(texts: DataFrame) -> DataFrame:
     return texts.mapInArrow(run, "cluster long, item long, chunks int, sketch binary, members array<long>")
 
 
-def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """doc_id, n_shingles, component_id, kept, text_id (xxhash64 of the text);
-    one row per input row.
+def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text", text_ids: bool = False) -> DataFrame:
+    """doc_id, n_shingles, component_id, kept; one row per input row. With
+    ``text_ids`` also text_id, the xxhash64 of the row's text.
 
     Two texts are linked when their sets of five-word shingles (a shorter
     text: its word sequence) have a Jaccard similarity of 0.75 or more.
@@ -168,5 +168,5 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
         signed.select("doc_id", "text_id", "node", "n_shingles")
         .join(nodes, "node", "left")
         .select("doc_id", "n_shingles", component.alias("component_id"), "text_id")
-        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), "text_id")
+        .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), *(["text_id"] if text_ids else []))
     )
