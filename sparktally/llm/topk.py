@@ -25,7 +25,7 @@ from sparktally.llm.common import grouped
 
 CANDIDATES, QUERIES = 8192, 1024  # most rows of a block
 BLOCK_CELLS = 1 << 21  # most components of a block of candidates
-SCORES = 1 << 20  # cells of a score array
+SCORES = 1 << 17  # cells of a score array, which stays in the cache
 SCALE = 64
 
 
@@ -52,12 +52,18 @@ class Postings:
             self.lists.append((slice(None) if len(at) == self.rows else at, column[at]))
 
     def accumulate(self, queries: np.ndarray, dtype) -> np.ndarray:
-        """Scores of every query against every row, one term at a time."""
+        """Scores of every query against every row, one term at a time: a
+        term's weighted postings go to all queries that have it at once."""
         scores = np.zeros((len(queries), self.rows), dtype=dtype)
-        for weights, (at, values) in zip(np.ascontiguousarray(queries.T), self.lists):
-            values = values.astype(dtype)
-            for q in np.flatnonzero(weights):
-                scores[q, at] += dtype(weights[q]) * values
+        for weights, (at, values) in zip(np.ascontiguousarray(queries.T).astype(dtype), self.lists):
+            have = np.flatnonzero(weights)
+            if not len(have) or not len(values):
+                continue
+            weighted = np.multiply.outer(weights[have], values.astype(dtype))
+            if len(have) == len(queries) and isinstance(at, slice):
+                scores += weighted
+            else:
+                scores[have if isinstance(at, slice) else np.ix_(have, at)] += weighted
         return scores
 
 
@@ -127,14 +133,14 @@ def top_k(vectors: DataFrame, queries: DataFrame, k: int = 20, vec_id: str = "ve
 
     ``vector`` is an array<long>; missing dimensions count as 0. NULL vectors,
     vectors with NULL components and NULL ids take no part. Repeated rows of a
-    vec_id are separate candidates; a repeated query is answered once. An
-    empty side gives an empty result. Sums outside 64 bits wrap around. Other
+    vec_id are separate candidates; a repeated query is answered once, by its
+    smallest vector. An empty side gives an empty result. Sums outside 64 bits wrap around. Other
     columns are ignored, whatever their names.
     """
     slim = lambda df: df.select(F.col(vec_id).cast("long").alias("vec_id"), F.col(vector).alias("vector")).where(
         "vec_id IS NOT NULL AND vector IS NOT NULL AND NOT exists(vector, x -> x IS NULL)"
     )
-    rows, asked = slim(vectors), slim(queries).dropDuplicates(["vec_id"])
+    rows, asked = slim(vectors), slim(queries).groupBy("vec_id").agg(F.min("vector").alias("vector"))
     shape = rows.agg(F.count("*").alias("n"), F.coalesce(F.max(F.size("vector")), F.lit(0)).alias("width")).first()
     per_block = max(1, min(CANDIDATES, BLOCK_CELLS // max(1, shape["width"])))
     row_blocks = -(-max(1, shape["n"]) // per_block)

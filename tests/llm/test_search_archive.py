@@ -35,6 +35,15 @@ def test_top_k_matches_full_computation(spark, monkeypatch):
     assert sorted(map(tuple, got)) == _best(rows, queries, 20)
 
 
+def test_a_repeated_query_is_answered_by_its_smallest_vector(spark):
+    rows = [(1, [5, 0]), (1, [2, 0]), (1, [2, 1]), (2, [3, 1]), (3, [0, 4])]
+    for seed in (1, 2):
+        random.Random(seed).shuffle(rows)
+        df = spark.createDataFrame(rows, "vec_id long, vector array<long>").repartition(3)
+        got = topk.top_k(df, df.where("vec_id = 1"), 5).collect()
+        assert sorted(map(tuple, got)) == [(1, 1, 2, 6), (1, 2, 3, 0)]
+
+
 def test_large_weights_leave_the_narrow_type(spark):
     rows = [(1, [2**31, 1]), (2, [2**30, 5]), (3, [-(2**31), 0])]
     df = spark.createDataFrame(rows, "vec_id long, vector array<long>")
