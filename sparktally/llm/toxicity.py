@@ -1,11 +1,12 @@
 """Toxicity scoring after noisy-channel deobfuscation.
 
-Spelling: a suspicious token (leetspeak inside letters, a letter three times
-running, letters spread by separators, single letters spread by spaces)
-becomes a lattice: every observed character can stand for itself, for the
+Spelling: a suspicious token (leetspeak inside letters, a letter twice or more
+running, letters spread by separators, three or more single letters spread by
+spaces) becomes a lattice: every observed character can stand for itself, for the
 letters it imitates, or for nothing (a separator or a repetition), each at a
 channel cost. Viterbi decoding under a character trigram model of the corpus
-picks the cheapest reading. Any other token's lattice has one path, the token.
+picks the cheapest reading; a word that only doubles a letter is also read as
+it stands. Any other token's lattice has one path, the token.
 
 Scoring: the restored words of a text are looked up, whole and by their
 first letters, in a table of features that labelled toxic documents have and
@@ -15,7 +16,7 @@ on the labelled rows with each row's own contribution taken out.
 The character model counts every character of every text, in Spark. The
 classifier is fitted on a bounded sample: ``FIT_ROWS`` labelled rows, chosen
 by a hash of the doc_id. What is shipped to the tasks has a fixed size: the
-ids of the sample, a character table of 2^18 cells, ``MAX_FEATURES`` features
+ids of the sample, a character table of 2^18 cells, as many features as ``FIT_ROWS`` texts hold
 at most. Scoring is one pass over the scan without a shuffle.
 """
 
@@ -37,7 +38,7 @@ from sparktally.llm.common import crc_mod, drop_scratch, materialize, ship, ship
 CELLS = 1 << 18  # of the character model
 PREFIXES = (4, 5, 6)  # letters of the prefix features
 MIN_TOXIC = 3  # toxic documents that must have a feature
-MAX_FEATURES = 200_000
+DECAY = 0.8  # of the weights of a text's features, the largest first
 FIT_ROWS = 20_000
 THRESHOLD = 0.7
 CACHE_WORDS = 250_000
@@ -54,10 +55,12 @@ COST_IMITATE, COST_SEPARATOR, COST_REPEAT, COST_KEEP_ODD = 1.0, 1.0, 0.5, 6.0
 _EDGE = ".,;:?%&*#\"'()[]{}…«»“”„-_/\\=~`^"
 _ODD = "0-9@$!|+(<€£"
 _SEP = r".\-_*~`'^,:;/\\#%&=·•"
-# One letter three times running; leetspeak or a separator between letters.
+# One letter twice or three times running; leetspeak or a separator between
+# letters; three single letters between spaces.
+_DOUBLE = re.compile(r"([^\W\d_])\1")
 _TRIPLE = re.compile(r"([^\W\d_])\1\1")
 _SUSPECT = re.compile(rf"[^\W\d_][{_ODD}{_SEP}]+[^\W\d_]|^[{_ODD}]+[^\W\d_]|[^\W\d_][0-9@$!|+]+$|([^\W\d_])\1\1")
-_SPACED = re.compile(r" ((?:[^\W_]|[@$!|+])(?: (?:[^\W_]|[@$!|+])){3,})(?!\S)")
+_SPACED = re.compile(r" ((?:[^\W_]|[@$!|+])(?: (?:[^\W_]|[@$!|+])){2,})(?!\S)")
 
 # Character codes: letters of the basic plane as they are, all else a boundary.
 BOUNDARY = 32
@@ -109,25 +112,28 @@ class CharModel:
         return c
 
 
+def lattice_arcs(token: str, k: int) -> list[tuple[str, float]]:
+    """What the character at place ``k`` may stand for, and at what cost: a
+    letter or nothing."""
+    ch = token[k]
+    arcs = [(ch, 0.0 if ch.isalpha() else COST_KEEP_ODD)]
+    arcs += [(letter, COST_IMITATE) for letter in LEET.get(ch, "")]
+    if ch in SEPARATORS or ch == " ":
+        arcs.append(("", COST_SEPARATOR if ch != " " else 0.0))
+    elif not ch.isalpha():
+        arcs.append(("", 2 * COST_SEPARATOR))
+    if k and ch == token[k - 1]:
+        arcs.append(("", COST_REPEAT))
+    return arcs
+
+
 def restore(token: str, model: CharModel) -> str:
     """The cheapest reading of a lower-case token (Viterbi over the lattice,
     state: the last two characters written)."""
     trace: list[tuple[int, str]] = []  # (previous entry, written character)
     states: dict[str, tuple[float, int]] = {"  ": (0.0, -1)}  # (cost, entry)
-    for k, ch in enumerate(token):
-        arcs: list[tuple[str, float]] = []
-        if ch.isalpha():
-            arcs.append((ch, 0.0))
-        else:
-            arcs.append((ch, COST_KEEP_ODD))
-        for letter in LEET.get(ch, ""):
-            arcs.append((letter, COST_IMITATE))
-        if ch in SEPARATORS or ch == " ":
-            arcs.append(("", COST_SEPARATOR if ch != " " else 0.0))
-        elif not ch.isalpha():
-            arcs.append(("", 2 * COST_SEPARATOR))
-        if k and ch == token[k - 1]:
-            arcs.append(("", COST_REPEAT))
+    for k in range(len(token)):
+        arcs = lattice_arcs(token, k)
         new: dict[str, tuple[float, int]] = {}
         for state, (cost, at) in states.items():
             for written, price in arcs:
@@ -150,6 +156,22 @@ def restore(token: str, model: CharModel) -> str:
     return "".join(reversed(out))
 
 
+def undoubled(word: str, model: CharModel) -> str:
+    """``restore`` of a word of letters none of which stands three times
+    running. Where its doubled letters stand apart, the lattice is a row of
+    independent choices between two paths that differ in three costs."""
+    places = [m.end() - 1 for m in _DOUBLE.finditer(word)]
+    if any(b - a < 4 for a, b in zip(places, places[1:])):
+        return restore(word, model)
+    padded = "  " + word + " "
+    for k in reversed(places):
+        before, letter, after = padded[k], padded[k + 1], padded[k + 3]
+        kept = model.cost(before + letter + letter) + model.cost(letter + letter + after)
+        if COST_REPEAT + model.cost(before + letter + after) < kept:
+            word = word[:k] + word[k + 1 :]
+    return word
+
+
 class Reader:
     """What ``value_of`` gives for the restored words of a text, through a
     bounded cache per token."""
@@ -158,12 +180,16 @@ class Reader:
         self.model, self.value_of = model, value_of
         self.cache: dict[str, object] = {}
 
-    def word(self, token: str) -> str:
+    def words(self, token: str) -> tuple[str, ...]:
+        """The restored word; of a word that only doubles a letter both
+        readings, as many words are rightly spelt so."""
         word = token.strip(_EDGE)
-        suspect = _TRIPLE if word.isalpha() else _SUSPECT
-        if word and (" " in word or suspect.search(word)):
-            word = restore(word, self.model)
-        return word.rstrip("!")
+        plain = word.isalpha()
+        if word and (" " in word or (_TRIPLE if plain else _SUSPECT).search(word)):
+            return (restore(word, self.model).rstrip("!"),)
+        if plain and _DOUBLE.search(word):
+            return word, undoubled(word, self.model)
+        return (word.rstrip("!"),)
 
     def read(self, text: str) -> set:
         low = text.lower()
@@ -173,8 +199,8 @@ class Reader:
             self.cache.clear()
         cache = self.cache
         for token in tokens.difference(cache):
-            cache[token] = self.value_of(self.word(token))
-        return set(map(cache.__getitem__, tokens))
+            cache[token] = tuple(map(self.value_of, self.words(token)))
+        return set().union(*map(cache.__getitem__, tokens))
 
 
 def features(word: str) -> tuple[int, ...]:
@@ -236,9 +262,10 @@ def _log_odds(a: np.ndarray, b: np.ndarray, n1: float, n0: float) -> np.ndarray:
 
 def evidence(weights: np.ndarray) -> np.ndarray:
     """Three numbers from the positive weights of a text's features: the
-    largest, the sum of the eight largest, whether there is any."""
-    w = np.sort(weights[weights > 0])[::-1][:8]
-    return np.array([w[0], w.sum(), 1.0]) if len(w) else np.zeros(3)
+    largest, the sum of all with geometrically falling shares, the largest
+    first, whether there is any."""
+    w = np.sort(weights[weights > 0])[::-1]
+    return np.array([w[0], w @ DECAY ** np.arange(len(w)), 1.0]) if len(w) else np.zeros(3)
 
 
 def _fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> np.ndarray:
@@ -258,7 +285,7 @@ def _fit_logistic(x: np.ndarray, y: np.ndarray, rounds: int = 60) -> np.ndarray:
 
 class ToxicityModel:
     """What scoring needs: character counts, feature weights, the logistic
-    function. Bounded by CELLS and MAX_FEATURES."""
+    function. Bounded by CELLS and by the features of FIT_ROWS texts."""
 
     def __init__(self, counts: np.ndarray, weights: dict[int, float], logistic: np.ndarray):
         self.counts, self.weights, self.logistic = counts, weights, logistic
@@ -302,7 +329,8 @@ def train(docs: DataFrame, labels: DataFrame, doc_id: str = "doc_id", text: str
         return ToxicityModel(counts.value, {}, np.array([0.0, 0.0, 0.0, np.log(share / (1 - share))]))
     per = _feature_rows(labelled, counts).groupBy("feature").agg(F.sum("a").alias("a"), F.sum("b").alias("b"))
     strong = per.where((F.col("a") >= MIN_TOXIC) & (F.col("a") * n0 > F.lit(4) * F.col("b") * n1))
-    best = strong.orderBy((F.col("a") / (F.col("b") + 1)).desc(), "feature").limit(MAX_FEATURES).toArrow()
+    # Features of at most FIT_ROWS texts.
+    best = strong.orderBy("feature").toArrow()
     names = best.column("feature").to_pylist()
     ab = np.column_stack([best.column(c).to_numpy().astype(float) for c in ("a", "b")])
     table = dict(zip(names, map(tuple, ab.tolist())))

@@ -1,7 +1,9 @@
 """Toxicity on held-out rows; LM scores against direct computation."""
 
+import itertools
 import math
 import random
+import re
 import zlib
 from collections import Counter
 
@@ -97,10 +99,43 @@ def test_restoring_spellings():
     assert "moron" in reader.read("m-o-r-o-n")
     assert "scum" in reader.read("s c u m") and "scum" in reader.read("a\ns c u m\n")
     assert "trash" in reader.read("trrraaash")
+    assert {"idiot", "idiiot"} <= reader.read("idiiot") and "moron" in reader.read("mooron")
+    assert "ass" in reader.read("a s s") and "ass" in reader.read("ass")
     assert "kalo" in reader.read("(kalo),")
     assert reader.read("   ") == set()
 
 
+def test_viterbi_takes_the_cheapest_path():
+    """Against all paths through the lattices of short tokens."""
+    counts = np.zeros(toxicity.CELLS)
+    for cells in toxicity.char_cells(" ".join(BAD * 20 + ["kalo", "mine", "ass", "too"] * 20)):
+        counts += np.bincount(cells, minlength=toxicity.CELLS)
+    model = toxicity.CharModel(counts)
+
+    def cost(path):
+        state, total = "  ", 0.0
+        for written, price in path:
+            total += price
+            if written:
+                total += model.cost(state + written)
+                state = state[1] + written
+        return total + model.cost(state + " ")
+
+    rng = random.Random(7)
+    for _ in range(300):
+        token = "".join(rng.choices("idotmrna01!$.- ss", k=rng.randint(1, 6)))
+        paths = list(itertools.product(*(toxicity.lattice_arcs(token, k) for k in range(len(token)))))
+        best = min(map(cost, paths))
+        written = {"".join(w for w, _ in p) for p in paths if cost(p) <= best + 1e-9}
+        assert toxicity.restore(token, model) in written
+    for _ in range(300):
+        word = "".join(c * rng.choice([1, 1, 1, 2]) for c in rng.choices("idotmrnas", k=rng.randint(1, 7)))
+        word = re.sub(r"(.)\1+", r"\1\1", word)
+        paths = list(itertools.product(*(toxicity.lattice_arcs(word, k) for k in range(len(word)))))
+        best = min(map(cost, paths))
+        assert toxicity.undoubled(word, model) in {"".join(w for w, _ in p) for p in paths if cost(p) <= best + 1e-9}
+
+
 def test_character_cells_agree_one_by_one():
     text = "Ab é漢😀 9z"
     codes = "  " + text + " "
