@@ -7,11 +7,11 @@
 2. Buckets with two different texts chain their texts to the bucket's
    smallest one; the connected components are coarse clusters that hold every
    candidate pair.
-3. Only the texts of coarse clusters are shingled again. In each cluster the
-   XOR population count of two odd sketches is at most twice the number of
-   differing samples, so pairs with more set bits than six standard
-   deviations allow at the threshold are skipped; the rest is confirmed on
-   the full shingle sets.
+3. Only the texts of coarse clusters are shingled again. For every pair that
+   is compared the XOR population count of the odd sketches estimates the
+   similarity; pairs estimated more than six standard deviations below the
+   threshold are skipped, the rest is confirmed on the full shingle sets, the
+   likeliest first.
 4. Components of confirmed links give each document its smallest reachable
    doc_id.
 
@@ -37,11 +37,23 @@ SAMPLES, ROWS, BITS = 128, 4, 1024
 PERCENT = 75
 
 
-def max_flips(samples: int = SAMPLES, percent: int = PERCENT, sigmas: float = 6.0) -> int:
-    """Most XOR bits a pair at the threshold shows: two per differing sample,
-    for the mean number of these and ``sigmas`` standard deviations."""
-    p = 1 - percent / 100
-    return int(2 * np.ceil(samples * p + sigmas * np.sqrt(samples * p * (1 - p))))
+def estimated(flips, samples: int = SAMPLES, bits: int = BITS):
+    """Similarity of two texts estimated from the XOR population count of their
+    odd sketches: the number of differing sample values that leaves so many of
+    ``bits`` odd, as a share of the values of both."""
+    differing = np.log(np.maximum(1 - 2 * np.asarray(flips) / bits, 1e-9)) / np.log(1 - 2 / bits)
+    return 1 - differing / (2 * samples)
+
+
+def max_flips(samples: int = SAMPLES, bits: int = BITS, percent: int = PERCENT, sigmas: float = 6.0) -> int:
+    """Most XOR bits at which the estimated similarity is not ``sigmas``
+    standard deviations (of the samples' and of the sketch's chance) below the
+    threshold."""
+    p = percent / 100
+    differing = 2 * samples * (1 - p)
+    of_sketch = np.sqrt(bits / 4 * (1 - (1 - 4 / bits) ** differing)) / (1 - 2 / bits) ** differing / (2 * samples)
+    least = p - sigmas * np.hypot(np.sqrt(p * (1 - p) / samples), of_sketch)
+    return int(np.flatnonzero(estimated(np.arange(bits // 2), samples, bits) >= least)[-1])
 
 
 def text_identity(words: list[bytes]) -> int:

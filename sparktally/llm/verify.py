@@ -86,6 +86,8 @@ def _compare_groups(table: pa.Table, cuts: list[int], percent: int, max_flips: i
     for a, b in zip(cuts, cuts[1:]):
         if b - a == 2:
             x, y = values[offsets[a] : offsets[a + 1]], values[offsets[a + 1] : offsets[b]]
+            if bits is not None and int(np.bitwise_count(bits[a] ^ bits[a + 1]).sum()) > max_flips:
+                continue
             if not (cross[a] and side[a] == side[a + 1]) and similar(x, y, percent):
                 links.append((int(item[a]), int(item[a + 1])))
         elif b - a > 2:

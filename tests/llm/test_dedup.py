@@ -113,6 +113,29 @@ def test_odd_sketch_flips_stay_under_the_bound():
     assert 0 < most <= neardup.max_flips()
 
 
+def test_odd_sketches_estimate_the_similarity():
+    """Estimates against true Jaccard similarities from 0.75 to 1."""
+    rng = random.Random(16)
+    hasher = MinHash(neardup.SAMPLES, neardup.ROWS, neardup.BITS)
+    errors = []
+    for changes in range(0, 13):
+        for _ in range(12):
+            base = [f"v{rng.randrange(10**6)}".encode() for _ in range(400)]
+            other = list(base)
+            for k in rng.sample(range(400), changes):
+                other[k] = b"changed%d" % rng.randrange(10**6)
+            a, b = (np.unique(shingle_hashes(hash_words(w))) for w in (base, other))
+            both = len(np.intersect1d(a, b))
+            true = both / (len(a) + len(b) - both)
+            x, y = (np.frombuffer(hasher.odd_sketch(hasher.minima(s)), np.uint8) for s in (a, b))
+            flips = int(np.bitwise_count(x ^ y).sum())
+            assert (flips == 0) == (true == 1) or true < 1
+            assert true < 0.75 or flips <= neardup.max_flips()
+            errors.append(float(neardup.estimated(flips)) - true)
+    assert abs(np.mean(errors)) < 0.01 and np.std(errors) < 0.05
+    assert neardup.estimated(0) == 1 and neardup.estimated(neardup.max_flips()) > 0.4
+
+
 def test_connected_components(spark):
     rng = random.Random(1)
     edges = [(i, i + 1) for i in range(0, 300)] + [(1000, 1000 + i) for i in range(1, 200)] + [(5000, 5000), (None, 3)]
