@@ -17,21 +17,21 @@ the ids, so no global sort and no window over all rows is needed.
 
 from __future__ import annotations
 
-import gc
 import hashlib
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from sparktally.llm.common import materialize, mix64, small_batches
+from sparktally.llm.common import materialize, mix64, no_collection, small_batches
 
 KMER = 8
 PICKS = 2
 HASHES = 32
 RANGE_BYTES = 24 << 20
+RANGES = 4096
 _M = np.uint64(0x9E3779B97F4A7C15)
 _LOW = np.uint64(0xFFFFFFFF)
 
@@ -129,17 +129,31 @@ def fingerprints(docs: DataFrame, text: str = "text", keep: tuple[str, ...] = ("
 
 
 def _ranged(slim: DataFrame) -> tuple[DataFrame, int]:
-    """Rows with the number of their id range, and how many ranges there are."""
+    """Rows with the number of their id range, and how many ranges there are:
+    at most ``RANGES``, beyond which they grow (a range is streamed, not held).
+
+    The bounds are literals of two levels, groups of bounds and bounds, so a
+    row is compared with about twice the root of their number."""
     size = slim.agg(F.sum(F.octet_length("_text").cast("double")).alias("n")).first()["n"] or 0
-    wanted = max(1, int(-(-size // RANGE_BYTES)))
+    wanted = min(RANGES, max(1, int(-(-size // RANGE_BYTES))))
     cuts: list[int] = []
     if wanted > 1:
         at = [i / wanted for i in range(1, wanted)]
         cuts = sorted({int(c) for c in slim.approxQuantile("doc_id", at, 0.2 / wanted)})
+    if not cuts:
+        return slim.withColumn("part", F.lit(0)), 1
+    step = max(1, int(len(cuts) ** 0.5))
+    groups = [cuts[i : i + step] for i in range(0, len(cuts), step)]
+    numbers = lambda values: F.array(*[F.lit(v).cast("long") for v in values])
+    below = lambda bounds: F.size(F.filter(bounds, lambda c: c <= F.col("doc_id")))
+    # Groups that begin at or below the id; all bounds of those before the
+    # last one are below it too.
+    begun = slim.withColumn("_begun", below(numbers([g[0] for g in groups])))
+    inside = below(F.element_at(F.array(*map(numbers, groups)), F.greatest(F.lit(1), F.col("_begun"))))
+    number = F.greatest(F.lit(0), F.col("_begun") - 1) * step + inside
     # NULL ids come first in ascending order.
-    bounds = F.array(*[F.lit(c).cast("long") for c in cuts]) if cuts else F.array().cast("array<bigint>")
-    number = F.when(F.col("doc_id").isNull(), 0).otherwise(F.size(F.filter(bounds, lambda c: c <= F.col("doc_id"))))
-    return slim.withColumn("part", number.cast("int")), len(cuts) + 1
+    part = F.when(F.col("doc_id").isNull(), 0).otherwise(number).cast("int")
+    return begun.withColumn("part", part).drop("_begun"), len(cuts) + 1
 
 
 def compare_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
@@ -160,51 +174,49 @@ def compare_edited(docs: DataFrame, doc_id: str = "doc_id", text: str = "text")
     firsts = materialize(
         ranged.groupBy("part").agg(F.min(order).alias("row")).select("part", "row.doc_id", F.col("row._text").alias("_text")), "omh-firsts"
     )
-    present = sorted(r["part"] for r in firsts.select("part").collect())  # one number per range
-    before = {p: present[i - 1] for i, p in enumerate(present)}  # the first range follows the last
-    if not present:
-        before = {0: 0}
-    to = F.create_map(*[F.lit(v) for item in before.items() for v in item])
-    extra = firsts.select("doc_id", "_text", to[F.col("part")].cast("int").alias("part"), F.lit(1).alias("tail"))
+    # The first row of a range also ends the range before it; that of the
+    # first one ends the last. One row per range is ordered.
+    before = F.coalesce(F.lag("part").over(Window.orderBy("part")), F.max("part").over(Window.partitionBy()))
+    extra = firsts.select("doc_id", "_text", before.cast("int").alias("part"), F.lit(1).alias("tail"))
     stream = (
         ranged.select("doc_id", "_text", "part", F.lit(0).alias("tail")).unionByName(extra)
-        .repartition(parts, "part")
+        .repartitionByRange(parts, "part")
         .sortWithinPartitions("part", "tail", F.col("doc_id").asc_nulls_first(), "_text")
     )
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
-        hasher = OrderMinHash()
-        held: tuple | None = None  # (part, doc_id, points, fingerprint)
-        for batch in small_batches(batches, "_text"):
-            out: list[list] = [[] for _ in range(7)]
-            rows = zip(*(batch.column(c).to_pylist() for c in ("part", "tail", "doc_id", "_text")))
-            for part, tail, ident, body in rows:
-                points = code_points(body)
-                row = (part, ident, points, hasher.fingerprint(points))
-                if held is not None and held[0] == part:
-                    _, own, mine, mark = held
-                    cut = len(mine) // 4
-                    edited = np.concatenate([mine[: len(mine) - cut], points[:cut]])
-                    other = hasher.fingerprint(edited)
-                    for column, value in zip(
-                        out,
-                        (
-                            own,
-                            len(mine),
-                            hashlib.sha256(edited.tobytes().decode("utf-32-le").encode("utf-8")).hexdigest(),
-                            mark.tobytes().hex(),
-                            other.tobytes().hex(),
-                            likeness(mark, other),
-                            likeness(mark, row[3]),
-                        ),
-                    ):
-                        column.append(value)
-                held = None if tail else row
-            if out[0]:
-                kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
-                names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
-                yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
+        with no_collection():
+            hasher = OrderMinHash()
+            held: tuple | None = None  # (part, doc_id, points, fingerprint)
+            for batch in small_batches(batches, "_text"):
+                out: list[list] = [[] for _ in range(7)]
+                rows = zip(*(batch.column(c).to_pylist() for c in ("part", "tail", "doc_id", "_text")))
+                for part, tail, ident, body in rows:
+                    points = code_points(body)
+                    row = (part, ident, points, hasher.fingerprint(points))
+                    if held is not None and held[0] == part:
+                        _, own, mine, mark = held
+                        cut = len(mine) // 4
+                        edited = np.concatenate([mine[: len(mine) - cut], points[:cut]])
+                        other = hasher.fingerprint(edited)
+                        for column, value in zip(
+                            out,
+                            (
+                                own,
+                                len(mine),
+                                hashlib.sha256(edited.tobytes().decode("utf-32-le").encode("utf-8")).hexdigest(),
+                                mark.tobytes().hex(),
+                                other.tobytes().hex(),
+                                likeness(mark, other),
+                                likeness(mark, row[3]),
+                            ),
+                        ):
+                            column.append(value)
+                    held = None if tail else row
+                if out[0]:
+                    kinds = (pa.int64(), pa.int64(), pa.string(), pa.string(), pa.string(), pa.float64(), pa.float64())
+                    names = ["doc_id", "n_chars", "edited_sha256", "fingerprint", "edited_fingerprint", "near_edited", "near_next"]
+                    yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(out, kinds)], names=names)
 
     return stream.mapInArrow(
         run,

@@ -186,3 +186,53 @@ def test_order_minhash_sees_order_and_occurrences():
     assert fingerprint.likeness(mark(text), mark(moved)) < fingerprint.likeness(mark(text), mark(small)) - 0.2
     assert list(hasher.occurrences(np.array([5, 9, 5, 5, 9], dtype=np.uint64) << np.uint64(40))) == [0, 0, 1, 2, 1]
     assert fingerprint.likeness(mark("ab" * 50), mark("ab" * 500)) < 1.0
+
+
+def test_ranges_are_counted_bounds(spark, monkeypatch):
+    monkeypatch.setattr(fingerprint, "RANGE_BYTES", 40)
+    rows = [(i * 7 % 1000, "x" * 20) for i in range(500)] + [(None, "y"), (-5, "z")]
+    ranged, parts = fingerprint._ranged(spark.createDataFrame(rows, "doc_id long, _text string"))
+    got = [(r.doc_id, r.part) for r in ranged.collect()]
+    assert parts > 50 and {p for _, p in got} <= set(range(parts))
+    known = sorted(g for g in got if g[0] is not None)
+    assert [p for _, p in known] == sorted(p for _, p in known) and known[0] == (-5, 0)
+    assert dict(got)[None] == 0 and known[-1][1] == parts - 1
+    monkeypatch.setattr(fingerprint, "RANGES", 3)
+    assert fingerprint._ranged(spark.createDataFrame(rows, "doc_id long, _text string"))[1] <= 3
+
+
+def test_order_minhash_step_by_step():
+    """Every permutation in plain Python: number equal k-mers, order them by
+    the permuted number, take the first two in text order."""
+    mask = (1 << 64) - 1
+
+    def mix(x):
+        x ^= x >> 30
+        x = x * 0xBF58476D1CE4E5B9 & mask
+        x ^= x >> 27
+        x = x * 0x94D049BB133111EB & mask
+        return x ^ x >> 31
+
+    hasher = fingerprint.OrderMinHash(hashes=6)
+    step = int(fingerprint._M)
+    rng = random.Random(12)
+    for text in ["", "a", "abc", "abcdefgh", "abababababababababab", "".join(rng.choices("abcé😀 ", k=90)), "x" * 40]:
+        points, k = [ord(c) for c in text], min(8, len(text))
+        grams = []
+        for i in range(len(points) - k + 1 if points else 0):
+            h = k
+            for p in points[i : i + k]:
+                h = (h * step + p) & mask
+            grams.append(mix(h))
+        slots = []
+        for mul, add in zip(hasher.mul.tolist(), hasher.add.tolist()):
+            values = []
+            for i, g in enumerate(grams):
+                number = mix((g + grams[:i].count(g) * step) & mask) >> 32
+                values.append(((mul * number + add) & 0xFFFFFFFF, i))
+            chosen = sorted(i for _, i in sorted(values)[:2])
+            slot = len(chosen)
+            for i in chosen:
+                slot = mix((slot * step + grams[i]) & mask)
+            slots.append(slot >> 32 if chosen else 0)
+        assert hasher.fingerprint(fingerprint.code_points(text)).tolist() == slots
