@@ -22,7 +22,6 @@ at most. Scoring is one pass over the scan without a shuffle.
 
 from __future__ import annotations
 
-import gc
 import re
 from collections import Counter
 from collections.abc import Iterator
@@ -33,7 +32,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from sparktally.llm.common import crc_mod, drop_scratch, materialize, ship, shipped, small_batches
+from sparktally.llm.common import crc_mod, drop_scratch, materialize, no_collection, ship, shipped, small_batches
 
 CELLS = 1 << 18  # of the character model
 PREFIXES = (4, 5, 6)  # letters of the prefix features
@@ -368,12 +367,12 @@ def score(docs: DataFrame, model: ToxicityModel, text: str = "text") -> DataFram
     schema = ", ".join(f"`{c}` {docs.schema[c].dataType.simpleString()}" for c in rest)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        gc.disable()
-        fitted = shipped(sent)
-        reader = fitted.reader()
-        for batch in small_batches(batches, text):
-            scores = [fitted.score(reader.read(t or "")) for t in batch.column(text).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(scores, pa.float64())], names=[*rest, "score"])
+        with no_collection():
+            fitted = shipped(sent)
+            reader = fitted.reader()
+            for batch in small_batches(batches, text):
+                scores = [fitted.score(reader.read(t or "")) for t in batch.column(text).to_pylist()]
+                yield pa.RecordBatch.from_arrays([*(batch.column(c) for c in rest), pa.array(scores, pa.float64())], names=[*rest, "score"])
 
     return docs.select(*rest).mapInArrow(run, f"{schema}, score double")
 
