@@ -269,3 +269,54 @@ def conversation_events(conversations: DataFrame) -> DataFrame:
 def link_conversations(conversations: DataFrame) -> DataFrame:
     """``link_calls`` over every turn of a conversations table."""
     return link_calls(conversation_events(conversations), SCHEMAS)
+
+
+# ``link_conversations`` over the conversations table, its two schemas spelt out.
+LINK_SQL = """
+WITH RECURSIVE events AS (
+  SELECT CAST(conv_id AS BIGINT) AS conv_id, CAST(turn AS BIGINT) AS turn, text, coalesce(lower(role), '') IN ('user', 'system') AS is_call,
+         CASE lower(role) WHEN 'system' THEN 'configure' WHEN 'user' THEN 'ask' END AS name
+  FROM conversations
+), named AS (
+  SELECT *, 'c' || CAST(conv_id AS VARCHAR) || '-' || CAST(CASE WHEN is_call THEN turn ELSE turn - 1 END AS VARCHAR) AS call_id,
+         CASE WHEN is_call AND turn >= 1 THEN 'c' || CAST(conv_id AS VARCHAR) || '-' || CAST(greatest(turn - 2, 0) AS VARCHAR) END AS parent_id
+  FROM events
+), numbered AS (
+  SELECT *, row_number() OVER same AS place, count(*) OVER (PARTITION BY call_id, is_call) AS n
+  FROM named WINDOW same AS (PARTITION BY call_id, is_call ORDER BY conv_id, turn, text NULLS FIRST)
+), calls AS (
+  SELECT * FROM numbered WHERE is_call AND call_id IS NOT NULL AND place = 1
+), results AS (
+  SELECT * FROM numbered WHERE NOT is_call AND call_id IS NOT NULL AND place = 1
+), levels(call_id, level) AS (
+  SELECT call_id, CAST(0 AS BIGINT) FROM calls WHERE parent_id IS NULL OR parent_id NOT IN (SELECT call_id FROM calls)
+  UNION ALL SELECT c.call_id, l.level + 1 FROM calls c JOIN levels l ON c.parent_id = l.call_id
+), linked AS (
+  SELECT coalesce(c.conv_id, r.conv_id) AS conv_id, coalesce(c.turn, r.turn) AS turn, coalesce(c.call_id, r.call_id) AS call_id,
+         c.parent_id, c.name, CASE WHEN c.call_id IS NULL THEN 'orphan' WHEN r.call_id IS NULL THEN 'unanswered' ELSE 'linked' END AS status,
+         coalesce(c.n, 0) AS n_calls, coalesce(r.n, 0) AS n_results, l.level, c.text AS arguments, r.text AS result
+  FROM calls c FULL JOIN results r ON c.call_id = r.call_id LEFT JOIN levels l ON l.call_id = c.call_id
+  UNION ALL
+  SELECT conv_id, turn, call_id, parent_id, name, 'unidentified', CAST(is_call AS BIGINT), CAST(NOT is_call AS BIGINT), NULL,
+         CASE WHEN is_call THEN text END, CASE WHEN NOT is_call THEN text END
+  FROM named WHERE call_id IS NULL
+), checked AS (
+  SELECT *, CASE WHEN n_calls > 0 THEN list_filter([
+    CASE WHEN arguments IS NULL THEN '$.chars: not of type integer' WHEN name = 'ask' AND arguments = '' THEN '$.chars: below minimum' END,
+    CASE WHEN arguments IS NULL THEN '$.text: not of type string' WHEN arguments = '' THEN '$.text: too short' END,
+    CASE WHEN turn IS NULL THEN '$.turn: not of type integer' WHEN turn < 0 THEN '$.turn: below minimum'
+         WHEN name = 'configure' AND turn > 0 THEN '$.turn: above maximum' END], lambda e: e IS NOT NULL) ELSE []::VARCHAR[] END AS errors
+  FROM linked
+), shown AS (
+  SELECT *, coalesce(CAST(to_json(arguments) AS VARCHAR), 'null') AS a, coalesce(CAST(to_json(result) AS VARCHAR), 'null') AS r,
+         coalesce('"' || call_id || '"', 'null') AS i
+  FROM checked
+)
+SELECT conv_id, turn, call_id, parent_id, name, status, n_calls, n_results, level,
+       CASE WHEN n_calls > 0 THEN len(errors) = 0 END AS valid, errors,
+       CASE WHEN n_calls > 0 THEN '{"arguments":{"chars":' || coalesce(CAST(length(arguments) AS VARCHAR), 'null') || ',"text":' || a || ',"turn":'
+         || coalesce(CAST(turn AS VARCHAR), 'null') || '},"id":' || i || ',"level":' || coalesce(CAST(level AS VARCHAR), 'null')
+         || ',"name":"' || name || '"}' END AS call_json,
+       CASE WHEN n_results > 0 THEN '{"content":' || r || ',"id":' || i || '}' END AS result_json
+FROM shown
+"""

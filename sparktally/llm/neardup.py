@@ -182,3 +182,35 @@ def near_duplicates(docs: DataFrame, doc_id: str = "doc_id", text: str = "text",
         .select("doc_id", "n_shingles", component.alias("component_id"), "text_id")
         .select("doc_id", "n_shingles", "component_id", F.coalesce(F.col("doc_id") == F.col("component_id"), F.lit(True)).alias("kept"), *(["text_id"] if text_ids else []))
     )
+
+
+# Every pair of documents that share a shingle, and all links followed to the
+# end: for small tables.
+NEAR_SQL = """
+WITH RECURSIVE words AS (
+  SELECT doc_id, list_filter(
+    string_split_regex(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[\\x20\\x09-\\x0D]+'),
+    lambda w: w <> '') AS w
+  FROM documents
+), shingles AS (
+  SELECT DISTINCT doc_id, unnest(CASE
+    WHEN len(w) = 0 THEN []::VARCHAR[] WHEN len(w) < 5 THEN [array_to_string(w, ' ')]
+    ELSE list_transform(range(1, len(w) - 3), lambda i: array_to_string(w[i:i + 4], ' ')) END) AS s
+  FROM words
+), sizes AS (
+  SELECT doc_id, count(*) AS n FROM shingles GROUP BY doc_id
+), common AS (
+  SELECT a.doc_id AS a, b.doc_id AS b, count(*) AS n FROM shingles a JOIN shingles b USING (s) WHERE a.doc_id <> b.doc_id GROUP BY 1, 2
+), links AS (
+  SELECT common.a, common.b FROM common JOIN sizes x ON x.doc_id = common.a JOIN sizes y ON y.doc_id = common.b
+  WHERE 100 * common.n >= 75 * (x.n + y.n - common.n)
+), reach(a, b) AS (
+  SELECT a, b FROM links UNION SELECT reach.a, links.b FROM reach JOIN links ON reach.b = links.a
+), lowest AS (
+  SELECT a, min(b) AS b FROM reach GROUP BY a
+), verdict AS (
+  SELECT d.doc_id, CAST(coalesce(n, 0) AS BIGINT) AS n_shingles, least(d.doc_id, coalesce(b, d.doc_id)) AS component_id
+  FROM documents d LEFT JOIN sizes USING (doc_id) LEFT JOIN lowest ON lowest.a = d.doc_id
+)
+SELECT doc_id, n_shingles, component_id, doc_id = component_id AS kept FROM verdict
+"""

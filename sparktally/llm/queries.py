@@ -96,7 +96,9 @@ QUERIES = {
 # The others are tested against brute force, an exact round trip or held-out
 # accuracy in tests/llm.
 ORACLE_SQL = {
+    "op1_tool_calls": chat.LINK_SQL,
     "op3_top_k": topk.TOP_K_SQL,
     "op8_warc": warc.ARCHIVE_SQL,
+    "op10_near_dedup": neardup.NEAR_SQL,
     "op11_hard_negatives": negatives.NEGATIVES_SQL,
 }

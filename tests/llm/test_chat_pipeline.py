@@ -155,7 +155,7 @@ def test_query_matches_its_sql(spark, name):
     import duckdb
 
     con = duckdb.connect()
-    for t in ("embeddings", "pages"):
+    for t in ("conversations", "documents", "embeddings", "pages"):
         con.execute(f"CREATE VIEW {t} AS SELECT * FROM read_parquet('{SF_SMOKE}/{t}.parquet')")
     df = QUERIES[name](spark, SF_SMOKE)
     res = con.execute(ORACLE_SQL[name])
