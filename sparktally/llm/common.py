@@ -54,14 +54,6 @@ def drop_scratch(*frames: DataFrame) -> None:
             delete_path(df.sparkSession, path)
 
 
-def free_shuffles(spark: SparkSession) -> None:
-    """Let the context cleaner remove the shuffle files of finished steps now;
-    otherwise they stay on the executors' disks until the driver's JVM happens
-    to collect its garbage."""
-    gc.collect()
-    spark._jvm.System.gc()
-
-
 def ship(spark: SparkSession, value) -> Broadcast:
     """Broadcast ``value``, objects of this package's classes included, to
     tasks that need not have the package. Only for values of a fixed bound."""
