@@ -3,6 +3,9 @@
 from __future__ import annotations
 
 import os
+import subprocess
+import sys
+import time
 
 import pytest
 from pyspark.sql import Observation
@@ -11,7 +14,7 @@ from pyspark.sql import functions as F
 from sparktally.operators import count_by, remove_stopwords
 from sparktally.sinks import replacing, write_csv, write_delimited, write_key_value, write_parquet
 from sparktally.sources import number_lines, parse_ratings, read_delimited, read_lines, read_ratings, read_stopwords
-from tests.conftest import write_lines
+from tests.conftest import SF_SMOKE, write_lines
 from tests.test_skew import skew_conf  # noqa: F401
 
 
@@ -154,3 +157,25 @@ def test_delimited_rows_read_back(spark, target):
     write_delimited(df, target, sep=",")
     got = sorted(map(tuple, read_delimited(spark, target, "a string, b string, c string", sep=",").collect()))
     assert got == [("1", None, '"q"'), ("2", "a b", None), ("3", None, "x;y")]
+
+
+def test_scratch_tables_go_when_the_driver_ends(tmp_path):
+    """In a driver of its own: what a query left in the scratch folder is
+    there while it runs and gone afterwards."""
+    code = (
+        "import os, sys\n"
+        "from sparktally.plans.files import q_csv_fields\n"
+        "from sparktally.session import get_session\n"
+        "spark = get_session('local[2]', extra_conf={'spark.checkpoint.dir': sys.argv[1]})\n"
+        "assert q_csv_fields(spark, sys.argv[2]).count() > 0\n"
+        "assert any(f.startswith('files-') for f in os.listdir(sys.argv[1]))\n"
+    )
+    root = os.path.dirname(os.path.dirname(os.path.abspath(__file__)))
+    folder = tmp_path / "scratch"
+    folder.mkdir()
+    subprocess.run([sys.executable, "-c", code, str(folder), SF_SMOKE], check=True, cwd=root, timeout=300)
+    for _ in range(60):  # the JVM ends a moment after its driver
+        if not any(f.startswith("files-") for f in os.listdir(folder)):
+            return
+        time.sleep(0.5)
+    raise AssertionError(os.listdir(folder))
