@@ -48,8 +48,9 @@ class Postings:
         self.lists = []
         for column in np.ascontiguousarray(matrix.T):
             at = np.flatnonzero(column)
-            # A list of all rows is scattered as one run.
-            self.lists.append((slice(None) if len(at) == self.rows else at, column[at]))
+            # A list of most rows is scattered as one run, its zeros included.
+            full = 2 * len(at) >= self.rows
+            self.lists.append((slice(None), column) if full else (at, column[at]))
 
     def accumulate(self, queries: np.ndarray, dtype) -> np.ndarray:
         """Scores of every query against every row, one term at a time: a
@@ -59,11 +60,13 @@ class Postings:
             have = np.flatnonzero(weights)
             if not len(have) or not len(values):
                 continue
+            if 2 * len(have) >= len(queries):
+                have = slice(None)
             weighted = np.multiply.outer(weights[have], values.astype(dtype))
-            if len(have) == len(queries) and isinstance(at, slice):
-                scores += weighted
+            if isinstance(have, slice) or isinstance(at, slice):
+                scores[have, at] += weighted
             else:
-                scores[have if isinstance(at, slice) else np.ix_(have, at)] += weighted
+                scores[np.ix_(have, at)] += weighted
         return scores
 
 
