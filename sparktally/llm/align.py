@@ -10,9 +10,12 @@ decoded bytes. Byte offsets where tokens of both end cut the tokens into
 groups, and the two tokens that end a group are linked.
 
 Texts are encoded in segments: a run of spaces and what follows it up to the
-next space. No token of either tokenizer holds a space after another
+next space, a word of Latin letters apart from the mark behind it and what
+follows that. No token of either tokenizer holds a space after another
 character (``segmentable`` verifies it for B's pieces; A's pattern allows a
-space only in front), and neither looks further than the next character, so
+space only in front), and neither looks further than the next character; A's
+pattern ends a word before a mark, and marks that a piece of B holds behind a
+letter are not cut at (``segments``). So
 the segments of a text encode as they do inside it, and the end of a segment
 is always a cut. Distinct segments are encoded once for each filling of a
 cache of bounded size, many of them in a row as one text.
@@ -41,11 +44,13 @@ from pyspark.sql import functions as F
 from sparktally.llm.bpe import byte_alphabet
 from sparktally.llm.common import list_array, materialize, no_collection, small_batches
 
-SEGMENT = re.compile(r" +[^ ]+(?: +\Z)?| +\Z")
+LETTERS = "A-Za-zÀ-ÖØ-öø-ɏ"  # of words that are cut off from the marks behind them
+MARKS = ",.;:!?)"
 SEGMENTS = 400_000  # entries of the cache before it is emptied
 CHUNK = 1 << 15  # characters, about, of segments encoded together
 BLOCK_BYTES = 8 << 20
 SPACE = "▁"  # the stand-in of a space in sentencepiece models
+WORD = " a"
 SHIFT = 1 << 32  # a pair of ids as one number: a * SHIFT + b
 
 
@@ -93,6 +98,12 @@ class Pieces:
         """No piece holds a space after another character."""
         return not any(re.search(f"[^{SPACE}]{SPACE}", p) for p in self.names)
 
+    def segments(self) -> re.Pattern:
+        """Pattern of the segments of a text with its leading space."""
+        marks = "".join(m for m in MARKS if not any(re.search(f"[{LETTERS}]{re.escape(m)}", p) for p in self.names))
+        words = f" [{LETTERS}]+(?=[{marks}])|[{marks}][^ ]*(?: +\\Z)?|" if marks else ""
+        return re.compile(words + r" +[^ ]+(?: +\Z)?| +\Z")
+
     def encode(self, text: str) -> tuple[list[int], np.ndarray, np.ndarray]:
         """ids, and begins and ends of their spans in bytes."""
         pieces = self.model.encode(text[1:], return_type="proto").pieces
@@ -121,6 +132,7 @@ class Aligner:
         if not b.segmentable():
             raise ValueError("a piece with a space after another character: texts cannot be encoded in segments")
         self.a, self.b = a, b
+        self.cut = b.segments().findall
         self.sizes = [np.array(list(map(len, t.bytes_of)), dtype=np.int64) for t in (a, b)]
         # An id as text, in front of another one of its side and at the end.
         self.inner, self.last_a, self.last_b = (
@@ -138,20 +150,22 @@ class Aligner:
         self.begin = np.zeros(2, dtype=np.int64)
         self.pairs, self.cuts = np.zeros(0, dtype=np.int64), np.zeros(0, dtype=np.int64)
 
-    def aligned(self, segments: list[str]) -> tuple[list[str], list[str], np.ndarray, np.ndarray, np.ndarray]:
+    def aligned(self, wanted: list[str]) -> tuple[list[str], list[str], np.ndarray, np.ndarray, np.ndarray]:
         """Segments encoded as one text and cut again: those whose tokens are
         their bytes, their groups as text, their sizes (tokens of A and of B,
-        groups, bytes), and the linked pairs and the cuts of all groups."""
+        groups, bytes), and the linked pairs and the cuts of all groups. A
+        segment without a space is encoded behind a word, as it stands."""
+        segments = [part for s in wanted for part in ((s,) if s[0] == " " else (WORD, s))]
         text = "".join(segments)
         raw = text.encode("utf-8")
         (ids_a, begins_a, ends_a), (ids_b, begins_b, ends_b) = self.a.encode(text), self.b.encode(text)
         of_a, of_b = self.a.bytes_of, self.b.bytes_of
         if b"".join([of_a[i] for i in ids_a]) != raw or b"".join([of_b[i] for i in ids_b]) != raw:
-            half = len(segments) // 2
+            half = len(wanted) // 2
             none = np.zeros(0, dtype=np.int64)
             if not half:
                 return [], [], none.reshape(0, 4), none, none
-            one, two = self.aligned(segments[:half]), self.aligned(segments[half:])
+            one, two = self.aligned(wanted[:half]), self.aligned(wanted[half:])
             return one[0] + two[0], one[1] + two[1], *(np.concatenate(x) for x in zip(one[2:], two[2:]))
         sizes = np.array([len(s) for s in segments])
         if len(raw) != len(text):
@@ -183,13 +197,20 @@ class Aligner:
         counts = np.stack([np.diff(x, prepend=0) for x in (to_a, to_b, to)] + [sizes], axis=1)
         ends = (to_a + to_b).tolist()
         texts = ["".join(shown[i:j])[:-1] for i, j in zip([0, *ends], ends)]
-        return segments, texts, counts, a[last_a] * SHIFT + b[last_b], cuts - np.repeat(stops - sizes, counts[:, 2])
+        pairs, within = a[last_a] * SHIFT + b[last_b], cuts - np.repeat(stops - sizes, counts[:, 2])
+        if len(segments) > len(wanted):  # leave the words out
+            lead = np.zeros(len(segments), dtype=bool)
+            lead[np.flatnonzero([s[0] != " " for s in segments]) - 1] = True
+            groups = np.repeat(~lead, counts[:, 2])
+            texts = [t for t, out in zip(texts, lead.tolist()) if not out]
+            counts, pairs, within = counts[~lead], pairs[groups], within[groups]
+        return wanted, texts, counts, pairs, within
 
     def _learn(self, fresh: set[str]) -> None:
         """Encode distinct segments: plain ones many at a time, those with
-        more spaces than the first one by themselves."""
-        rows = [[s] for s in fresh if s.count(" ") > 1]
-        plain = [s for s in fresh if s.count(" ") == 1]
+        spaces but the first one by themselves."""
+        rows = [[s] for s in fresh if " " in s[1:]]
+        plain = [s for s in fresh if " " not in s[1:]]
         step = max(1, CHUNK // 10)
         rows += [plain[i : i + step] for i in range(0, len(plain), step)]
         self.cache.update(dict.fromkeys(fresh, 0))
@@ -205,7 +226,7 @@ class Aligner:
     def texts(self, texts: list[str]) -> "Aligned":
         """The alignment of texts; a text has no tokens if it is empty or the
         tokens of either tokenizer are not the bytes of a space and the text."""
-        cut = [SEGMENT.findall(" " + t) if t else [] for t in texts]
+        cut = [self.cut(" " + t) if t else [] for t in texts]
         fresh = set().union(*cut).difference(self.cache)
         if fresh and len(self.cache) + len(fresh) > SEGMENTS:
             self._forget()

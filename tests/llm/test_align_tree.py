@@ -17,7 +17,7 @@ from sparktally.llm.queries import PIECES, RANKS, tokenizer_json
 TEXTS = [
     "", None, "a", " ", " a", "a ", "a  b", "don't we'll", "line\nbreaks\r\n\n and\ttabs \x0b\x1c\x85", "<s> </s><unk>", "<0x41> <0xE6>",
     "<|endoftext|> a<|endoftext|>", "123 4567 ½ ² １２", "漢字 ñandú école \U0001f600\U0001f468‍\U0001f469 x", "a▁b", "▁",
-    "same words same words", "same words same words", "nul\x00 \x01 byte", "x" * 3000, "word " * 400 + "end", "ab　cd ef", "a  b",
+    "same words same words", "same words same words", "nul\x00 \x01 byte", "end. ", "a, b.c ,d 1,5 x²,y é?! ~. z.\nNext", "word,", ", b", "a,  b", "x,▁", "x" * 3000, "word " * 400 + "end", "ab　cd ef", "a  b",
 ]
 SCHEMA = "doc_id long, text string, block int, pairs string, n_a string"
 
@@ -28,7 +28,7 @@ def _frame(spark, texts):
 
 def _random_texts(seed, n, longest=40):
     rng = random.Random(seed)
-    pieces = list("ab the .,é漢१²$😀") + ["ing", "tion", "aaaa", "don't ", " x", "1234567", "\n", "\t", "<s>", "<|endoftext|>", "  "]
+    pieces = list("ab the .,é漢१²$😀;:!?)('") + ["Word,", " x.", " é).\n", " a'", "ing", "tion", "aaaa", "don't ", " x", "1234567", "\n", "\t", "<s>", "<|endoftext|>", "  "]
     return ["".join(rng.choices(pieces, k=rng.randint(0, longest))) for _ in range(n)]
 
 
