@@ -212,15 +212,16 @@ _ANSWER = "block long, part int, totals array<binary>, firsts array<binary>, sta
 _BINARIES = pa.list_(pa.binary())
 
 
+def _owner(keys: np.ndarray, parts: int) -> np.ndarray:
+    """Owners have equal ranges of keys."""
+    return ((keys >> np.uint64(32)) * np.uint64(parts) >> np.uint64(32)).astype(np.int64)
+
+
 def _messages(block: int, kinds: list[tuple[np.ndarray, list[np.ndarray]]], parts: int) -> Iterator[pa.RecordBatch]:
     """``kinds``: ascending keys and their values."""
-    edges = (np.arange(parts + 1, dtype=object) * (1 << 64)) // parts
-    edges = [int(e) for e in edges[1:-1]]
-    cuts = [np.concatenate([[0], np.searchsorted(keys, np.array(edges, dtype=np.uint64)), [len(keys)]]) for keys, _ in kinds]
-    for part in range(parts):
-        spans = [slice(c[part], c[part + 1]) for c in cuts]
-        if all(s.start == s.stop for s in spans):
-            continue
+    owners = [_owner(keys, parts) for keys, _ in kinds]
+    for part in np.unique(np.concatenate(owners)).tolist():
+        spans = [slice(*np.searchsorted(o, [part, part + 1]).tolist()) for o in owners]
         keys = [_packed_sorted(k[s]) for (k, _), s in zip(kinds, spans)]
         values = [_packed(v[s]) for (_, vs), s in zip(kinds, spans) for v in vs]
         yield pa.RecordBatch.from_arrays(

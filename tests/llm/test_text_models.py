@@ -177,8 +177,9 @@ def test_lm_blocks_do_not_matter(spark, monkeypatch):
 
 def test_lm_counts_every_gram_exactly(spark, monkeypatch):
     """Scores against direct computation, with n-grams whose two occurrences
-    lie in different blocks and partitions."""
+    lie in different blocks and partitions, and many owners of keys."""
     monkeypatch.setattr(lm, "BLOCK_BYTES", 500)
+    monkeypatch.setattr(lm, "PART_KEYS", 400)
     rng = random.Random(11)
     docs = _chains(60, 4) + [(500 + i, f"alone{i} rare pair here {rng.random()}") for i in range(4)]
     df = spark.createDataFrame(docs, "doc_id long, text string").repartition(7)
