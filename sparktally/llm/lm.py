@@ -47,8 +47,8 @@ from sparktally.llm.shingles import hash_words, words_of
 
 LEAST = 2  # occurrences of a kept bigram or trigram
 DISCOUNT = 0.5
-BLOCK_BYTES = 5 << 20  # text of a block
-PART_KEYS = 3 << 20  # tokens of the corpus for each owner of a range of keys
+BLOCK_BYTES = 4 << 20  # text of a block
+PART_KEYS = 2 << 20  # tokens of the corpus for each owner of a range of keys
 LANE = 256  # words walked one after another
 START, END = 1, 2  # marks in the place of word hashes
 HOLD_OUT = 10
