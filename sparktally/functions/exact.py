@@ -82,3 +82,10 @@ def exact_sum(col: Column | str) -> Column:
 def exact_avg(col: Column | str) -> Column:
     """Aggregate: ``exact_sum`` divided once by the number of values."""
     return exact_sum(col) / F.count(as_col(col))
+
+
+def exact_avg_where(parts: list[Column | str], col: Column | str, hit: Column) -> Column:
+    """Aggregate: ``exact_avg`` of the rows where ``hit`` holds, from the
+    ``limbs`` of the column, which several such averages share."""
+    chosen = [F.when(hit, as_col(p)) for p in parts]
+    return limbs_total(limb_sums(chosen)) / F.count(F.when(hit, as_col(col)))

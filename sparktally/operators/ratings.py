@@ -19,7 +19,7 @@ from collections.abc import Sequence
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from sparktally.functions.exact import add_limbs, exact_avg, limb_sums, limbs, limbs_total
+from sparktally.functions.exact import LIMBS, add_limbs, exact_avg, exact_avg_where, limb_sums, limbs, limbs_total
 from sparktally.functions.text import java_trim
 from sparktally.functions.values import split_fields, strip_trailing
 from sparktally.operators.joins import left_join_default, one_per_key, splittable_join
@@ -174,11 +174,14 @@ def rate_by_segment(
         raise ValueError("one column name per label")
     seg = segments.select(F.col(user_key), F.col(segment)).where(F.col(segment).isin(list(labels)))
     joined = splittable_join(ratings.select(user_key, key, value), seg, user_key)
+    # Cut every rating once, not once for each segment.
+    parts = [f"_{name}" for name in LIMBS]
+    joined = joined.select(key, segment, value, *[p.alias(n) for p, n in zip(limbs(value), parts)])
     aggs = []
     counts = []
     for i, (lab, name) in enumerate(zip(labels, avg_cols)):
         hit = F.col(segment) == F.lit(lab)
-        aggs.append(exact_avg(F.when(hit, F.col(value))).alias(name))
+        aggs.append(exact_avg_where(parts, value, hit).alias(name))
         aggs.append(F.count(F.when(hit, F.col(value))).alias(f"_n{i}"))
         counts.append(F.col(f"_n{i}") > 0)
     any_rated = counts[0]

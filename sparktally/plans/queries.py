@@ -13,7 +13,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from sparktally.functions.exact import exact_avg
+from sparktally.functions.exact import LIMBS, exact_avg, exact_avg_where, limbs
 from sparktally.functions.text import clean_text, java_trim, text_words
 from sparktally.functions.values import bucketize, safe_int
 from sparktally.operators import (
@@ -244,9 +244,10 @@ def q_bucketize(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_conditional_avg(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Per part, average quantity for each return flag, side by side."""
     items = load_table(spark, sf_dir, "lineitem")
-    flag, qty = F.col("l_returnflag"), F.col("l_quantity")
-    return items.groupBy(F.col("l_partkey").alias("movie_id")).agg(
-        *[exact_avg(F.when(flag == f, qty)).alias(f"avg_{f.lower()}") for f in ("A", "N", "R")]
+    flag = F.col("l_returnflag")
+    cut = items.select(F.col("l_partkey").alias("movie_id"), "l_returnflag", "l_quantity", *limbs("l_quantity"))
+    return cut.groupBy("movie_id").agg(
+        *[exact_avg_where(LIMBS, "l_quantity", flag == f).alias(f"avg_{f.lower()}") for f in ("A", "N", "R")]
     )
 
 
