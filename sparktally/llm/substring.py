@@ -18,9 +18,17 @@ nine words and band, and only these are stored.
    aligned region is confirmed if its sets of five-word shingles have a
    Jaccard similarity of 0.75 or more (regions below lose their ends until
    they reach it).
-4. Components: a confirmed region links a document with one of a smaller
-   doc_id, so links form trees. The root of each, the component's smallest
-   document, keeps the passage; all others lose their regions.
+4. The rest: a collision outside all regions confirmed with the smallest
+   holder is open, and its document meets the other holders of the MinHash.
+   Holders of equal surroundings are one class, which its smallest stands for.
+   A confirmed region either has ``PARAGRAPH`` equal words in a row, and then
+   the smallest holder of these words is met; or it has one or two changes
+   with ``SIDE`` equal words or more on both sides of each, and then all
+   classes that share the MinHash and a second one of the other side meet.
+   What this last step costs grows with the square of such a class's number.
+   Their runs are verified like the first ones.
+5. A confirmed region links a document with one of a smaller doc_id, which
+   keeps the passage; the document of the larger doc_id loses its region.
 
 No step holds a group of colliding paragraphs: smallest holders are partial
 aggregates, joins are between written tables, so a MinHash that a third of all
@@ -36,7 +44,7 @@ from collections.abc import Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from sparktally.llm.common import drop_scratch, materialize, mix64, small_batches, to_i64
@@ -50,6 +58,11 @@ AROUND = 48  # words compared on both sides of a run's collisions
 GRID = 32  # ends of the regions asked for, so that similar runs ask for one
 DRIFT, BREAK = 8, 80  # words added or missing within a run; without a collision
 PERCENT = 75
+# With one change, (c + 4) words on its sides agree for c equal shingles, and
+# c / (c + 9) >= 0.75: 35 words in all, so 11 beside 24.
+SIDE = 11
+NEXT = PARAGRAPH + 4 - SEED  # words from a collision to a side behind a change
+MEET = 1000  # runs that come to a text at a time
 _PLACE = np.uint64((1 << 32) - 1)  # words of a batch
 _NONE = np.uint64((1 << 64) - 1)
 _WORD = re.compile(rb"[^\x20\x09-\x0d]+")
@@ -100,24 +113,22 @@ def _min_hashes(slim: DataFrame) -> DataFrame:
             hashes = np.append(hash_words([w for words in texts for w in words]), np.zeros(SEED - 1, np.uint64))
             shingles = shingle_hashes(hashes, SEED)
             last = np.cumsum(lengths)
-            for band in range(BANDS):
-                at = smallest_places(mix64(shingles ^ np.uint64(band * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)), lengths)
-                row = np.searchsorted(last, at, side="right")
-                rows = pa.array(row)
-                key = mix64(shingles[at] + np.uint64(band + 1))
-                place = pa.array((at - last[row] + lengths[row]).astype(np.int32))
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(to_i64(key)), batch.column("doc_id").take(rows), batch.column("text_id").take(rows), place],
-                    names=["key", "doc_id", "text_id", "place"],
-                )
+            orders = (mix64(shingles ^ np.uint64(band * 0x9E3779B97F4A7C15 & 0xFFFFFFFFFFFFFFFF)) for band in range(BANDS))
+            at = np.unique(np.concatenate([smallest_places(order, lengths) for order in orders]))
+            row = np.searchsorted(last, at, side="right")
+            rows = pa.array(row)
+            place = pa.array((at - last[row] + lengths[row]).astype(np.int32))
+            yield pa.RecordBatch.from_arrays(
+                [pa.array(to_i64(shingles[at])), batch.column("doc_id").take(rows), batch.column("text_id").take(rows), place],
+                names=["key", "doc_id", "text_id", "place"],
+            )
 
     return slim.mapInArrow(run, "key long, doc_id long, text_id long, place int")
 
 
-def colliding(slim: DataFrame) -> DataFrame:
-    """doc_id, text_id, place, kept_doc, kept_text, kept_place: every MinHash
-    that a document shares with one of a smaller doc_id, and where the smallest
-    holds it (a written table)."""
+def holders(slim: DataFrame) -> DataFrame:
+    """key, doc_id, text_id, place, kept_doc (the key's smallest doc_id): every
+    MinHash that several documents hold (a written table)."""
     held = materialize(_min_hashes(slim), "para-hashes")
     shared = materialize(
         held.groupBy("key").agg(F.min("doc_id").alias("kept_doc"), F.max("doc_id").alias("last"))
@@ -126,13 +137,182 @@ def colliding(slim: DataFrame) -> DataFrame:
     )
     found = materialize(held.join(shared, "key"), "para-found")
     drop_scratch(held, shared)
+    return found
+
+
+def colliding(found: DataFrame) -> DataFrame:
+    """doc_id, text_id, place, kept_doc, kept_text, kept_place: every MinHash
+    that a document shares with one of a smaller doc_id, and where the smallest
+    holds it (a written table). ``others`` has the rest of the pairs."""
     kept = materialize(
         found.where("doc_id = kept_doc").groupBy("key").agg(F.min(F.struct("text_id", "place")).alias("at"))
         .select("key", F.col("at.text_id").alias("kept_text"), F.col("at.place").alias("kept_place")),
         "para-kept",
     )
     out = materialize(found.where("doc_id != kept_doc").join(kept, "key").drop("key").distinct(), "para-colliding")
-    drop_scratch(found, kept)
+    drop_scratch(kept)
+    return out
+
+
+def _hash_rows(table: np.ndarray) -> np.ndarray:
+    odd = mix64(np.arange(1, table.shape[1] + 1, dtype=np.uint64)) | np.uint64(1)
+    return mix64((table * odd).sum(axis=1, dtype=np.uint64))
+
+
+def surroundings(hashes: np.ndarray, places: np.ndarray) -> np.ndarray:
+    """A hash of the words around each collision, as far as a run of
+    ``PARAGRAPH`` words with it reaches."""
+    around = PARAGRAPH - 1
+    edge = np.ones(around, np.uint64)
+    windows = np.lib.stride_tricks.sliding_window_view(np.concatenate([edge, hashes, edge]), 2 * around + SEED)
+    parts = [_hash_rows(windows[places[a : a + 4096]]) for a in range(0, len(places), 4096)]
+    return np.concatenate([np.empty(0, np.uint64), *parts])
+
+
+def _any_open(at: np.ndarray, is_open: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The distinct values, and whether any of each is open."""
+    values, which = np.unique(at, return_inverse=True)
+    return values, np.bincount(which.ravel(), weights=is_open, minlength=len(values)) > 0
+
+
+def _shared_lines(hashes: np.ndarray, places: np.ndarray, is_open: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, place, open) of every ``PARAGRAPH`` words in a row that hold a
+    collision; the place is that of their first word."""
+    at = (places[:, None] - np.arange(PARAGRAPH - SEED + 1)).ravel()
+    inside = (at >= 0) & (at <= len(hashes) - PARAGRAPH)
+    at, is_open = _any_open(at[inside], np.repeat(is_open, PARAGRAPH - SEED + 1)[inside])
+    return shingle_hashes(hashes, PARAGRAPH)[at], at, is_open
+
+
+def _shared_sides(hashes: np.ndarray, places: np.ndarray, is_open: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, place, open) of every collision with each MinHash of ``SIDE``
+    words to the right or left of it.
+
+    One word repeated is one shingle, too few for a side of a change. So such
+    words are no side, and a collision of one word repeated counts at the ends
+    of the repetition, with the word that stands beside it.
+    """
+    n = len(hashes)
+    ends = np.flatnonzero(np.append(hashes[1:] != hashes[:-1], True)) + 1
+    run = np.searchsorted(ends, places, side="right")
+    begin, end = np.append(0, ends)[run], ends[run]
+    plain = end - places < SEED
+    most = PARAGRAPH - 1 - SEED
+    left = ~plain & (begin > 0) & (places - begin <= most)
+    right = ~plain & (end < n) & (end - SEED - places <= most)
+    eight = shingle_hashes(hashes, SEED)
+    nine = shingle_hashes(hashes, SEED + 1)
+    # Three kinds of a place: 0 by itself, 1 and 2 with the word before or after.
+    at = np.concatenate([places[plain] * 3, begin[left] * 3 + 1, (end - SEED)[right] * 3 + 2])
+    at, is_open = _any_open(at, np.concatenate([is_open[plain], is_open[left], is_open[right]]))
+    at, kind = at // 3, at % 3
+    own = np.where(kind == 0, eight[at], nine[np.clip(at - (kind == 1), 0, len(nine) - 1)] + kind.astype(np.uint64))
+    view = np.lib.stride_tricks.sliding_window_view
+    least = view(shingle_hashes(hashes), SIDE - WIDTH + 1).min(axis=1)
+    same = view(hashes[1:] == hashes[:-1], SIDE - 1).all(axis=1)
+    edge = np.zeros(SIDE + NEXT, np.uint64)
+    sides = np.concatenate([edge, np.where(same, np.uint64(0), least), np.zeros(SIDE + SEED + NEXT, np.uint64)])
+    out = []
+    for k, first in enumerate((SEED, 1 - SIDE - NEXT)):
+        rows = np.sort(sides[at[:, None] + (len(edge) + first + np.arange(NEXT))], axis=1)
+        new = rows != 0
+        new[:, 1:] &= rows[:, 1:] != rows[:, :-1]
+        row = np.nonzero(new)[0]
+        out.append((mix64(rows[new] * np.uint64(2 * k + 3) + own[row]), at[row], is_open[row]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+_AT = ["doc_id", "text_id", "place"]
+
+
+def _with_texts(slim: DataFrame, rows: DataFrame) -> DataFrame:
+    """The texts of doc_id, text_id, once each, with the ``rows`` of theirs (a
+    list of structs of the other columns)."""
+    others = [c for c in rows.columns if c not in ("doc_id", "text_id")]
+    asked = rows.groupBy(F.col("doc_id").alias("own_doc"), F.col("text_id").alias("own_text")).agg(
+        F.collect_list(F.struct(*others)).alias("rows")
+    )
+    texts = slim.join(asked, (F.col("doc_id") == F.col("own_doc")) & (F.col("text_id") == F.col("own_text")))
+    return texts.select("doc_id", "text_id", "_text", "rows")
+
+
+def _classes(slim: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` (key, doc_id, text_id, place, open) with ``around``, the class
+    of their surroundings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "_text"):
+            out = []
+            for k, content in enumerate(batch.column("_text").to_pylist()):
+                own = pa.RecordBatch.from_struct_array(batch.column("rows")[k].values)
+                around = surroundings(hash_words(words_of(content)), own.column("place").to_numpy())
+                ids = [pa.repeat(batch.column(c)[k], own.num_rows) for c in ("doc_id", "text_id")]
+                cols = [own.column("key"), *ids, own.column("place"), own.column("open"), pa.array(to_i64(around))]
+                out.append(pa.RecordBatch.from_arrays(cols, names=["key", *_AT, "open", "around"]))
+            yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+
+    return _with_texts(slim, rows).mapInArrow(
+        run, "key long, doc_id long, text_id long, place int, open boolean, around long"
+    ).distinct()
+
+
+def _meetings(slim: DataFrame, firsts: DataFrame) -> DataFrame:
+    """near, key, doc_id, text_id, place, open: the shared lines and (``near``)
+    sides of the classes' smallest holders."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "_text"):
+            out = []
+            for k, content in enumerate(batch.column("_text").to_pylist()):
+                own = pa.RecordBatch.from_struct_array(batch.column("rows")[k].values)
+                hashes = hash_words(words_of(content))
+                at = own.column("place").to_numpy().astype(np.int64), own.column("open").to_numpy(zero_copy_only=False)
+                both = _shared_lines(hashes, *at), _shared_sides(hashes, *at)
+                key, place, is_open = (np.concatenate(x) for x in zip(*both))
+                near = np.arange(len(key)) >= len(both[0][0])
+                ids = [pa.repeat(batch.column(c)[k], len(key)) for c in ("doc_id", "text_id")]
+                cols = [pa.array(near), pa.array(to_i64(key)), *ids, pa.array(place.astype(np.int32)), pa.array(is_open)]
+                out.append(pa.RecordBatch.from_arrays(cols, names=["near", "key", *_AT, "open"]))
+            yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+
+    return _with_texts(slim, firsts).mapInArrow(
+        run, "near boolean, key long, doc_id long, text_id long, place int, open boolean"
+    )
+
+
+def others(slim: DataFrame, found: DataFrame, unmet: DataFrame) -> DataFrame:
+    """Collisions, as ``colliding`` gives them, of the open ones among the
+    holders ``found`` (``unmet``: key, doc_id, text_id, place) with other holders
+    than the smallest (a written table)."""
+    marked = found.join(unmet.select("key").distinct(), "key").join(unmet.withColumn("open", F.lit(True)), ["key", *_AT], "left")
+    classes = materialize(_classes(slim, marked.select("key", *_AT, F.coalesce("open", F.lit(False)).alias("open"))), "para-classes")
+    as_kept = lambda at: [F.col(f"{at}.{c}").alias(k) for c, k in zip(_AT, ("kept_doc", "kept_text", "kept_place"))]
+    first = materialize(
+        classes.groupBy("key", "around").agg(F.min(F.struct(*_AT)).alias("first"), F.max("doc_id").alias("last"), F.max("open").alias("open")),
+        "para-first",
+    )
+    copies = (
+        classes.select("key", "around", *_AT)
+        .join(first.where("open AND first.doc_id != last").select("key", "around", *as_kept("first")), ["key", "around"])
+        .where("doc_id != kept_doc").select(*_AT, "kept_doc", "kept_text", "kept_place")
+    )
+    several = first.groupBy("key").agg(F.count("*").alias("n")).where("n > 1").select("key")
+    made = materialize(_meetings(slim, first.join(several, "key").select("first.*", "open")), "para-meetings")
+    shared = (
+        made.groupBy("near", "key").agg(F.min(F.struct(*_AT)).alias("first"), F.max("doc_id").alias("last"), F.max("open").alias("any"))
+        .where("any AND first.doc_id != last").select("near", "key", "first")
+    )
+    met = materialize(made.join(shared, ["near", "key"]), "para-met")
+    drop_scratch(made)
+    equal = met.where("NOT near AND doc_id != first.doc_id").select(*_AT, *as_kept("first"))
+    right = met.where("near").select("key", *_AT, "open")
+    left = right.select("key", *[F.col(c).alias(f"kept_{c}") for c in [*_AT, "open"]])
+    near = (
+        right.join(left, "key").where("doc_id > kept_doc_id AND (open OR kept_open)")
+        .select(*_AT, F.col("kept_doc_id").alias("kept_doc"), F.col("kept_text_id").alias("kept_text"), "kept_place")
+    )
+    out = materialize(copies.union(equal).union(near).distinct(), "para-others")
+    drop_scratch(classes, first, met)
     return out
 
 
@@ -232,9 +412,9 @@ def _onwards(x: np.ndarray, y: np.ndarray) -> list[tuple[int, int, int]]:
         n = _agree(x[i:], y[j:])
         out.append((i, j, n))
         i, j = i + n, j + n
+        p, q = x[i : i + 4 + WIDTH].tolist(), y[j : j + 4 + WIDTH].tolist()
         for a, b in _SKIPS:
-            ahead = x[i + a : i + a + WIDTH]
-            if len(ahead) == WIDTH and np.array_equal(ahead, y[j + b : j + b + WIDTH]):
+            if a + WIDTH <= len(p) and b + WIDTH <= len(q) and p[a] == q[b] and p[a : a + WIDTH] == q[b : b + WIDTH]:
                 i, j = i + a, j + b
                 break
         else:
@@ -288,24 +468,20 @@ def run_regions(own: np.ndarray, kept: np.ndarray, places: list[int], kept_place
     return out
 
 
-def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
-    """One row per removed word range: doc_id, text_id (xxhash64 of the text),
-    start_word, end_word (exclusive), kept_in (sorted doc_ids, all smaller,
-    that its passages repeat).
-
-    Documents without a repeated passage give no row: NULL, empty and short
-    texts (under 25 words) never do, nor do rows with NULL doc_id. Repeated
-    rows of one doc_id are one document and lose nothing to each other. Other
-    columns are ignored, whatever their names.
-    """
-    slim = _slim(docs, doc_id, text)
-    pairs = colliding(slim)
+def _verified(slim: DataFrame, pairs: DataFrame, last: bool = False) -> DataFrame:
+    """doc_id, text_id, start_word, end_word, kept_in, key: the regions
+    confirmed from ``pairs`` (key NULL); then, unless it is the ``last`` round,
+    the collisions outside every region of their run, with their key (a
+    written table)."""
     runs = materialize(_runs(pairs), "para-runs")
     drop_scratch(pairs)
     regions = materialize(_regions(runs, slim), "para-regions")
     # The regions travel to the texts that repeat them.
+    # In the last round a text may meet very many others.
+    number = F.row_number().over(Window.partitionBy("doc_id", "text_id").orderBy("kept_doc"))
+    part = F.floor((number - 1) / MEET) if last else F.lit(0)
     given = materialize(
-        runs.join(regions, ["kept_text", "a", "b"]).groupBy("doc_id", "text_id")
+        runs.join(regions, ["kept_text", "a", "b"]).withColumn("part", part).groupBy("doc_id", "text_id", "part")
         .agg(F.collect_list(F.struct("kept_doc", "a", "places", "kept_places", "words")).alias("runs"))
         .select(F.col("doc_id").alias("own_doc"), F.col("text_id").alias("own_text"), "runs"),
         "para-given",
@@ -317,30 +493,69 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
         for batch in small_batches(batches, "_text"):
             rows: list[tuple] = []
             for k, (doc, tid, content) in enumerate(zip(*(batch.column(c).to_pylist() for c in ("doc_id", "text_id", "_text")))):
-                own = _short_hashes(content)
+                hashes = hash_words(words_of(content))
+                own = (hashes >> np.uint64(32)).astype(np.uint32)
                 found: list[tuple[int, int, int]] = []
                 for r in batch.column("runs")[k].as_py():
                     kept = np.frombuffer(r["words"], np.uint32)
                     there = [p - r["a"] for p in r["kept_places"]]
-                    found += [(s, e, r["kept_doc"]) for s, e in run_regions(own, kept, r["places"], there)]
-                found.sort()
-                while found:
-                    s, e, _ = found[0]
-                    n = 1
-                    while n < len(found) and found[n][0] <= e:
-                        e = max(e, found[n][1])
-                        n += 1
-                    rows.append((doc, tid, s, e, sorted({f[2] for f in found[:n]})))
-                    found = found[n:]
-            cols = list(zip(*rows)) or [[]] * 5
-            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.list_(pa.int64()))
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(c, k) for c, k in zip(cols, kinds)], names=["doc_id", "text_id", "start_word", "end_word", "kept_in"]
-            )
+                    good = run_regions(own, kept, r["places"], there)
+                    found += [(s, e, r["kept_doc"]) for s, e in good]
+                    if last:
+                        continue
+                    unmet = [p for p in r["places"] if not any(s <= p and p + SEED <= e for s, e in good)]
+                    keys = to_i64(np.concatenate([np.empty(0, np.uint64), *(shingle_hashes(hashes[p : p + SEED], SEED) for p in unmet)]))
+                    rows += [(doc, tid, p, p + SEED, None, key) for p, key in zip(unmet, keys.tolist())]
+                rows += [(doc, tid, s, e, kept_doc, None) for s, e, kept_doc in set(found)]
+            cols = list(zip(*rows)) or [[]] * 6
+            kinds = (pa.int64(), pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64())
+            names = ["doc_id", "text_id", "start_word", "end_word", "kept_in", "key"]
+            yield pa.RecordBatch.from_arrays([pa.array(c, k) for c, k in zip(cols, kinds)], names=names)
+
+    out = materialize(
+        texts.select("doc_id", "text_id", "_text", "runs").mapInArrow(
+            run, "doc_id long, text_id long, start_word int, end_word int, kept_in long, key long"
+        ),
+        "para-verified",
+    )
+    drop_scratch(given)
+    return out
 
-    return texts.select("doc_id", "text_id", "_text", "runs").mapInArrow(
-        run, "doc_id long, text_id long, start_word int, end_word int, kept_in array<long>"
-    ).distinct()
+
+def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text") -> DataFrame:
+    """One row per removed word range: doc_id, text_id (xxhash64 of the text),
+    start_word, end_word (exclusive), kept_in (sorted doc_ids, all smaller,
+    that its passages repeat).
+
+    Documents without a repeated passage give no row: NULL, empty and short
+    texts (under 25 words) never do, nor do rows with NULL doc_id. Repeated
+    rows of one doc_id are one document and lose nothing to each other. Other
+    columns are ignored, whatever their names.
+    """
+    slim = _slim(docs, doc_id, text)
+    found = holders(slim)
+    spans = _verified(slim, colliding(found))
+    unmet = materialize(
+        spans.where("key IS NOT NULL").select("key", "doc_id", "text_id", F.col("start_word").alias("place")).distinct(), "para-open"
+    )
+    spans = spans.where("key IS NULL")
+    if not unmet.isEmpty():
+        spans = spans.union(_verified(slim, others(slim, found, unmet), last=True).where("key IS NULL"))
+    drop_scratch(found, unmet)
+    # Ranges that touch become one.
+    before = Window.partitionBy("doc_id", "text_id").orderBy("start_word", "end_word")
+    reached = F.max("end_word").over(before.rowsBetween(Window.unboundedPreceding, -1))
+    begins = F.when(reached.isNull() | (F.col("start_word") > reached), 1).otherwise(0)
+    return (
+        spans.withColumn("_new", begins).withColumn("_range", F.sum("_new").over(before))
+        .groupBy("doc_id", "text_id", "_range")
+        .agg(
+            F.min("start_word").alias("start_word"),
+            F.max("end_word").alias("end_word"),
+            F.array_sort(F.collect_set("kept_in")).alias("kept_in"),
+        )
+        .drop("_range")
+    )
 
 
 def cut_words(text: str, spans: list[tuple[int, int]]) -> str:

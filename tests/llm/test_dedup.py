@@ -273,6 +273,53 @@ def test_passages_of_many_texts_and_chains_of_copies(spark):
     assert set(gone) <= {40, 41, 42} and sum(gone) < 41 * len(gone)
 
 
+def test_passages_that_the_smallest_holder_has_only_in_part(spark):
+    """A smaller document holds less than a passage's 25 words, so the two that
+    hold all of it must meet by themselves: exact passages, and such as have a
+    changed word and no 25 equal words in a row."""
+    rng = random.Random(77)
+    docs, pairs, exact = [], [], []
+    add = lambda words: docs.append((len(docs), " ".join([_text(rng, 30), *words, _text(rng, 30)])))
+    for size in (25, 26, 28, 30, 40, 46):
+        for _ in range(12):
+            passage = rng.choices(WORDS, k=size)
+            other = list(passage)
+            if size >= 40:
+                other[size // 2] = "changed"
+            for at in {0, max(0, size - 22)}:
+                add(passage[at : at + 22])
+            add(passage)
+            add(other)
+            pairs.append((len(docs) - 1, len(docs) - 2))
+            exact.append(size < 40)
+    df = spark.createDataFrame(docs, "doc_id long, text string").repartition(5)
+    rows = substring.repeated_passages(df).collect()
+    found = {(r.doc_id, k) for r in rows for k in r.kept_in}
+    assert {r.doc_id for r in rows} <= {later for later, _ in pairs}
+    hit = [p in found for p in pairs]
+    assert all(h for h, e in zip(hit, exact) if e)
+    assert np.mean([h for h, e in zip(hit, exact) if not e]) >= 0.9
+
+
+def test_a_phrase_in_many_texts_hides_no_passage(spark):
+    """Twenty words stand in every text, a text of the smallest id included,
+    twice; some texts share more around them, and copies of these are one
+    class. Ranges found in both rounds are one range."""
+    rng = random.Random(78)
+    phrase = _text(rng, 20)
+    docs = [(i, " ".join([_text(rng, 40), phrase, _text(rng, 40), phrase, _text(rng, 30)])) for i in range(60)]
+    longer = [" ".join([_text(rng, 8), phrase, _text(rng, 8)]) for _ in range(3)]
+    docs += [(100 + i, " ".join([_text(rng, 30), longer[i % 3], _text(rng, 30)])) for i in range(30)]
+    docs += [(200 + i, docs[70][1]) for i in range(20)]
+    rows = substring.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string").repartition(6)).collect()
+    by_doc = {r.doc_id: r for r in rows}
+    assert len(by_doc) == len(rows)
+    assert set(by_doc) == {*range(103, 130), *range(200, 220)}
+    assert all(100 + i % 3 in by_doc[100 + i].kept_in for i in range(3, 30))
+    assert all(docs[70][0] in by_doc[200 + i].kept_in for i in range(20))
+    assert all(by_doc[200 + i].end_word == len(docs[70][1].split()) for i in range(20))
+
+
 def test_smallest_places_are_those_of_every_paragraph():
     rng = np.random.default_rng(3)
     lengths = np.array([0, 10, 24, 25, 26, 90, 3, 400])
