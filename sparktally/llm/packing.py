@@ -6,9 +6,9 @@ aggregate) go to the driver and the plan is made there: the largest length
 opens a sequence, and the gap is closed by a single, a pair or a triple of
 available lengths that sum to it exactly, looked up in an index of sums; if
 no combination fits exactly, the largest length that fits goes in (best fit)
-and the smaller gap is tried again. Of pairs and triples those led by one of
-the ``NEAR`` largest lengths that fit are looked at: small lengths spent early
-are missed later. A finished pattern is repeated as often as the counts allow,
+and the smaller gap is tried again. One plan looks at every pair and triple,
+another at those led by one of the ``NEAR`` largest lengths that fit, as small
+lengths spent early may be missed later; the one of fewer sequences is taken. A finished pattern is repeated as often as the counts allow,
 so the plan has a few thousand patterns at most.
 
 Pieces get their place by their rank among the pieces of equal length. Ranks
@@ -36,7 +36,7 @@ from sparktally.llm.common import materialize, no_collection, partitions_for, sm
 SEQUENCE = 1024
 END_ID = 2
 LONG_TEXT = 500_000  # beyond: the other encoder, which gives the same ids
-NEAR = 8  # lengths tried as the largest of an exact pair or triple
+NEAR = 8  # lengths tried as the largest of an exact pair or triple in the second plan
 
 
 def text_encoder(vocab: Vocabulary):
@@ -140,39 +140,44 @@ class ComplementIndex:
     def _has(self, items: Counter) -> bool:
         return all(self.left[n] >= k for n, k in items.items())
 
-    def exact(self, gap: int, used: Counter) -> Counter | None:
-        """One, two or three available lengths beyond ``used`` of sum ``gap``.
-        The larger ones of two or three are among the ``NEAR`` largest that
-        fit, so small lengths are held back for the gaps that need them."""
+    def exact(self, gap: int, used: Counter, near: int | None = None) -> Counter | None:
+        """One, two or three available lengths beyond ``used`` of sum ``gap``,
+        the largest first; None only if there are none. ``near``: the larger
+        ones of two or three are among that many largest that fit."""
         if self.single >> gap & 1 and self._has(used + Counter([gap])):
             return Counter([gap])
-        leading = [a for a in self.order if a < gap][:NEAR]
+        leading = [a for a in self.order if a < gap][:near]
+        return self._two(gap, used, leading) or self._three(gap, used, leading, near)
+
+    def _two(self, gap: int, used: Counter, leading: list[int]) -> Counter | None:
         for a in leading if self.pair >> gap & 1 else ():
             if self.single >> (gap - a) & 1 and self._has(used + Counter([a, gap - a])):
                 return Counter([a, gap - a])
+        return None
+
+    def _three(self, gap: int, used: Counter, leading: list[int], most: int | None) -> Counter | None:
         for a in leading:
             rest = gap - a
+            if 3 * a < gap:
+                break
             if not self.pair >> rest & 1:
                 continue
-            for b in [b for b in self.order if b < rest and b <= a][:NEAR]:
+            for b in [b for b in self.order if b < rest and b <= a][:most]:
+                if 2 * b < rest:
+                    break
                 if self.single >> (rest - b) & 1 and self._has(used + Counter([a, b, rest - b])):
                     return Counter([a, b, rest - b])
         return None
 
 
-def plan_patterns(counts: dict[int, int], size: int = SEQUENCE) -> list[tuple[int, Counter]]:
-    """(times, pattern) list using every piece once; a pattern's lengths sum
-    to at most ``size``. The largest length left opens a pattern; its gap is
-    closed by an exact complement, or the largest length that fits goes in and
-    the rest of the gap is tried again. A pattern is used as often as its
-    pieces are there."""
+def _plan(counts: dict[int, int], size: int, near: int | None) -> list[tuple[int, Counter]]:
     index = ComplementIndex(counts)
     plan = []
     while index.left:
         first = index.order[0]
         pattern, gap = Counter([first]), size - first
         while gap:
-            found = index.exact(gap, pattern)
+            found = index.exact(gap, pattern, near)
             if found is None:
                 best = next((n for n in index.order if n <= gap and index.left[n] > pattern[n]), 0)
                 if not best:
@@ -186,6 +191,16 @@ def plan_patterns(counts: dict[int, int], size: int = SEQUENCE) -> list[tuple[in
     return plan
 
 
+def plan_patterns(counts: dict[int, int], size: int = SEQUENCE) -> list[tuple[int, Counter]]:
+    """(times, pattern) list using every piece once; a pattern's lengths sum
+    to at most ``size``. The largest length left opens a pattern; its gap is
+    closed by an exact complement, or the largest length that fits goes in and
+    the rest of the gap is tried again. A pattern is used as often as its
+    pieces are there. Of the plan with all complements and the one that leaves
+    those not led by large lengths for later, the one of fewer sequences."""
+    return min((_plan(counts, size, near) for near in (None, NEAR)), key=lambda plan: sum(times for times, _ in plan))
+
+
 def pack(pieces: DataFrame, size: int = SEQUENCE) -> DataFrame:
     """``pieces`` (a written table with a ``length`` of 1 to ``size`` and the
     identifying columns doc_id, piece, start) with sequence_id and offset.

@@ -4,6 +4,7 @@ import hashlib
 import random
 import zlib
 from collections import Counter, defaultdict
+from itertools import combinations
 
 import numpy as np
 import pytest
@@ -143,6 +144,25 @@ def test_complement_index_finds_single_pair_triple():
     assert index.exact(300, Counter([100])) is None
 
 
+def test_a_gap_is_closed_by_any_complement_there_is():
+    """The largest lengths that fit have no partner; smaller ones have."""
+    for rest in ([60, 40], [50, 30, 20]):
+        counts = Counter([924, *range(99, 81, -1), *rest])
+        assert packing.ComplementIndex(counts).exact(100, Counter([924])) == Counter(rest)
+    # 92 sequences, the sum of the lengths, only with all complements.
+    rng = random.Random(31)
+    counts = Counter(min(1024, max(1, int(rng.lognormvariate(5, 1)))) for _ in range(400))
+    assert sum(times for times, _ in packing.plan_patterns(counts)) == 92
+    rng = random.Random(8)
+    for _ in range(300):
+        have, gap = Counter(rng.choices(range(1, 120), k=rng.randint(3, 25))), rng.randint(20, 200)
+        pieces = list(have.elements())
+        possible = any(sum(c) == gap for k in (1, 2, 3) for c in combinations(pieces, k))
+        found = packing.ComplementIndex(have).exact(gap, Counter())
+        assert (found is not None) == possible
+        assert not found or sum(n * k for n, k in found.items()) == gap and not found - have
+
+
 def _best_fit(counts, size=1024):
     """Sequences of best fit decreasing."""
     gaps = []
