@@ -39,10 +39,11 @@ def _folder(spark: SparkSession, name: str) -> str:
     return scratch_path(spark, f"files-{name}-{uuid.uuid4().hex}")
 
 
-def _written_lines(df: DataFrame, line: str, name: str, parts: int = 3) -> str:
-    """The lines written as text files; spread over a few files by content."""
+def _written_lines(df: DataFrame, line: str, name: str) -> str:
+    """The lines written as text files; spread over files by content, as many
+    as their size asks for (a line repeated very often is split as well)."""
     path = _folder(df.sparkSession, name)
-    df.select(F.expr(line).alias("value")).repartition(parts, "value").write.text(path)
+    df.select(F.expr(line).alias("value")).hint("rebalance", "value").write.text(path)
     delete_at_exit(df.sparkSession, path)
     return path
 

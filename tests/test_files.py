@@ -12,6 +12,7 @@ from pyspark.sql import Observation
 from pyspark.sql import functions as F
 
 from sparktally.operators import count_by, remove_stopwords
+from sparktally.plans.files import FILE_QUERIES, _written_lines
 from sparktally.sinks import replacing, write_csv, write_delimited, write_key_value, write_parquet
 from sparktally.sources import number_lines, parse_ratings, read_delimited, read_lines, read_ratings, read_stopwords
 from tests.conftest import SF_SMOKE, write_lines
@@ -179,3 +180,13 @@ def test_scratch_tables_go_when_the_driver_ends(tmp_path):
             return
         time.sleep(0.5)
     raise AssertionError(os.listdir(folder))
+
+
+def test_large_written_lines_are_split_by_size(spark, skew_conf):  # noqa: F811
+    """Files follow the size of the lines, also of one that is very often
+    repeated; no fixed number of them."""
+    df = spark.range(60_000).select(F.when(F.col("id") % 2 == 0, 0).otherwise(F.col("id")).alias("id")).repartition(8)
+    path = _written_lines(df, "sha2(cast(id AS string), 256)", "split")
+    files = [f for f in os.listdir(path) if f.startswith("part-")]
+    assert len(files) > 8
+    assert spark.read.text(path).count() == 60_000
