@@ -165,14 +165,19 @@ def _words(spark: SparkSession, sf_dir: str) -> DataFrame:
 def q_long_stop_list(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Tokens not on a stop list that grows with the corpus (every word of an
     odd number of letters, from a file of one entry a line): counts per
-    category."""
+    category. Equal tokens are counted before they meet the list, so that what
+    is shuffled and sorted grows with the words there are, not with the text."""
     tokens = _words(spark, sf_dir)
     entries = tokens.where("length(word) % 2 = 1").select("word").distinct()
     path = _folder(spark, "stop-words")
     entries.select(F.col("word").alias("value")).write.text(path)
     delete_at_exit(spark, path)
-    kept = remove_stopwords(tokens, read_stopwords(spark, path), long_list=True)
-    return count_by(kept, ["category"], "id", name="total")
+    # Stored, as Spark would move the anti-join below an aggregate.
+    stored = _folder(spark, "token-counts")
+    write_parquet(count_by(tokens, ["category", "word"], "id"), stored)
+    delete_at_exit(spark, stored)
+    kept = remove_stopwords(spark.read.parquet(stored), read_stopwords(spark, path), long_list=True)
+    return kept.groupBy("category").agg(F.sum("n").alias("total"))
 
 
 def q_ordered_output(spark: SparkSession, sf_dir: str) -> DataFrame:

@@ -190,3 +190,9 @@ def test_large_written_lines_are_split_by_size(spark, skew_conf):  # noqa: F811
     files = [f for f in os.listdir(path) if f.startswith("part-")]
     assert len(files) > 8
     assert spark.read.text(path).count() == 60_000
+
+
+def test_tokens_are_counted_before_they_meet_a_long_stop_list(spark):
+    plan = FILE_QUERIES["long_stop_list"](spark, SF_SMOKE)._jdf.queryExecution().optimizedPlan().toString()
+    # What meets the list are stored counts, not the tokens.
+    assert "Generate explode" not in plan and "LeftAnti" in plan
