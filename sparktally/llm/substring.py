@@ -22,11 +22,15 @@ nine words and band, and only these are stored.
    holder is open, and its document meets the other holders of the MinHash.
    Holders of equal surroundings are one class, which its smallest stands for.
    A confirmed region either has ``PARAGRAPH`` equal words in a row, and then
-   the smallest holder of these words is met; or it has one or two changes
-   with ``SIDE`` equal words or more on both sides of each, and then all
-   classes that share the MinHash and a second one of the other side meet.
-   What this last step costs grows with the square of such a class's number.
-   Their runs are verified like the first ones.
+   the smallest holder of these words is met; or two neighbouring stretches of
+   ``SIDE`` equal words or more that are similar by themselves. For these the
+   smallest class that shares the MinHash and a second one of the other side is
+   met. What is then still open meets the smallest holder of each certificate:
+   both stretches whole, as long as the words left out between them ask for, so
+   that all holders are similar to it. Runs are verified like the first ones.
+   No class meets all others, so pairs grow with the collisions. An end of a
+   longer region that is similar only together with words beyond its
+   neighbour is found only if a text met for other words has it.
 5. A confirmed region links a document with one of a smaller doc_id, which
    keeps the passage; the document of the larger doc_id loses its region.
 
@@ -62,6 +66,14 @@ PERCENT = 75
 # c / (c + 9) >= 0.75: 35 words in all, so 11 beside 24.
 SIDE = 11
 NEXT = PARAGRAPH + 4 - SEED  # words from a collision to a side behind a change
+# Words of a context around a collision, in reading direction: the collision's
+# side has PARAGRAPH - 1 words at most (more are a line), then up to four words
+# are left out, and a side as long as the similarity asks for follows.
+LEAD = PARAGRAPH - 1 - SEED
+OUT = 4
+STEP = 4  # lengths of a side that are looked for together
+SIDES = [32 + 3 * g for g in range(2 * OUT + 1)]  # equal words that g words left out of both texts ask for
+TAIL = PARAGRAPH - 1 + OUT + SIDES[-1] - SIDE
 MEET = 1000  # runs that come to a text at a time
 _PLACE = np.uint64((1 << 32) - 1)  # words of a batch
 _NONE = np.uint64((1 << 64) - 1)
@@ -280,10 +292,11 @@ def _meetings(slim: DataFrame, firsts: DataFrame) -> DataFrame:
     )
 
 
-def others(slim: DataFrame, found: DataFrame, unmet: DataFrame) -> DataFrame:
+def others(slim: DataFrame, found: DataFrame, unmet: DataFrame) -> tuple[DataFrame, DataFrame]:
     """Collisions, as ``colliding`` gives them, of the open ones among the
-    holders ``found`` (``unmet``: key, doc_id, text_id, place) with other holders
-    than the smallest (a written table)."""
+    holders ``found`` (``unmet``: key, doc_id, text_id, place) with the smallest
+    holder of the words around, of a line and of a side; and the holders of
+    sides: key, doc_id, text_id, place, open, first (written tables)."""
     marked = found.join(unmet.select("key").distinct(), "key").join(unmet.withColumn("open", F.lit(True)), ["key", *_AT], "left")
     classes = materialize(_classes(slim, marked.select("key", *_AT, F.coalesce("open", F.lit(False)).alias("open"))), "para-classes")
     as_kept = lambda at: [F.col(f"{at}.{c}").alias(k) for c, k in zip(_AT, ("kept_doc", "kept_text", "kept_place"))]
@@ -305,14 +318,238 @@ def others(slim: DataFrame, found: DataFrame, unmet: DataFrame) -> DataFrame:
     met = materialize(made.join(shared, ["near", "key"]), "para-met")
     drop_scratch(made)
     equal = met.where("NOT near AND doc_id != first.doc_id").select(*_AT, *as_kept("first"))
-    right = met.where("near").select("key", *_AT, "open")
-    left = right.select("key", *[F.col(c).alias(f"kept_{c}") for c in [*_AT, "open"]])
-    near = (
-        right.join(left, "key").where("doc_id > kept_doc_id AND (open OR kept_open)")
-        .select(*_AT, F.col("kept_doc_id").alias("kept_doc"), F.col("kept_text_id").alias("kept_text"), "kept_place")
-    )
+    near = met.where("near AND open AND doc_id > first.doc_id").select(*_AT, *as_kept("first"))
     out = materialize(copies.union(equal).union(near).distinct(), "para-others")
+    beside = materialize(met.where("near").select("key", *_AT, "open", F.col("first.doc_id").alias("first")), "para-beside")
     drop_scratch(classes, first, met)
+    return out, beside
+
+
+def _uncovered(rows: DataFrame, spans: DataFrame) -> DataFrame:
+    """``rows`` whose collision is in none of the regions ``spans``."""
+    ranges = spans.select(
+        F.col("doc_id").alias("in_doc"), F.col("text_id").alias("in_text"), "start_word", "end_word"
+    ).distinct()
+    inside = (F.col("start_word") <= F.col("place")) & (F.col("place") + SEED <= F.col("end_word"))
+    return rows.join(ranges, (F.col("doc_id") == F.col("in_doc")) & (F.col("text_id") == F.col("in_text")) & inside, "left_anti")
+
+
+def _contexts(slim: DataFrame, rows: DataFrame) -> DataFrame:
+    """``rows`` (doc_id, text_id, place, open) with ``words``: 32-bit hashes of
+    the words around the place, 0 outside the text (a written table)."""
+    before = TAIL - SEED
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "_text"):
+            out = []
+            for k, content in enumerate(batch.column("_text").to_pylist()):
+                own = pa.RecordBatch.from_struct_array(batch.column("rows")[k].values)
+                words = np.concatenate([np.zeros(before, np.uint32), _short_hashes(content), np.zeros(TAIL, np.uint32)])
+                view = np.lib.stride_tricks.sliding_window_view(words, before + TAIL)
+                around = pa.array([w.tobytes() for w in view[own.column("place").to_numpy()]], pa.binary())
+                ids = [pa.repeat(batch.column(c)[k], own.num_rows) for c in ("doc_id", "text_id")]
+                out.append(pa.RecordBatch.from_arrays([*ids, own.column("place"), own.column("open"), around], names=[*_AT, "open", "words"]))
+            yield from pa.Table.from_batches(out).combine_chunks().to_batches()
+
+    made = _with_texts(slim, rows).mapInArrow(run, "doc_id long, text_id long, place int, open boolean, words binary")
+    # Repeated rows of a document bring a text twice.
+    return materialize(made.groupBy(*_AT).agg(F.max("open").alias("open"), F.first("words").alias("words")), "para-contexts")
+
+
+_BASE = np.uint64(0x9E3779B97F4A7C15)
+_POWERS = np.cumprod(np.append(np.uint64(1), np.full(LEAD + TAIL, _BASE)), dtype=np.uint64)
+
+
+class _Sequences:
+    """Hashes of word sequences of contexts, read to the right (the first half
+    of the rows) and to the left; the collision begins at word ``LEAD``."""
+
+    def __init__(self, words: list[bytes]):
+        table = np.frombuffer(b"".join(words), np.uint32).reshape(len(words), -1)
+        start = TAIL - SEED - LEAD
+        self.words = np.concatenate([table[:, start:], table[:, ::-1][:, start:]]).astype(np.uint64)
+        n, width = self.words.shape
+        value = mix64(self.words + np.uint64(1))
+        self.sums, self.gaps = np.zeros((n, width + 1), np.uint64), np.zeros((n, width + 1), np.int32)
+        for k in range(width):
+            self.sums[:, k + 1] = self.sums[:, k] * _BASE + value[:, k]
+        np.cumsum(self.words == 0, axis=1, out=self.gaps[:, 1:])
+
+    def of(self, row: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        return self.sums[row, end] - self.sums[row, begin] * _POWERS[end - begin]
+
+    def whole(self, row: np.ndarray, begin: np.ndarray, end: np.ndarray) -> np.ndarray:
+        """Whether the sequence is inside the text."""
+        return self.gaps[row, end] == self.gaps[row, begin]
+
+    def sides(self, row, at, skip, left, right, salt) -> tuple[np.ndarray, np.ndarray]:
+        """Key of ``left`` words before ``at`` and ``right`` ones after the next
+        ``skip``; whether all are inside the text."""
+        after = at + skip
+        key = self.of(row, at - left, at) * _POWERS[right] + self.of(row, after, after + right)
+        return mix64(key ^ mix64(salt.astype(np.uint64))), self.whole(row, at - left, after + right)
+
+
+def _branches(seq: _Sequences, n: int) -> tuple[np.ndarray, ...]:
+    """(key, word behind, context, code) of all words from a collision to a
+    place that may be a side's end; the code is the place and direction."""
+    row, at = (x.ravel() for x in np.mgrid[0 : 2 * n, LEAD + SEED : LEAD + PARAGRAPH])
+    code = at * 2 + (row >= n)
+    key = mix64(seq.of(row, np.full_like(row, LEAD), at) ^ mix64(code.astype(np.uint64)))
+    ok = seq.whole(row, np.full_like(row, LEAD), at)
+    return key[ok], seq.words[row, at][ok], (row % n)[ok], code[ok]
+
+
+def _changes(seq: _Sequences, n: int, context: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, words left out, context, code) of the ends of sides with ``SIDE``
+    words after each number of words left out; the code has that number too."""
+    context, code = np.repeat(context, OUT + 1), np.repeat(code, OUT + 1)
+    skip = np.tile(np.arange(OUT + 1), len(code) // (OUT + 1))
+    row, at = context + n * (code % 2), code // 2
+    key, ok = seq.sides(row, at, skip, np.maximum(SIDE, at - LEAD), np.full_like(at, SIDE), code)
+    left_out = seq.of(row, at, at + skip) + skip.astype(np.uint64)
+    return key[ok], left_out[ok], context[ok], (code * 8 + skip)[ok]
+
+
+def _splits(seq: _Sequences, n: int, context: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, words left out, context, code) of the words that certificates have
+    in common whose first side has ``STEP`` lengths; the code has their number."""
+    out = []
+    row, at, skip = context + n * (code // 8 % 2), code // 16, code % 8
+    for part, low in enumerate(range(SIDE, PARAGRAPH, STEP)):
+        high = min(low + STEP, PARAGRAPH) - 1
+        some = np.flatnonzero(at - LEAD <= high)
+        r, p, k = row[some], at[some], skip[some]
+        left, right = np.maximum(low, p - LEAD), np.full_like(p, max(SIDE, SIDES[1] - high))
+        key, ok = seq.sides(r, p, k, left, right, code[some] // 8 * 4 + part)
+        other = seq.of(r, p, p + k) + k.astype(np.uint64)
+        out.append((key[ok], other[ok], context[some][ok], (code[some] * 4 + part)[ok]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+def _certificates(seq: _Sequences, n: int, context: np.ndarray, code: np.ndarray) -> tuple[np.ndarray, ...]:
+    """(key, words that the other text may leave out, context, code) of all
+    pairs of sides that are similar whatever stands between them."""
+    out = []
+    part, code = code % 4, code // 4
+    row, at, skip = context + n * (code // 8 % 2), code // 16, code % 8
+    for g in range(1, 2 * OUT + 1):
+        for left in range(SIDE, PARAGRAPH):
+            some = np.flatnonzero((skip <= g) & (g - skip <= OUT) & (at - LEAD <= left) & (part == (left - SIDE) // STEP))
+            r, p, k = row[some], at[some], skip[some]
+            fits = np.full_like(p, SIDES[g] - left)
+            key, ok = seq.sides(r, p, k, np.full_like(p, left), fits, (code[some] // 8 * 16 + g) * 64 + left)
+            out.append((key[ok], (g - k)[ok].astype(np.uint64), context[some][ok], code[some][ok]))
+    return tuple(np.concatenate(x) for x in zip(*out))
+
+
+_KEYS = "key long, other long, doc_id long, text_id long, place int, open boolean, code int"
+
+
+def _sequence_keys(contexts: DataFrame, made_by) -> DataFrame:
+    """Rows of ``_KEYS`` that ``made_by`` makes of contexts (with ``codes``, if
+    it takes any)."""
+    coded = "codes" in contexts.columns
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in small_batches(batches, "words", 1 << 17):
+            seq = _Sequences(batch.column("words").to_pylist())
+            given = ()
+            if coded:
+                lists = batch.column("codes")
+                given = np.repeat(np.arange(batch.num_rows), lists.value_lengths().to_numpy()), lists.flatten().to_numpy().astype(np.int64)
+            key, other, context, code = made_by(seq, batch.num_rows, *given)
+            own = [batch.column(c).take(pa.array(context)) for c in (*_AT, "open")]
+            cols = [pa.array(to_i64(key)), pa.array(to_i64(other)), *own, pa.array(code.astype(np.int32))]
+            yield pa.RecordBatch.from_arrays(cols, names=["key", "other", *_AT, "open", "code"])
+
+    return contexts.mapInArrow(run, _KEYS)
+
+
+def _several(contexts: DataFrame, keys: DataFrame, name: str) -> DataFrame:
+    """The contexts with the codes whose key an open collision shares with a
+    smaller document that goes on with something else (a written table)."""
+    made = materialize(keys, f"{name}-keys")
+    # The smallest document and the last open one, and those of them that go
+    # on with something else than these.
+    ways = made.groupBy("key", "other").agg(F.min("doc_id").alias("first"), F.max(F.when(F.col("open"), F.col("doc_id"))).alias("last"))
+    ends = (
+        ways.groupBy("key").agg(
+            F.count("*").alias("n"), F.min("first").alias("low"), F.max("last").alias("high"),
+            F.min_by("other", "first").alias("low_way"), F.max_by("other", "last").alias("high_way"),
+        )
+        .where("n > 1 AND low < high").drop("n")
+    )
+    ends = ways.join(ends, "key").groupBy("key", "low", "high", "low_way", "high_way").agg(
+        F.min(F.when(F.col("other") != F.col("low_way"), F.col("first"))).alias("next_low"),
+        F.max(F.when(F.col("other") != F.col("high_way"), F.col("last"))).alias("next_high"),
+    )
+    larger = F.when(F.col("other") == F.col("low_way"), F.col("next_low")).otherwise(F.col("low")) < F.col("doc_id")
+    smaller = F.when(F.col("other") == F.col("high_way"), F.col("next_high")).otherwise(F.col("high")) > F.col("doc_id")
+    useful = (F.col("open") & larger) | smaller
+    codes = made.join(ends, "key").where(useful).groupBy(*_AT).agg(F.collect_list("code").alias("codes"))
+    out = materialize(contexts.join(codes, _AT), name)
+    drop_scratch(made)
+    return out
+
+
+def certified(slim: DataFrame, beside: DataFrame, spans: DataFrame) -> DataFrame:
+    """Collisions, as ``colliding`` gives them, of those still open after the
+    regions ``spans`` with the smallest holder of each pair of sides around a
+    change that are similar by themselves (a written table).
+
+    Every key names such a pair of sides whole, so all its holders are similar
+    to its smallest one, and rows grow with the collisions, whatever their
+    groups. The first keys (one side, then ``SIDE`` words of the other) only
+    leave out what has no partner.
+    """
+    marked = materialize(
+        beside.withColumn("still", F.lit(False)).where("NOT open").unionByName(
+            _uncovered(beside.where("open"), spans).withColumn("still", F.lit(True))
+        ),
+        "para-still",
+    )
+    # The first holder of a side was met; only others are left to meet.
+    asked = (
+        marked.groupBy("key").agg(
+            F.min(F.when(F.col("doc_id") != F.col("first"), F.col("doc_id"))).alias("next"),
+            F.max(F.when(F.col("still"), F.col("doc_id"))).alias("last"),
+        )
+        .where("next < last").select("key")
+    )
+    rows = beside.join(asked, "key").select("key", *_AT).join(
+        marked.where("still").select("key", *_AT, F.lit(True).alias("still")), ["key", *_AT], "left"
+    )
+    rows = rows.groupBy(*_AT).agg(F.coalesce(F.max("still"), F.lit(False)).alias("open"))
+    contexts = _contexts(slim, rows)
+    drop_scratch(marked)
+    ends = _several(contexts, _sequence_keys(contexts, _branches), "para-ends")
+    drop_scratch(contexts)
+    changes = _several(ends.drop("codes"), _sequence_keys(ends, _changes), "para-changes")
+    drop_scratch(ends)
+    splits = _several(changes.drop("codes"), _sequence_keys(changes, _splits), "para-splits")
+    drop_scratch(changes)
+    made = materialize(
+        _sequence_keys(splits, _certificates).select("key", "other", *_AT, "open", (F.col("code") % 8).alias("skip")), "para-certificates"
+    )
+    drop_scratch(splits)
+    # Per key the smallest holder that leaves out so many words at most.
+    smallest = made.groupBy("key").agg(
+        *[F.min(F.when(F.col("skip") <= k, F.col("doc_id"))).alias(f"least{k}") for k in range(OUT + 1)],
+        F.max(F.when(F.col("open"), F.col("doc_id"))).alias("last"),
+    )
+    smallest = smallest.where(f"least{OUT} < last").select("key", F.array(*[f"least{k}" for k in range(OUT + 1)]).alias("least"))
+    met = made.where("open").join(smallest, "key").withColumn("kept_doc", F.col("least")[F.col("other").cast("int")])
+    met = materialize(met.where("kept_doc < doc_id").select("key", *_AT, "kept_doc").distinct(), "para-smallest")
+    kept = met.select("key", "kept_doc").distinct().join(
+        made.select("key", F.col("doc_id").alias("kept_doc"), F.col("text_id").alias("kept_text"), F.col("place").alias("kept_place")),
+        ["key", "kept_doc"],
+    )
+    kept = kept.groupBy("key", "kept_doc").agg(F.min(F.struct("kept_text", "kept_place")).alias("at"))
+    out = materialize(
+        met.join(kept, ["key", "kept_doc"]).select(*_AT, "kept_doc", "at.kept_text", "at.kept_place").distinct(), "para-certified"
+    )
+    drop_scratch(made, met)
     return out
 
 
@@ -436,18 +673,22 @@ def aligned(own: np.ndarray, kept: np.ndarray, place: int, kept_place: int) -> l
     return joined
 
 
-def confirmed(own: np.ndarray, kept: np.ndarray, stretches: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+def _alike(own: np.ndarray, kept: np.ndarray, first: tuple[int, int, int], last: tuple[int, int, int]) -> bool:
+    """Whether the region from one stretch to another is similar enough."""
+    sides = own[first[0] : last[0] + last[2]], kept[first[1] : last[1] + last[2]]
+    return similar(*(np.unique(shingle_hashes(x.astype(np.uint64)).view(np.int64)) for x in sides), PERCENT)
+
+
+def _longest(own: np.ndarray, kept: np.ndarray, stretches: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
     """Words [s, e) of the aligned regions whose shingles are similar enough:
     the shorter end stretch is left to itself as long as they are not."""
     first, last = 0, len(stretches)
     while first < last:
-        (i, j, _), (i2, j2, n) = stretches[first], stretches[last - 1]
-        s, e = i, i2 + n
+        s, e = stretches[first][0], stretches[last - 1][0] + stretches[last - 1][2]
         if e - s < PARAGRAPH:
             return []
-        sides = own[s:e], kept[j : j2 + n]
-        if last - first == 1 or similar(*(np.unique(shingle_hashes(x.astype(np.uint64)).view(np.int64)) for x in sides), PERCENT):
-            return confirmed(own, kept, stretches[:first]) + [(s, e)] + confirmed(own, kept, stretches[last:])
+        if last - first == 1 or _alike(own, kept, stretches[first], stretches[last - 1]):
+            return _longest(own, kept, stretches[:first]) + [(s, e)] + _longest(own, kept, stretches[last:])
         if stretches[first][2] < stretches[last - 1][2]:
             first += 1
         else:
@@ -455,6 +696,19 @@ def confirmed(own: np.ndarray, kept: np.ndarray, stretches: list[tuple[int, int,
     return []
 
 
+def confirmed(own: np.ndarray, kept: np.ndarray, stretches: list[tuple[int, int, int]]) -> list[tuple[int, int]]:
+    """Words [s, e) of the regions that ``_longest`` finds, and of all pairs of
+    neighbours outside them that are similar by themselves, as a stretch of one
+    region may be in another one with its other neighbour."""
+    out = _longest(own, kept, stretches)
+    for x, y in zip(stretches, stretches[1:]):
+        s, e = x[0], y[0] + y[2]
+        left_out = y[0] - x[0] - x[2] + y[1] - x[1] - x[2]
+        if x[2] + y[2] >= SIDES[0] + 3 * left_out and not any(a <= s and e <= b for a, b in out) and _alike(own, kept, x, y):
+            out.append((s, e))
+    return out
+
+
 def run_regions(own: np.ndarray, kept: np.ndarray, places: list[int], kept_places: list[int]) -> list[tuple[int, int]]:
     """Confirmed regions of a run; ``kept_places`` are places in ``kept``."""
     out: list[tuple[int, int]] = []
@@ -477,7 +731,7 @@ def _verified(slim: DataFrame, pairs: DataFrame, last: bool = False) -> DataFram
     drop_scratch(pairs)
     regions = materialize(_regions(runs, slim), "para-regions")
     # The regions travel to the texts that repeat them.
-    # In the last round a text may meet very many others.
+    # After the first round a text may meet very many others.
     number = F.row_number().over(Window.partitionBy("doc_id", "text_id").orderBy("kept_doc"))
     part = F.floor((number - 1) / MEET) if last else F.lit(0)
     given = materialize(
@@ -540,7 +794,10 @@ def repeated_passages(docs: DataFrame, doc_id: str = "doc_id", text: str = "text
     )
     spans = spans.where("key IS NULL")
     if not unmet.isEmpty():
-        spans = spans.union(_verified(slim, others(slim, found, unmet), last=True).where("key IS NULL"))
+        pairs, beside = others(slim, found, unmet)
+        spans = spans.union(_verified(slim, pairs, last=True).where("key IS NULL"))
+        spans = spans.union(_verified(slim, certified(slim, beside, spans), last=True).where("key IS NULL"))
+        drop_scratch(beside)
     drop_scratch(found, unmet)
     # Ranges that touch become one.
     before = Window.partitionBy("doc_id", "text_id").orderBy("start_word", "end_word")

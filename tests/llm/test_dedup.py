@@ -345,6 +345,38 @@ def test_alignment_over_changes():
     assert substring.run_regions(own, own[::-1].copy(), [0], [0]) == []
 
 
+def test_both_neighbours_of_a_stretch_are_confirmed():
+    """Three stretches are too many for one region, the middle one is similar
+    with either neighbour."""
+    own = np.arange(1, 57, dtype=np.uint32)
+    kept = own.copy()
+    kept[[16, 39]] = 900, 901
+    stretches = substring.aligned(own, kept, 20, 20)
+    assert stretches == [(0, 0, 16), (17, 17, 22), (40, 40, 16)]
+    assert sorted(substring.confirmed(own, kept, stretches)) == [(0, 39), (17, 56)]
+
+
+def test_near_copies_do_not_all_meet(spark, monkeypatch):
+    """Pairs that are compared grow with the near copies, not their square."""
+    rng = random.Random(91)
+    body, made, write = rng.choices(WORDS, k=150), [], substring.materialize
+
+    def counted(df, name):
+        out = write(df, name)
+        if name in ("para-others", "para-certified"):
+            made.append(out.count())
+        return out
+
+    monkeypatch.setattr(substring, "materialize", counted)
+    sums = []
+    for n in (40, 160):
+        docs = [(i, " ".join(w if rng.random() > 0.06 else f"x{rng.random()}" for w in body)) for i in range(n)]
+        made.clear()
+        assert substring.repeated_passages(spark.createDataFrame(docs, "doc_id long, text string")).count()
+        sums.append(sum(made))
+    assert 0 < sums[1] < 7 * sums[0]
+
+
 def test_cutting():
     assert substring.cut_words("a b\nc  d é f", [(1, 3), (5, 9)]) == "a d é "
     assert substring.cut_words("a b", []) == "a b"
